@@ -8,7 +8,7 @@ slices it touches.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,20 @@ def overwrite_slices(df: DataFrame, path: str, slice_by: Sequence[str]) -> None:
 
 
 class SnapshotTable:
-    """A versioned Parquet table under one folder."""
+    """A versioned Parquet table under one folder.
 
-    def __init__(self, spark: SparkSession, path: str, slice_by: Sequence[str] = ()):
+    ``slice_by`` names the partition columns; a mapping also gives their types, which
+    are text otherwise (folder names alone would turn ``'0110'`` into a number).
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, slice_by: Sequence[str] | Mapping[str, str] = ()
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.slice_by = tuple(slice_by)
+        types = slice_by if isinstance(slice_by, Mapping) else dict.fromkeys(slice_by, "string")
+        self.slice_types = dict(types)
+        self.slice_by = tuple(types)
 
     def _folder(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -71,7 +79,14 @@ class SnapshotTable:
 
     def read(self) -> DataFrame:
         """The newest complete version; columns added by later slices are merged in."""
-        return self.spark.read.option("mergeSchema", bool(self.slice_by)).parquet(self.current_path())
+        path = self.current_path()
+        if not self.slice_by:
+            return self.spark.read.parquet(path)
+        found = self.spark.read.option("mergeSchema", True).parquet(path)
+        typed = found.select(
+            *[F.col(quoted(c)).cast(self.slice_types.get(c, found.schema[c].dataType)) for c in found.columns]
+        )
+        return self.spark.read.schema(typed.schema).parquet(path)
 
     def overwrite(self, df: DataFrame) -> "SnapshotTable":
         """Full load: write a new version. The new rows may be computed from the old ones."""
@@ -83,7 +98,7 @@ class SnapshotTable:
         writer.parquet(f"{self.path}/version-{number:08d}")
         return self
 
-    def append_columns(self, df: DataFrame) -> "SnapshotTable":
+    def overwrite_evolving(self, df: DataFrame) -> "SnapshotTable":
         """Full load whose schema also keeps the columns of the current version."""
         current = self.read().limit(0)
         return self.overwrite(df.unionByName(current, allowMissingColumns=True))

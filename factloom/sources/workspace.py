@@ -22,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="factloom-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="factloom-")
+    return _local_folders[context.applicationId]
 
 
 def table_path(spark: SparkSession, name: str) -> str:
