@@ -8,8 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.sources.workspace import stage_sized
 from factloom.spec import MergeSpec, quoted
 
+# Up to this size a merge source is expected to be broadcast (Spark's default threshold).
+SMALL_SOURCE = 10 * 1024 * 1024
+
 
 class DuplicateKeyError(ValueError):
     """The merge source holds several rows for one key."""
@@ -105,6 +109,16 @@ def merge_upsert(
     return updated.unionByName(inserted)
 
 
+def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_bytes: int = SMALL_SOURCE) -> DataFrame:
+    """Merge changes that are costly to derive.
+
+    They are written once; uniqueness check and merge both read the written rows, and
+    their size decides between the two merge plans.
+    """
+    source, size = stage_sized(changes, "merge-source")
+    return merge_upsert(target, source, spec, small_source=size <= small_bytes)
+
+
 def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key was deleted; a NULL key matches nothing."""
     gone = deleted.select(*[F.col(quoted(k)) for k in keys]).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.codes import DELETED
 from factloom.operators.filters import since_watermark, source_system_filter
-from factloom.operators.merge import delete_by_keys, merge_upsert
+from factloom.operators.merge import delete_by_keys, merge_staged
 from factloom.operators.project import rename_projection, with_source_id
 from factloom.spec import MergeSpec
 
@@ -86,9 +86,8 @@ def balance_delta(
     spec: BalanceSpec,
     watermark,
     as_of: Column,
-    small_source: bool = False,
 ) -> DataFrame:
     """The fact after a delta load: upsert, then delete; delete wins."""
     merge = MergeSpec(keys=MERGE_KEYS, stamp={STAMP: as_of})
-    merged = merge_upsert(target, balance_changes(raw, spec, watermark), merge, small_source=small_source)
+    merged = merge_staged(target, balance_changes(raw, spec, watermark), merge)
     return delete_by_keys(merged, deleted_keys(landing, spec, watermark), MERGE_KEYS)

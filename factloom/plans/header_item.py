@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 
 from factloom.operators.filters import since_watermark, source_system_filter
 from factloom.operators.joins import parent_child_join
-from factloom.operators.keys import changed_key_semi_join, distinct_keys, union_distinct
-from factloom.operators.merge import delete_by_keys, merge_upsert
+from factloom.operators.keys import changed_key_semi_join, distinct_keys, rows_hit, union_distinct
+from factloom.operators.merge import delete_by_keys, merge_staged
 from factloom.operators.project import rename_projection, with_source_id
+from factloom.sources.workspace import stage
 from factloom.spec import MergeSpec
 
 # Published names of the document key, the line and the client.
@@ -58,6 +59,7 @@ class HeaderItemSpec:
 
 
 _ON = dict(zip(DOCUMENT_KEY, ("BUKRS", "BELNR", "GJAHR")))
+_TO_DOCUMENT = {child: parent for parent, child in _ON.items()}
 
 
 def _documents(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec) -> DataFrame:
@@ -72,13 +74,20 @@ def header_item_full(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec,
 
 
 def header_item_changes(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, watermark) -> DataFrame:
-    """Complete documents of which the header or any item changed since the watermark."""
+    """Complete documents of which the header or any item changed since the watermark.
+
+    The changed keys are written once, and both tables are cut down to them before the
+    join: a small delta then costs one filtered scan of each table, without shuffling it.
+    """
     header_rows, item_rows = spec.header_rows(headers), spec.item_rows(items)
     changed = union_distinct(
         distinct_keys(since_watermark(header_rows, watermark, spec.loaded), DOCUMENT_KEY),
-        distinct_keys(since_watermark(item_rows, watermark, spec.loaded), {c: p for p, c in _ON.items()}),
+        distinct_keys(since_watermark(item_rows, watermark, spec.loaded), _TO_DOCUMENT),
+    )
+    changed = stage(changed, "changed-documents")
+    return _documents(
+        changed_key_semi_join(header_rows, changed, DOCUMENT_KEY), rows_hit(item_rows, changed, _TO_DOCUMENT), spec
     )
-    return _documents(changed_key_semi_join(header_rows, changed, DOCUMENT_KEY), item_rows, spec)
 
 
 def header_item_delta(
@@ -89,9 +98,8 @@ def header_item_delta(
     watermark,
     as_of: Column,
     deleted: DataFrame | None = None,
-    small_source: bool = False,
 ) -> DataFrame:
     """The fact after a delta load; ``deleted`` optionally names keys to remove."""
     changes = header_item_changes(headers, items, spec, watermark)
-    merged = merge_upsert(target, changes, spec.merge_spec(as_of), small_source=small_source)
+    merged = merge_staged(target, changes, spec.merge_spec(as_of))
     return merged if deleted is None else delete_by_keys(merged, deleted, MERGE_KEYS)

@@ -32,8 +32,9 @@ from factloom.operators.keys import (
     rows_hit,
     union_distinct,
 )
-from factloom.operators.merge import merge_upsert
+from factloom.operators.merge import merge_staged
 from factloom.operators.project import with_source_id
+from factloom.sources.workspace import stage
 from factloom.spec import Lookup, MergeSpec
 
 # Ledger columns and their published names.
@@ -291,19 +292,29 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
     (via movements and headers) are first reduced to one set of header keys, so the
     ledger is matched against headers once rather than once per path. Deletes count as
     changes too: a line must lose what a deleted lookup row gave it.
+
+    Each set of changed keys is narrow and written once. Spark then knows its size and,
+    when it is small, filters the large tables during their scan instead of shuffling them.
     """
     headers = reference_keys(feeds.header)
     changed_headers = doc_type_filter(since_watermark(feeds.header, watermark))
     changed_movements = client_filter(since_watermark(feeds.movement, watermark))
     changed_second = unit_filter(since_watermark(feeds.second_quantity, watermark))
     header_key = list(HEADER_OF_LEDGER.values())
+    reference_key = {"MBLNR": "MBLNR", "ZEILE": "ZEILE"}
+    movement_keys = union_distinct(
+        distinct_keys(changed_movements, reference_key),
+        keys_through(changed_second, [(feeds.movement, SECOND_OF_MOVEMENT)], list(reference_key)),
+    )
     header_keys = union_distinct(
         distinct_keys(changed_headers, header_key),
-        keys_through(changed_movements, [(headers, MOVEMENT_OF_HEADER)], header_key),
-        keys_through(changed_second, [(feeds.movement, SECOND_OF_MOVEMENT), (headers, MOVEMENT_OF_HEADER)], header_key),
+        keys_through(stage(movement_keys, "changed-movements"), [(headers, MOVEMENT_OF_HEADER)], header_key),
     )
+    header_keys = stage(header_keys, "changed-headers")
     changed_quantity = client_filter(since_watermark(feeds.quantity, watermark))
+    changed_quantity = stage(distinct_keys(changed_quantity, list(QUANTITY_OF_LEDGER.values())), "changed-quantities")
     changed_contract = client_filter(since_watermark(feeds.contract, watermark))
+    changed_contract = stage(distinct_keys(changed_contract, list(CONTRACT_OF_LEDGER.values())), "changed-contracts")
     return union_distinct(
         rows_hit(feeds.ledger, header_keys, HEADER_OF_LEDGER).select("GL_SIRID"),
         rows_hit(feeds.ledger, changed_quantity, QUANTITY_OF_LEDGER).select("GL_SIRID"),
@@ -311,23 +322,46 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
     )
 
 
+def restricted(feeds: LedgerFeeds, ledger: DataFrame) -> LedgerFeeds:
+    """Lookup tables cut down to what the given (few) ledger rows can reach.
+
+    A left-outer join never broadcasts its left side, so joining a small delta to whole
+    lookup tables would shuffle all of them. A semi join against the delta's keys lets
+    Spark filter each table during its scan when the keys are small.
+    """
+    def reached(rows: DataFrame, by: DataFrame, on: dict[str, str]) -> DataFrame:
+        return rows_hit(rows, by, {r: l for l, r in on.items()})
+
+    columns = ("BUKRS", "BELNR", "GJAHR", "BLART", "TCODE", "XBLNR", ACTION)
+    headers = stage(reached(feeds.header.select(*columns), ledger, HEADER_OF_LEDGER), "headers-reached")
+    movements = feeds.movement.select("MANDT", *MOVEMENT_COLUMNS, ACTION)
+    movements = stage(reached(movements, reference_keys(headers), MOVEMENT_OF_HEADER), "movements-reached")
+    return replace(
+        feeds,
+        quantity=reached(feeds.quantity, ledger, QUANTITY_OF_LEDGER),
+        contract=reached(feeds.contract, ledger, CONTRACT_OF_LEDGER),
+        header=headers,
+        movement=movements,
+        second_quantity=reached(feeds.second_quantity, movements, SECOND_OF_MOVEMENT),
+    )
+
+
 def ledger_line_changes(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
     """Merge source of a delta load: re-derived lines and tombstones."""
     feeds = feeds.unified()
     fresh = account_range_filter(since_watermark(feeds.ledger, watermark), pad_to=spec.pad_accounts)
     upserted, deleted = split_changes(fresh, ACTION)
     keys = union_distinct(distinct_keys(upserted, ["GL_SIRID"]), affected_ledger_keys(feeds, watermark))
-    again = changed_key_semi_join(feeds.ledger, keys, ["GL_SIRID"])
-    rows = _lines(_in_scope(again, feeds, spec), feeds, spec, watermark)
+    again = changed_key_semi_join(feeds.ledger, stage(keys, "affected-lines"), ["GL_SIRID"])
+    again = stage(_in_scope(again, feeds, spec), "lines-to-derive")
+    rows = _lines(again, restricted(feeds, again), spec, watermark)
     return append_tombstones(rows, _tombstones(deleted, spec))
 
 
-def ledger_line_delta(
-    target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark, small_source: bool = False
-) -> DataFrame:
+def ledger_line_delta(target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
     """The fact after a delta load: merge the changes, then blank deleted lines."""
     changes = ledger_line_changes(feeds, spec, watermark)
-    merged = merge_upsert(target, changes, MergeSpec(keys=MERGE_KEYS), small_source=small_source)
+    merged = merge_staged(target, changes, MergeSpec(keys=MERGE_KEYS))
     removed = deleted_line_keys(feeds, spec, watermark)
     return tombstone_update(
         merged, removed, keys=list(MERGE_KEYS), keep=["Client"], stamp={STAMP: spec.stamp()}, action=ACTION

@@ -13,8 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.operators.merge import assert_unique_keys, delete_by_keys, merge_upsert
-from factloom.sources.workspace import stage
+from factloom.operators.merge import SMALL_SOURCE, assert_unique_keys, delete_by_keys, merge_upsert
+from factloom.sources.workspace import stage, stage_sized
 from factloom.spec import MergeSpec, quoted
 
 
@@ -112,11 +112,11 @@ class SnapshotTable:
         slices are complete in the shared folder before any is replaced, so an
         interrupted replacement can be repeated.
         """
-        source = stage(source, "merge-source")
+        source, size = stage_sized(source, "merge-source")
         assert_unique_keys(source, spec.keys, spec.null_safe)
         current = self.read()
         if not self.slice_by or not set(self.slice_by) <= set(spec.keys) - set(spec.null_safe):
-            return self.overwrite(self._applied(current, source, spec, deleted))
+            return self.overwrite(self._applied(current, source, spec, deleted, size))
 
         columns = [F.col(quoted(c)) for c in self.slice_by]
         touched = source.select(*columns)
@@ -125,7 +125,7 @@ class SnapshotTable:
             touched = touched.unionByName(deleted.select(*columns))
         touched = stage(touched.distinct(), "merge-slices")
         slices = current.join(touched, list(self.slice_by), "left_semi")
-        merged = stage(self._applied(slices, source, spec, deleted), "merge-result", self.slice_by)
+        merged = stage(self._applied(slices, source, spec, deleted, size), "merge-result", self.slice_by)
         emptied = (
             slices.select(*columns).distinct()
             .join(merged.select(*columns).distinct(), list(self.slice_by), "left_anti")
@@ -137,8 +137,8 @@ class SnapshotTable:
         overwrite_slices(merged, self.current_path(), self.slice_by)
         return self
 
-    def _applied(self, current, source, spec, deleted) -> DataFrame:
-        merged = merge_upsert(current, source, spec, check_unique=False, small_source=True)
+    def _applied(self, current, source, spec, deleted, size) -> DataFrame:
+        merged = merge_upsert(current, source, spec, check_unique=False, small_source=size <= SMALL_SOURCE)
         return merged if deleted is None else delete_by_keys(merged, deleted, spec.keys)
 
     def compact(self, file_rows: int = 5_000_000) -> "SnapshotTable":

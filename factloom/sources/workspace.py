@@ -32,12 +32,28 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of everything under a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength()
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write rows once and read them back: lineage ends here, lost executors cost nothing."""
+    """Write rows once and read them back: lineage ends here, lost executors cost nothing.
+
+    The size of what comes back is known exactly, so Spark broadcasts it in later joins
+    if, and only if, it is below the broadcast threshold.
+    """
+    return stage_sized(df, name, partition_by)[0]
+
+
+def stage_sized(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """:func:`stage`, and how many bytes were written."""
     spark = df.sparkSession
     path = table_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path)

@@ -25,20 +25,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 # What both dialects share: expressions valid in Spark SQL as well as in the checking SQL.
 _DOC = "lpad(cast({key} as string), 10, '0')"
+_YEAR = "concat('199', substring(lpad(cast({key} as string), 10, '0'), 9, 1))"
+
+# Several line items share order and line number; part and quantity (at most 50) tell them apart.
+_LINE = "cast(l_partkey * 1000 + l_linenumber * 100 + cast(l_quantity as int) as string)"
 
 LEDGER = {
     "RCLNT": "case when l_discount >= 0.095 then '180' else '110' end",
-    "GL_SIRID": "concat(lpad(cast(l_orderkey as string), 10, '0'), '-', cast(l_linenumber as string), '-', "
-    "cast(l_partkey as string), '-', cast(l_suppkey as string), '-', cast(cast(l_quantity as int) as string))",
+    "GL_SIRID": f"concat(cast(l_orderkey as string), '-', {_LINE})",
     "RLDNR": "concat('L', l_returnflag)",
-    "RYEAR": "cast(year(l_shipdate) as string)",
+    "RYEAR": _YEAR.format(key="l_orderkey"),
     "RTCUR": "case when l_linestatus = 'O' then 'EUR' else 'USD' end",
     "DRCRK": "case when l_linestatus = 'O' then 'S' else 'H' end",
     "POPER": "lpad(cast(month(l_shipdate) as string), 3, '0')",
     "DOCCT": "l_returnflag",
     "DOCNR": _DOC.format(key="l_orderkey"),
-    "DOCLN": "concat(cast(l_linenumber as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string), "
-    "'-', cast(cast(l_quantity as int) as string))",
+    "DOCLN": _LINE,
     "RBUKRS": "concat('C', substring(lpad(cast(l_orderkey as string), 10, '0'), 10, 1))",
     "RPRCTR": _DOC.format(key="l_suppkey"),
     "RFAREA": "case when l_linenumber = 7 then null else concat('F', l_returnflag) end",
@@ -128,7 +130,7 @@ HEADER = {
     "MANDT": "case o_orderstatus when 'F' then '280' when 'O' then '480' else '180' end",
     "BUKRS": "concat('C', substring(lpad(cast(o_orderkey as string), 10, '0'), 10, 1))",
     "BELNR": _DOC.format(key="o_orderkey"),
-    "GJAHR": "cast(year(o_orderdate) as string)",
+    "GJAHR": _YEAR.format(key="o_orderkey"),
     "BLART": "case substring(o_orderpriority, 1, 1) when '1' then 'HC' when '2' then 'HF' when '3' then 'HC' "
     "when '4' then 'HF' else 'RV' end",
     "TCODE": "case when o_orderstatus = 'F' then 'FB08' when o_orderstatus = 'O' then '/DS1/HM_C_DAILY_T' "

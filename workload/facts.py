@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from factloom.operators import changes, filters, merge
 from factloom.plans import balance, header_item, ledger_line
+from factloom.sources.snapshot import SnapshotTable
 from factloom.spec import MergeSpec
 from workload.basics import CONTROL_SQL, LABEL_SQL, SWAP_SQL
 from workload.bindings import AS_OF, WATERMARK, feed, ledger_feeds, table
-from workload.registry import AS_OF_SQL, WM_SQL, feed_sql, query, unified_sql
+from workload.registry import AS_OF_SQL, WM_SQL, feed_sql, fresh_path, query, unified_sql
 
 LEDGER_SPEC = ledger_line.LedgerSpec(system="D94", as_of=AS_OF)
 ACCOUNTING_SPEC = header_item.HeaderItemSpec(
@@ -41,6 +42,11 @@ def stamp():
     return F.lit(AS_OF).cast("timestamp")
 
 
+def published(fact, name: str):
+    """A fact as a full load publishes it: the table a delta load starts from."""
+    return SnapshotTable(fact.sparkSession, fresh_path(fact.sparkSession, name)).overwrite(fact).read()
+
+
 # ---- change detection -------------------------------------------------------------
 
 HEADER_HIT = "h.GJAHR = l.RYEAR AND h.BUKRS = l.RBUKRS AND h.BELNR = l.REFDOCNR"
@@ -206,7 +212,7 @@ def header_item_fact(spark, folder):
 def header_item_fact_delta(spark, folder):
     documents, items = feed(spark, folder, "document"), feed(spark, folder, "item")
     old = [filters.before_watermark(f, WATERMARK) for f in (documents, items)]
-    target = header_item.header_item_full(*old, ACCOUNTING_SPEC, stamp())
+    target = published(header_item.header_item_full(*old, ACCOUNTING_SPEC, stamp()), "accounting")
     return header_item.header_item_delta(target, documents, items, ACCOUNTING_SPEC, WATERMARK, stamp())
 
 
@@ -238,7 +244,8 @@ _SAME_BALANCE = " AND ".join(f"a.{k} = b.{k}" for k in balance.MERGE_KEYS)
 )
 def balance_fact_delta(spark, folder):
     index = feed(spark, folder, "index")
-    target = balance.balance_full(filters.before_watermark(index, WATERMARK), BALANCE_SPEC, stamp())
+    old = balance.balance_full(filters.before_watermark(index, WATERMARK), BALANCE_SPEC, stamp())
+    target = published(old, "balance")
     return balance.balance_delta(target, index, index, BALANCE_SPEC, WATERMARK, stamp())
 
 
@@ -330,5 +337,5 @@ def ledger_line_fact_delta(spark, folder):
     feeds = ledger_feeds(spark, folder)
     names = ("ledger", "quantity", "contract", "header", "movement", "second_quantity")
     old = replace(feeds, **{n: filters.before_watermark(getattr(feeds, n), WATERMARK) for n in names})
-    target = ledger_line.ledger_line_full(old, LEDGER_SPEC)
+    target = published(ledger_line.ledger_line_full(old, LEDGER_SPEC), "ledger-line")
     return ledger_line.ledger_line_delta(target, feeds, LEDGER_SPEC, WATERMARK)
