@@ -1,4 +1,9 @@
-"""Column expressions. Everything here stays inside JVM code generation."""
+"""Column expressions as SQL text, for ``selectExpr``, ``filter`` and ``expr``.
+
+Text keeps wide projections cheap to build: several hundred columns are one call, where
+Column objects would cost a round trip to the JVM per operator. Everything stays inside
+JVM code generation.
+"""
 
 from factloom.functions.change import effective_action, unified_action
 from factloom.functions.ledger import (
@@ -7,11 +12,12 @@ from factloom.functions.ledger import (
     own_side,
     signed_quantity,
 )
-from factloom.functions.text import left_chars, path_segment, right_chars, source_id
+from factloom.functions.text import left_chars, literal, path_segment, right_chars, source_id
 
 __all__ = [
     "effective_action",
     "left_chars",
+    "literal",
     "movement_label",
     "opposite_side",
     "own_side",

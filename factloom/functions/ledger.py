@@ -2,36 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from factloom.functions.codes import DEBIT, MOVEMENT_LABELS
+from factloom.functions.text import literal
 
 
-def own_side(movement_sign: Column, line_sign: Column, own: Column, other: Column) -> Column:
+def own_side(movement_sign: str, line_sign: str, own: str, other: str) -> str:
     """``own`` when the movement runs against the ledger line, else ``other``.
 
     A NULL sign compares as unknown and therefore yields ``other``.
     """
-    return F.when(movement_sign != line_sign, own).otherwise(other)
+    return f"CASE WHEN {movement_sign} != {line_sign} THEN {own} ELSE {other} END"
 
 
-def opposite_side(movement_sign: Column, line_sign: Column, own: Column, other: Column) -> Column:
+def opposite_side(movement_sign: str, line_sign: str, own: str, other: str) -> str:
     """Mirror of :func:`own_side`: ``own`` when both signs agree, else ``other``."""
-    return F.when(movement_sign == line_sign, own).otherwise(other)
+    return f"CASE WHEN {movement_sign} = {line_sign} THEN {own} ELSE {other} END"
 
 
-def signed_quantity(line_sign: Column, quantity: Column) -> Column:
+def signed_quantity(line_sign: str, quantity: str) -> str:
     """Quantity as it is for a debit line, negated for every other line."""
-    return F.when(line_sign == DEBIT, quantity).otherwise(quantity * -1)
+    return f"CASE WHEN {line_sign} = {literal(DEBIT)} THEN {quantity} ELSE -({quantity}) END"
 
 
-def movement_label(movement_type: Column) -> Column:
+def movement_label(movement_type: str) -> str:
     """Business label of a movement type, empty text for all other types."""
-    codes_by_label: dict[str, list[str]] = {}
-    for code, label in MOVEMENT_LABELS.items():
-        codes_by_label.setdefault(label, []).append(code)
-    labelled = F
-    for label, codes in codes_by_label.items():
-        labelled = labelled.when(movement_type.isin(codes), label)
-    return labelled.otherwise("")
+    cases = " ".join(f"WHEN {literal(code)} THEN {literal(label)}" for code, label in MOVEMENT_LABELS.items())
+    return f"CASE {movement_type} {cases} ELSE '' END"

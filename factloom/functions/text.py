@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def literal(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def left_chars(value: Column | str, n: int) -> Column:
+
+def left_chars(value: str, n: int) -> str:
     """First ``n`` characters (fewer if the text is shorter)."""
-    return F.substring(value, 1, n)
+    return f"substring({value}, 1, {n})"
 
 
-def right_chars(value: Column | str, n: int) -> Column:
+def right_chars(value: str, n: int) -> str:
     """Last ``n`` characters; a shorter text is returned whole."""
-    return F.substring(value, -n, n)
+    return f"substring({value}, -{n}, {n})"
 
 
-def source_id(system: str, client: Column | str) -> Column:
+def source_id(system: str, client: str) -> str:
     """``<system>_<client>``; NULL when the client is NULL."""
-    client = F.col(client) if isinstance(client, str) else client
-    return F.concat(F.lit(f"{system}_"), client)
+    return f"concat({literal(system + '_')}, {client})"
 
 
-def path_segment(path: Column | str, position: int, separator: str = "/") -> Column:
+def path_segment(path: str, position: int) -> str:
     """The ``position``-th (1-based) segment of a path, ``''`` when there is none."""
-    parts = F.split(path, f"\\Q{separator}\\E")
-    return F.concat_ws("", F.slice(parts, position, 1))
+    return f"concat_ws('', slice(split({path}, '/'), {position}, 1))"

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import codes
 from factloom.functions.change import effective_action, unified_action
-from factloom.operators.filters import watermark_value
+from factloom.functions.text import literal
+from factloom.operators.filters import watermark_text
 from factloom.spec import ChangeColumns, quoted
 
 
 def unify_cdc_columns(df: DataFrame, names: ChangeColumns = ChangeColumns()) -> DataFrame:
     """Fold the two pairs of change-capture columns into one pair and drop the other."""
-    time = F.coalesce(F.col(quoted(names.time)), F.col(quoted(names.other_time)))
-    action = unified_action(F.col(quoted(names.action)), F.col(quoted(names.other_action)))
-    return df.withColumns({names.time: time, names.action: action}).drop(
-        names.other_time, names.other_action
+    values = {
+        names.time: f"coalesce({quoted(names.time)}, {quoted(names.other_time)})",
+        names.action: unified_action(quoted(names.action), quoted(names.other_action)),
+    }
+    folded = {names.other_time, names.other_action}
+    return df.selectExpr(
+        *[f"{values.get(c, quoted(c))} AS {quoted(c)}" for c in df.columns if c not in folded]
     )
 
 
@@ -24,10 +30,8 @@ def with_effective_action(
     df: DataFrame, watermark, loaded: str = "ingested_at", action: str = "OPFLAG"
 ) -> DataFrame:
     """Keep the action of rows loaded since the watermark, set the rest to update."""
-    since = watermark_value(df, loaded, watermark)
-    return df.withColumn(
-        action, effective_action(F.col(quoted(loaded)), since, F.col(quoted(action)))
-    )
+    since = watermark_text(df, loaded, watermark)
+    return df.withColumn(action, F.expr(effective_action(quoted(loaded), since, quoted(action))))
 
 
 def append_tombstones(rows: DataFrame, tombstones: DataFrame) -> DataFrame:
@@ -38,30 +42,24 @@ def append_tombstones(rows: DataFrame, tombstones: DataFrame) -> DataFrame:
 def tombstone_update(
     target: DataFrame,
     deleted: DataFrame,
-    keys: list[str],
-    keep: list[str],
-    stamp: dict[str, Column] | None = None,
+    keys: Sequence[str],
+    keep: Sequence[str] = (),
+    stamp: Mapping[str, str] | None = None,
     action: str = "OPFLAG",
 ) -> DataFrame:
     """Blank the payload of target rows whose key was deleted.
 
-    ``keep`` (besides the keys) survives, ``stamp`` columns are set, the action becomes D.
+    ``keep`` (besides the keys) survives, ``stamp`` columns take the given SQL
+    expressions, the action becomes D.
     """
-    stamp = stamp or {}
-    marked = deleted.select(*[F.col(quoted(k)) for k in keys]).distinct().withColumn("_gone", F.lit(True))
-    gone = F.col("_gone").isNotNull()
+    written = {action: literal(codes.DELETED), **(stamp or {})}
     unchanged = {*keys, *keep}
 
-    def value(field) -> Column:
-        current = F.col(quoted(field.name))
+    def value(field) -> str:
         if field.name in unchanged:
-            return current
-        if field.name == action:
-            replacement = F.lit(codes.DELETED)
-        elif field.name in stamp:
-            replacement = stamp[field.name].cast(field.dataType)
-        else:
-            replacement = F.lit(None).cast(field.dataType)
-        return F.when(gone, replacement).otherwise(current).alias(field.name)
+            return quoted(field.name)
+        blank = f"CAST({written.get(field.name, 'NULL')} AS {field.dataType.simpleString()})"
+        return f"CASE WHEN _gone THEN {blank} ELSE {quoted(field.name)} END AS {quoted(field.name)}"
 
-    return target.join(marked, keys, "left").select(*[value(f) for f in target.schema.fields])
+    marked = deleted.select(*[quoted(k) for k in keys]).distinct().withColumn("_gone", F.lit(True))
+    return target.join(marked, list(keys), "left").selectExpr(*[value(f) for f in target.schema.fields])

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import codes
+from factloom.functions.text import literal
 from factloom.spec import quoted
 
 
 def client_filter(df: DataFrame, client: str = codes.LEDGER_CLIENT, column: str = "MANDT") -> DataFrame:
     """Rows of one client. The client is text: ``'0110'`` is not ``'110'``."""
-    return df.filter(F.col(quoted(column)) == client)
+    return df.filter(f"{quoted(column)} = {literal(client)}")
 
 
 def account_range_filter(
@@ -30,10 +30,10 @@ def account_range_filter(
 
     ``pad_to`` left-pads accounts with zeros first, for feeds that drop leading zeros.
     """
-    account = F.col(quoted(account_column))
+    account = quoted(account_column)
     if pad_to is not None:
-        account = F.lpad(account, pad_to, "0")
-    return client_filter(df, client, client_column).filter(account.between(low, high))
+        account = f"lpad({account}, {pad_to}, '0')"
+    return client_filter(df, client, client_column).filter(f"{account} BETWEEN {literal(low)} AND {literal(high)}")
 
 
 def doc_type_filter(
@@ -44,10 +44,10 @@ def doc_type_filter(
     transaction_column: str = "TCODE",
 ) -> DataFrame:
     """Document headers of the given types that were posted by the given transactions."""
-    return df.filter(
-        F.col(quoted(type_column)).isin(list(types))
-        & F.col(quoted(transaction_column)).isin(list(transactions))
-    )
+    def one_of(column: str, values: Sequence[str]) -> str:
+        return f"{quoted(column)} IN ({', '.join(literal(v) for v in values)})"
+
+    return df.filter(f"{one_of(type_column, types)} AND {one_of(transaction_column, transactions)}")
 
 
 def unit_filter(
@@ -58,7 +58,7 @@ def unit_filter(
     unit_column: str = "MSEHI",
 ) -> DataFrame:
     """Rows of one client in one unit of measure."""
-    return client_filter(df, client, client_column).filter(F.col(quoted(unit_column)) == unit)
+    return client_filter(df, client, client_column).filter(f"{quoted(unit_column)} = {literal(unit)}")
 
 
 def source_system_filter(df: DataFrame, source: str, column: str = "Client") -> DataFrame:
@@ -67,42 +67,38 @@ def source_system_filter(df: DataFrame, source: str, column: str = "Client") ->
     return df if client is None else client_filter(df, client, column)
 
 
-def watermark_value(df: DataFrame, column: str, watermark) -> Column:
-    """The watermark as an expression of the column's own type.
-
-    ``watermark`` is a timestamp, a text, a Column, or a one-row one-column DataFrame,
-    which becomes a scalar subquery: no driver round trip, and still pushed to the scan.
-    """
-    if isinstance(watermark, DataFrame):
-        watermark = watermark.scalar()
-    elif not isinstance(watermark, Column):
-        watermark = F.lit(str(watermark) if isinstance(watermark, dt.datetime) else watermark)
-    return watermark.cast(df.schema[column].dataType)
+def watermark_text(df: DataFrame, column: str, watermark) -> str:
+    """A watermark (text, date or timestamp) as SQL text of the column's own type."""
+    return f"CAST({literal(str(watermark))} AS {df.schema[column].dataType.simpleString()})"
 
 
 def since_watermark(df: DataFrame, watermark, column: str = "ingested_at") -> DataFrame:
-    """Rows loaded at or after the watermark; no watermark (None) means a full load."""
+    """Rows loaded at or after the watermark; no watermark (None) means a full load.
+
+    The watermark is a text, a date, a timestamp, or a one-row one-column DataFrame,
+    which becomes a scalar subquery: no driver round trip, and still pushed to the scan.
+    """
     if watermark is None:
         return df
-    return df.filter(F.col(quoted(column)) >= watermark_value(df, column, watermark))
+    if isinstance(watermark, DataFrame):
+        return df.filter(F.col(quoted(column)) >= watermark.scalar())
+    return df.filter(f"{quoted(column)} >= {watermark_text(df, column, watermark)}")
 
 
 def before_watermark(df: DataFrame, watermark, column: str = "ingested_at") -> DataFrame:
     """Rows loaded strictly before the watermark."""
-    return df.filter(F.col(quoted(column)) < watermark_value(df, column, watermark))
+    return df.filter(f"{quoted(column)} < {watermark_text(df, column, watermark)}")
 
 
 def split_changes(df: DataFrame, action: str = "OPFLAG") -> tuple[DataFrame, DataFrame]:
     """Upserts and deletes of a change feed. A NULL action counts as an upsert."""
-    code = F.col(quoted(action))
-    deleted = code.eqNullSafe(codes.DELETED)
-    return df.filter(~deleted), df.filter(code == codes.DELETED)
+    code, deleted = quoted(action), literal(codes.DELETED)
+    return df.filter(f"NOT ({code} <=> {deleted})"), df.filter(f"{code} = {deleted}")
 
 
 def trailing_months_filter(df: DataFrame, as_of, months: int = 24, column: str = "BUDAT") -> DataFrame:
     """Rows dated within ``months`` before ``as_of``, the first day included."""
-    start = F.add_months(F.lit(as_of).cast("date"), -months)
-    return df.filter(F.col(quoted(column)) >= start)
+    return df.filter(f"{quoted(column)} >= add_months(CAST({literal(str(as_of))} AS date), -{months})")
 
 
 def latest_batch(df: DataFrame, column: str = "ingested_at") -> DataFrame:

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.spec import Lookup, quoted
+from factloom.spec import Lookup, quoted, renamed
 
 _RIGHT = "_r_"
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+def _keys_named(on: Mapping[str, str]) -> dict[str, str]:
+    """Right-hand key columns and the working names under which they join."""
+    return {right: _RIGHT + left for left, right in on.items()}
 
 
 def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -> DataFrame:
@@ -26,24 +27,17 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
     meet in one task. ``spread_by`` names a left column of (nearly) distinct text; it
     stands in for a missing first key, so those rows spread evenly and stay unmatched.
     """
-    pairs = list(lookup.on.items())
-    right = lookup.frame.select(
-        *[F.col(quoted(r)).alias(_RIGHT + l) for l, r in pairs],
-        *[F.col(quoted(src)).alias(dst) for src, dst in lookup.columns.items()],
-    )
-    conditions = []
-    for position, (l, _) in enumerate(pairs):
-        key = F.col(quoted(l))
-        if position == 0 and spread_by is not None:
-            key = F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), F.col(quoted(spread_by))))
-            conditions.append(key == F.col(quoted(_RIGHT + l)).cast("string"))
-        else:
-            conditions.append(key == F.col(quoted(_RIGHT + l)))
-    joined = left.join(right, _all(conditions), "left")
-    return joined.select(
-        *[F.col(quoted(c)) for c in left.columns],
-        *[F.col(quoted(dst)) for dst in lookup.columns.values()],
-    )
+    keys = [f"{quoted(r)} AS {quoted(_RIGHT + l)}" for l, r in lookup.on.items()]
+    right = lookup.frame.selectExpr(*keys, *renamed(lookup.columns))
+    tests = [f"{quoted(l)} = {quoted(_RIGHT + l)}" for l in lookup.on]
+    if spread_by is not None:
+        first = next(iter(lookup.on))
+        stand_in = f"concat('\\u0000', CAST({quoted(spread_by)} AS string))"
+        tests[0] = (
+            f"coalesce(CAST({quoted(first)} AS string), {stand_in}) = CAST({quoted(_RIGHT + first)} AS string)"
+        )
+    joined = left.join(right, F.expr(" AND ".join(tests)), "left")
+    return joined.drop(*[_RIGHT + l for l in lookup.on])
 
 
 def enrich(left: DataFrame, lookups: Sequence[Lookup], spread_by: str | None = None) -> DataFrame:
@@ -60,20 +54,18 @@ def parent_child_join(parent: DataFrame, child: DataFrame, on: Mapping[str, str]
     against the distinct child keys, which are reduced before they are shuffled.
     The child's key columns are not repeated in the result.
     """
-    keys = {c: _RIGHT + p for p, c in on.items()}
+    keys = _keys_named(on)
     payload = [c for c in child.columns if c not in keys]
     clash = sorted({c.lower() for c in payload} & {c.lower() for c in parent.columns})
     if clash:
         raise ValueError(f"columns occur on both sides: {clash}")
-    named_child = child.select(
-        *[F.col(quoted(c)).alias(n) for c, n in keys.items()], *[F.col(quoted(c)) for c in payload]
-    )
-    same_key = _all([F.col(quoted(p)) == F.col(quoted(_RIGHT + p)) for p in on])
+    named_child = child.selectExpr(*renamed(keys), *[quoted(c) for c in payload])
+    same_key = F.expr(" AND ".join(f"{quoted(p)} = {quoted(_RIGHT + p)}" for p in on))
     matched = parent.join(named_child, same_key, "inner").drop(*keys.values())
-    child_keys = named_child.select(*[F.col(quoted(n)) for n in keys.values()]).distinct()
-    types = {f.name: f.dataType for f in child.schema.fields}
-    childless = parent.join(child_keys, same_key, "left_anti").select(
-        "*", *[F.lit(None).cast(types[c]).alias(c) for c in payload]
+    child_keys = named_child.select(*[quoted(n) for n in keys.values()]).distinct()
+    types = {f.name: f.dataType.simpleString() for f in child.schema.fields}
+    childless = parent.join(child_keys, same_key, "left_anti").selectExpr(
+        "*", *[f"CAST(NULL AS {types[c]}) AS {quoted(c)}" for c in payload]
     )
     return matched.unionByName(childless)
 

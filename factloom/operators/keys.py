@@ -8,13 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.spec import quoted
+from factloom.spec import quoted, renamed
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Distinct key tuples; a mapping renames them. Reduced map-side before the shuffle."""
     mapping = keys if isinstance(keys, Mapping) else {k: k for k in keys}
-    return df.select(*[F.col(quoted(s)).alias(d) for s, d in mapping.items()]).distinct()
+    return df.selectExpr(*renamed(mapping)).distinct()
 
 
 def rows_hit(rows: DataFrame, changed: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -23,9 +23,9 @@ def rows_hit(rows: DataFrame, changed: DataFrame, on: Mapping[str, str]) -> Data
     The changed side is cut to its distinct keys, so a key that changed a million
     times is one row in the semi join.
     """
-    keys = distinct_keys(changed, {c: f"_c_{r}" for r, c in on.items()})
-    condition = [F.col(quoted(r)) == F.col(quoted(f"_c_{r}")) for r in on]
-    return rows.join(keys, reduce(lambda a, b: a & b, condition), "left_semi")
+    keys = changed.selectExpr(*[f"{quoted(c)} AS {quoted('_c_' + r)}" for r, c in on.items()]).distinct()
+    same = " AND ".join(f"{quoted(r)} = {quoted('_c_' + r)}" for r in on)
+    return rows.join(keys, F.expr(same), "left_semi")
 
 
 def keys_through(

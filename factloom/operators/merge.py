@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.sources.workspace import stage_sized
@@ -25,38 +24,15 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], null_safe: Sequence[s
     Rows with a NULL in an ordinary key match nothing, so they are left out.
     """
     strict = [k for k in keys if k not in null_safe]
-    selected = df.select(*[F.col(quoted(k)) for k in keys])
+    selected = df.select(*[quoted(k) for k in keys])
     if strict:
         selected = selected.dropna(subset=strict)
-    repeated = selected.groupBy(*[quoted(k) for k in keys]).count().filter("count > 1").limit(3).collect()
+    counted = selected.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = counted.filter("_copies > 1").limit(3).collect()
     if repeated:
         raise DuplicateKeyError(f"several source rows share a key, for example {[r.asDict() for r in repeated]}")
 
 
-def _match(keys: Sequence[str], null_safe: Sequence[str]) -> Column:
-    tests = []
-    for k in keys:
-        t, s = F.col(quoted(k, "t")), F.col(quoted(k, "s"))
-        tests.append(t.eqNullSafe(s) if k in null_safe else t == s)
-    return reduce(lambda a, b: a & b, tests)
-
-
-def _update_value(field, spec: MergeSpec, update: set[str], source_columns: set[str]) -> Column:
-    if field.name in spec.stamp:
-        return spec.stamp[field.name].cast(field.dataType)
-    if field.name in update and field.name in source_columns:
-        return F.col(quoted(field.name, "s"))
-    return F.col(quoted(field.name, "t"))
-
-
-def _insert_value(field, spec: MergeSpec, insert: set[str], source_columns: set[str], side: str | None) -> Column:
-    if field.name in spec.stamp:
-        return spec.stamp[field.name].cast(field.dataType)
-    if field.name in insert and field.name in source_columns:
-        return F.col(quoted(field.name, side)).cast(field.dataType)
-    return F.lit(None).cast(field.dataType)
-
-
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -76,37 +52,49 @@ def merge_upsert(
     if check_unique:
         assert_unique_keys(source, spec.keys, spec.null_safe)
     fields = target.schema.fields
-    names = [f.name for f in fields]
-    update = set(names if spec.update is None else spec.update)
-    insert = set(names if spec.insert is None else spec.insert)
-    missing = (update | insert | set(spec.keys) | set(spec.stamp)) - set(names)
+    names = {f.name for f in fields}
+    given = set(source.columns)
+    update = names if spec.update is None else set(spec.update)
+    insert = names if spec.insert is None else set(spec.insert)
+    missing = (update | insert | {*spec.keys, *spec.stamp}) - names
     if missing:
         raise ValueError(f"the target has no columns {sorted(missing)}")
-    given = set(source.columns)
-    match = _match(spec.keys, spec.null_safe)
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    in_target, in_source = F.col("t._in_target").isNotNull(), F.col("s._in_source").isNotNull()
 
-    def kept_or_updated(field) -> Column:
-        return (
-            F.when(in_source, _update_value(field, spec, update, given))
-            .otherwise(F.col(quoted(field.name, "t")))
+    def written(field, columns: set[str], otherwise: str) -> str:
+        """What the source writes into a column, or ``otherwise`` if it leaves it alone."""
+        kind = field.dataType.simpleString()
+        if field.name in spec.stamp:
+            return f"CAST({spec.stamp[field.name]} AS {kind})"
+        if field.name in columns and field.name in given:
+            return f"CAST({quoted(field.name, 's')} AS {kind})"
+        return otherwise
+
+    def updated(field) -> str:
+        old = quoted(field.name, "t")
+        return f"CASE WHEN s._in_source THEN {written(field, update, old)} ELSE {old} END"
+
+    def inserted(field) -> str:
+        return written(field, insert, f"CAST(NULL AS {field.dataType.simpleString()})")
+
+    same = F.expr(
+        " AND ".join(
+            f"{quoted(k, 't')} {'<=>' if k in spec.null_safe else '='} {quoted(k, 's')}" for k in spec.keys
         )
-
+    )
+    t = target.withColumn("_in_target", F.lit(True)).alias("t")
+    s = source.withColumn("_in_source", F.lit(True)).alias("s")
     if not small_source:
-        def value(field) -> Column:
-            inserted = _insert_value(field, spec, insert, given, "s")
-            return F.when(in_target, kept_or_updated(field)).otherwise(inserted).alias(field.name)
-
-        return t.join(s, match, "full").select(*[value(f) for f in fields])
-
-    updated = t.join(s, match, "left").select(*[kept_or_updated(f).alias(f.name) for f in fields])
-    key_columns = [F.col(quoted(k)) for k in spec.keys]
-    hit = target.select(*key_columns).alias("t").join(source.select(*key_columns).alias("s"), match, "left_semi")
-    fresh = source.alias("s").join(hit.alias("t"), match, "left_anti")
-    inserted = fresh.select(*[_insert_value(f, spec, insert, given, "s").alias(f.name) for f in fields])
-    return updated.unionByName(inserted)
+        return t.join(s, same, "full").selectExpr(
+            *[
+                f"CASE WHEN t._in_target THEN {updated(f)} ELSE {inserted(f)} END AS {quoted(f.name)}"
+                for f in fields
+            ]
+        )
+    kept = t.join(s, same, "left").selectExpr(*[f"{updated(f)} AS {quoted(f.name)}" for f in fields])
+    keys = [quoted(k) for k in spec.keys]
+    hit = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), same, "left_semi")
+    fresh = source.alias("s").join(hit.alias("t"), same, "left_anti")
+    return kept.unionByName(fresh.selectExpr(*[f"{inserted(f)} AS {quoted(f.name)}" for f in fields]))
 
 
 def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_bytes: int = SMALL_SOURCE) -> DataFrame:
@@ -121,5 +109,5 @@ def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_b
 
 def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key was deleted; a NULL key matches nothing."""
-    gone = deleted.select(*[F.col(quoted(k)) for k in keys]).distinct()
+    gone = deleted.select(*[quoted(k) for k in keys]).distinct()
     return target.join(gone, list(keys), "left_anti")

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.text import path_segment
-from factloom.spec import quoted
+from factloom.functions.text import path_segment, source_id
+from factloom.spec import quoted, renamed
 
 
 def rename_projection(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Keep exactly the mapped columns under their new names, in mapping order."""
-    targets = list(columns.values())
-    repeated = {t for t in targets if targets.count(t) > 1} if len(set(targets)) < len(targets) else set()
+    repeated = sorted(name for name, n in Counter(columns.values()).items() if n > 1)
     if repeated:
-        raise ValueError(f"several columns are renamed to {sorted(repeated)}")
-    return df.select(*[F.col(quoted(src)).alias(dst) for src, dst in columns.items()])
+        raise ValueError(f"several columns are renamed to {repeated}")
+    return df.selectExpr(*renamed(columns))
 
 
 def prefix_columns(df: DataFrame, prefix: str, columns: Iterable[str]) -> DataFrame:
@@ -31,10 +31,10 @@ def without(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def with_path_segment(
-    df: DataFrame, name: str = "yrmono", position: int = 9, path: Column | None = None
+    df: DataFrame, name: str = "yrmono", position: int = 9, path: str = "input_file_name()"
 ) -> DataFrame:
-    """Add a segment of the input file's path (or of ``path``) as a column."""
-    return df.withColumn(name, path_segment(F.input_file_name() if path is None else path, position))
+    """Add a segment of the input file's path (or of another path expression) as a column."""
+    return df.withColumn(name, F.expr(path_segment(path, position)))
 
 
 def with_literals(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -44,6 +44,4 @@ def with_literals(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def with_source_id(df: DataFrame, system: str, client: str = "Client", name: str = "Source_ID") -> DataFrame:
     """Add the identity of the source the row came from."""
-    from factloom.functions.text import source_id
-
-    return df.withColumn(name, source_id(system, F.col(quoted(client))))
+    return df.withColumn(name, F.expr(source_id(system, quoted(client))))

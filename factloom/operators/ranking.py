@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.sources.workspace import stage
@@ -21,26 +20,20 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     must end in a unique column. The partition of every row is fixed by writing the
     rows once, so a recomputed task cannot see different range bounds.
     """
-    group_cols = [F.col(quoted(c)) for c in group]
-    order_cols = [F.col(quoted(c)) for c in order]
-    ranged = df.repartitionByRange(*group_cols, *order_cols).withColumn("_range", F.spark_partition_id())
-    ranged = stage(ranged, "numbering")
-
-    sizes = ranged.groupBy("_range", *group_cols).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        F.col("_range").alias("_shift_range"),
-        *[F.col(quoted(c)).alias(f"_shift_{c}") for c in group],
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"),
+    keys, sorting = [quoted(c) for c in group], [quoted(c) for c in order]
+    ranged = stage(
+        df.repartitionByRange(*keys, *sorting).withColumn("_range", F.spark_partition_id()), "numbering"
     )
-    local = Window.partitionBy("_range", *group_cols).orderBy(*order_cols)
-    numbered = ranged.withColumn("_local", F.row_number().over(local))
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(quoted(c)).eqNullSafe(F.col(quoted(f"_shift_{c}"))) for c in group],
-        F.col("_range") == F.col("_shift_range"),
+    sizes = ranged.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_size"))
+    window = f"PARTITION BY {', '.join(keys)} ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    shifts = sizes.selectExpr(
+        "_range AS _shift_range",
+        *[f"{quoted(c)} AS {quoted('_shift_' + c)}" for c in group],
+        f"coalesce(sum(_size) OVER ({window}), 0) AS _shift",
     )
-    kept = [F.col(quoted(c)) for c in df.columns if c != name]
-    return numbered.join(shifts, same).select(
-        *kept, (F.col("_local") + F.col("_shift")).cast("bigint").alias(name)
+    local = f"row_number() OVER (PARTITION BY _range, {', '.join(keys)} ORDER BY {', '.join(sorting)})"
+    same = " AND ".join(["_range = _shift_range", *[f"{quoted(c)} <=> {quoted('_shift_' + c)}" for c in group]])
+    numbered = ranged.selectExpr("*", f"{local} AS _local").join(shifts, F.expr(same))
+    return numbered.selectExpr(
+        *[quoted(c) for c in df.columns if c != name], f"CAST(_local + _shift AS bigint) AS {quoted(name)}"
     )

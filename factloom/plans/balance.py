@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.codes import DELETED
+from factloom.functions.text import literal
 from factloom.operators.filters import since_watermark, source_system_filter
 from factloom.operators.merge import delete_by_keys, merge_staged
 from factloom.operators.project import rename_projection, with_source_id
-from factloom.spec import MergeSpec
+from factloom.spec import NOW, MergeSpec, quoted
 
 # Index columns and their published names.
 INDEX_COLUMNS = {
@@ -60,10 +61,10 @@ class BalanceSpec:
         return source_system_filter(rename_projection(raw, INDEX_COLUMNS), self.source)
 
 
-def balance_full(raw: DataFrame, spec: BalanceSpec, as_of: Column) -> DataFrame:
+def balance_full(raw: DataFrame, spec: BalanceSpec, stamp: str = NOW) -> DataFrame:
     """The whole index of the source."""
     rows = with_source_id(spec.rows(raw), spec.system).drop("Client", LOADED)
-    return rows.withColumn(STAMP, as_of)
+    return rows.withColumn(STAMP, F.expr(stamp))
 
 
 def balance_changes(raw: DataFrame, spec: BalanceSpec, watermark) -> DataFrame:
@@ -74,7 +75,7 @@ def balance_changes(raw: DataFrame, spec: BalanceSpec, watermark) -> DataFrame:
 
 def deleted_keys(landing: DataFrame, spec: BalanceSpec, watermark, action: str = "LAST_ACTION_CD") -> DataFrame:
     """Keys whose deletion arrived in the landing feed since the watermark."""
-    gone = since_watermark(landing.filter(F.col(action) == DELETED), watermark, LOADED)
+    gone = since_watermark(landing.filter(f"{quoted(action)} = {literal(DELETED)}"), watermark, LOADED)
     names = {c: n for c, n in INDEX_COLUMNS.items() if n == "Client" or n in MERGE_KEYS}
     return with_source_id(rename_projection(gone, names), spec.system).drop("Client").distinct()
 
@@ -85,9 +86,9 @@ def balance_delta(
     landing: DataFrame,
     spec: BalanceSpec,
     watermark,
-    as_of: Column,
+    stamp: str = NOW,
 ) -> DataFrame:
     """The fact after a delta load: upsert, then delete; delete wins."""
-    merge = MergeSpec(keys=MERGE_KEYS, stamp={STAMP: as_of})
+    merge = MergeSpec(keys=MERGE_KEYS, stamp={STAMP: stamp})
     merged = merge_staged(target, balance_changes(raw, spec, watermark), merge)
     return delete_by_keys(merged, deleted_keys(landing, spec, watermark), MERGE_KEYS)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from factloom.operators.filters import since_watermark, source_system_filter
 from factloom.operators.joins import parent_child_join
@@ -13,7 +14,7 @@ from factloom.operators.keys import changed_key_semi_join, distinct_keys, rows_h
 from factloom.operators.merge import delete_by_keys, merge_staged
 from factloom.operators.project import rename_projection, with_source_id
 from factloom.sources.workspace import stage
-from factloom.spec import MergeSpec
+from factloom.spec import NOW, MergeSpec
 
 # Published names of the document key, the line and the client.
 DOCUMENT_KEY = ("Company_Code", "Accounting_Document_Number", "Fiscal_Year")
@@ -50,11 +51,11 @@ class HeaderItemSpec:
         named = rename_projection(raw, {**ITEM_KEYS, **self.items, "MANDT": "Client", self.loaded: self.loaded})
         return source_system_filter(named, self.source).drop("Client")
 
-    def merge_spec(self, as_of: Column) -> MergeSpec:
+    def merge_spec(self, stamp: str = NOW) -> MergeSpec:
         return MergeSpec(
             keys=MERGE_KEYS,
             null_safe=(LINE_KEY,) if self.unnumbered_once else (),
-            stamp={STAMP: as_of},
+            stamp={STAMP: stamp},
         )
 
 
@@ -67,10 +68,10 @@ def _documents(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec) -> Da
     return with_source_id(joined, spec.system)
 
 
-def header_item_full(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, as_of: Column) -> DataFrame:
+def header_item_full(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, stamp: str = NOW) -> DataFrame:
     """All documents of the source, one row per item; item-less documents once."""
     rows = _documents(spec.header_rows(headers), spec.item_rows(items), spec)
-    return rows.drop("Client").withColumn(STAMP, as_of)
+    return rows.drop("Client").withColumn(STAMP, F.expr(stamp))
 
 
 def header_item_changes(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, watermark) -> DataFrame:
@@ -96,10 +97,10 @@ def header_item_delta(
     items: DataFrame,
     spec: HeaderItemSpec,
     watermark,
-    as_of: Column,
+    stamp: str = NOW,
     deleted: DataFrame | None = None,
 ) -> DataFrame:
     """The fact after a delta load; ``deleted`` optionally names keys to remove."""
     changes = header_item_changes(headers, items, spec, watermark)
-    merged = merge_staged(target, changes, spec.merge_spec(as_of))
+    merged = merge_staged(target, changes, spec.merge_spec(stamp))
     return merged if deleted is None else delete_by_keys(merged, deleted, MERGE_KEYS)

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from factloom.functions.ledger import movement_label, opposite_side, own_side, signed_quantity
-from factloom.functions.text import left_chars, right_chars
+from factloom.functions.change import effective_action
+from factloom.functions.text import left_chars, literal, right_chars, source_id
 from factloom.operators.changes import (
     append_tombstones,
     tombstone_update,
     unify_cdc_columns,
-    with_effective_action,
 )
 from factloom.operators.filters import (
     account_range_filter,
@@ -23,6 +22,7 @@ from factloom.operators.filters import (
     split_changes,
     trailing_months_filter,
     unit_filter,
+    watermark_text,
 )
 from factloom.operators.joins import enrich
 from factloom.operators.keys import (
@@ -33,9 +33,8 @@ from factloom.operators.keys import (
     union_distinct,
 )
 from factloom.operators.merge import merge_staged
-from factloom.operators.project import with_source_id
 from factloom.sources.workspace import stage
-from factloom.spec import Lookup, MergeSpec
+from factloom.spec import Lookup, MergeSpec, renamed
 
 # Ledger columns and their published names.
 LEDGER_COLUMNS = {
@@ -116,7 +115,7 @@ MOVEMENT_COLUMNS = {
 # Key of the published table.
 MERGE_KEYS = ("Source_ID", "Rec_No_Line_Itm_Rec")
 
-KEY, ACTION, STAMP, LOADED, CATEGORY = "Rec_No_Line_Itm_Rec", "OPFLAG", "ingested_at", "_loaded", "_category"
+KEY, ACTION, STAMP, CATEGORY = "Rec_No_Line_Itm_Rec", "OPFLAG", "ingested_at", "_category"
 REF_LEFT, REF_RIGHT = "CL_LT_Reference_Doc_No", "CL_RT_Reference_Doc_No"
 
 # How the tables refer to each other (row column -> column of the table it points to).
@@ -158,13 +157,14 @@ class LedgerSpec:
     months: int | None = 24
     pad_accounts: int | None = None
 
-    def stamp(self) -> Column:
-        return F.lit(self.as_of).cast("timestamp")
+    def stamp(self) -> str:
+        return f"CAST({literal(str(self.as_of))} AS timestamp)"
 
 
 def reference_keys(header: DataFrame) -> DataFrame:
     """Headers with the two movement keys that are cut out of their reference text."""
-    return header.withColumns({"_ref_left": left_chars("XBLNR", 10), "_ref_right": right_chars("XBLNR", 4)})
+    left, right = left_chars("XBLNR", 10), right_chars("XBLNR", 4)
+    return header.selectExpr("*", f"{left} AS _ref_left", f"{right} AS _ref_right")
 
 
 def lookups(feeds: LedgerFeeds) -> list[Lookup]:
@@ -186,31 +186,29 @@ def lookups(feeds: LedgerFeeds) -> list[Lookup]:
     ]
 
 
-def _derived() -> dict[str, Column]:
+def _derived() -> dict[str, str]:
     """Calculated columns, by published name."""
-    sign, line = F.col("Debit_Or_Credit_Indicator"), F.col("Debit_Credit_Indicator")
-    plant, other_plant = F.col("_plant"), F.col("_other_plant")
-    material, other_material = F.col("_material"), F.col("_other_material")
-    own_material = own_side(sign, line, material, other_material)
-    receiving_material = opposite_side(sign, line, material, other_material)
+    signs = ("Debit_Or_Credit_Indicator", "Debit_Credit_Indicator")
+    material = own_side(*signs, "_material", "_other_material")
+    receiving_material = opposite_side(*signs, "_material", "_other_material")
     return {
-        "Volume_GAL": F.col("Volume_Qty"),
-        "Volume_BBL": F.col("Volume_Qty"),
-        "MM_Plant": own_side(sign, line, plant, other_plant),
-        "MM_Receiving_Plant": opposite_side(sign, line, plant, other_plant),
-        "MM_Material": own_material,
+        "Volume_GAL": "Volume_Qty",
+        "Volume_BBL": "Volume_Qty",
+        "MM_Plant": own_side(*signs, "_plant", "_other_plant"),
+        "MM_Receiving_Plant": opposite_side(*signs, "_plant", "_other_plant"),
+        "MM_Material": material,
         "MM_Receiving_Material": receiving_material,
-        "MM_Volume_L15": signed_quantity(line, F.col("Add_Oil_Gas_Qty")),
-        "CL_Account_No_Functional_Area": F.concat("Account_No", "Functional_Area"),
-        "MM_Material_Key": F.substring(own_material, 10, 18),
-        "CL_Receiving_Issuing_Mat_Key": F.substring(receiving_material, 10, 18),
-        "CL_UOM_In_GAL": F.lit("GAL"),
-        "CL_Lcl_Currency": F.lit("Local Currency"),
-        "CL_Mvmt_Type_Plus": movement_label(F.col("Mvmt_Type")),
-        "CL_Profit_Center": F.substring("Profit_Center", 5, 10),
-        "CL_Mvmt_Group": F.lit(""),
-        "CL_GL_Account_Key": F.substring("Account_No", 4, 10),
-        "Material_Key": F.substring("Material_Number", 10, 18),
+        "MM_Volume_L15": signed_quantity("Debit_Credit_Indicator", "Add_Oil_Gas_Qty"),
+        "CL_Account_No_Functional_Area": "concat(Account_No, Functional_Area)",
+        "MM_Material_Key": f"substring({material}, 10, 18)",
+        "CL_Receiving_Issuing_Mat_Key": f"substring({receiving_material}, 10, 18)",
+        "CL_UOM_In_GAL": "'GAL'",
+        "CL_Lcl_Currency": "'Local Currency'",
+        "CL_Mvmt_Type_Plus": movement_label("Mvmt_Type"),
+        "CL_Profit_Center": "substring(Profit_Center, 5, 10)",
+        "CL_Mvmt_Group": "''",
+        "CL_GL_Account_Key": "substring(Account_No, 4, 10)",
+        "Material_Key": "substring(Material_Number, 10, 18)",
     }
 
 
@@ -259,22 +257,21 @@ def _lines(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark=No
 
     With a watermark, lines whose ledger row is older than it count as updated.
     """
-    base = ledger.select(
-        *[F.col(c).alias(n) for c, n in LEDGER_COLUMNS.items()],
-        F.col("DOCCT").alias(CATEGORY), F.col("ingested_at").alias(LOADED), F.col(ACTION),
-    )
+    action = ACTION
     if watermark is not None:
-        base = with_effective_action(base, watermark, LOADED, ACTION)
-    rows = with_source_id(enrich(base, lookups(feeds), spread_by=KEY), spec.system)
-    published = {name: F.col(name) for name in PUBLISHED if name in rows.columns} | _derived()
-    published[STAMP] = spec.stamp()
-    return rows.select(*[published[n].alias(n) for n in PUBLISHED]).distinct()
+        action = effective_action("ingested_at", watermark_text(ledger, "ingested_at", watermark), ACTION)
+    base = ledger.selectExpr(*renamed(LEDGER_COLUMNS | {"DOCCT": CATEGORY}), f"{action} AS {ACTION}")
+    rows = enrich(base, lookups(feeds), spread_by=KEY)
+    values = _derived() | {STAMP: spec.stamp(), "Source_ID": source_id(spec.system, "Client")}
+    return rows.selectExpr(*[f"{values.get(n, n)} AS {n}" for n in PUBLISHED]).distinct()
 
 
 def _tombstones(deleted: DataFrame, spec: LedgerSpec) -> DataFrame:
     """Key-only rows for deleted ledger rows."""
-    keys = deleted.select(F.col("RCLNT").alias("Client"), F.col("GL_SIRID").alias(KEY), F.col(ACTION))
-    return with_source_id(keys, spec.system).withColumn(STAMP, spec.stamp()).distinct()
+    return deleted.selectExpr(
+        "RCLNT AS Client", f"GL_SIRID AS {KEY}", f"{spec.stamp()} AS {STAMP}",
+        f"{source_id(spec.system, 'RCLNT')} AS Source_ID", ACTION,
+    ).distinct()
 
 
 def ledger_line_full(feeds: LedgerFeeds, spec: LedgerSpec) -> DataFrame:
@@ -371,5 +368,4 @@ def ledger_line_delta(target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, w
 def deleted_line_keys(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
     """Published keys of all ledger rows deleted since the watermark, in range or not."""
     _, deleted = split_changes(unify_cdc_columns(since_watermark(feeds.ledger, watermark)), ACTION)
-    named = deleted.select(F.col("RCLNT").alias("Client"), F.col("GL_SIRID").alias(KEY))
-    return with_source_id(named, spec.system).drop("Client").distinct()
+    return deleted.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}").distinct()

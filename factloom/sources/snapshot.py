@@ -11,7 +11,6 @@ import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from factloom.operators.merge import SMALL_SOURCE, assert_unique_keys, delete_by_keys, merge_upsert
 from factloom.sources.workspace import stage, stage_sized
@@ -83,8 +82,11 @@ class SnapshotTable:
         if not self.slice_by:
             return self.spark.read.parquet(path)
         found = self.spark.read.option("mergeSchema", True).parquet(path)
-        typed = found.select(
-            *[F.col(quoted(c)).cast(self.slice_types.get(c, found.schema[c].dataType)) for c in found.columns]
+        typed = found.selectExpr(
+            *[
+                f"CAST({quoted(f.name)} AS {self.slice_types.get(f.name, f.dataType.simpleString())}) AS {quoted(f.name)}"
+                for f in found.schema.fields
+            ]
         )
         return self.spark.read.schema(typed.schema).parquet(path)
 
@@ -118,10 +120,10 @@ class SnapshotTable:
         if not self.slice_by or not set(self.slice_by) <= set(spec.keys) - set(spec.null_safe):
             return self.overwrite(self._applied(current, source, spec, deleted, size))
 
-        columns = [F.col(quoted(c)) for c in self.slice_by]
+        columns = [quoted(c) for c in self.slice_by]
         touched = source.select(*columns)
         if deleted is not None:
-            deleted = stage(deleted.select(*[F.col(quoted(k)) for k in spec.keys]), "merge-deletes")
+            deleted = stage(deleted.select(*[quoted(k) for k in spec.keys]), "merge-deletes")
             touched = touched.unionByName(deleted.select(*columns))
         touched = stage(touched.distinct(), "merge-slices")
         slices = current.join(touched, list(self.slice_by), "left_semi")

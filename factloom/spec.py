@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+
+# SQL text for the moment a row is published.
+NOW = "current_timestamp()"
 
 
 def quoted(name: str, side: str | None = None) -> str:
@@ -14,6 +17,11 @@ def quoted(name: str, side: str | None = None) -> str:
     return f"{side}.{text}" if side else text
 
 
+def renamed(columns: Mapping[str, str]) -> list[str]:
+    """``source AS target`` texts for ``selectExpr``."""
+    return [f"{quoted(source)} AS {quoted(target)}" for source, target in columns.items()]
+
+
 @dataclass(frozen=True)
 class ChangeColumns:
     """Names of the change-capture columns of a feed.
@@ -26,7 +34,6 @@ class ChangeColumns:
     other_action: str = "LAST_ACTION_CD"
     time: str = "AEDATTM"
     action: str = "OPFLAG"
-    loaded: str = "ingested_at"
 
 
 @dataclass(frozen=True)
@@ -47,7 +54,7 @@ class MergeSpec:
     """Upsert rule: how source rows meet target rows and what they overwrite.
 
     ``update`` and ``insert`` default to every target column. ``null_safe`` names
-    the keys for which NULL equals NULL. ``stamp`` maps a target column to an
+    the keys for which NULL equals NULL. ``stamp`` maps a target column to a SQL
     expression that is written on both update and insert.
     """
 
@@ -55,7 +62,7 @@ class MergeSpec:
     update: Sequence[str] | None = None
     insert: Sequence[str] | None = None
     null_safe: Sequence[str] = ()
-    stamp: Mapping[str, Column] = field(default_factory=dict)
+    stamp: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if not self.keys:

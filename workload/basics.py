@@ -138,8 +138,8 @@ def latest_batch(spark, folder):
 )
 def path_segment(spark, folder):
     pages = table(spark, folder, "pages")
-    pages = project.with_path_segment(pages, "lang", 4, F.col("url"))
-    return project.with_path_segment(pages, path=F.col("url")).select("page_id", "lang", "yrmono")
+    pages = project.with_path_segment(pages, "lang", 4, "url")
+    return project.with_path_segment(pages, path="url").select("page_id", "lang", "yrmono")
 
 
 @query(
@@ -185,8 +185,8 @@ def left_join_multikey(spark, folder):
     "ON left(h.XBLNR, 10) = m.MBLNR AND right(h.XBLNR, 4) = m.ZEILE",
 )
 def derived_key_join(spark, folder):
-    headers = feed(spark, folder, "header").select(
-        "BELNR", left_chars("XBLNR", 10).alias("ref_left"), right_chars("XBLNR", 4).alias("ref_right")
+    headers = feed(spark, folder, "header").selectExpr(
+        "BELNR", f"{left_chars('XBLNR', 10)} AS ref_left", f"{right_chars('XBLNR', 4)} AS ref_right"
     )
     added = {c: c for c in ("MJAHR", "MATNR", "WERKS")}
     step = Lookup(feed(spark, folder, "movement"), {"ref_left": "MBLNR", "ref_right": "ZEILE"}, added)
@@ -295,13 +295,13 @@ def union_by_name(spark, folder):
     f"substring(BELNR, 5, 10) AS profit_center, substring(BELNR, 4, 10) AS account_key FROM {feed_sql('header')}",
 )
 def string_slices(spark, folder):
-    return feed(spark, folder, "header").select(
+    return feed(spark, folder, "header").selectExpr(
         "BELNR",
-        left_chars("XBLNR", 10).alias("left10"),
-        right_chars("XBLNR", 4).alias("right4"),
-        F.substring("XBLNR", 10, 18).alias("material_key"),
-        F.substring("BELNR", 5, 10).alias("profit_center"),
-        F.substring("BELNR", 4, 10).alias("account_key"),
+        f"{left_chars('XBLNR', 10)} AS left10",
+        f"{right_chars('XBLNR', 4)} AS right4",
+        "substring(XBLNR, 10, 18) AS material_key",
+        "substring(BELNR, 5, 10) AS profit_center",
+        "substring(BELNR, 4, 10) AS account_key",
     )
 
 
@@ -311,11 +311,11 @@ def string_slices(spark, folder):
     f"concat_ws('-', RACCT, RFAREA, KUNNR) AS account_path FROM {feed_sql('ledger')}",
 )
 def concat_keys(spark, folder):
-    return feed(spark, folder, "ledger").select(
+    return feed(spark, folder, "ledger").selectExpr(
         "GL_SIRID",
-        source_id("D94", "RCLNT").alias("Source_ID"),
-        F.concat("RACCT", "RFAREA").alias("account_area"),
-        F.concat_ws("-", "RACCT", "RFAREA", "KUNNR").alias("account_path"),
+        f"{source_id('D94', 'RCLNT')} AS Source_ID",
+        "concat(RACCT, RFAREA) AS account_area",
+        "concat_ws('-', RACCT, RFAREA, KUNNR) AS account_path",
     )
 
 
@@ -335,14 +335,13 @@ def debit_credit_swap(spark, folder):
     lines = feed(spark, folder, "ledger").select("GL_SIRID", "DRCRK", "REFDOCNR")
     moves = feed(spark, folder, "movement").select("MBLNR", "SHKZG", "WERKS", "UMWRK", "MATNR", "UMMAT")
     both = lines.join(moves, F.col("REFDOCNR") == F.col("MBLNR"))
-    sign, line = F.col("SHKZG"), F.col("DRCRK")
-    plants, materials = (F.col("WERKS"), F.col("UMWRK")), (F.col("MATNR"), F.col("UMMAT"))
-    return both.select(
+    plants, materials = ("SHKZG", "DRCRK", "WERKS", "UMWRK"), ("SHKZG", "DRCRK", "MATNR", "UMMAT")
+    return both.selectExpr(
         "GL_SIRID",
-        own_side(sign, line, *plants).alias("MM_Plant"),
-        opposite_side(sign, line, *plants).alias("MM_Receiving_Plant"),
-        own_side(sign, line, *materials).alias("MM_Material"),
-        opposite_side(sign, line, *materials).alias("MM_Receiving_Material"),
+        f"{own_side(*plants)} AS MM_Plant",
+        f"{opposite_side(*plants)} AS MM_Receiving_Plant",
+        f"{own_side(*materials)} AS MM_Material",
+        f"{opposite_side(*materials)} AS MM_Receiving_Material",
     )
 
 
@@ -351,7 +350,7 @@ def debit_credit_swap(spark, folder):
     f"SELECT GL_SIRID, CASE WHEN DRCRK = 'S' THEN HSL ELSE -HSL END AS signed FROM {feed_sql('ledger')}",
 )
 def signed_quantity_query(spark, folder):
-    return feed(spark, folder, "ledger").select("GL_SIRID", signed_quantity(F.col("DRCRK"), F.col("HSL")).alias("signed"))
+    return feed(spark, folder, "ledger").selectExpr("GL_SIRID", f"{signed_quantity('DRCRK', 'HSL')} AS signed")
 
 
 LABEL_SQL = (
@@ -366,7 +365,7 @@ LABEL_SQL = (
     f"SELECT GL_SIRID, BWART, {LABEL_SQL.format(c='BWART')} AS label FROM {feed_sql('ledger')}",
 )
 def movement_label_query(spark, folder):
-    return feed(spark, folder, "ledger").select("GL_SIRID", "BWART", movement_label(F.col("BWART")).alias("label"))
+    return feed(spark, folder, "ledger").selectExpr("GL_SIRID", "BWART", f"{movement_label('BWART')} AS label")
 
 
 @query(

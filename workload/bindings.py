@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from factloom.plans.ledger_line import LedgerFeeds
 
@@ -18,9 +19,15 @@ AS_OF = "2001-12-31"
 WATERMARK = "2001-06-15"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the given tables. Its schema is looked up once, not by a job per use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 # What both dialects share: expressions valid in Spark SQL as well as in the checking SQL.
@@ -226,7 +233,7 @@ FEEDS = {
 def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A source feed as a projection of its given table."""
     source, expressions = FEEDS[name]
-    return table(spark, folder, source).select(*[F.expr(e).alias(c) for c, e in expressions.items()])
+    return table(spark, folder, source).selectExpr(*[f"{e} AS {c}" for c, e in expressions.items()])
 
 
 def control(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,25 +254,24 @@ def ledger_feeds(spark: SparkSession, folder: str) -> LedgerFeeds:
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a run log: the user is the workflow, a purchase completes a run."""
-    return table(spark, folder, "events").select(
-        F.col("event_id").alias("run_id"),
-        F.col("event_type").alias("process_name"),
-        F.concat(F.lit("workflow-"), F.col("user_id").cast("string")).alias("workflow"),
-        F.col("ts").alias("run_start"),
-        F.col("ts").alias("run_update"),
-        F.when(F.col("event_type") == "purchase", "completed").otherwise("started").alias("status"),
+    return table(spark, folder, "events").selectExpr(
+        "event_id AS run_id",
+        "event_type AS process_name",
+        "concat('workflow-', cast(user_id as string)) AS workflow",
+        "ts AS run_start",
+        "ts AS run_update",
+        "case when event_type = 'purchase' then 'completed' else 'started' end AS status",
     )
 
 
 def column_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as column metadata: the part is the column, its attributes are tags."""
-    return table(spark, folder, "part").select(
-        F.concat(F.lit("col_"), F.col("p_partkey").cast("string")).alias("ColumnDisplayName"),
-        F.expr("case when p_size > 10 then concat('[{ColumnTargetName=', p_name, '}]') end").alias("ColumnTargetName"),
-        F.expr("case when p_size > 40 then '[{SkipColumn=true}]' when p_size > 20 then '[{SkipColumn=false}]' end")
-        .alias("SkipColumn"),
-        F.expr("concat('[{ColumnDescription=', p_name, ', ', lower(p_type), '}]')").alias("ColumnDescription"),
-        F.expr("case when p_size > 25 then concat('[{ColumnDataConfidentiality=', lower(p_brand), '}]') end")
-        .alias("ColumnDataConfidentiality"),
-        F.expr("case when p_size <= 25 then 'unknown' end").alias("ColumnPersonalData"),
+    return table(spark, folder, "part").selectExpr(
+        "concat('col_', cast(p_partkey as string)) AS ColumnDisplayName",
+        "case when p_size > 10 then concat('[{ColumnTargetName=', p_name, '}]') end AS ColumnTargetName",
+        "case when p_size > 40 then '[{SkipColumn=true}]' when p_size > 20 then '[{SkipColumn=false}]' end AS SkipColumn",
+        "concat('[{ColumnDescription=', p_name, ', ', lower(p_type), '}]') AS ColumnDescription",
+        "case when p_size > 25 then concat('[{ColumnDataConfidentiality=', lower(p_brand), '}]') end "
+        "AS ColumnDataConfidentiality",
+        "case when p_size <= 25 then 'unknown' end AS ColumnPersonalData",
     )

@@ -38,8 +38,7 @@ ACCOUNTING_SPEC = header_item.HeaderItemSpec(
 BALANCE_SPEC = balance.BalanceSpec(source="TSAP", system="D81")
 
 
-def stamp():
-    return F.lit(AS_OF).cast("timestamp")
+STAMP = f"CAST('{AS_OF}' AS timestamp)"
 
 
 def published(fact, name: str):
@@ -127,7 +126,7 @@ def _merge_orders(spark, folder, small_source):
         keys=["o_orderkey"],
         update=["o_orderstatus", "o_totalprice", "o_orderpriority"],
         insert=["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
-        stamp={"o_orderdate": F.lit(AS_OF).cast(orders.schema["o_orderdate"].dataType)},
+        stamp={"o_orderdate": f"'{AS_OF}'"},
     )
     return merge.merge_upsert(target, source, spec, small_source=small_source)
 
@@ -164,10 +163,8 @@ def tombstone_update(spark, folder):
     orders = table(spark, folder, "orders")
     gone = table(spark, folder, "lineitem").filter("l_returnflag = 'R' AND l_linenumber = 7")
     gone = gone.select(F.col("l_orderkey").alias("o_orderkey"))
-    moment = F.lit(AS_OF).cast(orders.schema["o_orderdate"].dataType)
-    return changes.tombstone_update(
-        orders, gone, ["o_orderkey"], ["o_custkey"], {"o_orderdate": moment}, action="o_orderstatus"
-    )
+    moment = {"o_orderdate": f"'{AS_OF}'"}
+    return changes.tombstone_update(orders, gone, ["o_orderkey"], ["o_custkey"], moment, action="o_orderstatus")
 
 
 # ---- accounting fact --------------------------------------------------------------
@@ -193,7 +190,7 @@ def _document_ctes(p: str, condition: str = "true") -> str:
 @query("header_item_fact", f"WITH {_document_ctes('n_')} {_documents_sql('n_')}")
 def header_item_fact(spark, folder):
     return header_item.header_item_full(
-        feed(spark, folder, "document"), feed(spark, folder, "item"), ACCOUNTING_SPEC, stamp()
+        feed(spark, folder, "document"), feed(spark, folder, "item"), ACCOUNTING_SPEC, STAMP
     )
 
 
@@ -212,8 +209,8 @@ def header_item_fact(spark, folder):
 def header_item_fact_delta(spark, folder):
     documents, items = feed(spark, folder, "document"), feed(spark, folder, "item")
     old = [filters.before_watermark(f, WATERMARK) for f in (documents, items)]
-    target = published(header_item.header_item_full(*old, ACCOUNTING_SPEC, stamp()), "accounting")
-    return header_item.header_item_delta(target, documents, items, ACCOUNTING_SPEC, WATERMARK, stamp())
+    target = published(header_item.header_item_full(*old, ACCOUNTING_SPEC, STAMP), "accounting")
+    return header_item.header_item_delta(target, documents, items, ACCOUNTING_SPEC, WATERMARK, STAMP)
 
 
 # ---- balance fact -----------------------------------------------------------------
@@ -229,7 +226,7 @@ def _balance_sql(condition: str) -> str:
 
 @query("balance_fact", _balance_sql("true"))
 def balance_fact(spark, folder):
-    return balance.balance_full(feed(spark, folder, "index"), BALANCE_SPEC, stamp())
+    return balance.balance_full(feed(spark, folder, "index"), BALANCE_SPEC, STAMP)
 
 
 _SAME_BALANCE = " AND ".join(f"a.{k} = b.{k}" for k in balance.MERGE_KEYS)
@@ -244,9 +241,9 @@ _SAME_BALANCE = " AND ".join(f"a.{k} = b.{k}" for k in balance.MERGE_KEYS)
 )
 def balance_fact_delta(spark, folder):
     index = feed(spark, folder, "index")
-    old = balance.balance_full(filters.before_watermark(index, WATERMARK), BALANCE_SPEC, stamp())
+    old = balance.balance_full(filters.before_watermark(index, WATERMARK), BALANCE_SPEC, STAMP)
     target = published(old, "balance")
-    return balance.balance_delta(target, index, index, BALANCE_SPEC, WATERMARK, stamp())
+    return balance.balance_delta(target, index, index, BALANCE_SPEC, WATERMARK, STAMP)
 
 
 # ---- ledger-line fact -------------------------------------------------------------
