@@ -22,7 +22,7 @@ from workload.bindings import AS_OF, WATERMARK, control, feed, run_log, table
 from workload.registry import WM_SQL, feed_sql, query, unified_sql
 
 CONTROL_SQL = (
-    "(SELECT lpad(cast(s_suppkey AS varchar), 10, '0') AS RPRCTR, s_name AS description FROM supplier "
+    "(SELECT lpad(hex(s_suppkey), 10, '0') AS RPRCTR, s_name AS description FROM supplier "
     "JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey > 0)"
 )
 

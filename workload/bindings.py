@@ -30,9 +30,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-# What both dialects share: expressions valid in Spark SQL as well as in the checking SQL.
-_DOC = "lpad(cast({key} as string), 10, '0')"
-_YEAR = "concat('199', substring(lpad(cast({key} as string), 10, '0'), 9, 1))"
+# What follows is SQL text that is valid, and means the same, in Spark and in the checking
+# SQL. Document numbers are ten hexadecimal digits, so they stay distinct for 10^12 orders.
+_DOC = "lpad(hex({key}), 10, '0')"
+_YEAR = "concat('199', right(cast({key} as string), 1))"
+_COMPANY = "right(hex({key}), 1)"
+_MATERIAL = "substring(cast(1000000000000000000 + {key} as string), 2)"
 
 # Several line items share order and line number; part and quantity (at most 50) tell them apart.
 _LINE = "cast(l_partkey * 1000 + l_linenumber * 100 + cast(l_quantity as int) as string)"
@@ -40,32 +43,32 @@ _LINE = "cast(l_partkey * 1000 + l_linenumber * 100 + cast(l_quantity as int) as
 LEDGER = {
     "RCLNT": "case when l_discount >= 0.095 then '180' else '110' end",
     "GL_SIRID": f"concat(cast(l_orderkey as string), '-', {_LINE})",
-    "RLDNR": "concat('L', l_returnflag)",
+    "RLDNR": "l_returnflag",
     "RYEAR": _YEAR.format(key="l_orderkey"),
     "RTCUR": "case when l_linestatus = 'O' then 'EUR' else 'USD' end",
     "DRCRK": "case when l_linestatus = 'O' then 'S' else 'H' end",
-    "POPER": "lpad(cast(month(l_shipdate) as string), 3, '0')",
+    "POPER": "cast(month(l_shipdate) as string)",
     "DOCCT": "l_returnflag",
     "DOCNR": _DOC.format(key="l_orderkey"),
     "DOCLN": _LINE,
-    "RBUKRS": "concat('C', substring(lpad(cast(l_orderkey as string), 10, '0'), 10, 1))",
+    "RBUKRS": _COMPANY.format(key="l_orderkey"),
     "RPRCTR": _DOC.format(key="l_suppkey"),
-    "RFAREA": "case when l_linenumber = 7 then null else concat('F', l_returnflag) end",
-    "RACCT": "lpad(cast(5500000 + cast(l_quantity as int) * 100000 as string), 10, '0')",
-    "SPRCTR": _DOC.format(key="l_partkey"),
-    "HSL": "cast(l_extendedprice as double)",
-    "KSL": "cast(l_extendedprice as double)",
+    "RFAREA": "case when l_linenumber = 7 then null else l_returnflag end",
+    "RACCT": "substring(cast(10005500000 + cast(l_quantity as int) * 100000 as string), 2)",
+    "SPRCTR": _DOC.format(key="l_suppkey"),
+    "HSL": "l_extendedprice",
+    "KSL": "l_extendedprice * 2",
     "BLDAT": "cast(l_shipdate as date)",
     "BUDAT": "cast(l_shipdate as date)",
     "REFDOCNR": _DOC.format(key="l_orderkey"),
-    "REFRYEAR": "cast(year(l_shipdate) as string)",
-    "REFDOCLN": "lpad(cast(l_linenumber as string), 4, '0')",
-    "REFDOCCT": "concat('R', l_linestatus)",
-    "WERKS": "concat('W', cast(l_suppkey as string))",
-    "MATNR": "lpad(cast(l_partkey as string), 18, '0')",
-    "KUNNR": "case when l_returnflag = 'R' then lpad(cast(l_suppkey as string), 10, '0') end",
-    "LIFNR": _DOC.format(key="l_suppkey"),
-    "EBELN": "concat('45', lpad(cast(l_orderkey as string), 8, '0'))",
+    "REFRYEAR": _YEAR.format(key="l_orderkey"),
+    "REFDOCLN": "cast(l_linenumber as string)",
+    "REFDOCCT": "l_linestatus",
+    "WERKS": "cast(l_suppkey as string)",
+    "MATNR": _MATERIAL.format(key="l_partkey"),
+    "KUNNR": "case when l_returnflag = 'R' then cast(l_suppkey as string) end",
+    "LIFNR": "cast(l_suppkey as string)",
+    "EBELN": _DOC.format(key="l_orderkey"),
     "KDAUF": _DOC.format(key="l_orderkey"),
     "VTWEG": "case when l_tax < 0.045 then '10' else '20' end",
     "SPART": "case when l_discount < 0.045 then '01' else '02' end",
@@ -92,11 +95,11 @@ QUANTITY = {
     "MANDT": "case when l_tax >= 0.075 then '180' else '110' end",
     "DOCCT": LEDGER["DOCCT"],
     "GL_SIRID": LEDGER["GL_SIRID"],
-    "UMWRK": "concat('U', cast(l_partkey as string))",
-    "OIC_MOT": "lpad(cast(l_linenumber as string), 2, '0')",
-    "WGT_QTY": "cast(l_quantity as double)",
+    "UMWRK": "cast(l_partkey as string)",
+    "OIC_MOT": "case when l_linenumber < 4 then '01' else '02' end",
+    "WGT_QTY": "l_quantity",
     "VOL_UOM_L15": "case when l_linestatus = 'O' then 'L15' else 'M15' end",
-    "VOL_QTY": "cast(l_quantity * 2 as double)",
+    "VOL_QTY": "l_quantity * 2",
     **_LINE_CHANGES,
 }
 
@@ -108,20 +111,20 @@ CONTRACT = {
     "DOCCT": LEDGER["DOCCT"],
     "DOCNR": LEDGER["DOCNR"],
     "DOCLN": LEDGER["DOCLN"],
-    "KONNR": "concat('K', cast(l_suppkey as string))",
-    "VGBEL": "concat('V', cast(l_orderkey as string))",
-    "PARCEL_ID": "concat('P', cast(l_partkey as string))",
-    "ZSTI_REFNO": "concat('Z', l_returnflag)",
-    "DEALNO": "concat('D', cast(l_linenumber as string))",
+    "KONNR": "cast(l_suppkey as string)",
+    "VGBEL": LEDGER["DOCNR"],
+    "PARCEL_ID": "cast(l_partkey as string)",
+    "ZSTI_REFNO": "l_returnflag",
+    "DEALNO": "cast(l_linenumber as string)",
     "ZXBLDAT": "cast(l_shipdate as date)",
-    "OID_EXTBOL": "concat('B', cast(l_orderkey as string))",
-    "BGI_CARGOID": "concat('CG', cast(l_suppkey as string))",
-    "BGI_DELIVERYID": "concat('DL', cast(l_partkey as string))",
-    "BGI_PARCELID": "concat('PC', cast(l_linenumber as string))",
-    "VOL_QTY_GAL": "cast(l_quantity as double)",
-    "VOL_UOM_GAL": "concat('GAL', l_linestatus)",
-    "VOL_QTY_BB6": "cast(l_quantity * 3 as double)",
-    "VOL_UOM_BB6": "concat('BB6', l_linestatus)",
+    "OID_EXTBOL": LEDGER["DOCNR"],
+    "BGI_CARGOID": "cast(l_suppkey as string)",
+    "BGI_DELIVERYID": "cast(l_partkey as string)",
+    "BGI_PARCELID": "cast(l_linenumber as string)",
+    "VOL_QTY_GAL": "l_quantity",
+    "VOL_UOM_GAL": "l_linestatus",
+    "VOL_QTY_BB6": "l_quantity * 3",
+    "VOL_UOM_BB6": "l_returnflag",
     **_LINE_CHANGES,
 }
 
@@ -135,15 +138,15 @@ _ORDER_CHANGES = {
 
 HEADER = {
     "MANDT": "case o_orderstatus when 'F' then '280' when 'O' then '480' else '180' end",
-    "BUKRS": "concat('C', substring(lpad(cast(o_orderkey as string), 10, '0'), 10, 1))",
+    "BUKRS": _COMPANY.format(key="o_orderkey"),
     "BELNR": _DOC.format(key="o_orderkey"),
     "GJAHR": _YEAR.format(key="o_orderkey"),
-    "BLART": "case substring(o_orderpriority, 1, 1) when '1' then 'HC' when '2' then 'HF' when '3' then 'HC' "
+    "BLART": "case left(o_orderpriority, 1) when '1' then 'HC' when '2' then 'HF' when '3' then 'HC' "
     "when '4' then 'HF' else 'RV' end",
     "TCODE": "case when o_orderstatus = 'F' then 'FB08' when o_orderstatus = 'O' then '/DS1/HM_C_DAILY_T' "
     "when o_totalprice < 100000 then 'VF01' else 'FB08' end",
-    "XBLNR": "case when o_orderpriority = '3-MEDIUM' then substring(cast(o_orderkey as string), 1, 3) "
-    "else concat(lpad(cast(o_orderkey as string), 10, '0'), '/', '000', substring(o_orderpriority, 1, 1)) end",
+    "XBLNR": "case when o_orderpriority = '3-MEDIUM' then left(cast(o_orderkey as string), 3) "
+    f"else concat({_DOC.format(key='o_orderkey')}, '/000', left(o_orderpriority, 1)) end",
     **_ORDER_CHANGES,
 }
 
@@ -151,12 +154,12 @@ MOVEMENT = {
     "MANDT": "case when o_totalprice < 20000 then '180' else '110' end",
     "MBLNR": _DOC.format(key="o_orderkey"),
     "MJAHR": "cast(year(o_orderdate) as string)",
-    "ZEILE": "concat('000', substring(o_orderpriority, 1, 1))",
-    "BWART": "concat('1', substring(o_orderpriority, 1, 1), '1')",
-    "MATNR": "lpad(cast(o_custkey as string), 18, '0')",
-    "WERKS": "concat('W', cast(o_custkey as string))",
+    "ZEILE": "concat('000', left(o_orderpriority, 1))",
+    "BWART": "left(o_orderpriority, 3)",
+    "MATNR": _MATERIAL.format(key="o_custkey"),
+    "WERKS": "cast(o_custkey as string)",
     "SHKZG": "case o_orderstatus when 'F' then 'S' when 'O' then 'H' end",
-    "UMMAT": "lpad(cast(o_orderkey as string), 18, '0')",
+    "UMMAT": _MATERIAL.format(key="o_orderkey"),
     "UMWRK": "concat('X', cast(o_custkey as string))",
     **_ORDER_CHANGES,
 }
@@ -167,7 +170,7 @@ SECOND_QUANTITY = {
     "MJAHR": MOVEMENT["MJAHR"],
     "ZEILE": MOVEMENT["ZEILE"],
     "MSEHI": "case when o_orderpriority = '4-NOT SPECIFIED' then 'BB6' else 'L15' end",
-    "ADQNT": "cast(o_totalprice as double)",
+    "ADQNT": "o_totalprice",
     **_ORDER_CHANGES,
 }
 
@@ -180,8 +183,8 @@ ITEM = {
     "BSCHL": "concat(l_returnflag, l_linestatus)",
     "SHKZG": LEDGER["DRCRK"],
     "MWSKZ": "case when l_tax < 0.045 then 'V1' else 'V2' end",
-    "DMBTR": "cast(l_extendedprice as double)",
-    "MENGE": "cast(l_quantity as double)",
+    "DMBTR": "l_extendedprice",
+    "MENGE": "l_quantity",
     "MATNR": LEDGER["MATNR"],
     "LIFNR": LEDGER["LIFNR"],
     "ingested_at": "l_shipdate",
@@ -190,7 +193,7 @@ ITEM = {
 DOCUMENT = {
     **{c: HEADER[c] for c in ("MANDT", "BUKRS", "BELNR", "GJAHR", "BLART", "TCODE", "XBLNR")},
     "BUDAT": "cast(o_orderdate as date)",
-    "KURSF": "cast(o_totalprice as double)",
+    "KURSF": "o_totalprice",
     "ingested_at": "o_orderdate",
 }
 
@@ -204,7 +207,7 @@ INDEX = {
     "RYEAR": LEDGER["RYEAR"],
     "DOCNR": LEDGER["DOCLN"],
     "BUDAT": "cast(cast(l_shipdate as date) as string)",
-    "RRCTY": "concat('T', cast(l_linenumber as string))",
+    "RRCTY": "cast(l_linenumber as string)",
     "RVERS": "'001'",
     "RCOMP": LEDGER["RPRCTR"],
     "BUKRS": LEDGER["RBUKRS"],
