@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from factloom.operators.filters import since_watermark, source_system_filter
 from factloom.operators.joins import parent_child_join
 from factloom.operators.keys import changed_key_semi_join, distinct_keys, rows_hit, union_distinct
-from factloom.operators.merge import delete_by_keys, merge_staged
+from factloom.operators.merge import SMALL_SOURCE, delete_by_keys, merge_upsert
 from factloom.operators.project import rename_projection, with_source_id
-from factloom.sources.workspace import stage
+from factloom.sources.workspace import stage, stage_sized
 from factloom.spec import NOW, MergeSpec
 
 # Published names of the document key, the line and the client.
@@ -99,8 +99,19 @@ def header_item_delta(
     watermark,
     stamp: str = NOW,
     deleted: DataFrame | None = None,
+    retire_unnumbered: bool = False,
 ) -> DataFrame:
-    """The fact after a delta load; ``deleted`` optionally names keys to remove."""
-    changes = header_item_changes(headers, items, spec, watermark)
-    merged = merge_staged(target, changes, spec.merge_spec(stamp))
+    """The fact after a delta load; ``deleted`` optionally names keys to remove.
+
+    A document that was published before its items arrived has a row without a line
+    number. ``retire_unnumbered`` removes that row once the document has items, which a
+    merge alone cannot do; with it, deltas lead to the same rows as a full load.
+    """
+    changes, size = stage_sized(header_item_changes(headers, items, spec, watermark), "merge-source")
+    merged = merge_upsert(target, changes, spec.merge_spec(stamp), small_source=size <= SMALL_SOURCE)
+    if retire_unnumbered:
+        key = ["Source_ID", *DOCUMENT_KEY]
+        numbered = distinct_keys(changes.filter(f"{LINE_KEY} IS NOT NULL"), {k: f"_n_{k}" for k in key})
+        same = " AND ".join(f"{k} = _n_{k}" for k in key)
+        merged = merged.join(numbered, F.expr(f"{LINE_KEY} IS NULL AND {same}"), "left_anti")
     return merged if deleted is None else delete_by_keys(merged, deleted, MERGE_KEYS)

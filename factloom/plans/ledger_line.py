@@ -33,7 +33,7 @@ from factloom.operators.keys import (
     union_distinct,
 )
 from factloom.operators.merge import merge_staged
-from factloom.sources.workspace import stage
+from factloom.sources.workspace import stage, stage_all
 from factloom.spec import Lookup, MergeSpec, renamed
 
 # Ledger columns and their published names.
@@ -303,15 +303,18 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
         distinct_keys(changed_movements, reference_key),
         keys_through(changed_second, [(feeds.movement, SECOND_OF_MOVEMENT)], list(reference_key)),
     )
+    changed_quantity = client_filter(since_watermark(feeds.quantity, watermark))
+    changed_contract = client_filter(since_watermark(feeds.contract, watermark))
+    movement_keys, changed_quantity, changed_contract = stage_all(
+        changed_movements=movement_keys,
+        changed_quantities=distinct_keys(changed_quantity, list(QUANTITY_OF_LEDGER.values())),
+        changed_contracts=distinct_keys(changed_contract, list(CONTRACT_OF_LEDGER.values())),
+    )
     header_keys = union_distinct(
         distinct_keys(changed_headers, header_key),
-        keys_through(stage(movement_keys, "changed-movements"), [(headers, MOVEMENT_OF_HEADER)], header_key),
+        keys_through(movement_keys, [(headers, MOVEMENT_OF_HEADER)], header_key),
     )
     header_keys = stage(header_keys, "changed-headers")
-    changed_quantity = client_filter(since_watermark(feeds.quantity, watermark))
-    changed_quantity = stage(distinct_keys(changed_quantity, list(QUANTITY_OF_LEDGER.values())), "changed-quantities")
-    changed_contract = client_filter(since_watermark(feeds.contract, watermark))
-    changed_contract = stage(distinct_keys(changed_contract, list(CONTRACT_OF_LEDGER.values())), "changed-contracts")
     return union_distinct(
         rows_hit(feeds.ledger, header_keys, HEADER_OF_LEDGER).select("GL_SIRID"),
         rows_hit(feeds.ledger, changed_quantity, QUANTITY_OF_LEDGER).select("GL_SIRID"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,12 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return stage_sized(df, name, partition_by)[0]
 
 
+def stage_all(**frames: DataFrame) -> list[DataFrame]:
+    """:func:`stage` several independent frames at once, so their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return list(pool.map(lambda named: stage(named[1], named[0].replace("_", "-")), frames.items()))
+
+
 def stage_sized(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """:func:`stage`, and how many bytes were written."""
     spark = df.sparkSession
