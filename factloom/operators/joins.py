@@ -29,6 +29,8 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
     """
     keys = [f"{quoted(r)} AS {quoted(_RIGHT + l)}" for l, r in lookup.on.items()]
     right = lookup.frame.selectExpr(*keys, *renamed(lookup.columns))
+    if not lookup.copies:
+        right = right.distinct()
     tests = [f"{quoted(l)} = {quoted(_RIGHT + l)}" for l in lookup.on]
     if spread_by is not None:
         first = next(iter(lookup.on))

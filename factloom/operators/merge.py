@@ -44,7 +44,9 @@ def merge_upsert(
 
     A NULL in the source overwrites. Two plans give the same rows:
 
-    * default: one full-outer join, both sides partitioned by the key once;
+    * default: one full-outer join, both sides partitioned by the key once. Its tasks
+      cannot be split, so rows with a NULL key, which match nothing but would all meet
+      in one task, go around the join;
     * ``small_source``: target LEFT JOIN source, plus the source rows that no target key
       matches. Neither join needs the target to be shuffled once Spark finds the source
       below its broadcast threshold, which suits a small delta on a very large target.
@@ -83,18 +85,23 @@ def merge_upsert(
     )
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
+    as_inserted = [f"{inserted(f)} AS {quoted(f.name)}" for f in fields]
     if not small_source:
-        return t.join(s, same, "full").selectExpr(
+        nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
+        unkeyed = " OR ".join(nulls) or "false"
+        joined = t.filter(f"NOT ({unkeyed})").join(s.filter(f"NOT ({unkeyed})"), same, "full").selectExpr(
             *[
                 f"CASE WHEN t._in_target THEN {updated(f)} ELSE {inserted(f)} END AS {quoted(f.name)}"
                 for f in fields
             ]
         )
+        around = target.filter(unkeyed).unionByName(source.filter(unkeyed).alias("s").selectExpr(*as_inserted))
+        return joined.unionByName(around)
     kept = t.join(s, same, "left").selectExpr(*[f"{updated(f)} AS {quoted(f.name)}" for f in fields])
     keys = [quoted(k) for k in spec.keys]
     hit = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), same, "left_semi")
     fresh = source.alias("s").join(hit.alias("t"), same, "left_anti")
-    return kept.unionByName(fresh.selectExpr(*[f"{inserted(f)} AS {quoted(f.name)}" for f in fields]))
+    return kept.unionByName(fresh.selectExpr(*as_inserted))
 
 
 def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_bytes: int = SMALL_SOURCE) -> DataFrame:

@@ -171,7 +171,7 @@ def lookups(feeds: LedgerFeeds) -> list[Lookup]:
     """The enrichment steps in order, over rows that are not deleted."""
     current = {n: split_changes(getattr(feeds, n), ACTION)[0] for n in ("quantity", "contract", "header", "movement", "second_quantity")}
     on_ledger = LEDGER_COLUMNS | {"DOCCT": CATEGORY}
-    return [
+    steps = [
         Lookup(client_filter(current["quantity"]),
                {on_ledger[l]: r for l, r in QUANTITY_OF_LEDGER.items()}, QUANTITY_COLUMNS),
         Lookup(client_filter(current["contract"]),
@@ -184,6 +184,7 @@ def lookups(feeds: LedgerFeeds) -> list[Lookup]:
         Lookup(unit_filter(current["second_quantity"]),
                {MOVEMENT_COLUMNS[l]: r for l, r in SECOND_OF_MOVEMENT.items()}, {"ADQNT": "Add_Oil_Gas_Qty"}),
     ]
+    return [replace(step, copies=False) for step in steps]
 
 
 def _derived() -> dict[str, str]:

@@ -9,21 +9,29 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.operators.merge import SMALL_SOURCE, assert_unique_keys, delete_by_keys, merge_upsert
 from factloom.sources.workspace import stage, stage_sized
 from factloom.spec import MergeSpec, quoted
 
+# Above this number of touched slices a merge rewrites the whole table.
+MAX_SLICES = 10_000
+
 
 def overwrite_slices(df: DataFrame, path: str, slice_by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; other partitions stay.
 
+    Rows are gathered by slice first, so that a slice does not get a file from every
+    task; adaptive execution still divides a slice that is much larger than others.
     ``df`` must not read from ``path``: stage it first.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *slice_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*slice_by)
         .parquet(path)
@@ -92,9 +100,12 @@ class SnapshotTable:
 
     def overwrite(self, df: DataFrame) -> "SnapshotTable":
         """Full load: write a new version. The new rows may be computed from the old ones."""
+        return self._write(df.hint("rebalance", *self.slice_by) if self.slice_by else df)
+
+    def _write(self, df: DataFrame, file_rows: int = 0) -> "SnapshotTable":
         entries = self._entries()
         number = entries[-1][0] + 1 if entries else 1
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("errorifexists").option("maxRecordsPerFile", file_rows)
         if self.slice_by:
             writer = writer.partitionBy(*self.slice_by)
         writer.parquet(f"{self.path}/version-{number:08d}")
@@ -125,20 +136,38 @@ class SnapshotTable:
         if deleted is not None:
             deleted = stage(deleted.select(*[quoted(k) for k in spec.keys]), "merge-deletes")
             touched = touched.unionByName(deleted.select(*columns))
-        touched = stage(touched.distinct(), "merge-slices")
-        slices = current.join(touched, list(self.slice_by), "left_semi")
-        merged = stage(self._applied(slices, source, spec, deleted, size), "merge-result", self.slice_by)
-        emptied = (
-            slices.select(*columns).distinct()
-            .join(merged.select(*columns).distinct(), list(self.slice_by), "left_anti")
-        )
-        if deleted is not None and not emptied.isEmpty():
-            # A slice without rows is not replaced by a dynamic overwrite.
-            untouched = current.join(touched, list(self.slice_by), "left_anti")
-            return self.overwrite(untouched.unionByName(merged))
+        inside = self._inside(touched)
+        if inside is None:
+            return self.overwrite(self._applied(current, source, spec, deleted, size))
+        slices = current.filter(inside)
+        merged = stage(self._applied(slices, source, spec, deleted, size), "merge-result")
+        if deleted is not None:
+            same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
+            left, right = (df.select(*columns).distinct() for df in (slices, merged))
+            if not left.alias("a").join(right.alias("b"), same, "left_anti").isEmpty():
+                # A slice that lost all its rows is not replaced by a dynamic overwrite.
+                return self.overwrite(current.filter(~inside).unionByName(merged))
         overwrite_slices(merged, self.current_path(), self.slice_by)
         return self
 
+    def _inside(self, touched: DataFrame) -> Column | None:
+        """Which rows lie in touched slices, as a filter that prunes partitions.
+
+        Slices are few by design; with more than ``MAX_SLICES`` touched there is nothing
+        to gain from pruning. Several slice columns are tested one by one, so further
+        slices may be rewritten with the rows they have.
+        """
+        found = touched.distinct().limit(MAX_SLICES + 1).collect()
+        if len(found) > MAX_SLICES:
+            return None
+        tests = []
+        for position, name in enumerate(self.slice_by):
+            values = {row[position] for row in found}
+            column = F.col(quoted(name))
+            known = F.coalesce(column.isin([v for v in values if v is not None]), F.lit(False))
+            tests.append(known | column.isNull() if None in values else known)
+        return reduce(lambda a, b: a & b, tests)
+
     def _applied(self, current, source, spec, deleted, size) -> DataFrame:
         merged = merge_upsert(current, source, spec, check_unique=False, small_source=size <= SMALL_SOURCE)
         return merged if deleted is None else delete_by_keys(merged, deleted, spec.keys)
@@ -149,17 +178,7 @@ class SnapshotTable:
         Sliced tables are gathered by slice, but large slices are still split, since
         the rebalance hint lets adaptive execution divide them.
         """
-        rows = self.read()
-        if self.slice_by:
-            rows = rows.hint("rebalance", *self.slice_by)
-        else:
-            rows = rows.hint("rebalance")
-        number = self._entries()[-1][0] + 1
-        writer = rows.write.mode("errorifexists").option("maxRecordsPerFile", file_rows)
-        if self.slice_by:
-            writer = writer.partitionBy(*self.slice_by)
-        writer.parquet(f"{self.path}/version-{number:08d}")
-        return self
+        return self._write(self.read().hint("rebalance", *self.slice_by), file_rows)
 
     def vacuum(self, retain_hours: float = 168.0) -> list[int]:
         """Delete versions older than the retention, never the current one; returns them."""

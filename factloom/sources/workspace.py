@@ -40,13 +40,19 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(folder).getLength()
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it when no result is in use any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table_path(spark, "stage"))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write rows once and read them back: lineage ends here, lost executors cost nothing.
 
     The size of what comes back is known exactly, so Spark broadcasts it in later joins
     if, and only if, it is below the broadcast threshold.
     """
-    return stage_sized(df, name, partition_by)[0]
+    return stage_sized(df, name)[0]
 
 
 def stage_all(**frames: DataFrame) -> list[DataFrame]:
@@ -55,12 +61,9 @@ def stage_all(**frames: DataFrame) -> list[DataFrame]:
         return list(pool.map(lambda named: stage(named[1], named[0].replace("_", "-")), frames.items()))
 
 
-def stage_sized(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """:func:`stage`, and how many bytes were written."""
     spark = df.sparkSession
     path = table_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path)

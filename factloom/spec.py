@@ -42,11 +42,15 @@ class Lookup:
 
     ``on`` maps a column of the driving side to its counterpart in ``frame``;
     ``columns`` maps a column of ``frame`` to the name it gets in the result.
+    ``copies`` False first reduces equal lookup rows to one, for results whose repeats
+    are removed anyway: a lookup row that was delivered a million times then costs one
+    row in the join instead of a million matches that a single task would hold.
     """
 
     frame: DataFrame
     on: Mapping[str, str]
     columns: Mapping[str, str]
+    copies: bool = True
 
 
 @dataclass(frozen=True)

@@ -67,6 +67,23 @@ def test_merge_rewrites_touched_slices_only(spark, tmp_path):
     assert got == sorted([("0110", 1, "a"), ("0111", 2, None), ("0111", 4, "d"), ("0112", 3, "c"), ("0113", 5, "e")], key=str)
 
 
+def test_merge_keeps_rows_of_the_unnamed_slice(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
+    table.overwrite(spark.createDataFrame([(None, 1, "a"), ("2020", 2, "b")], FIELDS))
+    table.merge(spark.createDataFrame([(None, 3, "c")], FIELDS), MergeSpec(keys=["year", "id"]))
+    got = rows(table.read().select("year", "id", "v"))
+    assert got == sorted([(None, 1, "a"), ("2020", 2, "b"), (None, 3, "c")], key=str)
+
+
+def test_merge_prunes_partitions(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
+    table.overwrite(spark.createDataFrame([("2020", 1, "a"), ("2021", 2, "b")], FIELDS))
+    inside = table._inside(spark.createDataFrame([("2020",), ("2020",)], "year string"))
+    assert len(table.read().filter(inside).inputFiles()) == 2  # inputFiles ignores filters ...
+    plan = table.read().filter(inside)._jdf.queryExecution().executedPlan().toString()
+    assert "2020" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]  # ... the scan does not
+
+
 def test_merge_delete_wins_and_may_empty_a_slice(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
     table.overwrite(spark.createDataFrame([("2020", 1, "a"), ("2021", 2, "b"), ("2022", 3, "c")], FIELDS))
