@@ -68,7 +68,12 @@ def source_system_filter(df: DataFrame, source: str, column: str = "Client") ->
 
 
 def watermark_text(df: DataFrame, column: str, watermark) -> str:
-    """A watermark (text, date or timestamp) as SQL text of the column's own type."""
+    """A watermark (text, date, timestamp, or one-row DataFrame) as SQL text of the column's type.
+
+    A one-row DataFrame is read as text, so the session time zone applies throughout.
+    """
+    if isinstance(watermark, DataFrame):
+        watermark = watermark.select(F.col(quoted(watermark.columns[0])).cast("string")).first()[0]
     return f"CAST({literal(str(watermark))} AS {df.schema[column].dataType.simpleString()})"
 
 

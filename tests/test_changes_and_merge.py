@@ -149,6 +149,15 @@ def test_lookup_join_spreads_missing_keys_without_matching_them(spark):
     assert rows(got) == rows(want)
 
 
+def test_repeated_lookup_rows_can_be_reduced_first(spark):
+    left = spark.createDataFrame([("1",), ("2",), ("9",)], "k string")
+    right = spark.range(900).selectExpr("CASE WHEN id < 300 THEN '1' ELSE cast(id % 7 AS string) END AS k", "1 AS v")
+    every = joins.lookup_join(left, Lookup(right, {"k": "k"}, {"v": "v"}))
+    once = joins.lookup_join(left, Lookup(right, {"k": "k"}, {"v": "v"}, copies=False))
+    assert every.count() > 300
+    assert rows(once) == rows(every.distinct())
+
+
 def test_keys_follow_references(spark):
     lines = spark.createDataFrame([("l1", "h1"), ("l2", "h2"), ("l3", "h1"), ("l4", None)], "line string, header string")
     headers = spark.createDataFrame([("h1", "m1"), ("h2", "m2"), ("h3", "m1")], "id string, move string")

@@ -59,3 +59,27 @@ def test_no_completed_run_means_everything(spark):
     found = runlog.watermark_lookup(runs, "a", "1900-01-01 00:00:00").first()
     assert str(found.watermark) == "1900-01-01 00:00:00"
     assert runlog.latest_completed(runs).count() == 0
+
+
+def test_stored_log_over_several_runs(spark, tmp_path):
+    from factloom.operators.filters import since_watermark, watermark_text
+    from factloom.sources.runlog_table import RunLogTable
+
+    runs = RunLogTable(spark, f"{tmp_path}/log")
+    assert runs.read().count() == 0
+    runs.start("0042", "p", 1, "load", as_of=START.format(1))
+    facts = spark.createDataFrame([(START.format(d),) for d in (1, 2, 3)], "at string").selectExpr(
+        "CAST(at AS timestamp) AS ingested_at"
+    )
+    assert since_watermark(facts, runs.watermark("0042")).count() == 3  # nothing completed: everything
+    runs.end("0042", as_of=START.format(2))
+    runs.start("other", "p", 1, "load", as_of=START.format(3))
+    runs.start("0042", "p", 1, "load", as_of=START.format(3))
+    assert ids(runs.read()) == [
+        ("0042", 1, START.format(1), "completed"), ("0042", 2, START.format(3), "started"), ("other", 1, START.format(3), "started"),
+    ]
+    assert since_watermark(facts, runs.watermark("0042")).count() == 3
+    runs.end("0042")
+    assert since_watermark(facts, runs.watermark("0042")).count() == 1
+    assert START.format(3) in watermark_text(facts, "ingested_at", runs.watermark("0042"))
+    assert {(r.workflow, r.status) for r in runs.read().collect() if r.workflow == "other"} == {("other", "started")}

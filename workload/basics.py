@@ -14,6 +14,7 @@ from factloom.functions import (
     source_id,
 )
 from factloom.operators import changes, filters, joins, keys, project
+from factloom.operators.runlog import latest_completed
 from factloom.plans import ledger_line
 from factloom.sources.catalog import grouped_sets
 from factloom.sources.tables import scan_with_prefix
@@ -94,14 +95,11 @@ def source_system_filter(spark, folder):
 
 @query(
     "watermark_filter",
-    "SELECT event_id, ts, user_id FROM events WHERE ts >= "
-    "(SELECT coalesce(arg_max(ts, event_id), TIMESTAMP '0001-01-01') FROM events "
-    "WHERE user_id = 7 AND event_type = 'purchase')",
+    "SELECT event_id, ts, user_id FROM events WHERE ts >= (SELECT min(started) FROM "
+    "(SELECT arg_max(ts, event_id) AS started FROM events WHERE event_type = 'purchase' GROUP BY user_id))",
 )
 def watermark_filter(spark, folder):
-    from factloom.operators.runlog import watermark_lookup
-
-    since = watermark_lookup(run_log(spark, folder), "workflow-7")
+    since = latest_completed(run_log(spark, folder)).agg(F.min("watermark"))
     return filters.since_watermark(table(spark, folder, "events"), since, "ts").select("event_id", "ts", "user_id")
 
 
