@@ -85,11 +85,15 @@ class SnapshotTable:
         raise FileNotFoundError(f"no complete version under {self.path}")
 
     def read(self) -> DataFrame:
-        """The newest complete version; columns added by later slices are merged in."""
+        """The newest complete version.
+
+        All files of a version have one schema (a merge never adds columns), so one
+        footer tells it, however many files there are.
+        """
         path = self.current_path()
         if not self.slice_by:
             return self.spark.read.parquet(path)
-        found = self.spark.read.option("mergeSchema", True).parquet(path)
+        found = self.spark.read.parquet(path)
         typed = found.selectExpr(
             *[
                 f"CAST({quoted(f.name)} AS {self.slice_types.get(f.name, f.dataType.simpleString())}) AS {quoted(f.name)}"

@@ -141,6 +141,17 @@ def test_register_and_view(spark, tmp_path):
     assert catalog.missing_tables(found, expected) == {"default": ["absent"], "no_such_schema": ["x"]}
 
 
+def test_register_a_sliced_table(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
+    table.overwrite(spark.createDataFrame([("y1", 1, "a"), ("y2", 2, "b")], FIELDS))
+    for _ in range(2):
+        catalog.register_table(spark, "registered_slices", table.current_path(), partitioned=True)
+        assert spark.table("registered_slices").filter("year = 'y2'").count() == 1
+        table.merge(spark.createDataFrame([("y3", 3, "c")], FIELDS), MergeSpec(keys=["year", "id"]))
+        catalog.register_table(spark, "registered_slices", table.current_path(), partitioned=True)
+        assert spark.table("registered_slices").count() == 3
+
+
 def test_lookup_files(spark, tmp_path):
     (tmp_path / "map.csv").write_text("input,output\nTest Unit,Other\nP&T,Projects\n")
     got = read_csv_lookup(spark, f"{tmp_path}/map.csv", "input string, output string")
