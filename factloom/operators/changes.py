@@ -11,6 +11,7 @@ from factloom.functions import codes
 from factloom.functions.change import effective_action, unified_action
 from factloom.functions.text import literal
 from factloom.operators.filters import watermark_text
+from factloom.operators.keys import join_keys
 from factloom.spec import ChangeColumns, quoted
 
 
@@ -61,5 +62,5 @@ def tombstone_update(
         blank = f"CAST({written.get(field.name, 'NULL')} AS {field.dataType.simpleString()})"
         return f"CASE WHEN _gone THEN {blank} ELSE {quoted(field.name)} END AS {quoted(field.name)}"
 
-    marked = deleted.select(*[quoted(k) for k in keys]).distinct().withColumn("_gone", F.lit(True))
+    marked = join_keys(deleted, keys).withColumn("_gone", F.lit(True))
     return target.join(marked, list(keys), "left").selectExpr(*[value(f) for f in target.schema.fields])

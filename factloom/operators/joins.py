@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.operators.keys import join_keys
 from factloom.spec import Lookup, quoted, renamed
 
 _RIGHT = "_r_"
@@ -24,8 +25,9 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
     Hot keys on the left are split at run time by adaptive skew handling, which may
     divide the preserved side. Missing keys need more care, since a chain of lookups
     produces many of them: NULL never matches, yet all NULL keys hash alike and would
-    meet in one task. ``spread_by`` names a left column of (nearly) distinct text; it
-    stands in for a missing first key, so those rows spread evenly and stay unmatched.
+    meet in one task. ``spread_by`` names a left column of (nearly) distinct text; where
+    any key is missing it stands in for the first one, so those rows spread evenly and
+    stay unmatched.
     """
     keys = [f"{quoted(r)} AS {quoted(_RIGHT + l)}" for l, r in lookup.on.items()]
     right = lookup.frame.selectExpr(*keys, *renamed(lookup.columns))
@@ -35,8 +37,10 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
     if spread_by is not None:
         first = next(iter(lookup.on))
         stand_in = f"concat('\\u0000', CAST({quoted(spread_by)} AS string))"
+        missing = " OR ".join(f"{quoted(l)} IS NULL" for l in lookup.on)
         tests[0] = (
-            f"coalesce(CAST({quoted(first)} AS string), {stand_in}) = CAST({quoted(_RIGHT + first)} AS string)"
+            f"CASE WHEN {missing} THEN {stand_in} ELSE CAST({quoted(first)} AS string) END"
+            f" = CAST({quoted(_RIGHT + first)} AS string)"
         )
     joined = left.join(right, F.expr(" AND ".join(tests)), "left")
     return joined.drop(*[_RIGHT + l for l in lookup.on])
@@ -64,7 +68,7 @@ def parent_child_join(parent: DataFrame, child: DataFrame, on: Mapping[str, str]
     named_child = child.selectExpr(*renamed(keys), *[quoted(c) for c in payload])
     same_key = F.expr(" AND ".join(f"{quoted(p)} = {quoted(_RIGHT + p)}" for p in on))
     matched = parent.join(named_child, same_key, "inner").drop(*keys.values())
-    child_keys = named_child.select(*[quoted(n) for n in keys.values()]).distinct()
+    child_keys = join_keys(named_child, list(keys.values()))
     types = {f.name: f.dataType.simpleString() for f in child.schema.fields}
     childless = parent.join(child_keys, same_key, "left_anti").selectExpr(
         "*", *[f"CAST(NULL AS {types[c]}) AS {quoted(c)}" for c in payload]

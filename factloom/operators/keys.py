@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions.text import literal
 from factloom.spec import quoted, renamed
 
 
@@ -17,13 +18,27 @@ def distinct_keys(df: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> Dat
     return df.selectExpr(*renamed(mapping)).distinct()
 
 
+def join_keys(df: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Distinct key tuples as the right side of a semi, anti or marking join.
+
+    ``keys`` are columns, or a mapping from the name in the result to the column.
+    Plain distinct keys arrive partitioned by the key, so a join would use them as they
+    are, and adaptive execution then cannot split a hot key on the other side: it only
+    divides joins whose two inputs were shuffled for that join. Reducing the tuples as
+    one struct leaves the (small) shuffle to the join.
+    """
+    sources = keys if isinstance(keys, Mapping) else {k: k for k in keys}
+    fields = ", ".join(f"{literal(name)}, {quoted(source)}" for name, source in sources.items())
+    return df.selectExpr(f"named_struct({fields}) AS _key").distinct().select("_key.*")
+
+
 def rows_hit(rows: DataFrame, changed: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose key occurs among the changed rows (``on``: row column -> changed column).
 
     The changed side is cut to its distinct keys, so a key that changed a million
     times is one row in the semi join.
     """
-    keys = changed.selectExpr(*[f"{quoted(c)} AS {quoted('_c_' + r)}" for r, c in on.items()]).distinct()
+    keys = join_keys(changed, {f"_c_{r}": c for r, c in on.items()})
     same = " AND ".join(f"{quoted(r)} = {quoted('_c_' + r)}" for r in on)
     return rows.join(keys, F.expr(same), "left_semi")
 
@@ -55,4 +70,4 @@ def union_all_by_name(*frames: DataFrame) -> DataFrame:
 
 def changed_key_semi_join(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is in a key set; row multiplicity is unchanged."""
-    return rows.join(keys, list(on), "left_semi")
+    return rows.join(join_keys(keys, on), list(on), "left_semi")

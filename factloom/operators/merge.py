@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.operators.keys import join_keys
 from factloom.sources.workspace import stage_sized
 from factloom.spec import MergeSpec, quoted
 
@@ -116,5 +117,4 @@ def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_b
 
 def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key was deleted; a NULL key matches nothing."""
-    gone = deleted.select(*[quoted(k) for k in keys]).distinct()
-    return target.join(gone, list(keys), "left_anti")
+    return target.join(join_keys(deleted, keys), list(keys), "left_anti")

@@ -250,7 +250,7 @@ def _in_scope(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec) -> DataFr
     kept, _ = split_changes(account_range_filter(ledger, pad_to=spec.pad_accounts), ACTION)
     if spec.months is not None:
         kept = trailing_months_filter(kept, spec.as_of, spec.months)
-    return kept.join(distinct_keys(feeds.control, ["RPRCTR"]), ["RPRCTR"], "left_semi")
+    return changed_key_semi_join(kept, feeds.control, ["RPRCTR"])
 
 
 def _lines(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark=None) -> DataFrame:

@@ -149,6 +149,16 @@ def test_lookup_join_spreads_missing_keys_without_matching_them(spark):
     assert rows(got) == rows(want)
 
 
+def test_lookup_join_spreads_rows_that_miss_a_later_key(spark):
+    left = spark.range(900).selectExpr(
+        "cast(id as string) AS id", "'2024' AS year", "CASE WHEN id < 300 THEN NULL ELSE cast(id % 5 as string) END AS k"
+    )
+    right = spark.createDataFrame([("2024", "1", 10), ("2024", None, 20), (None, "2", 30)], "year string, k string, v int")
+    step = Lookup(right, {"year": "year", "k": "k"}, {"v": "v"})
+    want = left.join(right, ["year", "k"], "left").select("id", "year", "k", "v")
+    assert rows(joins.lookup_join(left, step, spread_by="id")) == rows(want)
+
+
 def test_repeated_lookup_rows_can_be_reduced_first(spark):
     left = spark.createDataFrame([("1",), ("2",), ("9",)], "k string")
     right = spark.range(900).selectExpr("CASE WHEN id < 300 THEN '1' ELSE cast(id % 7 AS string) END AS k", "1 AS v")
