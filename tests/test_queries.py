@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import connect, spark_bag, sql_bag
+from workload.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     columns, rows = spark_bag(entry_points.queries()[name](spark, FOLDER))
     sql = entry_points.oracle_sql().get(name)
