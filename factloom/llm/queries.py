@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, sharding, url_rules
+from factloom.llm import mixing, quality, sharding, toxicity, url_rules
 from factloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,14 @@ def op3_mixing(spark, folder):
     return mixing.mix_digest(table(spark, folder, "documents"), factor=1.5, weights=(5, 2, 1), most=2.0)
 
 
+@query
+def op6_quality_rules(spark, folder):
+    judged = quality.judge_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
 @query
 def op8_sharding(spark, folder):
     placed = sharding.shard_documents(table(spark, folder, "documents"), shards=8)
@@ -40,6 +48,13 @@ def op8_sharding(spark, folder):
     )
 
 
+@query
+def op9_toxicity(spark, folder):
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    scored = toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=fold != 0)
+    return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_url_rules(spark, folder):
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
