@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, quality, sharding, toxicity, url_rules
+from factloom.llm import mixing, neighbours, quality, sharding, toxicity, url_rules
 from factloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_neighbours(spark, folder):
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, nearest=20)
+
+
 @query
 def op3_mixing(spark, folder):
     return mixing.mix_digest(table(spark, folder, "documents"), factor=1.5, weights=(5, 2, 1), most=2.0)
