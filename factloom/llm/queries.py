@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, neighbours, quality, sharding, toxicity, url_rules
+from factloom.llm import mixing, neighbours, pieces, quality, sharding, toxicity, url_rules
 from factloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,35 @@ QUERIES: dict[str, Query] = {}
 CHECK_SQL: dict[str, str] = {}
 
 
+#: Where the vocabulary files are, unless the session names another folder.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def piece_model(spark: SparkSession) -> bytes:
+    """The SentencePiece model, read by the driver: about half a megabyte, whatever the corpus."""
+    with open(f"{spark.conf.get('spark.factloom.tokenizers', TOKENIZERS)}/piece_bpe_32k.model", "rb") as file:
+        return file.read()
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
 
+@query
+def op1_sentencepiece(spark, folder):
+    model = piece_model(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = pieces.decode(pieces.encode(docs, model, dropout=0.1, seed=1), model)
+    return done.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.size(F.array_distinct("pieces")).cast("long").alias("n_distinct"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 @query
 def op2_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, nearest=20)

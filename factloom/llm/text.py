@@ -14,9 +14,10 @@ CHUNK_WORDS = 1 << 18
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit integers (a bijection), so that any of their bits can be used."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
+        return x ^ (x >> U64(31))
 
 
 def words_of(text: str | None) -> list[bytes]:
