@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, neighbours, pieces, quality, sharding, toxicity, url_rules
-from factloom.llm.common import table
+from factloom.llm import mixing, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
+from factloom.llm.common import GAP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,13 @@ def op6_quality_rules(spark, folder):
     )
 
 
+@query
+def op7_substrings(spark, folder):
+    left = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), window=20)
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), GAP, " "))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
 @query
 def op8_sharding(spark, folder):
     placed = sharding.shard_documents(table(spark, folder, "documents"), shards=8)
