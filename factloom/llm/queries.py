@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
+from factloom.llm import mixing, near_copies, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
 from factloom.llm.common import GAP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op3_mixing(spark, folder):
     return mixing.mix_digest(table(spark, folder, "documents"), factor=1.5, weights=(5, 2, 1), most=2.0)
 
 
+@query
+def op4_near_copies(spark, folder):
+    return near_copies.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "first")
+
+
 @query
 def op6_quality_rules(spark, folder):
     judged = quality.judge_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
