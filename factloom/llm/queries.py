@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import mixing, near_copies, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
+from factloom.llm import class_model, mixing, near_copies, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
 from factloom.llm.common import GAP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,13 @@ def op4_near_copies(spark, folder):
     return near_copies.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "first")
 
 
+@query
+def op5_class_model(spark, folder):
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
+    scored = class_model.score(table(spark, folder, "documents").select("doc_id", "text"), ~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 @query
 def op6_quality_rules(spark, folder):
     judged = quality.judge_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
