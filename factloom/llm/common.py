@@ -55,3 +55,9 @@ def running_total(
     return summed.join(shifts, F.expr(same)).selectExpr(
         *[quoted(c) for c in df.columns], *[f"_local_{t} + _shift_{t} AS {quoted(t)}" for t in values]
     )
+
+
+def has_repeats(docs: DataFrame) -> bool:
+    """Whether two rows agree in ``doc_id`` and text."""
+    keys = docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n"))
+    return not keys.where("n > 1").isEmpty()

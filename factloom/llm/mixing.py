@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import GAP, running_total, word_count
+from factloom.llm.common import GAP, has_repeats, running_total, word_count
 from factloom.sources.workspace import stage
 
 #: Points of the schedule: i * GOLDEN mod 2**31, where GOLDEN is 2**31 over the golden ratio, made odd.
@@ -199,12 +199,14 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
             F.struct("source_no", "row_key", "pass").alias("take_no"), "size", "take",
         )
     )
-    # Rows that agree in id and text were taken separately; each pairs with one of them.
-    same = [c for c in docs.columns]
-    first = docs.dropDuplicates(["doc_id", "text"]) if {"doc_id", "text"} <= set(same) else docs
-    short = F.array_join(F.slice(F.split(F.regexp_replace("text", f"^{GAP}", ""), GAP), F.lit(1), F.col("take").cast("int")), " ")
-    joined = first.join(
-        taken, F.col("doc_id").eqNullSafe(F.col("take_id")) & (F.xxhash64("text") == F.col("take_key"))
-    ).withColumn("kept_text", F.when(F.col("take") >= F.col("size"), F.col("text")).otherwise(short))
+    # Rows that agree in id and text were taken separately; each finds one of them here.
+    rows = docs.dropDuplicates(["doc_id", "text"]) if has_repeats(docs) else docs
+    whole = rows.select(F.struct(*docs.columns).alias("doc"))
+    words = F.split(F.regexp_replace("doc.text", f"^{GAP}", ""), GAP)
+    short = F.array_join(F.slice(words, F.lit(1), F.col("take").cast("int")), " ")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("take_id")) & (F.xxhash64("doc.text") == F.col("take_key"))
+    joined = whole.join(taken.hint("shuffle_hash"), same).withColumn(
+        "kept_text", F.when(F.col("take") >= F.col("size"), F.col("doc.text")).otherwise(short)
+    )
     values = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in same])
+    return joined.select(*[values.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import running_total
+from factloom.llm.common import has_repeats, running_total
 from factloom.llm.components import components
 from factloom.llm.text import U64, WindowHasher, mixed, slices, within, words_of
 from factloom.sources.workspace import stage
@@ -186,7 +186,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     wanted = nodes.join(involved, "node", "left_semi").select("node", "bytes", F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"))
     texts = stage(
         docs.select("doc_id", "text")
-        .join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("want_id")) & (F.xxhash64("text") == F.col("want_key")))
+        .join(wanted.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("want_id")) & (F.xxhash64("text") == F.col("want_key")))
         .groupBy("node", "bytes").agg(F.first("text").alias("text")),
         "candidate-texts",
     )
@@ -218,14 +218,10 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def keep_first(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One document of every class of near copies: the least doc_id. Documents without words all stay."""
-    firsts = classes(docs, threshold).where("first").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    names = docs.columns
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_key", F.xxhash64("text"))
-    kept = rows.join(firsts.withColumnsRenamed({"_id": "_keep_id", "_key": "_keep_key"}), F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_key") == F.col("_keep_key")))
+    firsts = classes(docs, threshold).where("first").select(F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key")).distinct()
+    # Repeated rows of a first document: one stays.
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    # Repeated rows of a first document: one stays. The join has already brought them together.
-    return (
-        kept.withColumn("_n", F.expr("row_number() OVER (PARTITION BY _id, _key ORDER BY _key)"))
-        .where((F.col("_n") == 1) | ~has_words)
-        .select(*names)
-    )
+    rows = docs.where(has_words).dropDuplicates(["doc_id", "text"]).unionByName(docs.where(~has_words)) if has_repeats(docs) else docs
+    whole = rows.select(F.struct(*rows.columns).alias("doc"))
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (F.xxhash64("doc.text") == F.col("keep_key"))
+    return whole.join(firsts.hint("shuffle_hash"), same).select("doc.*")

@@ -22,7 +22,7 @@ import pyarrow as pa
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factloom.llm.text import mixed, slices
 
@@ -260,20 +260,19 @@ def encode(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 1, v
     A row's segmentation depends on its doc_id, its text and the seed alone. NULL text has NULL pieces, an
     empty text none. A column named ``pieces`` is replaced. An empty table gives no rows.
     """
-    rows = docs.drop("pieces").withColumn("_salt", F.xxhash64(F.lit(seed), "doc_id", F.length("text")))
-    carried = [c for c in rows.columns if c != "_salt"]
+    rows = docs.drop("pieces")
+    carried = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = load(model, dropout, seed, variants)
         for batch in slices(batches):
-            salts = batch.column("_salt").to_numpy().view(np.uint64)
+            salts = mixed(batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy().view(np.uint64) + np.uint64(seed))
             made = tables.encode(batch.column("text").to_pylist(), salts)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in carried], pa.array(made, pa.list_(pa.int32()))], names=[*carried, "pieces"]
             )
 
-    types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
-    return rows.mapInArrow(run, f"{types}, pieces array<int>")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -290,5 +289,4 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
                 texts = [tables.decode(x.values.to_numpy() if x.is_valid else None) for x in lists]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*carried, "decoded"])
 
-    types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
-    return rows.mapInArrow(run, f"{types}, decoded string")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))

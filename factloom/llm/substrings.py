@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from factloom.llm.common import WORD
 from factloom.llm.text import WindowHasher, mixed, within, words_of
@@ -53,14 +54,16 @@ class Slice:
     """The documents of one slice in order of id, as one list of words."""
 
     def __init__(self, rows: pa.Table) -> None:
-        self.rows = rows.take(pa.array(np.argsort(rows.column("_order").to_numpy(), kind="stable")))
-        self.number = self.rows.column("_slice")[0].as_py()
-        texts = self.rows.column("text").to_pylist()
-        each = [words_of(t) for t in texts]
+        rows = rows.take(pa.array(np.argsort(rows.column("order").to_numpy(), kind="stable")))
+        self.number = rows.column("slice")[0].as_py()
+        self.docs = rows.column("doc").combine_chunks()
+        self.docs = self.docs.chunk(0) if isinstance(self.docs, pa.ChunkedArray) else self.docs
+        self.texts = self.docs.field("text").to_pylist()
+        each = [words_of(t) for t in self.texts]
         self.counts = np.array([len(w) for w in each], np.int64)
         self.starts = np.cumsum(self.counts) - self.counts
         self.words = [w for ws in each for w in ws]
-        self.order = self.rows.column("_order").to_numpy()
+        self.order = rows.column("order").to_numpy()
         self.owner = np.repeat(np.arange(len(each)), self.counts)
 
     def windows(self, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,13 +245,13 @@ def remove(rows: pa.Table, told: pa.Table, window: int, names: list[str], schema
     np.add.at(marks, starts, 1)
     np.add.at(marks, starts + window, -1)
     gone = np.cumsum(marks)[:-1] > 0
-    texts, removed = own.rows.column("text").to_pylist(), []
+    texts, removed = own.texts, []
     for i, (begin, count) in enumerate(zip(own.starts, own.counts, strict=True)):
         part = gone[begin : begin + count]
         removed.append(int(part.sum()))
         if removed[-1]:
             texts[i] = cut_text(texts[i], part)
-    columns = [pa.array(texts, pa.string()) if c == "text" else own.rows.column(c) for c in names]
+    columns = [pa.array(texts, pa.string()) if c == "text" else own.docs.field(c) for c in names]
     return pa.Table.from_arrays([*columns, pa.array(own.counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_words", "n_removed"])
 
 
@@ -267,14 +270,11 @@ def remove_repeats(docs: DataFrame, window: int = 20, slice_bytes: int = 4 << 20
     slices, parts = max(1, -(-size // slice_bytes)), max(1, -(-size // part_bytes))
     # One shuffle of the documents serves all three passes: each plan below begins with this grouping.
     dealt = (
-        docs.select(*names)
-        .withColumn("_order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-        .withColumn("_slice", F.pmod(F.xxhash64("_order"), F.lit(slices)))
+        docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("order"), F.struct(*names).alias("doc"))
+        .withColumn("slice", F.pmod(F.xxhash64("order"), F.lit(slices)))
     )
-    in_slices = lambda: dealt.groupBy("_slice")
+    in_slices = lambda: dealt.groupBy("slice")
     out = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long")
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(out)
 
     probes = in_slices().applyInArrow(lambda t: probe(t, block, parts), MESSAGE_DDL)

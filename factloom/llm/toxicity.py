@@ -270,6 +270,19 @@ def with_patterns(docs: DataFrame, known: Grammar, carry: list[str]) -> DataFram
     return docs.select(*carry, "text").mapInArrow(match, f"{types}, {', '.join(f'{f} double' for f in FEATURES)}, score double")
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, keep=None) -> DataFrame:
+    """The documents that are not predicted toxic, unchanged; NULL and empty texts stay."""
+    known = learn_grammar(docs, labels, keep)
+    insults, weights = known.insults, known.weights
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Grammar(insults, weights)
+        for batch in slices(batches):
+            yield batch.filter(pa.array([machine.score(t.as_py()) < 0.5 for t in batch.column("text")]))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, keep=None) -> DataFrame:
     """``doc_id``, pattern weights, ``score`` (0 to 1) and ``predicted`` (1 from 0.5) for every document.
 
