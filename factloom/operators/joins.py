@@ -25,9 +25,10 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
     Hot keys on the left are split at run time by adaptive skew handling, which may
     divide the preserved side. Missing keys need more care, since a chain of lookups
     produces many of them: NULL never matches, yet all NULL keys hash alike and would
-    meet in one task. ``spread_by`` names a left column of (nearly) distinct text; where
-    any key is missing it stands in for the first one, so those rows spread evenly and
-    stay unmatched.
+    meet in one task. ``spread_by`` names a left column of (nearly) distinct values; where
+    any key is missing it fills one more key, which is empty on the right and where no
+    key is missing. So those rows spread evenly and stay unmatched, and the keys proper
+    are compared as they are.
     """
     keys = [f"{quoted(r)} AS {quoted(_RIGHT + l)}" for l, r in lookup.on.items()]
     right = lookup.frame.selectExpr(*keys, *renamed(lookup.columns))
@@ -35,15 +36,13 @@ def lookup_join(left: DataFrame, lookup: Lookup, spread_by: str | None = None) -
         right = right.distinct()
     tests = [f"{quoted(l)} = {quoted(_RIGHT + l)}" for l in lookup.on]
     if spread_by is not None:
-        first = next(iter(lookup.on))
-        stand_in = f"concat('\\u0000', CAST({quoted(spread_by)} AS string))"
         missing = " OR ".join(f"{quoted(l)} IS NULL" for l in lookup.on)
-        tests[0] = (
-            f"CASE WHEN {missing} THEN {stand_in} ELSE CAST({quoted(first)} AS string) END"
-            f" = CAST({quoted(_RIGHT + first)} AS string)"
-        )
+        # Empty text that Spark cannot tell to be constant, or it would not join by it.
+        empty = f"substring(CAST({quoted(_RIGHT + next(iter(lookup.on)))} AS string), 1, 0)"
+        right = right.withColumn("_r_spread", F.expr(empty))
+        tests.append(f"CASE WHEN {missing} THEN concat('-', CAST({quoted(spread_by)} AS string)) ELSE '' END = _r_spread")
     joined = left.join(right, F.expr(" AND ".join(tests)), "left")
-    return joined.drop(*[_RIGHT + l for l in lookup.on])
+    return joined.drop("_r_spread", *[_RIGHT + l for l in lookup.on])
 
 
 def enrich(left: DataFrame, lookups: Sequence[Lookup], spread_by: str | None = None) -> DataFrame:

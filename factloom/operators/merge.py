@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators.keys import join_keys
-from factloom.sources.workspace import stage_sized
+from factloom.sources.workspace import stage
 from factloom.spec import MergeSpec, quoted
 
-# Up to this size a merge source is expected to be broadcast (Spark's default threshold).
-SMALL_SOURCE = 10 * 1024 * 1024
-
 
 class DuplicateKeyError(ValueError):
     """The merge source holds several rows for one key."""
@@ -39,18 +36,18 @@ def merge_upsert(
     source: DataFrame,
     spec: MergeSpec,
     check_unique: bool = True,
-    small_source: bool = False,
+    deleted: DataFrame | None = None,
 ) -> DataFrame:
     """Target after an upsert: matched rows are updated, unmatched source rows inserted.
 
-    A NULL in the source overwrites. Two plans give the same rows:
+    A NULL in the source overwrites. ``deleted`` names keys to remove; delete wins over
+    upsert, and a NULL in a deleted key matches nothing.
 
-    * default: one full-outer join, both sides partitioned by the key once. Its tasks
-      cannot be split, so rows with a NULL key, which match nothing but would all meet
-      in one task, go around the join;
-    * ``small_source``: target LEFT JOIN source, plus the source rows that no target key
-      matches. Neither join needs the target to be shuffled once Spark finds the source
-      below its broadcast threshold, which suits a small delta on a very large target.
+    The target is joined once: target LEFT JOIN source, where deleted keys are marked
+    rows of the source. New rows are an anti join of the source against the target's
+    distinct keys. Spark can split hot keys of the preserved side in both, and shuffles
+    neither target nor its keys when the source is small enough for it to broadcast.
+    Rows with a NULL key match nothing but would meet in one task, so they go around.
     """
     if check_unique:
         assert_unique_keys(source, spec.keys, spec.null_safe)
@@ -79,40 +76,36 @@ def merge_upsert(
     def inserted(field) -> str:
         return written(field, insert, f"CAST(NULL AS {field.dataType.simpleString()})")
 
-    same = F.expr(
-        " AND ".join(
-            f"{quoted(k, 't')} {'<=>' if k in spec.null_safe else '='} {quoted(k, 's')}" for k in spec.keys
-        )
-    )
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    as_inserted = [f"{inserted(f)} AS {quoted(f.name)}" for f in fields]
-    if not small_source:
-        nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
-        unkeyed = " OR ".join(nulls) or "false"
-        joined = t.filter(f"NOT ({unkeyed})").join(s.filter(f"NOT ({unkeyed})"), same, "full").selectExpr(
-            *[
-                f"CASE WHEN t._in_target THEN {updated(f)} ELSE {inserted(f)} END AS {quoted(f.name)}"
-                for f in fields
-            ]
+    def same(left: str, right: str) -> str:
+        return " AND ".join(
+            f"{quoted(k, left)} {'<=>' if k in spec.null_safe else '='} {quoted(k, right)}" for k in spec.keys
         )
-        around = target.filter(unkeyed).unionByName(source.filter(unkeyed).alias("s").selectExpr(*as_inserted))
-        return joined.unionByName(around)
-    kept = t.join(s, same, "left").selectExpr(*[f"{updated(f)} AS {quoted(f.name)}" for f in fields])
-    keys = [quoted(k) for k in spec.keys]
-    hit = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), same, "left_semi")
-    fresh = source.alias("s").join(hit.alias("t"), same, "left_anti")
-    return kept.unionByName(fresh.selectExpr(*as_inserted))
 
+    nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
+    unkeyed = " OR ".join(nulls) or "false"
+    gone = None if deleted is None else join_keys(deleted.dropna(subset=list(spec.keys)), spec.keys)
+    if gone is not None:
+        source = delete_by_keys(source, gone, spec.keys)
+    marks = source.withColumn("_in_source", F.lit(True))
+    if gone is not None:
+        marks = marks.withColumn("_gone", F.lit(False)).unionByName(
+            gone.withColumns({"_in_source": F.lit(False), "_gone": F.lit(True)}), allowMissingColumns=True
+        )
+    t = target.filter(f"NOT ({unkeyed})").alias("t")
+    joined = t.join(marks.filter(f"NOT ({unkeyed})").alias("s"), F.expr(same("t", "s")), "left")
+    if gone is not None:
+        joined = joined.filter("NOT coalesce(s._gone, false)")
+    kept = joined.selectExpr(*[f"{updated(f)} AS {quoted(f.name)}" for f in fields])
+    keyed = source.filter(f"NOT ({unkeyed})").alias("s")
+    held = join_keys(target.filter(f"NOT ({unkeyed})"), spec.keys).alias("t")
+    fresh = keyed.join(held, F.expr(same("s", "t")), "left_anti").unionByName(source.filter(unkeyed))
+    as_inserted = [f"{inserted(f)} AS {quoted(f.name)}" for f in fields]
+    return kept.unionByName(target.filter(unkeyed)).unionByName(fresh.alias("s").selectExpr(*as_inserted))
 
-def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, small_bytes: int = SMALL_SOURCE) -> DataFrame:
-    """Merge changes that are costly to derive.
 
-    They are written once; uniqueness check and merge both read the written rows, and
-    their size decides between the two merge plans.
-    """
-    source, size = stage_sized(changes, "merge-source")
-    return merge_upsert(target, source, spec, small_source=size <= small_bytes)
+def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, deleted: DataFrame | None = None) -> DataFrame:
+    """Merge changes that are costly to derive: they are written once, and read by every step."""
+    return merge_upsert(target, stage(changes, "merge-source"), spec, deleted=deleted)
 
 
 def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -20,22 +20,17 @@ TAG_ATTRIBUTES = (
     "ColumnSoxScope",
 )
 
-MAX_MAP_KEYS = 2000
-
-
-def map_keys_found(df: DataFrame, column: str, limit: int = MAX_MAP_KEYS) -> list[str]:
-    """Distinct keys of an array-of-maps column, sorted. More than ``limit`` keys is an error."""
+def map_keys_found(df: DataFrame, column: str) -> list[str]:
+    """Distinct keys of an array-of-maps column, sorted: one for each column they will become."""
     keys = df.select(F.explode(column).alias("_m")).select(F.explode(F.map_keys("_m")).alias("key")).distinct()
-    found = sorted(row.key for row in keys.limit(limit + 1).collect())
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct keys; they cannot become columns")
-    return found
+    return sorted(row.key for row in keys.collect())
 
 
 def map_flatten(df: DataFrame, column: str, keys: Sequence[str] | None = None) -> DataFrame:
     """One row per map of an array-of-maps column, one column per key.
 
     Other columns are kept. Give ``keys`` if they are known: finding them reads the data.
+    Keys too many for columns stay rows in :func:`map_pairs`.
     """
     keys = map_keys_found(df, column) if keys is None else keys
     others = [c for c in df.columns if c != column]
@@ -43,6 +38,12 @@ def map_flatten(df: DataFrame, column: str, keys: Sequence[str] | None = None) -
     return maps.select(*others, *[F.col("_m").getItem(k).alias(k) for k in keys])
 
 
+def map_pairs(df: DataFrame, column: str) -> DataFrame:
+    """One row per entry of an array-of-maps column: ``key`` and ``value`` beside the other columns."""
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(column).alias("_m")).select(*others, F.explode("_m"))
+
+
 def _after_equals(value: Column) -> Column:
     """Text between the first and second ``=``, without ``}]``; NULL if there is no ``=``."""
     return F.regexp_replace(F.get(F.split(value, "="), F.lit(1)), "\\}\\]", "")
@@ -74,11 +75,9 @@ def select_exprs(schema: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return kept.select(*[F.col(quoted(c)) for c in keep], expr.alias("select_expr"))
 
 
-def select_expr_list(schema: DataFrame, limit: int = MAX_MAP_KEYS) -> list[str]:
+def select_expr_list(schema: DataFrame) -> list[str]:
     """The select expressions of one table as a sorted list for ``selectExpr``."""
-    rows = select_exprs(schema).filter("select_expr IS NOT NULL").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} columns")
+    rows = select_exprs(schema).filter("select_expr IS NOT NULL").collect()
     return sorted(row.select_expr for row in rows)
 
 
@@ -88,12 +87,6 @@ def attribute_tag(attribute: str) -> Column:
     return F.regexp_replace(F.concat(F.col("ColumnDisplayName"), F.lit(f".{attribute}:"), value), ",", "")
 
 
-def list_tag(attribute: str = "ColumnTags") -> Column:
-    """Tag list with brackets removed and every ``ColumnTagValue=`` written as ``.ColumnTag:``."""
-    marked = F.regexp_replace(F.col(quoted(attribute)), "ColumnTagValue=", ".ColumnTag:")
-    return F.regexp_replace(marked, "[\\[\\]{}]", "")
-
-
 def metadata_tags(df: DataFrame, attributes: Sequence[str] = TAG_ATTRIBUTES) -> DataFrame:
     """Tags of each column joined by commas; columns without tags are left out."""
     present = [a for a in attributes if a in df.columns]

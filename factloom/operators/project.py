@@ -37,11 +37,6 @@ def with_path_segment(
     return df.withColumn(name, F.expr(path_segment(path, position)))
 
 
-def with_literals(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Add constant columns."""
-    return df.withColumns({name: F.lit(value) for name, value in values.items()})
-
-
 def with_source_id(df: DataFrame, system: str, client: str = "Client", name: str = "Source_ID") -> DataFrame:
     """Add the identity of the source the row came from."""
     return df.withColumn(name, F.expr(source_id(system, quoted(client))))

@@ -16,11 +16,6 @@ log = logging.getLogger(__name__)
 
 NOT_NULL, IN_SET, HAS_TAG, UNIQUE_COLUMNS = "not_null", "in_set", "has_tag", "unique_columns"
 
-RESULT_COLUMNS = (
-    "check_no", "check_name", "column_name", "mostly",
-    "element_count", "unexpected_count", "success_percent", "success",
-)
-
 
 @dataclass(frozen=True)
 class Check:
@@ -32,15 +27,6 @@ class Check:
     values: tuple = ()
     tag: str = "Owner"
 
-    def describe(self) -> str:
-        """The expectation as a sentence."""
-        text = {
-            NOT_NULL: f"Values from the column '{self.column}' should not be null",
-            IN_SET: f"Values from the column '{self.column}' should fall in a set {list(self.values)}",
-            HAS_TAG: f"Values from the column '{self.column}' should have the tag '{self.tag}'",
-        }[self.kind]
-        return f"{text}." if self.mostly == 1.0 else f"{text} {self.mostly * 100:g}% of the time."
-
     def evaluated(self) -> Column:
         """Which rows take part. A NULL is neither in nor out of a set."""
         value = F.col(quoted(self.column))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from factloom.functions.codes import DELETED
 from factloom.functions.text import literal
 from factloom.operators.filters import since_watermark, source_system_filter
-from factloom.operators.merge import delete_by_keys, merge_staged
+from factloom.operators.merge import merge_staged
 from factloom.operators.project import rename_projection, with_source_id
 from factloom.spec import NOW, MergeSpec, quoted
 
@@ -88,7 +88,7 @@ def balance_delta(
     watermark,
     stamp: str = NOW,
 ) -> DataFrame:
-    """The fact after a delta load: upsert, then delete; delete wins."""
+    """The fact after a delta load: upsert and delete in one pass over it; delete wins."""
     merge = MergeSpec(keys=MERGE_KEYS, stamp={STAMP: stamp})
-    merged = merge_staged(target, balance_changes(raw, spec, watermark), merge)
-    return delete_by_keys(merged, deleted_keys(landing, spec, watermark), MERGE_KEYS)
+    gone = deleted_keys(landing, spec, watermark)
+    return merge_staged(target, balance_changes(raw, spec, watermark), merge, deleted=gone)

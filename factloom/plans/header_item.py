@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from factloom.operators.filters import since_watermark, source_system_filter
 from factloom.operators.joins import parent_child_join
-from factloom.operators.keys import changed_key_semi_join, distinct_keys, rows_hit, union_distinct
-from factloom.operators.merge import SMALL_SOURCE, delete_by_keys, merge_upsert
-from factloom.operators.project import rename_projection, with_source_id
-from factloom.sources.workspace import stage, stage_sized
+from factloom.operators.keys import changed_key_semi_join, distinct_keys, join_keys, rows_hit, union_distinct
+from factloom.operators.merge import merge_upsert
+from factloom.operators.project import rename_projection, with_source_id, without
+from factloom.sources.workspace import stage
 from factloom.spec import NOW, MergeSpec
 
 # Published names of the document key, the line and the client.
@@ -71,7 +71,7 @@ def _documents(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec) -> Da
 def header_item_full(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, stamp: str = NOW) -> DataFrame:
     """All documents of the source, one row per item; item-less documents once."""
     rows = _documents(spec.header_rows(headers), spec.item_rows(items), spec)
-    return rows.drop("Client").withColumn(STAMP, F.expr(stamp))
+    return without(rows, ["Client"]).withColumn(STAMP, F.expr(stamp))
 
 
 def header_item_changes(headers: DataFrame, items: DataFrame, spec: HeaderItemSpec, watermark) -> DataFrame:
@@ -99,19 +99,20 @@ def header_item_delta(
     watermark,
     stamp: str = NOW,
     deleted: DataFrame | None = None,
-    retire_unnumbered: bool = False,
+    retire_unnumbered: bool = True,
 ) -> DataFrame:
     """The fact after a delta load; ``deleted`` optionally names keys to remove.
 
     A document that was published before its items arrived has a row without a line
     number. ``retire_unnumbered`` removes that row once the document has items, which a
-    merge alone cannot do; with it, deltas lead to the same rows as a full load.
+    merge alone cannot do, so that deltas lead to the same rows as a full load. Only rows
+    without a line number take part in it.
     """
-    changes, size = stage_sized(header_item_changes(headers, items, spec, watermark), "merge-source")
-    merged = merge_upsert(target, changes, spec.merge_spec(stamp), small_source=size <= SMALL_SOURCE)
+    changes = stage(header_item_changes(headers, items, spec, watermark), "merge-source")
     if retire_unnumbered:
         key = ["Source_ID", *DOCUMENT_KEY]
-        numbered = distinct_keys(changes.filter(f"{LINE_KEY} IS NOT NULL"), {k: f"_n_{k}" for k in key})
-        same = " AND ".join(f"{k} = _n_{k}" for k in key)
-        merged = merged.join(numbered, F.expr(f"{LINE_KEY} IS NULL AND {same}"), "left_anti")
-    return merged if deleted is None else delete_by_keys(merged, deleted, MERGE_KEYS)
+        numbered = join_keys(changes.filter(f"{LINE_KEY} IS NOT NULL"), {f"_n_{k}": k for k in key})
+        same = F.expr(" AND ".join(f"{k} = _n_{k}" for k in key))
+        bare = target.filter(f"{LINE_KEY} IS NULL").join(numbered, same, "left_anti")
+        target = target.filter(f"{LINE_KEY} IS NOT NULL").unionByName(bare)
+    return merge_upsert(target, changes, spec.merge_spec(stamp), deleted=deleted)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from factloom.functions.codes import DELETED
 from factloom.functions.ledger import movement_label, opposite_side, own_side, signed_quantity
 from factloom.functions.change import effective_action
 from factloom.functions.text import left_chars, literal, right_chars, source_id
 from factloom.operators.changes import (
     append_tombstones,
-    tombstone_update,
     unify_cdc_columns,
 )
 from factloom.operators.filters import (
@@ -28,13 +29,14 @@ from factloom.operators.joins import enrich
 from factloom.operators.keys import (
     changed_key_semi_join,
     distinct_keys,
+    join_keys,
     keys_through,
     rows_hit,
     union_distinct,
 )
-from factloom.operators.merge import merge_staged
+from factloom.operators.merge import assert_unique_keys, delete_by_keys
 from factloom.sources.workspace import stage, stage_all
-from factloom.spec import Lookup, MergeSpec, renamed
+from factloom.spec import Lookup, renamed
 
 # Ledger columns and their published names.
 LEDGER_COLUMNS = {
@@ -347,29 +349,43 @@ def restricted(feeds: LedgerFeeds, ledger: DataFrame) -> LedgerFeeds:
     )
 
 
-def ledger_line_changes(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
-    """Merge source of a delta load: re-derived lines and tombstones."""
+def ledger_line_changes(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> tuple[DataFrame, DataFrame]:
+    """What a delta load writes: the new rows, and the keys of every line that may have changed.
+
+    A key without a new row is a line that left the scope: its posting date, its account
+    or its profit centre no longer qualifies.
+    """
     feeds = feeds.unified()
-    fresh = account_range_filter(since_watermark(feeds.ledger, watermark), pad_to=spec.pad_accounts)
-    upserted, deleted = split_changes(fresh, ACTION)
-    keys = union_distinct(distinct_keys(upserted, ["GL_SIRID"]), affected_ledger_keys(feeds, watermark))
-    again = changed_key_semi_join(feeds.ledger, stage(keys, "affected-lines"), ["GL_SIRID"])
-    again = stage(_in_scope(again, feeds, spec), "lines-to-derive")
-    rows = _lines(again, restricted(feeds, again), spec, watermark)
-    return append_tombstones(rows, _tombstones(deleted, spec))
+    fresh = since_watermark(feeds.ledger, watermark)
+    keys = union_distinct(distinct_keys(fresh, ["GL_SIRID"]), affected_ledger_keys(feeds, watermark))
+    again = stage(changed_key_semi_join(feeds.ledger, stage(keys, "affected-lines"), ["GL_SIRID"]), "lines-touched")
+    scoped = stage(_in_scope(again, feeds, spec), "lines-to-derive")
+    rows = _lines(scoped, restricted(feeds, scoped), spec, watermark)
+    _, deleted = split_changes(account_range_filter(again, pad_to=spec.pad_accounts), ACTION)
+    touched = again.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}")
+    # A line deleted before the watermark that a lookup change reaches keeps the tombstone it has.
+    since = watermark_text(deleted, "ingested_at", watermark)
+    old = deleted.filter(f"NOT coalesce(ingested_at >= {since}, false)")
+    old = old.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}")
+    touched = touched.join(join_keys(old, list(MERGE_KEYS)), list(MERGE_KEYS), "left_anti")
+    new = deleted.filter(f"ingested_at >= {since}")
+    return append_tombstones(rows, _tombstones(new, spec)), touched
 
 
 def ledger_line_delta(target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
-    """The fact after a delta load: merge the changes, then blank deleted lines."""
-    changes = ledger_line_changes(feeds, spec, watermark)
-    merged = merge_staged(target, changes, MergeSpec(keys=MERGE_KEYS))
-    removed = deleted_line_keys(feeds, spec, watermark)
-    return tombstone_update(
-        merged, removed, keys=list(MERGE_KEYS), keep=["Client"], stamp={STAMP: spec.stamp()}, action=ACTION
-    )
+    """The fact after a delta load. It holds the lines that a full load at ``spec.as_of`` would hold.
 
-
-def deleted_line_keys(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
-    """Published keys of all ledger rows deleted since the watermark, in range or not."""
-    _, deleted = split_changes(unify_cdc_columns(since_watermark(feeds.ledger, watermark)), ACTION)
-    return deleted.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}").distinct()
+    Lines that may have changed are replaced by what is derived for them now, or retired
+    if they left the scope; others stay, unless their posting date has left the window.
+    The target is joined once, with the set of changed keys. (Changes of the control
+    table alone carry no time; they reach the fact with the next full load.)
+    """
+    changes, touched = ledger_line_changes(feeds, spec, watermark)
+    changes = stage(changes, "merge-source")
+    assert_unique_keys(changes, MERGE_KEYS)
+    if spec.months is not None:
+        posted = LEDGER_COLUMNS["BUDAT"]
+        dead = F.coalesce(F.col(ACTION) == DELETED, F.lit(False))
+        inside = trailing_months_filter(target.filter(~dead), spec.as_of, spec.months, posted)
+        target = inside.unionByName(target.filter(dead))
+    return delete_by_keys(target, touched, MERGE_KEYS).unionByName(changes)

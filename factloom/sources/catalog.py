@@ -10,11 +10,29 @@ from pyspark.sql import functions as F
 from factloom.spec import quoted
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder that a table reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[-1].data_type
+
+
+def _same_folder(spark: SparkSession, one: str, other: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(one).toUri().getPath() == path(other).toUri().getPath()
+
+
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> bool:
-    """Create an external table over a folder, or refresh it. True if it was created."""
+    """Create an external table over a folder, or let an existing one follow to it. True if it was created.
+
+    A table that reads another folder, or whose columns differ from the folder's, is defined anew;
+    as it is external, its old files stay.
+    """
     exists = spark.catalog.tableExists(name)
-    if not exists:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if exists:
+        moved = not _same_folder(spark, table_location(spark, name), path)
+        if moved or set(spark.table(name).columns) != set(spark.read.parquet(path).columns):
+            spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
@@ -29,12 +47,6 @@ def reader_view(spark: SparkSession, view: str, table: str, columns: Sequence[st
     return spark.table(view)
 
 
-def reader_temp_view(df: DataFrame, view: str, columns: Sequence[str]) -> DataFrame:
-    """The same projection as a session view over a DataFrame."""
-    df.select(*[F.col(quoted(c)) for c in columns]).createOrReplaceTempView(view)
-    return df.sparkSession.table(view)
-
-
 def catalog_inventory(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     """Which tables each schema holds: (schema_name, sorted tables)."""
     rows = [
@@ -48,7 +60,10 @@ def catalog_inventory(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
 
 
 def grouped_sets(df: DataFrame, group: Sequence[str], column: str, name: str) -> DataFrame:
-    """Distinct values per group as a sorted array, for columns with few distinct values."""
+    """Distinct values per group as a sorted array, for columns with few distinct values.
+
+    The array of a group is held by one task: for columns of many values, take distinct rows instead.
+    """
     keys = [F.col(quoted(c)) for c in group]
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(quoted(column))).alias(name))
 

@@ -34,3 +34,15 @@ def read_value_json(
         kind = f"struct<{kind}>"
     raw = spark.read.schema(f"value array<{kind}>").option("multiLine", multi_line).json(path)
     return explode_value(raw)
+
+
+def read_column_map(spark: SparkSession, path: str) -> dict[str, str]:
+    """Source column to published name, from a CSV file with the columns input and output, sorted by name.
+
+    A name given twice is an error. The file has a row for each column of one table.
+    """
+    rows = read_csv_lookup(spark, path, "input string, output string").orderBy("input", "output").collect()
+    names = {r.input: r.output for r in rows}
+    if len(names) < len(rows):
+        raise ValueError(f"{path} names a column twice")
+    return names

@@ -9,28 +9,28 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.operators.merge import SMALL_SOURCE, assert_unique_keys, delete_by_keys, merge_upsert
-from factloom.sources.workspace import stage, stage_sized
+from factloom.operators.keys import join_keys
+from factloom.operators.merge import assert_unique_keys, merge_upsert
+from factloom.sources.catalog import register_table
+from factloom.sources.workspace import stage
 from factloom.spec import MergeSpec, quoted
 
-# Above this number of touched slices a merge rewrites the whole table.
-MAX_SLICES = 10_000
-
 
 def overwrite_slices(df: DataFrame, path: str, slice_by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; other partitions stay.
 
     Rows are gathered by slice first, so that a slice does not get a file from every
     task; adaptive execution still divides a slice that is much larger than others.
-    ``df`` must not read from ``path``: stage it first.
+    ``df`` must not read from ``path``: stage it first. Empty text in a slice column is
+    an error, as a folder name cannot tell it from NULL.
     """
     (
-        df.hint("rebalance", *slice_by)
+        _sliceable(df, slice_by)
+        .hint("rebalance", *slice_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*slice_by)
@@ -38,6 +38,16 @@ def overwrite_slices(df: DataFrame, path: str, slice_by: Sequence[str]) -> None:
     )
 
 
+def _sliceable(df: DataFrame, slice_by: Sequence[str]) -> DataFrame:
+    """The rows, failing at the first with empty text in a slice column."""
+    checked = {
+        c: F.when(F.col(quoted(c)) == "", F.raise_error(F.lit(f"empty text in slice column {c}"))).otherwise(F.col(quoted(c)))
+        for c in slice_by
+        if df.schema[c].dataType.simpleString() == "string"
+    }
+    return df.withColumns(checked) if checked else df
+
+
 class SnapshotTable:
     """A versioned Parquet table under one folder.
 
@@ -104,7 +114,7 @@ class SnapshotTable:
 
     def overwrite(self, df: DataFrame) -> "SnapshotTable":
         """Full load: write a new version. The new rows may be computed from the old ones."""
-        return self._write(df.hint("rebalance", *self.slice_by) if self.slice_by else df)
+        return self._write(_sliceable(df, self.slice_by).hint("rebalance", *self.slice_by) if self.slice_by else df)
 
     def _write(self, df: DataFrame, file_rows: int = 0) -> "SnapshotTable":
         entries = self._entries()
@@ -116,7 +126,9 @@ class SnapshotTable:
         return self
 
     def overwrite_evolving(self, df: DataFrame) -> "SnapshotTable":
-        """Full load whose schema also keeps the columns of the current version."""
+        """Full load whose schema also keeps the columns of the current version, if there is one."""
+        if not self.versions():
+            return self.overwrite(df)
         current = self.read().limit(0)
         return self.overwrite(df.unionByName(current, allowMissingColumns=True))
 
@@ -126,55 +138,69 @@ class SnapshotTable:
         The source is written once and used from there. When the slice columns are
         (not null-safe) keys, a row cannot move between slices, so only the slices of
         the source and of the deleted keys are read, merged and replaced. The merged
-        slices are complete in the shared folder before any is replaced, so an
-        interrupted replacement can be repeated.
+        slices are complete in the table's ``pending`` folder before any is replaced;
+        a merge that was interrupted there is finished by the next one, or by
+        :meth:`finish_pending`.
         """
-        source, size = stage_sized(source, "merge-source")
+        self.finish_pending()
+        source = stage(source, "merge-source")
         assert_unique_keys(source, spec.keys, spec.null_safe)
+        if deleted is not None:
+            deleted = stage(deleted.select(*[quoted(k) for k in spec.keys]), "merge-deletes")
         current = self.read()
         if not self.slice_by or not set(self.slice_by) <= set(spec.keys) - set(spec.null_safe):
-            return self.overwrite(self._applied(current, source, spec, deleted, size))
-
+            return self.overwrite(merge_upsert(current, source, spec, check_unique=False, deleted=deleted))
         columns = [quoted(c) for c in self.slice_by]
         touched = source.select(*columns)
         if deleted is not None:
-            deleted = stage(deleted.select(*[quoted(k) for k in spec.keys]), "merge-deletes")
             touched = touched.unionByName(deleted.select(*columns))
-        inside = self._inside(touched)
-        if inside is None:
-            return self.overwrite(self._applied(current, source, spec, deleted, size))
-        slices = current.filter(inside)
-        merged = stage(self._applied(slices, source, spec, deleted, size), "merge-result")
-        if deleted is not None:
-            same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
-            left, right = (df.select(*columns).distinct() for df in (slices, merged))
-            if not left.alias("a").join(right.alias("b"), same, "left_anti").isEmpty():
-                # A slice that lost all its rows is not replaced by a dynamic overwrite.
-                return self.overwrite(current.filter(~inside).unionByName(merged))
-        overwrite_slices(merged, self.current_path(), self.slice_by)
-        return self
+        located = self._slices(current.withColumn("_file", F.col("_metadata.file_path")), self._touched(touched))
+        merged = merge_upsert(located.drop("_file"), source, spec, check_unique=False, deleted=deleted)
+        self._pend(merged, located)
+        return self.finish_pending()
+
+    def _touched(self, rows: DataFrame) -> DataFrame:
+        """The slices of some rows. The filter on a written column lets Spark expect that they prune."""
+        return stage(join_keys(rows, self.slice_by).withColumn("_touched", F.lit(1)), "touched-slices").filter("_touched > 0")
 
-    def _inside(self, touched: DataFrame) -> Column | None:
-        """Which rows lie in touched slices, as a filter that prunes partitions.
+    def _slices(self, current: DataFrame, touched: DataFrame) -> DataFrame:
+        """Rows of the touched slices. The semi join prunes partitions while Spark plans the scan.
 
-        Slices are few by design; with more than ``MAX_SLICES`` touched there is nothing
-        to gain from pruning. Several slice columns are tested one by one, so further
-        slices may be rewritten with the rows they have.
+        Rows without a slice match nothing there; they are read whenever such rows are touched.
         """
-        found = touched.distinct().limit(MAX_SLICES + 1).collect()
-        if len(found) > MAX_SLICES:
-            return None
-        tests = []
-        for position, name in enumerate(self.slice_by):
-            values = {row[position] for row in found}
-            column = F.col(quoted(name))
-            known = F.coalesce(column.isin([v for v in values if v is not None]), F.lit(False))
-            tests.append(known | column.isNull() if None in values else known)
-        return reduce(lambda a, b: a & b, tests)
-
-    def _applied(self, current, source, spec, deleted, size) -> DataFrame:
-        merged = merge_upsert(current, source, spec, check_unique=False, small_source=size <= SMALL_SOURCE)
-        return merged if deleted is None else delete_by_keys(merged, deleted, spec.keys)
+        unnamed = " OR ".join(f"{quoted(c)} IS NULL" for c in self.slice_by)
+        named = current.join(touched, list(self.slice_by), "left_semi").select(*[quoted(c) for c in current.columns])
+        return named if touched.filter(unnamed).isEmpty() else named.unionByName(current.filter(unnamed))
+
+    def _pend(self, merged: DataFrame, slices: DataFrame) -> None:
+        """Write what is to be replaced; its commit marker makes it count.
+
+        A slice that loses its last row is not replaced by a dynamic overwrite, so the
+        folders of all slices read are kept beside.
+        """
+        folder = F.regexp_replace("_file", "/[^/]*$", "")
+        read = slices.select(*[quoted(c) for c in self.slice_by], folder.alias("_folder")).distinct()
+        read.write.mode("overwrite").parquet(f"{self.path}/pending/read")
+        _sliceable(merged, self.slice_by).write.mode("overwrite").parquet(f"{self.path}/pending/rows")
+
+    def finish_pending(self) -> "SnapshotTable":
+        """Replace the slices of a merge whose rows are complete; without one, change nothing.
+
+        Doing it again, from wherever it stopped, leads to the same slices.
+        """
+        pending, fs = self._folder(f"{self.path}/pending")
+        if self._complete(f"{self.path}/pending/rows"):
+            rows = self.spark.read.schema(self.read().schema).parquet(f"{self.path}/pending/rows")
+            overwrite_slices(rows, self.current_path(), self.slice_by)
+            same = " AND ".join(f"r.{quoted(c)} <=> m.{quoted(c)}" for c in self.slice_by)
+            read = self.spark.read.parquet(f"{self.path}/pending/read").alias("r")
+            kept = rows.select(*[quoted(c) for c in self.slice_by]).distinct().alias("m")
+            for row in read.join(kept, F.expr(same), "left_anti").select("_folder").distinct().toLocalIterator():
+                jvm = self.spark._jvm
+                fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row._folder)), True)
+        if fs.exists(pending):
+            fs.delete(pending, True)
+        return self
 
     def compact(self, file_rows: int = 5_000_000) -> "SnapshotTable":
         """Rewrite the current version into fewer, evenly filled files; same rows.
@@ -184,9 +210,15 @@ class SnapshotTable:
         """
         return self._write(self.read().hint("rebalance", *self.slice_by), file_rows)
 
-    def vacuum(self, retain_hours: float = 168.0) -> list[int]:
-        """Delete versions older than the retention, never the current one; returns them."""
+    def vacuum(self, retain_hours: float = 168.0, registered: Sequence[str] = ()) -> list[int]:
+        """Delete versions older than the retention, never the current one; returns them.
+
+        Give the names of tables ``registered`` over this one: they follow to the current
+        version first, so that none is left reading a deleted folder.
+        """
         current = self.current_path()
+        for name in registered:
+            register_table(self.spark, name, current, partitioned=bool(self.slice_by))
         limit = (time.time() - retain_hours * 3600) * 1000
         removed = []
         for number, path, changed in self._entries():

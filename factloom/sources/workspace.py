@@ -33,13 +33,6 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}"
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of everything under a folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(folder).getLength()
-
-
 def clear_stage(spark: SparkSession) -> None:
     """Delete what this application staged. Call it when no result is in use any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(table_path(spark, "stage"))
@@ -50,20 +43,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write rows once and read them back: lineage ends here, lost executors cost nothing.
 
     The size of what comes back is known exactly, so Spark broadcasts it in later joins
-    if, and only if, it is below the broadcast threshold.
+    if, and only if, it is below the broadcast threshold. :func:`clear_stage` deletes it.
     """
-    return stage_sized(df, name)[0]
+    spark = df.sparkSession
+    path = table_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_all(**frames: DataFrame) -> list[DataFrame]:
     """:func:`stage` several independent frames at once, so their jobs share the cluster."""
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         return list(pool.map(lambda named: stage(named[1], named[0].replace("_", "-")), frames.items()))
-
-
-def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """:func:`stage`, and how many bytes were written."""
-    spark = df.sparkSession
-    path = table_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path)

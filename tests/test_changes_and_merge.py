@@ -35,12 +35,11 @@ def test_unify_both_naming_styles(spark):
     ]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_merge_rules(spark, small):
+def test_merge_rules(spark):
     target = spark.createDataFrame([("a", "1", 1, "x"), ("b", "1", 2, "y"), (None, "1", 3, "z")], FIELDS)
     source = spark.createDataFrame([("a", "1", None, "new"), ("c", "1", 9, "c"), (None, "1", 7, "n")], FIELDS)
     spec = MergeSpec(keys=["k", "l"], update=["v"], insert=["k", "l", "v"], stamp={"w": "'stamp'"})
-    got = rows(merge.merge_upsert(target, source, spec, small_source=small))
+    got = rows(merge.merge_upsert(target, source, spec))
     want = spark.createDataFrame(
         [
             ("a", "1", None, "stamp"),  # a NULL from the source overwrites
@@ -54,13 +53,12 @@ def test_merge_rules(spark, small):
     assert got == rows(want)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_null_safe_key_matches_itself(spark, small):
+def test_null_safe_key_matches_itself(spark):
     target = spark.createDataFrame([("a", None, 1, "x")], FIELDS)
     source = spark.createDataFrame([("a", None, 2, "y")], FIELDS)
-    once = merge.merge_upsert(target, source, MergeSpec(keys=["k", "l"], null_safe=["l"]), small_source=small)
+    once = merge.merge_upsert(target, source, MergeSpec(keys=["k", "l"], null_safe=["l"]))
     assert rows(once) == rows(source)
-    again = merge.merge_upsert(target, source, MergeSpec(keys=["k", "l"]), small_source=small)
+    again = merge.merge_upsert(target, source, MergeSpec(keys=["k", "l"]))
     assert again.count() == 2
 
 
@@ -95,7 +93,9 @@ def test_merge_against_brute_force_and_idempotence(spark):
     want = rows(frame({**target, **source}))
     full = merge.merge_upsert(frame(target), frame(source), spec)
     assert rows(full) == want
-    assert rows(merge.merge_upsert(frame(target), frame(source), spec, small_source=True)) == want
+    gone = spark.createDataFrame([(str(i), "1") for i in range(0, 600, 7)] + [(None, "1")], "k string, l string")
+    left = {k: v for k, v in {**target, **source}.items() if int(k) % 7}
+    assert rows(merge.merge_upsert(frame(target), frame(source), MergeSpec(keys=["k", "l"]), deleted=gone)) == rows(frame(left))
     assert rows(merge.merge_staged(frame(target), frame(source), spec)) == want
     assert rows(merge.merge_upsert(full, frame(source), spec)) == want
 
@@ -149,6 +149,13 @@ def test_lookup_join_spreads_missing_keys_without_matching_them(spark):
     assert rows(got) == rows(want)
 
 
+def test_spreading_compares_keys_as_they_are(spark):
+    left = spark.createDataFrame([(1.0, "a"), (None, "b"), (3.0, "c")], "k double, id string")
+    step = Lookup(spark.createDataFrame([(1, "one"), (3, "three")], "k int, v string"), {"k": "k"}, {"v": "v"})
+    assert rows(joins.lookup_join(left, step, spread_by="id")) == rows(joins.lookup_join(left, step))
+    assert joins.lookup_join(left, step, spread_by="id").filter("v IS NOT NULL").count() == 2
+
+
 def test_lookup_join_spreads_rows_that_miss_a_later_key(spark):
     left = spark.range(900).selectExpr(
         "cast(id as string) AS id", "'2024' AS year", "CASE WHEN id < 300 THEN NULL ELSE cast(id % 5 as string) END AS k"

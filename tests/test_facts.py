@@ -163,10 +163,34 @@ def test_delta_through_any_table_equals_full(spark, table, change):
         assert actions == {"1": "U", "2": "I"}
 
 
+def test_lines_that_leave_the_scope_are_retired(spark):
+    columns = "MANDT string, DOCCT string, GL_SIRID string, UMWRK string, OIC_MOT string, WGT_QTY double, VOL_UOM_L15 string, VOL_QTY double"
+    at = "2024-03-01"
+    lines = {"1": {}, "2": {}, "3": {}, "4": {}, "5": {"BUDAT": "2024-02-20"}}
+    before = small_feeds(spark, ledger=lambda frame, ledger: ledger(*[({"GL_SIRID": k, "DOCLN": k, **v},) for k, v in lines.items()]))
+    after = small_feeds(
+        spark,
+        # 1 is unchanged but ages out, 2 changes account, 3 changes profit centre, 4 ages out and changes, 5 stays
+        ledger=lambda frame, ledger: ledger(
+            ({"GL_SIRID": "1", "DOCLN": "1"},), ({"GL_SIRID": "2", "DOCLN": "2", "RACCT": "0001000000", "BUDAT": "2024-02-20"}, "U", at),
+            ({"GL_SIRID": "3", "DOCLN": "3", "RPRCTR": "elsewhere", "BUDAT": "2024-02-20"}, "U", at), ({"GL_SIRID": "4", "DOCLN": "4"}, "U", at),
+            ({"GL_SIRID": "5", "DOCLN": "5", "BUDAT": "2024-02-20"},),
+        ),
+        quantity=lambda frame, ledger: frame(columns, ("110", "A", "5", "U", "01", 5.0, "L15", 999.0, "U", at)),
+    )
+    later = replace(SMALL, as_of="2026-02-01")
+    target = stage(ledger_line.ledger_line_full(before, SMALL), "test-target")
+    assert set(by_key(target)) == set(lines)
+    delta = stage(ledger_line.ledger_line_delta(target, after, later, "2024-02-01"), "test-delta")
+    full = ledger_line.ledger_line_full(after, later)
+    assert rows(delta.drop("OPFLAG")) == rows(full.drop("OPFLAG"))
+    assert set(by_key(delta)) == {"5"} and by_key(delta)["5"].Volume_Qty == 999.0
+
+
 def test_ledger_delta_equals_full_on_the_given_tables(spark):
     delta = entry_points.queries()["ledger_line_fact_delta"](spark, FOLDER)
     full = ledger_line.ledger_line_full(ledger_feeds(spark, FOLDER), LEDGER_SPEC)
-    assert rows(delta.drop("OPFLAG")) == rows(full.drop("OPFLAG"))
+    assert rows(delta.drop("OPFLAG", "ingested_at")) == rows(full.drop("OPFLAG", "ingested_at"))
 
 
 def test_repeated_delta_changes_nothing(spark):
@@ -186,7 +210,7 @@ def test_accounting_delta_equals_full(spark):
     target = stage(header_item.header_item_full(*old, ACCOUNTING_SPEC, STAMP), "test-target")
     full = header_item.header_item_full(documents, items, ACCOUNTING_SPEC, STAMP)
     merged = header_item.header_item_delta(
-        target, documents, items, ACCOUNTING_SPEC, WATERMARK, STAMP, retire_unnumbered=True
+        target, documents, items, ACCOUNTING_SPEC, WATERMARK, STAMP
     )
     assert rows(merged) == rows(full)
 

@@ -3,7 +3,7 @@
 import pytest
 
 from factloom.operators import changes, joins, keys, merge
-from factloom.spec import Lookup
+from factloom.spec import Lookup, MergeSpec
 
 
 @pytest.fixture()
@@ -73,6 +73,13 @@ def test_hot_key_in_deletes_and_tombstones_is_split(tight, reduced):
     assert "skew=true" in final_plan(changes.tombstone_update(rows, gone, ["c"], ["id"], action="text"))
 
 
+def test_hot_key_in_a_merge_is_split(tight):
+    target = hot_rows(tight, "c")
+    source = few(tight).selectExpr("k AS c", "cast(v AS string) AS id", "'new' AS text")
+    merged = merge.merge_upsert(target, source, MergeSpec(keys=["c"]), deleted=few(tight).limit(10).selectExpr("k AS c"))
+    assert "skew=true" in final_plan(merged)
+
+
 def test_missing_keys_are_spread_before_any_splitting(tight):
     left = hot_rows(tight, "c").selectExpr("nullif(c, 'hot') AS c", "id", "text")
     tight.conf.set("spark.sql.adaptive.enabled", "false")

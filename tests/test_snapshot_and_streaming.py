@@ -9,7 +9,7 @@ from factloom.sources import catalog
 from factloom.sources.files import explode_value, read_csv_lookup, read_value_json
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
 from factloom.spec import MergeSpec
-from factloom.streaming.feed import follow_feed
+from factloom.streaming.feed import follow_feed, latest_per_key
 from tests.compare import spark_bag
 
 FIELDS = "year string, id int, v string"
@@ -41,6 +41,7 @@ def test_failed_version_is_not_read(spark, tmp_path):
 def test_full_load_keeps_old_columns_when_asked(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t").overwrite(spark.sql("SELECT 1 AS a, 'x' AS b"))
     table.overwrite_evolving(spark.sql("SELECT 2 AS a, 3.5D AS c"))
+    assert SnapshotTable(spark, f"{tmp_path}/first").overwrite_evolving(spark.range(2).toDF("id")).read().count() == 2
     assert {f.name: f.dataType.simpleString() for f in table.read().schema} == {"a": "int", "b": "string", "c": "double"}
     assert table.read().first().asDict() == {"a": 2, "b": None, "c": 3.5}
 
@@ -75,13 +76,40 @@ def test_merge_keeps_rows_of_the_unnamed_slice(spark, tmp_path):
     assert got == sorted([(None, 1, "a"), ("2020", 2, "b"), (None, 3, "c")], key=str)
 
 
-def test_merge_prunes_partitions(spark, tmp_path):
+def test_merge_reads_touched_slices_only(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
-    table.overwrite(spark.createDataFrame([("2020", 1, "a"), ("2021", 2, "b")], FIELDS))
-    inside = table._inside(spark.createDataFrame([("2020",), ("2020",)], "year string"))
-    assert len(table.read().filter(inside).inputFiles()) == 2  # inputFiles ignores filters ...
-    plan = table.read().filter(inside)._jdf.queryExecution().executedPlan().toString()
-    assert "2020" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]  # ... the scan does not
+    table.overwrite(spark.range(400).selectExpr("cast(2000 + id % 40 as string) AS year", "cast(id as int) AS id", "'x' AS v"))
+    touched = table._touched(spark.createDataFrame([("2020",), ("2020",)], "year string"))
+    slices = table._slices(table.read(), touched)
+    assert slices.count() == 10
+    plan = slices._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_an_interrupted_merge_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
+    table.overwrite(spark.createDataFrame([("2020", 1, "a"), ("2021", 2, "b"), ("2022", 3, "c")], FIELDS))
+    source = spark.createDataFrame([("2021", 9, "n")], FIELDS)
+    gone = spark.createDataFrame([("2020", 1)], "year string, id int")
+    with monkeypatch.context() as patch:
+        patch.setattr(SnapshotTable, "finish_pending", lambda self: self)
+        table.merge(source, MergeSpec(keys=["year", "id"]), deleted=gone)
+    # The rows are written, no slice is replaced; one of them is lost half-way.
+    assert table.read().count() == 3
+    for name in os.listdir(f"{table.current_path()}/year=2021"):
+        os.remove(f"{table.current_path()}/year=2021/{name}")
+    table.merge(spark.createDataFrame([("2022", 4, "d")], FIELDS), MergeSpec(keys=["year", "id"]))
+    got = rows(table.read().select("year", "id", "v"))
+    assert got == sorted([("2021", 2, "b"), ("2021", 9, "n"), ("2022", 3, "c"), ("2022", 4, "d")], key=str)
+    assert not os.path.exists(f"{tmp_path}/t/pending")
+
+
+def test_empty_text_is_no_slice(spark, tmp_path):
+    df = spark.createDataFrame([("", 1, "a")], FIELDS)
+    with pytest.raises(Exception, match="empty text in slice column year"):
+        SnapshotTable(spark, f"{tmp_path}/t", ["year"]).overwrite(df)
+    with pytest.raises(Exception, match="empty text"):
+        overwrite_slices(df, f"{tmp_path}/u", ["year"])
 
 
 def test_merge_delete_wins_and_may_empty_a_slice(spark, tmp_path):
@@ -141,6 +169,37 @@ def test_register_and_view(spark, tmp_path):
     assert catalog.missing_tables(found, expected) == {"default": ["absent"], "no_such_schema": ["x"]}
 
 
+def test_registration_follows_the_published_version(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t").overwrite(spark.range(3).toDF("id"))
+    catalog.register_table(spark, "followed", table.current_path())
+    assert catalog.reader_view(spark, "vw_followed", "followed", ["id"]).count() == 3
+    table.overwrite(spark.range(10).selectExpr("id", "'new' AS added"))
+    assert not catalog.register_table(spark, "followed", table.current_path())
+    assert spark.table("followed").count() == 10 and spark.table("followed").columns == ["id", "added"]
+    assert spark.table("vw_followed").count() == 10
+    table.compact()
+    table.vacuum(retain_hours=0, registered=["followed"])
+    assert spark.table("followed").count() == spark.table("vw_followed").count() == 10
+
+
+def test_latest_change_of_a_key(spark):
+    changes = spark.createDataFrame(
+        [(1, "old", None), (2, "a", 1), (2, "b", 2), (3, "x", 5), (3, "y", 5), (4, None, None)], "id int, v string, at int"
+    )
+    got = {r.id: r for r in latest_per_key(changes, ["id"], "at").collect()}
+    assert got[1].v == "old" and got[2].v == "b" and got[4].at is None and len(got) == 4
+
+
+def test_stream_applies_deletes(spark, tmp_path):
+    fields = "id int, v string, at int, op string"
+    table = SnapshotTable(spark, f"{tmp_path}/t").overwrite(spark.createDataFrame([(1, "one", 0, "I"), (2, "two", 0, "I")], fields))
+    spark.createDataFrame([(1, None, 1, "D"), (3, "three", 1, "I"), (3, None, 2, "D"), (2, "TWO", 1, "U")], fields).write.parquet(f"{tmp_path}/feed")
+    stream = spark.readStream.schema(fields).parquet(f"{tmp_path}/feed")
+    query = follow_feed(stream, table, MergeSpec(keys=["id"]), order="at", name=f"del-{tmp_path.name}", action="op")
+    query.awaitTermination(120)
+    assert rows(table.read()) == [(2, "TWO", 1, "U")]
+
+
 def test_register_a_sliced_table(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t", ["year"])
     table.overwrite(spark.createDataFrame([("y1", 1, "a"), ("y2", 2, "b")], FIELDS))

@@ -6,18 +6,22 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from factloom.functions.codes import system_code
 from factloom.operators import changes, filters, merge
 from factloom.plans import balance, header_item, ledger_line
+from factloom.sources.files import read_column_map
 from factloom.sources.snapshot import SnapshotTable
 from factloom.spec import MergeSpec
 from workload.basics import CONTROL_SQL, LABEL_SQL, SWAP_SQL
 from workload.bindings import AS_OF, WATERMARK, feed, ledger_feeds, table
 from workload.registry import AS_OF_SQL, WM_SQL, feed_sql, fresh_path, query, unified_sql
 
-LEDGER_SPEC = ledger_line.LedgerSpec(system="D94", as_of=AS_OF)
+LEDGER_SPEC = ledger_line.LedgerSpec(system=system_code("dev", "GSAP"), as_of=AS_OF)
+# The published line items that a delta starts from: loaded at the watermark, with the window of that day.
+EARLIER_SPEC = replace(LEDGER_SPEC, as_of=WATERMARK)
 ACCOUNTING_SPEC = header_item.HeaderItemSpec(
     source="STN",
-    system="D80",
+    system=system_code("dev", "STN"),
     headers={
         "BLART": "Document_Type",
         "TCODE": "Transaction_Code",
@@ -35,7 +39,7 @@ ACCOUNTING_SPEC = header_item.HeaderItemSpec(
         "LIFNR": "Account_Number_Of_Supplier",
     },
 )
-BALANCE_SPEC = balance.BalanceSpec(source="TSAP", system="D81")
+BALANCE_SPEC = balance.BalanceSpec(source="TSAP", system=system_code("dev", "TSAP"))
 
 
 STAMP = f"CAST('{AS_OF}' AS timestamp)"
@@ -111,7 +115,8 @@ SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
 FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey"""
 
 
-def _merge_orders(spark, folder, small_source):
+@query("merge_upsert", MERGE_SQL)
+def merge_upsert(spark, folder):
     orders = table(spark, folder, "orders")
     target = filters.before_watermark(orders, WATERMARK, "o_orderdate")
     altered = target.filter(F.col("o_orderpriority") == "1-URGENT").withColumns(
@@ -128,17 +133,29 @@ def _merge_orders(spark, folder, small_source):
         insert=["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
         stamp={"o_orderdate": f"'{AS_OF}'"},
     )
-    return merge.merge_upsert(target, source, spec, small_source=small_source)
-
-
-@query("merge_upsert", MERGE_SQL)
-def merge_upsert(spark, folder):
-    return _merge_orders(spark, folder, small_source=False)
+    return merge.merge_upsert(target, source, spec)
 
 
-@query("merge_upsert_small_source", MERGE_SQL)
-def merge_upsert_small_source(spark, folder):
-    return _merge_orders(spark, folder, small_source=True)
+@query(
+    "snapshot_merge",
+    "SELECT o_orderkey, CASE WHEN o_custkey % 10 = 3 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, "
+    "cast(year(o_orderdate) AS varchar) AS year FROM orders "
+    "WHERE year(o_orderdate) <> 1997 AND NOT (year(o_orderdate) = 1998 AND o_orderstatus = 'O')",
+)
+def snapshot_merge(spark, folder):
+    """A sliced table published without its last year; a merge changes some rows, adds that year, empties one slice."""
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "o_totalprice", "CAST(year(o_orderdate) AS string) AS year", "o_custkey", "o_orderstatus"
+    )
+    kept = ["o_orderkey", "o_totalprice", "year"]
+    published = SnapshotTable(spark, fresh_path(spark, "orders-by-year"), ["year"])
+    published.overwrite(orders.filter("year < '2001'").select(*kept))
+    changed = orders.filter("year >= '2001' OR o_custkey % 10 = 3").withColumn(
+        "o_totalprice", F.expr("CASE WHEN o_custkey % 10 = 3 THEN -o_totalprice ELSE o_totalprice END")
+    )
+    gone = orders.filter("year = '1997' OR year = '1998' AND o_orderstatus = 'O'").select("year", "o_orderkey")
+    published.merge(changed.select(*kept), MergeSpec(keys=["year", "o_orderkey"]), deleted=gone)
+    return published.read().select(*kept)
 
 
 @query(
@@ -181,9 +198,9 @@ def _documents_sql(p: str) -> str:
     )
 
 
-def _document_ctes(p: str, condition: str = "true") -> str:
+def _document_ctes(p: str, client: str = "280") -> str:
     return ", ".join(
-        f"{p}{n} AS (SELECT * FROM {feed_sql(n)} WHERE MANDT = '280' AND {condition})" for n in ("document", "item")
+        f"{p}{n} AS (SELECT * FROM {feed_sql(n)} WHERE MANDT = '{client}')" for n in ("document", "item")
     )
 
 
@@ -194,18 +211,20 @@ def header_item_fact(spark, folder):
     )
 
 
-@query(
-    "header_item_fact_delta",
-    f"WITH {_document_ctes('n_')}, {_document_ctes('o_', f'ingested_at < {WM_SQL}')}, "
-    f"k AS (SELECT BUKRS, BELNR, GJAHR FROM n_document WHERE ingested_at >= {WM_SQL} "
-    f"UNION SELECT BUKRS, BELNR, GJAHR FROM n_item WHERE ingested_at >= {WM_SQL}), "
-    f"s AS (SELECT f.* FROM ({_documents_sql('n_')}) f JOIN k ON f.Company_Code = k.BUKRS "
-    "AND f.Accounting_Document_Number = k.BELNR AND f.Fiscal_Year = k.GJAHR), "
-    f"t AS ({_documents_sql('o_')}) "
-    "SELECT * FROM s UNION ALL SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.Source_ID = t.Source_ID "
-    "AND s.Company_Code = t.Company_Code AND s.Accounting_Document_Number = t.Accounting_Document_Number "
-    f"AND s.Fiscal_Year = t.Fiscal_Year AND s.{header_item.LINE_KEY} IS NOT DISTINCT FROM t.{header_item.LINE_KEY})",
-)
+@query("header_item_fact_mapped", f"WITH {_document_ctes('n_')} {_documents_sql('n_')}")
+def header_item_fact_mapped(spark, folder):
+    """The same fact, its payload columns read from mapping files."""
+    maps = {}
+    for side in ("headers", "items"):
+        path = fresh_path(spark, f"{side}-map")
+        rows = list(getattr(ACCOUNTING_SPEC, side).items())
+        spark.createDataFrame(rows, "input string, output string").write.option("header", True).csv(path)
+        maps[side] = read_column_map(spark, path)
+    spec = replace(ACCOUNTING_SPEC, **maps)
+    return header_item.header_item_full(feed(spark, folder, "document"), feed(spark, folder, "item"), spec, STAMP)
+
+
+@query("header_item_fact_delta", f"WITH {_document_ctes('n_')} {_documents_sql('n_')}")
 def header_item_fact_delta(spark, folder):
     documents, items = feed(spark, folder, "document"), feed(spark, folder, "item")
     old = [filters.before_watermark(f, WATERMARK) for f in (documents, items)]
@@ -213,14 +232,23 @@ def header_item_fact_delta(spark, folder):
     return header_item.header_item_delta(target, documents, items, ACCOUNTING_SPEC, WATERMARK, STAMP)
 
 
+ACCOUNTING_TSAP = replace(ACCOUNTING_SPEC, source="TSAP", system=system_code("dev", "TSAP"))
+
+
+@query("header_item_fact_tsap", f"WITH {_document_ctes('n_', '480')} {_documents_sql('n_')}".replace("D80_", "D81_"))
+def header_item_fact_tsap(spark, folder):
+    documents, items = feed(spark, folder, "document"), feed(spark, folder, "item")
+    return header_item.header_item_full(documents, items, ACCOUNTING_TSAP, STAMP)
+
+
 # ---- balance fact -----------------------------------------------------------------
 
 
-def _balance_sql(condition: str) -> str:
+def _balance_sql(condition: str, client: str = "480", system: str = "D81") -> str:
     names = ", ".join(f"{c} AS {n}" for c, n in balance.INDEX_COLUMNS.items() if n not in ("Client", "ingested_at"))
     return (
-        f"SELECT {names}, 'D81_' || RCLNT AS Source_ID, {AS_OF_SQL} AS Ingested_At "
-        f"FROM {feed_sql('index')} WHERE RCLNT = '480' AND {condition}"
+        f"SELECT {names}, '{system}_' || RCLNT AS Source_ID, {AS_OF_SQL} AS Ingested_At "
+        f"FROM {feed_sql('index')} WHERE RCLNT = '{client}' AND {condition}"
     )
 
 
@@ -246,6 +274,11 @@ def balance_fact_delta(spark, folder):
     return balance.balance_delta(target, index, index, BALANCE_SPEC, WATERMARK, STAMP)
 
 
+@query("balance_fact_stn", _balance_sql("true", "280", "D80"))
+def balance_fact_stn(spark, folder):
+    return balance.balance_full(feed(spark, folder, "index"), balance.BalanceSpec(source="STN", system=system_code("dev", "STN")), STAMP)
+
+
 # ---- ledger-line fact -------------------------------------------------------------
 
 
@@ -308,25 +341,20 @@ def ledger_line_fact(spark, folder):
 
 
 def _delta_sql() -> str:
-    action = f"CASE WHEN l.ingested_at >= {WM_SQL} THEN l.OPFLAG ELSE 'U' END"
-    fresh = f"(SELECT * FROM n_ledger WHERE ingested_at >= {WM_SQL})"
-    blank = ", ".join(
-        f"CASE WHEN gone THEN {({'OPFLAG': repr('D'), 'ingested_at': AS_OF_SQL}).get(n, 'NULL')} ELSE {n} END AS {n}"
-        for n in ledger_line.PUBLISHED
-        if n not in ("Client", "Source_ID", ledger_line.KEY)
-    )
-    same = f"x.Source_ID = y.Source_ID AND x.{ledger_line.KEY} = y.{ledger_line.KEY}"
+    """The full load of the delta's day; only the moment and the action tell which lines the delta touched."""
+    fresh = f"(SELECT GL_SIRID FROM n_ledger WHERE ingested_at >= {WM_SQL})"
+    touched = f"{ledger_line.KEY} IN (SELECT GL_SIRID FROM k)"
+    old = f"TIMESTAMP '{WATERMARK}'"
+    lines = f"""
+      SELECT * REPLACE (CASE WHEN {touched} THEN ingested_at ELSE {old} END AS ingested_at,
+        CASE WHEN {touched} AND {ledger_line.KEY} NOT IN {fresh} THEN 'U' ELSE OPFLAG END AS OPFLAG)
+      FROM ({_lines_sql('n_', 'n_ledger', 'l.OPFLAG')})"""
+    dead = f"""
+      SELECT * REPLACE (CASE WHEN {ledger_line.KEY} IN {fresh} THEN ingested_at ELSE {old} END AS ingested_at)
+      FROM ({_tombstones_sql('n_ledger')})"""
     return f"""
-    WITH {feed_ctes('n_')}, {feed_ctes('o_', f'ingested_at < {WM_SQL}')},
-    t AS ({_full_sql('o_')}),
-    k AS ({affected_sql('n_')} UNION SELECT GL_SIRID FROM {fresh} WHERE OPFLAG IS DISTINCT FROM 'D'
-      AND RCLNT = '110' AND RACCT BETWEEN '0006000000' AND '0009999999'),
-    a AS (SELECT * FROM n_ledger WHERE GL_SIRID IN (SELECT GL_SIRID FROM k)),
-    s AS (SELECT * FROM ({_lines_sql('n_', 'a', action)}) UNION ALL BY NAME SELECT * FROM ({_tombstones_sql(fresh)})),
-    m AS (SELECT * FROM s UNION ALL BY NAME SELECT * FROM t x WHERE NOT EXISTS (SELECT 1 FROM s y WHERE {same})),
-    g AS (SELECT *, EXISTS (SELECT 1 FROM {fresh} d WHERE d.OPFLAG = 'D' AND d.GL_SIRID = x.{ledger_line.KEY}
-      AND 'D94_' || d.RCLNT = x.Source_ID) AS gone FROM m x)
-    SELECT Client, Source_ID, {ledger_line.KEY}, {blank} FROM g"""
+    WITH {feed_ctes('n_')}, k AS ({affected_sql('n_')} UNION SELECT GL_SIRID FROM {fresh})
+    SELECT * FROM ({lines}) UNION ALL BY NAME SELECT * FROM ({dead})"""
 
 
 @query("ledger_line_fact_delta", _delta_sql())
@@ -334,5 +362,5 @@ def ledger_line_fact_delta(spark, folder):
     feeds = ledger_feeds(spark, folder)
     names = ("ledger", "quantity", "contract", "header", "movement", "second_quantity")
     old = replace(feeds, **{n: filters.before_watermark(getattr(feeds, n), WATERMARK) for n in names})
-    target = published(ledger_line.ledger_line_full(old, LEDGER_SPEC), "ledger-line")
+    target = published(ledger_line.ledger_line_full(old, EARLIER_SPEC), "ledger-line")
     return ledger_line.ledger_line_delta(target, feeds, LEDGER_SPEC, WATERMARK)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators import metadata, quality, runlog
-from factloom.sources.catalog import grouped_sets, reader_view, register_table
+from factloom.sources.catalog import catalog_inventory, grouped_sets, reader_view, register_table
 from factloom.sources.files import read_csv_lookup, read_value_json
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
 from workload.bindings import AS_OF, column_metadata, run_log, table
@@ -50,6 +50,37 @@ def watermark_lookup(spark, folder):
     return runlog.latest_completed(run_log(spark, folder))
 
 
+LOOP_SQL = f"(SELECT * FROM {LOG_SQL} WHERE workflow = (SELECT min(workflow) FROM {LOG_SQL}))"
+
+
+@query(
+    "run_log_loop",
+    f"WITH s AS (SELECT * FROM {LOOP_SQL} UNION ALL SELECT NULL, 'delta', min(workflow), TIMESTAMP '{AS_OF}', "
+    f"TIMESTAMP '{AS_OF}', 'started' FROM {LOOP_SQL}), "
+    "n AS (SELECT * REPLACE (row_number() OVER (ORDER BY run_start, run_id NULLS LAST) AS run_id) FROM s), "
+    "e AS (SELECT * REPLACE (CASE WHEN run_id = (SELECT max(run_id) FROM n) THEN 'completed' ELSE status END AS status) FROM n) "
+    "SELECT run_id, process_name, workflow, run_start, status, "
+    "(SELECT arg_max(run_start, run_id) FROM e WHERE status = 'completed') AS watermark FROM e",
+)
+def run_log_loop(spark, folder):
+    """One workflow: a run is started and numbered, it ends, and the next delta's watermark is read."""
+    log = run_log(spark, folder)
+    first = log.agg(F.min("workflow")).first()[0]
+    started = runlog.run_log_start(log, first, "project", 1, "delta", 1, AS_OF)
+    ended = runlog.run_log_end(started, AS_OF, first)
+    mark = runlog.watermark_lookup(ended, first)
+    return ended.join(F.broadcast(mark)).select("run_id", "process_name", "workflow", "run_start", "status", "watermark")
+
+
+@query(
+    "watermark_of_workflow",
+    f"SELECT coalesce(arg_max(run_start, run_id) FILTER (status = 'completed'), TIMESTAMP '0001-01-01') AS watermark FROM {LOOP_SQL}",
+)
+def watermark_of_workflow(spark, folder):
+    log = run_log(spark, folder)
+    return runlog.watermark_lookup(log, log.agg(F.min("workflow")).first()[0])
+
+
 # ---- sinks and catalogue ----------------------------------------------------------
 
 
@@ -96,6 +127,26 @@ def register_table_query(spark, folder):
     return published.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("latest"))
 
 
+@query(
+    "register_after_reload",
+    "SELECT o_orderkey, o_orderdate, o_totalprice * 2 AS o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
+)
+def register_after_reload(spark, folder):
+    """A table registered, loaded anew with other rows, registered again, vacuumed, and read through its view."""
+    snapshot = SnapshotTable(spark, fresh_path(spark, "reloaded"), ["o_orderstatus"])
+    columns = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"]
+    orders = table(spark, folder, "orders").select(*columns)
+    name = snapshot.path.rsplit("/", 1)[1].replace("-", "_")
+    snapshot.overwrite(orders)
+    register_table(spark, name, snapshot.current_path(), partitioned=True)
+    reader_view(spark, f"vw_{name}", name, columns)
+    changed = orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    snapshot.overwrite(changed)
+    register_table(spark, name, snapshot.current_path(), partitioned=True)
+    snapshot.vacuum(retain_hours=0, registered=[name])
+    return spark.table(f"vw_{name}")
+
+
 @query("reader_view", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def reader_view_query(spark, folder):
     published = _publish_orders(spark, folder, "viewed")
@@ -139,6 +190,26 @@ def table_inventory(spark, folder):
     return names.join(sizes, "schema_name").select("schema_name", F.array_join("tables", ",").alias("tables"), "rows")
 
 
+@query(
+    "catalog_inventory",
+    "SELECT 'registered' AS kind, unnest(['customer', 'nation', 'orders']) AS table_name, "
+    "unnest([(SELECT count(*) FROM customer), (SELECT count(*) FROM nation), (SELECT count(*) FROM orders)]) AS rows",
+)
+def catalog_inventory_query(spark, folder):
+    """Given tables registered in a schema of their own, found by the inventory, and counted through the catalogue."""
+    schema = fresh_path(spark, "inventory").rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    for name in ("customer", "nation", "orders"):
+        register_table(spark, f"{schema}.{name}", f"{folder}/{name}.parquet")
+    found = catalog_inventory(spark, [schema]).first().tables
+    counted = [
+        spark.table(f"{schema}.{t}").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit("registered").alias("kind"), F.lit(t).alias("table_name"), "rows")
+        for t in found
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # ---- lookup files -----------------------------------------------------------------
 
 
@@ -249,6 +320,36 @@ def dq_suite_verdict(spark, folder):
     return quality.suite_verdict(quality.run_checks(labelled(spark, folder), DOCUMENT_SUITE), 60)
 
 
+# Given tables in the columns that each standard suite looks at.
+SUITE_TABLES = {
+    "resources": ("part", {"id": "p_partkey", "location": "case when p_size > 2 then 'westeurope' end", "sku": "nullif(p_brand, 'Brand#1')", "tags": "case when p_size > 15 then p_type end"}),
+    "resource_groups": ("supplier", {"id": "s_suppkey", "location": "case when s_nationkey > 5 then 'eastasia' else 'elsewhere' end", "type": "s_name", "tags": "case when s_acctbal > 0 then s_name end"}),
+    "subscriptions": ("customer", {"id": "c_custkey", "subscriptionId": "c_name", "tags": "nullif(c_mktsegment, 'BUILDING')", "location": "'northeurope'", "state": "case when c_acctbal > 0 then 'Enabled' else 'Warned' end"}),
+    "cost_management": ("orders", {"id": "o_orderkey", "name": "o_orderpriority", "sku": "nullif(o_orderstatus, 'F')", "properties": "o_orderdate", "type": "'Microsoft.CostManagement/query'"}),
+}
+
+
+def _standard_sql() -> str:
+    rows = []
+    for suite, (source, columns) in SUITE_TABLES.items():
+        shaped = f"(SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {source})"
+        for no, check in enumerate(quality.STANDARD_SUITES[suite], 1):
+            values = ", ".join(f"'{v}'" for v in check.values)
+            holds = f"{check.column} IS NOT NULL" if check.kind == quality.NOT_NULL else f"{check.column} IN ({values})"
+            counted = "true" if check.kind == quality.NOT_NULL else f"{check.column} IS NOT NULL"
+            rows.append(f"SELECT '{suite}' AS suite, * FROM ({check_sql(no, check.kind, check.column, check.mostly, shaped, counted, holds)})")
+    return " UNION ALL ".join(rows)
+
+
+@query("dq_standard_suites", _standard_sql())
+def dq_standard_suites(spark, folder):
+    results = []
+    for suite, (source, columns) in SUITE_TABLES.items():
+        shaped = table(spark, folder, source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+        results.append(quality.run_checks(shaped, quality.STANDARD_SUITES[suite]).withColumn("suite", F.lit(suite)))
+    return reduce(DataFrame.unionByName, results)
+
+
 # ---- metadata ---------------------------------------------------------------------
 
 
