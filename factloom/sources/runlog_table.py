@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.runlog import RUN_LOG_SCHEMA, run_log_end, run_log_start, watermark_lookup
 from factloom.sources.snapshot import overwrite_slices
-from factloom.sources.workspace import stage
+from factloom.sources.workspace import scratch, stage
 
 
 class RunLogTable:
@@ -49,4 +49,5 @@ class RunLogTable:
         return watermark_lookup(self.read().filter(F.col("workflow") == workflow), workflow)
 
     def _replace(self, runs: DataFrame) -> None:
-        overwrite_slices(stage(runs, "run-log"), self.path, ["workflow"])
+        with scratch(self.spark):
+            overwrite_slices(stage(runs, "run-log"), self.path, ["workflow"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from factloom.operators.keys import join_keys
 from factloom.operators.merge import assert_unique_keys, merge_upsert
 from factloom.sources.catalog import register_table
-from factloom.sources.workspace import stage
+from factloom.sources.workspace import scratch, stage
 from factloom.spec import MergeSpec, quoted
 
 
@@ -142,6 +142,10 @@ class SnapshotTable:
         a merge that was interrupted there is finished by the next one, or by
         :meth:`finish_pending`.
         """
+        with scratch(self.spark):
+            return self._merge(source, spec, deleted)
+
+    def _merge(self, source: DataFrame, spec: MergeSpec, deleted: DataFrame | None) -> "SnapshotTable":
         self.finish_pending()
         source = stage(source, "merge-source")
         assert_unique_keys(source, spec.keys, spec.null_safe)

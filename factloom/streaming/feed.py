@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from factloom.operators.filters import split_changes
 from factloom.sources.snapshot import SnapshotTable
-from factloom.sources.workspace import shared_dir
+from factloom.sources.workspace import scratch, shared_dir
 from factloom.spec import MergeSpec, quoted
 
 
@@ -45,7 +45,9 @@ def follow_feed(
     nothing, so a batch that is repeated after a failure does no harm.
     """
     def merge(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
+        if batch.isEmpty():
+            return
+        with scratch(batch.sparkSession):
             last = latest_per_key(derive(batch), list(spec.keys), order)
             if action is None:
                 table.merge(last, spec)

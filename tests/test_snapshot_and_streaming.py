@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.sources import catalog
 from factloom.sources.files import explode_value, read_csv_lookup, read_value_json
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
+from factloom.sources.workspace import table_path
 from factloom.spec import MergeSpec
 from factloom.streaming.feed import follow_feed, latest_per_key
 from tests.compare import spark_bag
@@ -104,6 +105,14 @@ def test_an_interrupted_merge_is_finished_by_the_next(spark, tmp_path, monkeypat
     assert not os.path.exists(f"{tmp_path}/t/pending")
 
 
+def test_a_merge_leaves_nothing_staged(spark, tmp_path):
+    folder = table_path(spark, "stage")
+    table = SnapshotTable(spark, f"{tmp_path}/t", ["year"]).overwrite(spark.createDataFrame([("2020", 1, "a")], FIELDS))
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    table.merge(spark.createDataFrame([("2020", 2, "b")], FIELDS), MergeSpec(keys=["year", "id"]))
+    assert (set(os.listdir(folder)) if os.path.exists(folder) else set()) <= before and table.read().count() == 2
+
+
 def test_empty_text_is_no_slice(spark, tmp_path):
     df = spark.createDataFrame([("", 1, "a")], FIELDS)
     with pytest.raises(Exception, match="empty text in slice column year"):
