@@ -26,7 +26,7 @@ from factloom.sources.workspace import stage
 #: Vectors that the trees are fitted on at most, in components, and queries that the effort is measured with.
 FIT_COMPONENTS, MEASURED_QUERIES = 1 << 22, 128
 #: Vectors of a leaf wanted; sample vectors of a leaf at least; vectors of a block that queries meet at once.
-LEAF_ROWS, LEAF_SAMPLE, BLOCK_ROWS = 64, 16, 4096
+LEAF_ROWS, LEAF_SAMPLE, BLOCK_ROWS = 64, 16, 16384
 
 
 @dataclass
@@ -249,10 +249,11 @@ def search(vectors: DataFrame, is_query, nearest: int = 20, trees: int = 4, reca
         .unionByName(distinct.select("qa", "qb", "embedding").mapInArrow(walk, meeting))
     )
     found = met.repartition("block").sortWithinPartitions("block", "kind", "leaf", "entry").mapInArrow(
-        lambda batches: meet(batches, nearest + 1), "qa long, qb long, entry long, score double"
+        lambda batches: meet(batches, nearest + 1), "qa long, qb long, entries array<long>, scores array<double>"
+    )
+    top = found.repartition("qa", "qb").sortWithinPartitions("qa", "qb").mapInArrow(
+        lambda batches: merge(batches, nearest + 1), "qa long, qb long, entry long, score double"
     )
-    by_score = Window.partitionBy("qa", "qb").orderBy(F.desc("score"), "entry")
-    top = found.dropDuplicates(["qa", "qb", "entry"]).withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= nearest + 1).drop("n")
     spread = top.join(entries.select("entry", "ids"), "entry").select("qa", "qb", "score", F.explode("ids").alias("vec_id"))
     by_rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
@@ -307,17 +308,58 @@ def meet_queries(part: pa.RecordBatch, index: dict, most: int) -> Iterator[pa.Re
         ids.append(entry[0][c])
         scores.append(score[r, c])
     if who:
-        who, ids, scores = np.concatenate(who), np.concatenate(ids), np.concatenate(scores)
-        order = np.lexsort((ids, -scores, who))
-        starts = np.searchsorted(who[order], who[order])
-        order = order[np.arange(len(order)) - starts < most]
-        take = pa.array(who[order])
+        who, ids, scores = leading(np.concatenate(who), np.concatenate(ids), np.concatenate(scores), most)
+        rows, begins = np.unique(who, return_index=True)
+        take, offsets = pa.array(rows), pa.array(np.append(begins, len(who)), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [part.column("entry").take(take), part.column("other").take(take), pa.array(ids[order]), pa.array(scores[order])],
-            names=["qa", "qb", "entry", "score"],
+            [
+                part.column("entry").take(take),
+                part.column("other").take(take),
+                pa.ListArray.from_arrays(offsets, pa.array(ids)),
+                pa.ListArray.from_arrays(offsets, pa.array(scores)),
+            ],
+            names=["qa", "qb", "entries", "scores"],
         )
 
 
+def leading(who: np.ndarray, ids: np.ndarray, scores: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``most`` best entries of each query, best first; an entry found in several trees counts once."""
+    order = np.lexsort((ids, -scores, who))
+    who, ids, scores = who[order], ids[order], scores[order]
+    again = np.zeros(len(who), bool)
+    again[1:] = (who[1:] == who[:-1]) & (ids[1:] == ids[:-1])  # equal entries have equal scores, so they are neighbours
+    who, ids, scores = who[~again], ids[~again], scores[~again]
+    keep = np.arange(len(who)) - np.searchsorted(who, who) < most
+    return who[keep], ids[keep], scores[keep]
+
+
+def merge(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The best entries of each query over all blocks, from rows sorted by query. Holds the last query's rows."""
+
+    def merged(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        qa, qb = rows.column("qa").to_numpy(), rows.column("qb").to_numpy()
+        query = np.concatenate([[0], np.cumsum((np.diff(qa) != 0) | (np.diff(qb) != 0))])
+        lists = rows.column("entries").combine_chunks()
+        who = np.repeat(query, np.diff(lists.offsets.to_numpy()))
+        who, ids, scores = leading(who, lists.flatten().to_numpy(), rows.column("scores").combine_chunks().flatten().to_numpy(), most)
+        first = np.searchsorted(query, who)
+        return pa.RecordBatch.from_arrays([pa.array(qa[first]), pa.array(qb[first]), pa.array(ids), pa.array(scores)], names=["qa", "qb", "entry", "score"])
+
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        qa, qb = held.column("qa").to_numpy(), held.column("qb").to_numpy()
+        ends = np.flatnonzero((np.diff(qa) != 0) | (np.diff(qb) != 0))
+        if len(ends):
+            cut = int(ends[-1]) + 1
+            yield merged(held.slice(0, cut))
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield merged(held)
+
+
 def effort(entries: DataFrame, distinct: DataFrame, forest: Forest, counts: np.ndarray, nearest: int, recall: float) -> int:
     """How many vectors a query must reach so that a share ``recall`` of true neighbours is found.
 
