@@ -31,6 +31,16 @@ def query(function: Query) -> Query:
     return function
 
 
+def checked(sql: str) -> Callable[[Query], Query]:
+    """A query with its checking SQL."""
+
+    def add(function: Query) -> Query:
+        CHECK_SQL[function.__name__] = sql
+        return query(function)
+
+    return add
+
+
 @query
 def op1_sentencepiece(spark, folder):
     model = piece_model(spark)
@@ -103,8 +113,41 @@ def op9_toxicity(spark, folder):
     return scored.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-@query
+PARTS_SQL = "'(?s)^(.*?)://([^/?#]*)([^?#]*)(.*)$'"
+#: The policy as a join, and association rules by counting every combination of tokens of labelled URLs.
+URL_RULES_SQL = f"""
+WITH u AS (
+  SELECT page_id, url, coalesce(lower(regexp_extract(url, {PARTS_SQL}, 1)), '') AS scheme,
+    coalesce(translate(regexp_extract(url, {PARTS_SQL}, 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, {PARTS_SQL}, 3), '') AS path, coalesce(regexp_extract(url, {PARTS_SQL}, 4), '') AS rest FROM pages),
+t AS (
+  SELECT *, CASE WHEN url IS NULL THEN [] ELSE list_sort(list_distinct(
+    ['scheme:' || scheme] || list_transform(list_filter(string_split(host, '.'), lambda w: w <> ''), lambda w: 'host:' || w)
+    || ['site:' || array_to_string(list_slice(['', '', ''] || string_split(host, '.'), -3, -1), '.')]
+    || list_transform(list_filter(string_split_regex(lower(path), '[/._\\-]+'), lambda w: w <> '' AND NOT regexp_full_match(w, '[0-9]+')), lambda w: 'path:' || w)
+    || list_transform(list_filter(string_split(regexp_extract(rest, '^\\?([^#]*)', 1), '&'), lambda w: w <> ''), lambda w: 'query:' || w)
+    || CASE WHEN regexp_extract(rest, '#(.+)$', 1) <> '' THEN ['fragment:' || regexp_extract(rest, '#(.+)$', 1)] ELSE [] END)) END AS tokens
+  FROM u),
+b AS (
+  SELECT tokens, bad FROM t JOIN (
+    SELECT doc_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id) l
+  ON try_cast(regexp_extract(path, '(?s)^.*?([0-9]{{1,18}})[^0-9]*$', 1) AS bigint) = l.doc_id WHERE bad IS NOT NULL AND url IS NOT NULL),
+s AS (
+  SELECT list_filter(tokens, lambda w, i: (m >> (i - 1)) & 1 = 1) AS combination, bad
+  FROM (SELECT tokens, bad, unnest(range(1, cast(pow(2, len(tokens)) AS bigint))) AS m FROM b)),
+n AS (SELECT count(*) AS n, avg(CASE WHEN bad THEN 1.0 ELSE 0.0 END) AS share FROM b),
+r AS (
+  SELECT combination FROM s, n GROUP BY combination, n, share
+  HAVING count(*) FILTER (bad) >= greatest(ceil(0.001 * n), 30) AND count(*) FILTER (bad) / count(*) >= 0.5
+    AND count(*) FILTER (bad) / count(*) / share >= 1.5)
+SELECT page_id, host, path, list_max(fits).rule AS rule,
+  coalesce(list_max(fits).verdict, CASE WHEN EXISTS (SELECT 1 FROM r WHERE list_has_all(t.tokens, r.combination)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM (SELECT *, list_filter([{', '.join(f"{{'n': {len(h + p)}, 'rule': '{h + p}', 'verdict': '{v}', 'host': '{h}', 'path': '{p}'}}" for h, p, v in url_rules.POLICY)}],
+  lambda x: ends_with('.' || host, '.' || x.host) AND starts_with(path, x.path)) AS fits FROM t) t"""
+
+
+@checked(URL_RULES_SQL)
 def op10_url_rules(spark, folder):
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
     mined = url_rules.mine_rules(url_rules.labelled_urls(pages, labels))
-    return url_rules.judge(pages, url_rules.POLICY, mined)
+    return url_rules.judge(pages, url_rules.POLICY, mined).drop("mined_rule")

@@ -7,6 +7,7 @@ rarest token, so that a URL meets only rules that share such a token, and is the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -23,7 +24,7 @@ POLICY = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-PARTS = r"^(?s)(.*?)://([^/?#]*)([^?#]*)(.*)$"
+PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(.*)$"
 BAD, GOOD = "label:bad", "label:good"
 
 
@@ -74,7 +75,7 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     The last number in a URL's path names the document. A document labelled more than once is bad if any
     label says so; NULL labels say nothing.
     """
-    number = F.regexp_extract(url_part(F.col("url"), 3), r"^(?s).*?([0-9]{1,18})[^0-9]*$", 1)
+    number = F.regexp_extract(url_part(F.col("url"), 3), r"(?s)^.*?([0-9]{1,18})[^0-9]*$", 1)
     numbered = pages.select("url", number.try_cast("bigint").alias("page_doc"))
     bad = labels.groupBy(F.col("doc_id").alias("page_doc")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     return numbered.join(bad.where("bad IS NOT NULL"), "page_doc").select("url", "bad")
@@ -100,7 +101,9 @@ def mine_rules(
         "baskets",
     )
     count = baskets.count()
-    support = max(min_support, min_count / max(count, 1))
+    # Half an occurrence below the least count, so that rounding cannot raise it.
+    least = max(math.ceil(min_support * count), min_count)
+    support = (least - 0.5) / max(count, 1)
     rules = "rule_id long, tokens array<string>, confidence double, lift double, support double, rarest string"
     if support > 1:
         return labelled.sparkSession.createDataFrame([], rules)

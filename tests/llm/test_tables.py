@@ -6,12 +6,13 @@ import itertools
 import math
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from factloom.llm import mixing, near_copies, neighbours, sharding, substrings, url_rules
+from factloom.llm import mixing, near_copies, neighbours, queries, sharding, substrings, url_rules
 from factloom.llm.common import running_total
 from factloom.llm.components import components
 from tests.llm import data
@@ -377,3 +378,25 @@ def test_pipeline_on_awkward_documents(spark):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, data.FOLDER)
     assert docs.count() > 0
+
+
+def test_url_query_matches_its_sql_where_rules_are_mined(spark, tmp_path):
+    pick = np.random.default_rng(8)
+    urls = [f"http://{h}.site{k}.org/{p}/{i}{q}" for i, (h, k, p, q) in enumerate(zip(pick.choice(["a", "b"], 500), pick.integers(0, 4, 500), pick.choice(["x", "y"], 500), pick.choice(["", "?u=1&v=2", "#top", ".html"], 500), strict=True))]
+    pages = [(i, u, "") for i, u in enumerate(urls + URLS)]
+    labels = [(i, int(not ("//b." in u and "/y/" in u) and pick.random() > 0.1), 0) for i, u in enumerate(urls) if i % 5]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    want = collections.Counter(con.sql(f"SELECT {', '.join(columns)} FROM ({queries.CHECK_SQL['op10_url_rules']})").fetchall())
+    got = collections.Counter(map(tuple, queries.QUERIES["op10_url_rules"](spark, str(tmp_path)).select(*columns).collect()))
+    assert got == want and sum(n for (*_, verdict), n in got.items() if verdict == "block") > 100
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_named_queries_run(spark, name):
+    result = queries.QUERIES[name](spark, data.FOLDER)
+    assert result.count() > 0 and len(set(result.columns)) == len(result.columns)
