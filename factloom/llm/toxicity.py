@@ -35,12 +35,14 @@ SEED_INSULTS = "idiot moron stupid loser trash scum worthless pathetic disgustin
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)*|[.!?;:,\n]")
 CLAUSE_ENDS = frozenset(".!?;:,\n")
 #: Lengths of the stems that are learned beside whole words.
-STEMS = (4, 5)
+STEMS = (4, 5, 6)
+#: Odds at which a word gets the full weight.
+FULL_ODDS = 400.0
 #: How many words a negation reaches.
 REACH = 3
 FEATURES = ("plain", "aimed", "negated", "reported", "threat", "late_target")
 #: Pattern weights without labels, and the intercept: the centre to which the fit is drawn.
-PRIOR = dict(zip(FEATURES, (2.0, 2.5, 0.6, 0.6, 2.0, 0.3), strict=True)) | {"": -3.0}
+PRIOR = dict(zip(FEATURES, (6.0, 7.0, 3.0, 3.0, 6.0, 0.5), strict=True)) | {"": -3.0}
 
 
 @dataclass
@@ -176,7 +178,9 @@ def learn_insults(
     Documents that share the smallest hash of their 5-word windows are near copies for the most part and
     count once. A word must stand in ``min_documents`` toxic documents and in ``min_share`` of them, with
     odds ``min_odds`` times those of other documents, and with a log-likelihood ratio that chance does not
-    give any of so many words (2 ln of their number). The weight follows the odds.
+    give any of so many words (2 ln of their number). The weight follows the odds. A stem is judged in the same
+    way by the words that are not known by then; it must begin three of them, with six times the share and
+    odds of 20.
     """
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +193,7 @@ def learn_insults(
                 hashes = hasher.windows(parts, min(5, len(parts))) if parts else np.zeros(1, np.uint64)
                 keys.append(int(hashes.min().astype(np.int64)))
             found = [set(TOKEN.findall((t or "").lower())) - CLAUSE_ENDS for t in texts]
-            found = [sorted(ws | {w[:k] + "*" for w in ws for k in STEMS if len(w) > k}) for ws in found]
+            found = [sorted(ws) for ws in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.string()))],
                 names=["near", "doc_id", "toxic", "words"],
@@ -206,28 +210,48 @@ def learn_insults(
     insults = dict.fromkeys(SEED_INSULTS.split(), 1.0)
     if not p_all or not n_all:
         return insults
-    counts = once.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
-    counts = stage(counts, "word-counts")
-    p, n, share = F.col("p"), F.col("n"), F.lit(p_all / (p_all + n_all))
-    odds = F.log((p + 0.5) / (p_all + 1.0)) - F.log((n + 0.5) / (n_all + 1.0))
-    part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
-    ratio = 2 * (part(p, (p + n) * share) + part(n, (p + n) * (1 - share)))
-    known = F.col("word").isin(*insults)
-    marks = (
-        (p >= max(min_documents, min_share * p_all))
-        & (F.col("odds") >= math.log(min_odds))
-        & (F.col("ratio") >= 2 * math.log(max(2, counts.count())))
-    )
-    # The sample is bounded, so this list is; the limit only bounds what an odd vocabulary could make of it.
-    rows = counts.withColumn("odds", odds).withColumn("ratio", ratio).where(known | marks).orderBy(F.desc(known), F.desc("ratio"), "word").limit(most_words).collect()
-    for r in rows:
+    each = once.select("near", "toxic", F.explode("words").alias("word"))
+
+    def marks(counts: DataFrame, odds_above: float, share_above: float, known: list[str]) -> list:
+        """Entries with ``p`` toxic and ``n`` other documents that mark toxic ones, and the known ones."""
+        counts = stage(counts, "word-counts")
+        p, n, share = F.col("p"), F.col("n"), F.lit(p_all / (p_all + n_all))
+        odds = F.log((p + 0.5) / (p_all + 1.0)) - F.log((n + 0.5) / (n_all + 1.0))
+        part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+        ratio = 2 * (part(p, (p + n) * share) + part(n, (p + n) * (1 - share)))
+        marking = (
+            (p >= max(min_documents, share_above * p_all))
+            & (F.col("odds") >= math.log(odds_above))
+            & (F.col("ratio") >= 2 * math.log(max(2, counts.count())))
+        )
+        # The sample is bounded, so this list is; the limit only bounds what an odd vocabulary could make of it.
+        rows = counts.withColumn("odds", odds).withColumn("ratio", ratio).where(F.col("word").isin(known) | marking)
+        return rows.orderBy(F.desc(F.col("word").isin(known)), F.desc("ratio"), "word").limit(most_words).collect()
+
+    toxic = F.col("toxic") == 1
+    whole = each.groupBy("word").agg(F.count_if(toxic).alias("p"), F.count_if(~toxic).alias("n"))
+    for r in marks(whole, min_odds, min_share, list(insults)):
         # A known insult that other documents hold as often fades out.
-        insults[r["word"]] = max(0.02, min(1.0, r["odds"] / math.log(20.0)))
+        insults[r["word"]] = max(0.02, min(1.0, r["odds"] / math.log(FULL_ODDS)))
+    known = sample.sparkSession.createDataFrame([(w,) for w in insults], "word string")
+    stems = F.explode(F.array(*[F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]))
+    others = each.join(known, "word", "left_anti").select("near", "toxic", "word", stems.alias("stem")).where("stem IS NOT NULL")
+    begun = (
+        others.groupBy(F.col("stem").alias("word"))
+        .agg(F.count_distinct(F.when(toxic, F.col("near"))).alias("p"), F.count_distinct(F.when(~toxic, F.col("near"))).alias("n"), F.count_distinct(F.when(toxic, F.col("word"))).alias("words"))
+        .where("words >= 3")
+    )
+    for r in marks(begun, 20.0, 6 * min_share, []):
+        insults[r["word"]] = min(1.0, r["odds"] / math.log(FULL_ODDS))
     return insults
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> dict[str, float]:
-    """Pattern weights by logistic regression, drawn to the prior by a ridge; classes weigh the same."""
+def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> dict[str, float]:
+    """Pattern weights by logistic regression, drawn to the prior by a ridge for each row; classes weigh the same.
+
+    The prior lets a single sure insult decide, also where labelled texts mostly have several.
+    """
+    ridge = ridge * len(x)
     z = np.column_stack([np.log1p(x), np.ones(len(x))])
     prior = np.array([PRIOR[f] for f in FEATURES] + [PRIOR[""]])
     w, share = prior.copy(), np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
