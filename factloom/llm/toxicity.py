@@ -212,7 +212,7 @@ def learn_insults(
         return insults
     each = once.select("near", "toxic", F.explode("words").alias("word"))
 
-    def marks(counts: DataFrame, odds_above: float, share_above: float, known: list[str]) -> list:
+    def marks(counts: DataFrame, odds_above: float, share_above: float, min_words: int, known: list[str]) -> list:
         """Entries with ``p`` toxic and ``n`` other documents that mark toxic ones, and the known ones."""
         counts = stage(counts, "word-counts")
         p, n, share = F.col("p"), F.col("n"), F.lit(p_all / (p_all + n_all))
@@ -223,14 +223,15 @@ def learn_insults(
             (p >= max(min_documents, share_above * p_all))
             & (F.col("odds") >= math.log(odds_above))
             & (F.col("ratio") >= 2 * math.log(max(2, counts.count())))
+            & (F.col("words") >= min_words)
         )
         # The sample is bounded, so this list is; the limit only bounds what an odd vocabulary could make of it.
         rows = counts.withColumn("odds", odds).withColumn("ratio", ratio).where(F.col("word").isin(known) | marking)
         return rows.orderBy(F.desc(F.col("word").isin(known)), F.desc("ratio"), "word").limit(most_words).collect()
 
     toxic = F.col("toxic") == 1
-    whole = each.groupBy("word").agg(F.count_if(toxic).alias("p"), F.count_if(~toxic).alias("n"))
-    for r in marks(whole, min_odds, min_share, list(insults)):
+    whole = each.groupBy("word").agg(F.count_if(toxic).alias("p"), F.count_if(~toxic).alias("n"), F.lit(1).alias("words"))
+    for r in marks(whole, min_odds, min_share, 1, list(insults)):
         # A known insult that other documents hold as often fades out.
         insults[r["word"]] = max(0.02, min(1.0, r["odds"] / math.log(FULL_ODDS)))
     known = sample.sparkSession.createDataFrame([(w,) for w in insults], "word string")
@@ -239,9 +240,8 @@ def learn_insults(
     begun = (
         others.groupBy(F.col("stem").alias("word"))
         .agg(F.count_distinct(F.when(toxic, F.col("near"))).alias("p"), F.count_distinct(F.when(~toxic, F.col("near"))).alias("n"), F.count_distinct(F.when(toxic, F.col("word"))).alias("words"))
-        .where("words >= 3")
     )
-    for r in marks(begun, 20.0, 6 * min_share, []):
+    for r in marks(begun, 20.0, 6 * min_share, 3, []):
         insults[r["word"]] = min(1.0, r["odds"] / math.log(FULL_ODDS))
     return insults
 
