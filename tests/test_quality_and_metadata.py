@@ -1,6 +1,5 @@
 """Data-quality checks and metadata jobs."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from factloom.operators import metadata, quality
