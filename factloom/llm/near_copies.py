@@ -7,8 +7,12 @@ probability Jaccard similarity of their weighted sets (Jaccard similarity where
 document's shingles stop as soon as their next arrival is later than the latest first arrival.
 
 Bands of components that agree make candidates; these are verified exactly. Exact copies are one node from
-the start. In a bucket, all members are first compared with its least node, in chunks of bounded size; then
-only members that are still in different classes are compared with each other.
+the start. In a bucket, all members are first compared with its least node, in chunks of bounded size. Of the
+members that are still in different classes, those are compared that share a shingle among the rarest of both:
+a similarity of t needs common shingles that hold a share t of either document's weight, so the rarest common
+shingle stands among each document's rarest shingles that hold the share 1 - t. If the shingles before it hold
+the shares a and b, the similarity is at most (1 - a) (1 - b) / (1 - a b). Neither loses a link. Last, single bits
+of a longer signature must agree as often as those of similar documents do but for one pair in 300,000.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ from factloom.llm.text import U64, WindowHasher, mixed, slices, within, words_of
 from factloom.sources.workspace import stage
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
+#: Components of the longer signature, of which a bit each is kept, and how many of them may differ: documents of
+#: similarity t differ in a share (1 - t) / 2 of the bits; 4.5 standard deviations more are let through.
+BITS, DEVIATIONS = 4096, 4.5
 #: Text that one comparison task holds beside its centre, about.
 CHUNK_BYTES = 4 << 20
 
@@ -156,6 +163,43 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return held.groupBy("a", "chunk").applyInArrow(compare, "a long, b long, similarity double")
 
 
+def rarest_shingles(texts: DataFrame, threshold: float) -> DataFrame:
+    """(``shingle``, ``node``, ``label``, ``skipped``): each text's rarest shingles that hold the share 1 - threshold.
+
+    ``skipped`` is the share of the text's weight in still rarer ones. Shingles that occur under one label only can link nothing and are left out.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            doc, hashes, weights, _ = shingles(batch.column("text").to_pylist())
+            take = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(take), batch.column("label").take(take), pa.array(hashes.view(np.int64)), pa.array(weights)],
+                names=["node", "label", "shingle", "weight"],
+            )
+
+    rows = texts.select("node", "label", "text").mapInArrow(split, "node long, label long, shingle long, weight long")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("n"), (F.min("label") != F.max("label")).alias("links"))
+    return rows.join(common, "shingle").selectExpr(
+        "*",
+        "sum(weight) OVER (PARTITION BY node ORDER BY n, shingle) - weight AS before",
+        "sum(weight) OVER (PARTITION BY node) AS total",
+    ).where(f"links AND before <= {1 - threshold} * total + 1e-9").selectExpr("shingle", "node", "label", "before / total AS skipped")
+
+
+def signature_bits(texts: DataFrame) -> DataFrame:
+    """(``node``, ``bits``): the last bit of every component of a longer signature, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=1 << 20):
+            doc, hashes, weights, _ = shingles(batch.column("text").to_pylist())
+            made = mixed(signatures(doc, hashes, weights, len(batch), BITS)) & U64(1)
+            packed = np.packbits(made.astype(np.uint8), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(packed), pa.list_(pa.int64()))], names=["node", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
+
+
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The class of every document: ``doc_id``, ``text_key``, ``class_id``, ``first`` (whether it opens its class).
 
@@ -198,9 +242,16 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     # What the stars left apart: members of one bucket in different classes that were not compared yet.
     open_ = buckets.where("n > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    apart = stage(open_.join(split, "key").where("node <> centre").select("key", "node", "label"), "apart")
-    other = apart.select("key", F.col("node").alias("b"), F.col("label").alias("other_label"))
-    rest = apart.join(other, "key").where("node < b AND label <> other_label").select(F.col("node").alias("a"), "b").distinct()
+    apart = stage(open_.join(split, "key").where("node <> centre").select("node", "label").distinct(), "apart")
+    unlike = texts.join(apart, "node")
+    rare = stage(rarest_shingles(unlike, threshold).join(signature_bits(unlike), "node"), "rarest")
+    other = rare.select("shingle", F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in ("label", "skipped", "bits")])
+    bound = f"(1 - skipped) * (1 - other_skipped) >= {threshold} * (1 - skipped * other_skipped) - 1e-9"
+    differ = " + ".join(f"bit_count(element_at(bits, {k}) ^ element_at(other_bits, {k}))" for k in range(1, BITS // 64 + 1))
+    share = (1 - threshold) / 2
+    allowed = BITS * share + DEVIATIONS * (BITS * share * (1 - share)) ** 0.5
+    alike = f"node < b AND label <> other_label AND {bound} AND {differ} <= {allowed}"
+    rest = rare.join(other, "shingle").where(alike).select(F.col("node").alias("a"), "b").distinct()
     rest = stage(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
     more = stage(verify(rest, texts, threshold).select("a", "b"), "verified-rest")
     if not more.isEmpty():
