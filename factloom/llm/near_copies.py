@@ -11,8 +11,9 @@ the start. In a bucket, all members are first compared with its least node, in c
 members that are still in different classes, those are compared that share a shingle among the rarest of both:
 a similarity of t needs common shingles that hold a share t of either document's weight, so the rarest common
 shingle stands among each document's rarest shingles that hold the share 1 - t. If the shingles before it hold
-the shares a and b, the similarity is at most (1 - a) (1 - b) / (1 - a b). Neither loses a link. Last, single bits
-of a longer signature must agree as often as those of similar documents do but for one pair in 300,000.
+the shares a and b, the similarity is at most (1 - a) (1 - b) / (1 - a b). The same bound is taken with the shares
+that lie in places of a bitmap of hashed shingles which the other document leaves empty: collisions only make them
+smaller, and so the bound larger. No link is lost by any of this.
 """
 
 from __future__ import annotations
@@ -31,9 +32,8 @@ from factloom.llm.text import U64, WindowHasher, mixed, slices, within, words_of
 from factloom.sources.workspace import stage
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
-#: Components of the longer signature, of which a bit each is kept, and how many of them may differ: documents of
-#: similarity t differ in a share (1 - t) / 2 of the bits; 4.5 standard deviations more are let through.
-BITS, DEVIATIONS = 4096, 4.5
+#: Places of the bitmap of a document's shingles.
+BITS = 4096
 #: Text that one comparison task holds beside its centre, about.
 CHUNK_BYTES = 4 << 20
 
@@ -187,17 +187,34 @@ def rarest_shingles(texts: DataFrame, threshold: float) -> DataFrame:
     ).where(f"links AND before <= {1 - threshold} * total + 1e-9").selectExpr("shingle", "node", "label", "before / total AS skipped")
 
 
-def signature_bits(texts: DataFrame) -> DataFrame:
-    """(``node``, ``bits``): the last bit of every component of a longer signature, packed."""
+def shingle_bits(texts: DataFrame) -> DataFrame:
+    """(``node``, ``bits``, ``marked``, ``weight``): a bitmap of the hashed shingles, packed, its ones, and the weight of all shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
             doc, hashes, weights, _ = shingles(batch.column("text").to_pylist())
-            made = mixed(signatures(doc, hashes, weights, len(batch), BITS)) & U64(1)
-            packed = np.packbits(made.astype(np.uint8), axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(list(packed), pa.list_(pa.int64()))], names=["node", "bits"])
+            made = np.zeros((len(batch), BITS), np.uint8)
+            made[doc, (mixed(hashes) % U64(BITS)).astype(np.int64)] = 1
+            packed = np.packbits(made, axis=1).view(np.int64)
+            whole = np.bincount(doc, weights, len(batch))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(list(packed), pa.list_(pa.int64())), pa.array(made.sum(axis=1, dtype=np.int64)), pa.array(whole)],
+                names=["node", "bits", "marked", "weight"],
+            )
+
+    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>, marked long, weight double")
 
-    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
+
+def common_bits_needed(threshold: float) -> str:
+    """The least number of common bits with which two documents can be ``threshold`` similar.
+
+    With c common bits, (marked - c) / weight of either document is not in the other. The bound of the similarity,
+    which grows with c, reaches the threshold at the greater root of (1 + t) c^2 + q c + r. If r > 0 it does so at 0.
+    """
+    t = threshold
+    q = f"(weight - marked + other_weight - other_marked - {t} * (marked + other_marked))"
+    r = f"((weight - marked) * (other_weight - other_marked) - {t} * (weight * other_weight - marked * other_marked))"
+    return f"CASE WHEN {r} > 0 THEN 0 ELSE (sqrt({q} * {q} - 4 * (1 + {t}) * {r}) - {q}) / (2 * (1 + {t})) END - 1e-6"
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -244,13 +261,11 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     split = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     apart = stage(open_.join(split, "key").where("node <> centre").select("node", "label").distinct(), "apart")
     unlike = texts.join(apart, "node")
-    rare = stage(rarest_shingles(unlike, threshold).join(signature_bits(unlike), "node"), "rarest")
-    other = rare.select("shingle", F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in ("label", "skipped", "bits")])
+    rare = stage(rarest_shingles(unlike, threshold).join(shingle_bits(unlike), "node"), "rarest")
+    other = rare.select("shingle", F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in ("label", "skipped", "bits", "marked", "weight")])
     bound = f"(1 - skipped) * (1 - other_skipped) >= {threshold} * (1 - skipped * other_skipped) - 1e-9"
-    differ = " + ".join(f"bit_count(element_at(bits, {k}) ^ element_at(other_bits, {k}))" for k in range(1, BITS // 64 + 1))
-    share = (1 - threshold) / 2
-    allowed = BITS * share + DEVIATIONS * (BITS * share * (1 - share)) ** 0.5
-    alike = f"node < b AND label <> other_label AND {bound} AND {differ} <= {allowed}"
+    common = " + ".join(f"bit_count(element_at(bits, {k}) & element_at(other_bits, {k}))" for k in range(1, BITS // 64 + 1))
+    alike = f"node < b AND label <> other_label AND {bound} AND {common} >= {common_bits_needed(threshold)}"
     rest = rare.join(other, "shingle").where(alike).select(F.col("node").alias("a"), "b").distinct()
     rest = stage(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
     more = stage(verify(rest, texts, threshold).select("a", "b"), "verified-rest")

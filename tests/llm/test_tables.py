@@ -206,6 +206,38 @@ def test_links_that_no_star_has_are_found(spark):
     assert {r.doc_id: r.class_id for r in got} == brute_classes(rows)
 
 
+def test_links_of_short_texts_that_no_star_has_are_found(spark):
+    # Two texts of a similarity of 0.8 or little more share all their buckets with lesser ids that resemble neither.
+    # Some texts are chosen so that the shingles that they don't share differ in single hash bits.
+    rows = []
+    chosen = [(13, 25), (13, 34), (13, 44), (13, 45), (14, 23), (14, 24), (22, 29), (22, 38), (23, 40)]
+    for family, (n, name) in enumerate(chosen + [(n, 0) for n in range(10, 41, 5)]):
+        cut = max(1, (n - 4) // 9)
+        body = [f"f{n}x{name}w{i}" for i in range(n - cut)]
+        more = int((n - 4 - cut) / 0.8) - (n - 4) + 1
+        rows += [(1000 * family + k, " ".join([f"c{family}k{k}p{i}" for i in range(more)] + body)) for k in range(40)]
+        rows += [(1000 * family + 500 + k, " ".join(body + [f"f{n}x{name}e{k}t{i}" for i in range(cut)])) for k in range(2)]
+    got = near_copies.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(rows)
+
+
+def test_shared_bits_bound_the_similarity_from_above(spark):
+    pick = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in np.minimum(pick.integers(0, 40, 60), cap)) for cap in (1, 2, 3, 40) for _ in range(8)]
+    texts += [f"{t} w1 w2 w3" for t in texts] + [t.rsplit(" ", 4)[0] for t in texts]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    bits = near_copies.shingle_bits(spark.createDataFrame(rows, "node long, text string"))
+    other = bits.select(F.col("node").alias("b"), *[F.col(c).alias(f"other_{c}") for c in ("bits", "marked", "weight")])
+    common = F.expr("aggregate(zip_with(bits, other_bits, (x, y) -> bit_count(x & y)), 0, (s, x) -> s + x)").alias("common")
+    pairs = bits.join(other, F.expr("node < b"))
+    for threshold in (0.5, 0.8):
+        found = pairs.select("node", "b", common, F.expr(near_copies.common_bits_needed(threshold)).alias("needed")).collect()
+        assert any(r.common < r.needed for r in found)
+        for r in found:
+            if r.common < r.needed:
+                assert probability_jaccard(shingle_counts(texts[r.node]), shingle_counts(texts[r.b])) < threshold
+
+
 def test_near_copies_of_awkward_documents(spark):
     docs = data.documents(spark)
     rows = near_copies.classes(docs).collect()
