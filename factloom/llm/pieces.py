@@ -2,9 +2,10 @@
 
 A text is cut into chunks that no piece spans. In a chunk, candidate merges wait in an agenda by the score of
 the piece they make, leftmost first; each is skipped with a given chance that depends only on a keyed hash of
-the seed, the chunk, its variant and the candidate's place, so that encoding is reproducible anywhere. Every
-occurrence of a chunk takes one of a fixed number of variants, which makes segmentations vary and still lets
-frequent chunks be remembered. Characters without a piece become byte pieces; decoding gives the text back.
+the seed, the row, the chunk, its place in the text and the candidate's place, so that encoding is reproducible
+anywhere and every occurrence of a chunk is drawn for itself. What is remembered of a chunk are its pieces without
+dropout and the candidates that come up on the way: only occurrences that skip one of these are merged anew.
+Characters without a piece become byte pieces; decoding gives the text back.
 
 Short chunks are merged side by side as rows of a matrix, long ones one by one with a heap; both follow the
 same agenda. A model needs BPE pieces, byte pieces and no normalization.
@@ -15,7 +16,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +29,20 @@ from factloom.llm.text import mixed, slices
 SPACE = "▁"
 #: Chunks up to so many characters are merged as matrix rows.
 MATRIX_LENGTH = 40
-#: Segmented chunks that a task remembers.
+#: Chunks that a task remembers beside those of a batch.
 REMEMBERED = 300_000
+#: Occurrences whose candidates are drawn at once.
+DRAWN = 100_000
 NEVER = np.iinfo(np.int32).max
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
     """Tables of a SentencePiece model."""
 
-    def __init__(self, model: bytes, dropout: float = 0.0, seed: int = 0, variants: int = 8) -> None:
+    def __init__(self, model: bytes, dropout: float = 0.0, seed: int = 0) -> None:
         loaded = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.dropout, self.seed, self.variants = dropout, seed, variants
+        self.dropout, self.seed = dropout, seed
         self.names, self.bytes, ids, scores = [], {}, {}, {}
         for i in range(loaded.get_piece_size()):
             name = loaded.id_to_piece(i)
@@ -72,41 +75,51 @@ class Pieces:
             if len(name) == 1:
                 self.of_char[ord(name)] = i
         self.limit = np.uint64(int(dropout * (2**64 - 1)))
+        self.forget()
 
-    @cached_property
-    def memory(self) -> list[dict[str, bytes]]:
-        return [{} for _ in range(self.variants)]
+    def forget(self) -> None:
+        """Remembered chunks: number, pieces without dropout, keyed hash, and hashed candidates, of which ``first`` is the first."""
+        self.numbers: dict[str, int] = {}
+        self.plain: list[bytes] = []
+        self.hashes, self.candidates, self.first = np.empty(0, np.uint64), np.empty(0, np.uint64), np.zeros(1, np.int64)
 
     def skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Whether the candidate that joins characters [start, middle) and [middle, end) is skipped."""
-        place = (start.astype(np.uint64) << np.uint64(42)) | (middle.astype(np.uint64) << np.uint64(21)) | end.astype(np.uint64)
-        return mixed(key ^ mixed(place)) < self.limit
+        return mixed(key ^ place_hash(start, middle, end)) < self.limit
 
     def ranked(self, left: np.ndarray, right: np.ndarray, key, start, middle, end) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of the merge of neighbours; NEVER where there is none or it is skipped."""
+        """Rank and piece of the merge of neighbours; NEVER where there is none or it is skipped. Nothing is skipped without a key."""
         pair = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
         known = (self.keys[at] == pair) & (left >= 0) & (right >= 0)
-        if self.dropout > 0:
+        if self.dropout > 0 and key is not None:
             known &= ~self.skipped(key, start, middle, end)
         return np.where(known, self.ranks[at], NEVER), self.made[at]
 
-    def chunk_keys(self, chunks: list[str], variants: np.ndarray) -> np.ndarray:
-        plain = np.array([xxhash.xxh3_64_intdigest(c.encode(), self.seed) for c in chunks], np.uint64)
-        return mixed(plain + variants.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    def chunk_keys(self, chunks: list[str], occurrences: np.ndarray) -> np.ndarray:
+        return mixed(self.chunk_hashes(chunks) + occurrences.astype(np.uint64) * GOLDEN)
+
+    def chunk_hashes(self, chunks: list[str]) -> np.ndarray:
+        return np.array([xxhash.xxh3_64_intdigest(c.encode(), self.seed) for c in chunks], np.uint64)
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()]
 
-    def merge_rows(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
-        """Pieces, as 16-bit numbers, of chunks that all have the same length."""
+    def merge_rows(self, chunks: list[str], keys: np.ndarray | None, seen: list | None = None) -> list[bytes]:
+        """Pieces, as 16-bit numbers, of chunks that all have the same length; without dropout if there are no keys.
+
+        ``seen`` is given the candidates that come up: rows and hashes of places.
+        """
         length = len(chunks[0])
         codes = np.array(chunks, dtype=f"<U{length}").view(np.uint32).reshape(len(chunks), length)
         ids = self.of_char[codes]
         place = np.broadcast_to(np.arange(length + 1), (len(chunks), length + 1)).copy()
         out: list[bytes] = [b""] * len(chunks)
-        row, key = np.arange(len(chunks)), keys[:, None]
+        row, key = np.arange(len(chunks)), None if keys is None else keys[:, None]
         rank, made = self.ranked(ids[:, :-1], ids[:, 1:], key, place[:, :-2], place[:, 1:-1], place[:, 2:])
+        if seen is not None:
+            r, c = np.nonzero(rank < NEVER)
+            seen.append((r, place_hash(c, c + 1, c + 2)))
         while len(row):
             width = ids.shape[1]
             if width > 1:
@@ -126,7 +139,8 @@ class Pieces:
             if not open_.any():
                 break
             if not open_.all():
-                row, key, ids, place, rank, made, column = (x[open_] for x in (row, key, ids, place, rank, made, column))
+                row, ids, place, rank, made, column = (x[open_] for x in (row, ids, place, rank, made, column))
+                key = None if key is None else key[open_]
             every, columns = np.arange(len(row)), np.arange(width)
             ids[every, column] = made[every, column]
             keep = columns[:-1] + (columns[:-1] > column[:, None])  # all but the column right of the merge
@@ -142,9 +156,11 @@ class Pieces:
                 there = np.flatnonzero((at >= 0) & (at < width - 2))
                 if len(there):
                     c = at[there]
-                    rank[there, c], made[there, c] = self.ranked(
-                        ids[there, c], ids[there, c + 1], key[there, 0], place[there, c], place[there, c + 1], place[there, c + 2]
-                    )
+                    at_ = place[there, c], place[there, c + 1], place[there, c + 2]
+                    rank[there, c], made[there, c] = self.ranked(ids[there, c], ids[there, c + 1], None if key is None else key[there, 0], *at_)
+                    if seen is not None:
+                        new = rank[there, c] < NEVER
+                        seen.append((row[there[new]], place_hash(*(x[new] for x in at_))))
         return out
 
     def written(self, chunk: str, ids: np.ndarray, place: np.ndarray) -> bytes:
@@ -184,8 +200,11 @@ class Pieces:
         starts = [i for i in range(n) if alive[i]]
         return self.written(chunk, np.array([ids[i] for i in starts]), np.array(starts))
 
-    def segment(self, chunks: list[str], variants: np.ndarray) -> list[bytes]:
-        keys = self.chunk_keys(chunks, variants)
+    def segment(self, chunks: list[str], occurrences: np.ndarray) -> list[bytes]:
+        return self.merge(chunks, self.chunk_keys(chunks, occurrences))
+
+    def merge(self, chunks: list[str], keys: np.ndarray | None, seen: list | None = None) -> list[bytes]:
+        """Pieces of chunks; without keys, and for short chunks only, those without dropout."""
         out: list[bytes] = [b""] * len(chunks)
         lengths = np.array([len(c) for c in chunks])
         for length in np.unique(lengths):
@@ -195,39 +214,66 @@ class Pieces:
                     out[i] = self.merge_long(chunks[i], keys[i])
                 continue
             for cut in range(0, len(rows), 20_000):
-                part = rows[cut : cut + 20_000]
-                for i, made in zip(part, self.merge_rows([chunks[i] for i in part], keys[part]), strict=True):
+                part, found = rows[cut : cut + 20_000], None if seen is None else []
+                for i, made in zip(part, self.merge_rows([chunks[i] for i in part], None if keys is None else keys[part], found), strict=True):
                     out[i] = made
+                if seen is not None:
+                    seen += [(part[r], place) for r, place in found]
+        return out
+
+    def remember(self, chunks: list[str]) -> None:
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        self.plain += self.merge(chunks, None, seen)
+        self.numbers.update(zip(chunks, range(len(self.numbers), len(self.numbers) + len(chunks)), strict=True))
+        row, place = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        self.hashes = np.concatenate([self.hashes, self.chunk_hashes(chunks)])
+        self.candidates = np.concatenate([self.candidates, place[np.argsort(row, kind="stable")]])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.bincount(row, minlength=len(chunks)))])
+
+    def skips(self, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether an occurrence of a remembered chunk skips one of the candidates that come up without dropout."""
+        out = np.zeros(len(ids), bool)
+        for cut in range(0, len(ids), DRAWN):
+            part = ids[cut : cut + DRAWN]
+            counts = self.first[part + 1] - self.first[part]
+            ends = np.cumsum(counts)
+            at = np.arange(counts.sum()) + np.repeat(self.first[part] - (ends - counts), counts)
+            hit = mixed(np.repeat(keys[cut : cut + DRAWN], counts) ^ self.candidates[at]) < self.limit
+            sums = np.concatenate([[0], np.cumsum(hit)])
+            out[cut : cut + DRAWN] = sums[ends] > sums[ends - counts]
         return out
 
     def encode(self, texts: list[str | None], salts: np.ndarray) -> list[np.ndarray | None]:
-        """Piece ids of each text; ``salts`` pick the variants of its chunks. None stays None."""
-        memory, later, order = self.memory, [], []
-        missing: dict[tuple[str, int], int] = {}
+        """Piece ids of each text; the draws depend on ``salts`` and the text. None stays None."""
+        chunks, numbers, counts = [], [np.empty(0, np.uint64)], []
         for text, salt in zip(texts, salts.tolist(), strict=True):
-            if text is None:
-                order.append(None)
-                continue
-            chunks = CHUNK.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)) if text else []
-            numbers = np.arange(len(chunks), dtype=np.uint64) + np.uint64(salt)
-            variants = (mixed(numbers) % np.uint64(self.variants)).tolist()
-            found = [memory[v].get(c) for c, v in zip(chunks, variants, strict=True)]
-            for k, made in enumerate(found):
-                if made is None:
-                    found[k] = missing.setdefault((chunks[k], variants[k]), len(missing))
-            order.append(found)
-        if missing:
-            later = self.segment([c for c, _ in missing], np.array([v for _, v in missing]))
-            room = REMEMBERED - sum(map(len, memory))
-            for (chunk, v), made in zip(missing, later, strict=True):
-                if room <= 0:
-                    break
-                if len(chunk) <= MATRIX_LENGTH:
-                    memory[v][chunk] = made
-                    room -= 1
+            found = chunks_of(text) if text else []
+            chunks += found
+            counts.append(len(found))
+            if found:
+                numbers.append(occurrences(salt, text, len(found)))
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        new = [c for c in dict.fromkeys(chunks) if len(c) <= MATRIX_LENGTH and c not in self.numbers]
+        if new:
+            self.remember(new)
+        ids = np.array([self.numbers.get(c, -1) for c in chunks], np.int64)
+        made = [self.plain[i] if i >= 0 else b"" for i in ids.tolist()]
+        again = ids < 0
+        keys = np.empty(len(ids), np.uint64)
+        short, long_ = np.flatnonzero(~again), np.flatnonzero(again)
+        order = np.concatenate(numbers)
+        keys[short] = mixed(self.hashes[ids[short]] + order[short] * GOLDEN)
+        keys[long_] = self.chunk_keys([chunks[i] for i in long_], order[long_])
+        if self.dropout > 0:
+            again[short] = self.skips(ids[short], keys[short])
+        rows = np.flatnonzero(again)
+        for i, pieces in zip(rows.tolist(), self.merge([chunks[i] for i in rows], keys[rows]), strict=True):
+            made[i] = pieces
+        ends = np.cumsum(counts, dtype=np.int64).tolist()
         return [
-            None if found is None else np.frombuffer(b"".join([x if type(x) is bytes else later[x] for x in found]), "<u2").astype(np.int32)
-            for found in order
+            None if text is None else np.frombuffer(b"".join(made[end - n : end]), "<u2").astype(np.int32)
+            for text, n, end in zip(texts, counts, ends, strict=True)
         ]
 
     def decode(self, ids: np.ndarray | None) -> str | None:
@@ -243,6 +289,20 @@ LITERAL = "\U0010fffe"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
+def chunks_of(text: str) -> list[str]:
+    return CHUNK.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE))
+
+
+def occurrences(salt: int, text: str, count: int) -> np.ndarray:
+    """A number for each chunk of a text, by the place of the chunk, the text and the salt of its row."""
+    start = mixed(np.array([salt ^ xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint64))
+    return mixed(np.arange(count, dtype=np.uint64) + start)
+
+
+def place_hash(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mixed((start.astype(np.uint64) << np.uint64(42)) | (middle.astype(np.uint64) << np.uint64(21)) | end.astype(np.uint64))
+
+
 class _Literal(Pieces):
     """Pieces that spell the stand-in as the sign it stands for."""
 
@@ -250,11 +310,11 @@ class _Literal(Pieces):
         return super().fallback(SPACE if char == LITERAL else char)
 
 
-def load(model: bytes, dropout: float = 0.0, seed: int = 0, variants: int = 8) -> Pieces:
-    return _Literal(model, dropout, seed, variants)
+def load(model: bytes, dropout: float = 0.0, seed: int = 0) -> Pieces:
+    return _Literal(model, dropout, seed)
 
 
-def encode(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 1, variants: int = 8) -> DataFrame:
+def encode(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 1) -> DataFrame:
     """Adds ``pieces``, the ids of the text's pieces, to the columns of ``docs``.
 
     A row's segmentation depends on its doc_id, its text and the seed alone. NULL text has NULL pieces, an
@@ -264,7 +324,7 @@ def encode(docs: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 1, v
     carried = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = load(model, dropout, seed, variants)
+        tables = load(model, dropout, seed)
         for batch in slices(batches):
             salts = mixed(batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy().view(np.uint64) + np.uint64(seed))
             made = tables.encode(batch.column("text").to_pylist(), salts)

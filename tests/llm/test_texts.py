@@ -58,6 +58,28 @@ def test_matrix_and_agenda_agree(model):
     assert made == [tables.merge_long(c, k) for c, k in zip(chunks, keys, strict=True)]
 
 
+def test_every_occurrence_is_drawn_for_itself(model):
+    tables = pieces.load(model, 0.1, 1)
+    for letter in "abcst":
+        whole = pieces.load(model).encode([letter], np.zeros(1, np.uint64))[0]
+        assert len(whole) == 1  # one candidate: the space sign and the letter
+        made = tables.encode([" ".join([letter] * 20_000)], np.zeros(1, np.uint64))[0]
+        assert 0.09 < (len(made) - 20_000) / 20_000 < 0.11
+    text = " ".join(["segmentation"] * 2000)
+    at = tables.segment(["▁segmentation"] * 2000, pieces.occurrences(7, text, 2000))
+    assert len(set(at)) > 8
+    assert tables.encode([text], np.array([7], np.uint64))[0].astype("<u2").tobytes() == b"".join(at)
+
+
+def test_remembered_chunks_change_nothing(spark, model):
+    tables = pieces.load(model, 0.2, 3)
+    texts = [t for t in ODD if "▁" not in t] + [r.text for r in data.given(spark, "documents").limit(40).collect()]
+    for i, (text, made) in enumerate(zip(texts, tables.encode(texts, np.arange(len(texts), dtype=np.uint64)), strict=True)):
+        chunks = pieces.chunks_of(text)
+        each = tables.segment(chunks, pieces.occurrences(i, text, len(chunks)))
+        assert made.astype("<u2").tobytes() == b"".join(each)
+
+
 def test_pieces_of_awkward_documents(spark, model):
     done = pieces.decode(pieces.encode(data.documents(spark), model), model)
     rows = done.collect()
