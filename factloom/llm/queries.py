@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import class_model, mixing, near_copies, neighbours, pieces, quality, sharding, substrings, toxicity, url_rules
+from factloom.llm import (
+    byte_pairs,
+    centroids,
+    class_model,
+    mixing,
+    near_copies,
+    neighbours,
+    pieces,
+    quality,
+    sharding,
+    substrings,
+    toxicity,
+    url_rules,
+    variants,
+)
+from factloom.llm.check_sql import CENTROIDS_SQL, VARIANTS_SQL
 from factloom.llm.common import GAP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +35,16 @@ CHECK_SQL: dict[str, str] = {}
 TOKENIZERS = "/opt/tokenizers"
 
 
-def piece_model(spark: SparkSession) -> bytes:
-    """The SentencePiece model, read by the driver: about half a megabyte, whatever the corpus."""
-    with open(f"{spark.conf.get('spark.factloom.tokenizers', TOKENIZERS)}/piece_bpe_32k.model", "rb") as file:
+def vocabulary(spark: SparkSession, name: str) -> bytes:
+    """A vocabulary file, read by the driver: about half a megabyte, whatever the corpus."""
+    with open(f"{spark.conf.get('spark.factloom.tokenizers', TOKENIZERS)}/{name}", "rb") as file:
         return file.read()
 
 
+def piece_model(spark: SparkSession) -> bytes:
+    return vocabulary(spark, "piece_bpe_32k.model")
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -151,3 +170,30 @@ def op10_url_rules(spark, folder):
     pages, labels = table(spark, folder, "pages"), table(spark, folder, "labels")
     mined = url_rules.mine_rules(url_rules.labelled_urls(pages, labels))
     return url_rules.judge(pages, url_rules.POLICY, mined).drop("mined_rule")
+
+
+@checked(VARIANTS_SQL)
+def op11_variants(spark, folder):
+    words = variants.count_words(table(spark, folder, "documents"), shortest=7, fewest=2, drop_every=31)
+    return variants.group_variants(words, times=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@checked(CENTROIDS_SQL)
+def op12_centroids(spark, folder):
+    assigned, found = centroids.lloyd(table(spark, folder, "embeddings"))
+    return centroids.cluster_digest(assigned, found).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_byte_pairs(spark, folder):
+    import public_tokenizers
+
+    merges = byte_pairs.load(vocabulary(spark, "byte_bpe_50k.tiktoken"))
+    encoded = byte_pairs.encode(table(spark, folder, "documents").select("doc_id", "text"), merges, public_tokenizers.PATTERN)
+    done = byte_pairs.decode(encoded.drop("text"), merges)
+    return done.select(
+        "doc_id",
+        (F.length("token_bytes") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
