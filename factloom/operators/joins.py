@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators.keys import join_keys
+from factloom.sources.workspace import stage
 from factloom.spec import Lookup, quoted, renamed
 
 _RIGHT = "_r_"
@@ -16,6 +17,8 @@ _RIGHT = "_r_"
 
 def _keys_named(on: Mapping[str, str]) -> dict[str, str]:
     """Right-hand key columns and the working names under which they join."""
+    if len(set(on.values())) < len(on):
+        raise ValueError("a right-hand column can serve one key only")
     return {right: _RIGHT + left for left, right in on.items()}
 
 
@@ -50,6 +53,40 @@ def enrich(left: DataFrame, lookups: Sequence[Lookup], spread_by: str | None = N
     return reduce(lambda df, step: lookup_join(df, step, spread_by), lookups, left)
 
 
+def enrich_late(left: DataFrame, lookups: Sequence[Lookup], row_key: Sequence[str]) -> DataFrame:
+    """The rows that :func:`enrich` gives for lookups that do not depend on each other; wide rows are moved once.
+
+    Only ``row_key`` and the lookups' keys travel to the lookups, as distinct tuples that are written once: few of them
+    are broadcast, so that a small delta never shuffles a whole lookup table. What they find comes back under a hash
+    of ``row_key``. Rows and finds meet there: all these joins share one partitioning, and so does a
+    ``distinct`` that keeps the column ``row_hash``. What decides is the equality of the tuples, not the hash.
+
+    Rows equal in ``row_key`` meet in one task, so it should be nearly unique; its NULLs are values like others. A hot
+    lookup key meets only the narrow tuples, in inner joins, which adaptive execution may divide on either side, and
+    a NULL lookup key does not travel there. The result has the left columns, the lookups' columns and ``row_hash``.
+    """
+    kept = list(dict.fromkeys([*row_key, *[l for step in lookups for l in step.on]]))
+    hashed = f"xxhash64({', '.join(quoted(c) for c in row_key)})"
+    tuples = stage(left.select(*[quoted(c) for c in kept]).distinct(), "lookup-keys")
+    rows = left.selectExpr("*", f"{hashed} AS row_hash")
+    same = " AND ".join(["row_hash = _f_hash", *[_same_value(quoted(c), quoted("_f_" + c)) for c in kept]])
+    for step in lookups:
+        right = step.frame.selectExpr(*renamed(_keys_named(step.on)), *renamed(step.columns))
+        found = tuples.join(right, F.expr(" AND ".join(f"{quoted(l)} = {quoted(_RIGHT + l)}" for l in step.on)), "inner")
+        found = found.selectExpr(
+            f"{hashed} AS _f_hash", *renamed({c: "_f_" + c for c in kept}), *[quoted(c) for c in step.columns.values()]
+        )
+        if not step.copies:
+            found = found.distinct()
+        rows = rows.join(found, F.expr(same), "left").drop("_f_hash", *["_f_" + c for c in kept])
+    return rows
+
+
+def _same_value(a: str, b: str) -> str:
+    """Null-safe equality that Spark does not take for a join key, as the rows must not be dealt by it."""
+    return f"({a} >= {b} AND {a} <= {b} OR {a} IS NULL AND {b} IS NULL)"
+
+
 def parent_child_join(parent: DataFrame, child: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Parent rows with all their child rows; parents without children stay, once.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.text import literal
+from factloom.sources.workspace import stage
 from factloom.spec import quoted, renamed
 
 
@@ -58,6 +59,36 @@ def keys_through(
     return distinct_keys(hit, key)
 
 
+def keys_hit_on_any_path(
+    rows: DataFrame, paths: Sequence[tuple[DataFrame, Mapping[str, str]]], key: Sequence[str]
+) -> DataFrame:
+    """Distinct ``key`` tuples of the rows that a change reaches on at least one path. The rows are read once.
+
+    A path is (changed rows, ``{row column: changed column}``). Every row offers one tagged key for each path; the
+    changed keys of all paths are one tagged set, written once, so that Spark knows its size. One semi join decides
+    for all paths; a NULL matches nothing. Keys meet as text, so both sides of a pair must have the same type.
+    """
+    width = max(len(on) for _, on in paths)
+    parts = [f"_k{i}" for i in range(width)]
+
+    def tagged(number: int, columns: Sequence[str]) -> str:
+        values = [f"CAST({quoted(c)} AS string)" for c in columns] + ["''"] * (width - len(columns))
+        return f"named_struct('_path', {number}, {', '.join(f'{literal(p)}, {v}' for p, v in zip(parts, values, strict=True))})"
+
+    changed_keys = []
+    for number, (changed, on) in enumerate(paths):
+        row_types, changed_types = dict(rows.dtypes), dict(changed.dtypes)
+        unlike = [(r, c) for r, c in on.items() if row_types[r] != changed_types[c] or row_types[r] in ("float", "double")]
+        if unlike:
+            raise ValueError(f"columns that cannot meet as text: {unlike}")
+        changed_keys.append(changed.selectExpr(f"{tagged(number, list(on.values()))} AS _key"))
+    wanted = stage(reduce(DataFrame.unionByName, changed_keys).distinct().select("_key.*"), "changed-keys")
+    offers = [tagged(n, list(on)) for n, (_, on) in enumerate(paths)]
+    offered = rows.selectExpr(*[quoted(k) for k in key], f"explode(array({', '.join(offers)})) AS _offer")
+    offered = offered.select(*[quoted(k) for k in key], "_offer.*")
+    return offered.join(wanted, ["_path", *parts], "left_semi").select(*[quoted(k) for k in key]).distinct()
+
+
 def union_distinct(*key_sets: DataFrame) -> DataFrame:
     """Union of key sets without repeats."""
     return reduce(DataFrame.unionByName, key_sets).distinct()

@@ -25,17 +25,18 @@ from factloom.operators.filters import (
     unit_filter,
     watermark_text,
 )
-from factloom.operators.joins import enrich
+from factloom.operators.joins import enrich, enrich_late
 from factloom.operators.keys import (
     changed_key_semi_join,
     distinct_keys,
     join_keys,
+    keys_hit_on_any_path,
     keys_through,
     rows_hit,
     union_distinct,
 )
 from factloom.operators.merge import assert_unique_keys, delete_by_keys
-from factloom.sources.workspace import stage, stage_all
+from factloom.sources.workspace import stage
 from factloom.spec import Lookup, renamed
 
 # Ledger columns and their published names.
@@ -118,6 +119,8 @@ MOVEMENT_COLUMNS = {
 MERGE_KEYS = ("Source_ID", "Rec_No_Line_Itm_Rec")
 
 KEY, ACTION, STAMP, CATEGORY = "Rec_No_Line_Itm_Rec", "OPFLAG", "ingested_at", "_category"
+# Published columns that tell (nearly) all ledger rows apart.
+ROW_KEY = (KEY, "Accounting_Document_No", "Document_Line")
 REF_LEFT, REF_RIGHT = "CL_LT_Reference_Doc_No", "CL_RT_Reference_Doc_No"
 
 # How the tables refer to each other (row column -> column of the table it points to).
@@ -170,23 +173,32 @@ def reference_keys(header: DataFrame) -> DataFrame:
 
 
 def lookups(feeds: LedgerFeeds) -> list[Lookup]:
-    """The enrichment steps in order, over rows that are not deleted."""
+    """The enrichment steps, over rows that are not deleted; none depends on another.
+
+    Movements hang on headers and second quantities on movements, so these three are joined among themselves first,
+    row by row of the headers, of which there are fewer than ledger lines, and narrower ones.
+    """
     current = {n: split_changes(getattr(feeds, n), ACTION)[0] for n in ("quantity", "contract", "header", "movement", "second_quantity")}
     on_ledger = LEDGER_COLUMNS | {"DOCCT": CATEGORY}
-    steps = [
-        Lookup(client_filter(current["quantity"]),
-               {on_ledger[l]: r for l, r in QUANTITY_OF_LEDGER.items()}, QUANTITY_COLUMNS),
-        Lookup(client_filter(current["contract"]),
-               {on_ledger[l]: r for l, r in CONTRACT_OF_LEDGER.items()}, CONTRACT_COLUMNS),
-        Lookup(reference_keys(doc_type_filter(current["header"])),
-               {on_ledger[l]: r for l, r in HEADER_OF_LEDGER.items()},
-               {"_ref_left": REF_LEFT, "_ref_right": REF_RIGHT}),
+    header_key = list(HEADER_OF_LEDGER.values())
+    headers = reference_keys(doc_type_filter(current["header"])).selectExpr(
+        *header_key, f"_ref_left AS {REF_LEFT}", f"_ref_right AS {REF_RIGHT}"
+    )
+    chain = [
         Lookup(client_filter(current["movement"]),
-               {REF_LEFT: "MBLNR", REF_RIGHT: "ZEILE"}, MOVEMENT_COLUMNS),
+               {REF_LEFT: "MBLNR", REF_RIGHT: "ZEILE"}, MOVEMENT_COLUMNS, copies=False),
         Lookup(unit_filter(current["second_quantity"]),
-               {MOVEMENT_COLUMNS[l]: r for l, r in SECOND_OF_MOVEMENT.items()}, {"ADQNT": "Add_Oil_Gas_Qty"}),
+               {MOVEMENT_COLUMNS[l]: r for l, r in SECOND_OF_MOVEMENT.items()}, {"ADQNT": "Add_Oil_Gas_Qty"}, copies=False),
+    ]
+    documents = enrich(headers, chain, spread_by="BELNR")
+    found = {c: c for c in documents.columns if c not in header_key}
+    return [
+        Lookup(client_filter(current["quantity"]),
+               {on_ledger[l]: r for l, r in QUANTITY_OF_LEDGER.items()}, QUANTITY_COLUMNS, copies=False),
+        Lookup(client_filter(current["contract"]),
+               {on_ledger[l]: r for l, r in CONTRACT_OF_LEDGER.items()}, CONTRACT_COLUMNS, copies=False),
+        Lookup(documents, {on_ledger[l]: r for l, r in HEADER_OF_LEDGER.items()}, found, copies=False),
     ]
-    return [replace(step, copies=False) for step in steps]
 
 
 def _derived() -> dict[str, str]:
@@ -264,9 +276,11 @@ def _lines(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark=No
     if watermark is not None:
         action = effective_action("ingested_at", watermark_text(ledger, "ingested_at", watermark), ACTION)
     base = ledger.selectExpr(*renamed(LEDGER_COLUMNS | {"DOCCT": CATEGORY}), f"{action} AS {ACTION}")
-    rows = enrich(base, lookups(feeds), spread_by=KEY)
+    rows = enrich_late(base, lookups(feeds), ROW_KEY)
     values = _derived() | {STAMP: spec.stamp(), "Source_ID": source_id(spec.system, "Client")}
-    return rows.selectExpr(*[f"{values.get(n, n)} AS {n}" for n in PUBLISHED]).distinct()
+    line = ", ".join(f"{literal(n)}, {values.get(n, n)}" for n in PUBLISHED)
+    # The hash is made of published columns, so it tells no two lines apart; they already lie together by it.
+    return rows.selectExpr(f"named_struct({line}) AS _line", "row_hash").distinct().select("_line.*")
 
 
 def _tombstones(deleted: DataFrame, spec: LedgerSpec) -> DataFrame:
@@ -289,12 +303,13 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
     """Ledger keys reached by any change to a lookup table since the watermark.
 
     Changes that arrive through headers, movements (via headers) and second quantities
-    (via movements and headers) are first reduced to one set of header keys, so the
-    ledger is matched against headers once rather than once per path. Deletes count as
-    changes too: a line must lose what a deleted lookup row gave it.
+    (via movements and headers) are first reduced to one set of header keys. Deletes count
+    as changes too: a line must lose what a deleted lookup row gave it.
 
-    Each set of changed keys is narrow and written once. Spark then knows its size and,
-    when it is small, filters the large tables during their scan instead of shuffling them.
+    The ledger is scanned once: every row offers its header, quantity and contract keys to
+    one set of changed keys. That set and the movement keys are narrow and written once,
+    so Spark knows their size and, when it is small, filters the large tables during their
+    scan instead of shuffling them.
     """
     headers = reference_keys(feeds.header)
     changed_headers = doc_type_filter(since_watermark(feeds.header, watermark))
@@ -308,29 +323,25 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
     )
     changed_quantity = client_filter(since_watermark(feeds.quantity, watermark))
     changed_contract = client_filter(since_watermark(feeds.contract, watermark))
-    movement_keys, changed_quantity, changed_contract = stage_all(
-        changed_movements=movement_keys,
-        changed_quantities=distinct_keys(changed_quantity, list(QUANTITY_OF_LEDGER.values())),
-        changed_contracts=distinct_keys(changed_contract, list(CONTRACT_OF_LEDGER.values())),
-    )
     header_keys = union_distinct(
         distinct_keys(changed_headers, header_key),
-        keys_through(movement_keys, [(headers, MOVEMENT_OF_HEADER)], header_key),
-    )
-    header_keys = stage(header_keys, "changed-headers")
-    return union_distinct(
-        rows_hit(feeds.ledger, header_keys, HEADER_OF_LEDGER).select("GL_SIRID"),
-        rows_hit(feeds.ledger, changed_quantity, QUANTITY_OF_LEDGER).select("GL_SIRID"),
-        rows_hit(feeds.ledger, changed_contract, CONTRACT_OF_LEDGER).select("GL_SIRID"),
+        keys_through(stage(movement_keys, "changed-movements"), [(headers, MOVEMENT_OF_HEADER)], header_key),
     )
+    paths = [
+        (header_keys, HEADER_OF_LEDGER),
+        (changed_quantity, QUANTITY_OF_LEDGER),
+        (changed_contract, CONTRACT_OF_LEDGER),
+    ]
+    return keys_hit_on_any_path(feeds.ledger, paths, ["GL_SIRID"])
 
 
 def restricted(feeds: LedgerFeeds, ledger: DataFrame) -> LedgerFeeds:
-    """Lookup tables cut down to what the given (few) ledger rows can reach.
+    """The chain of headers, movements and second quantities, cut down to what the given (few) ledger rows can reach.
 
-    A left-outer join never broadcasts its left side, so joining a small delta to whole
-    lookup tables would shuffle all of them. A semi join against the delta's keys lets
-    Spark filter each table during its scan when the keys are small.
+    A left-outer join never broadcasts its left side, so joining the few headers of a delta
+    to whole tables would shuffle all of them. A semi join against the delta's keys lets
+    Spark filter each table during its scan when the keys are small. (Quantities and
+    contracts meet the ledger's own keys in an inner join, which does the same.)
     """
     def reached(rows: DataFrame, by: DataFrame, on: dict[str, str]) -> DataFrame:
         return rows_hit(rows, by, {r: l for l, r in on.items()})
@@ -341,8 +352,6 @@ def restricted(feeds: LedgerFeeds, ledger: DataFrame) -> LedgerFeeds:
     movements = stage(reached(movements, reference_keys(headers), MOVEMENT_OF_HEADER), "movements-reached")
     return replace(
         feeds,
-        quantity=reached(feeds.quantity, ledger, QUANTITY_OF_LEDGER),
-        contract=reached(feeds.contract, ledger, CONTRACT_OF_LEDGER),
         header=headers,
         movement=movements,
         second_quantity=reached(feeds.second_quantity, movements, SECOND_OF_MOVEMENT),

@@ -1,6 +1,7 @@
 """Adaptive execution really splits the joins when one key holds a third of the rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.operators import changes, joins, keys, merge
 from factloom.spec import Lookup, MergeSpec
@@ -86,3 +87,21 @@ def test_missing_keys_are_spread_before_any_splitting(tight):
     joined = joins.lookup_join(left, Lookup(few(tight), {"c": "k"}, {"v": "v"}), spread_by="id")
     sizes = [n for n in joined.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()]
     assert sum(sizes) == 60000 and max(sizes) < 60000 / 8
+
+
+def test_hot_key_of_a_late_lookup_is_split(tight):
+    rows = hot_rows(tight, "c").withColumn("d", F.expr("CASE WHEN id % 5 = 0 THEN NULL ELSE id % 7 END"))
+    steps = [
+        Lookup(few(tight), {"c": "k"}, {"v": "v"}),
+        Lookup(tight.range(7).selectExpr("id AS d", "id * 2 AS w"), {"d": "d"}, {"w": "w"}),
+    ]
+    late = joins.enrich_late(rows.withColumn("text", F.sha2("id", 256)), steps, ["text"])
+    assert "skew=true" in final_plan(late)
+    assert late.count() == 60000
+
+
+def test_hot_key_on_one_of_many_paths_is_split(tight):
+    rows = hot_rows(tight, "c")
+    hit = keys.keys_hit_on_any_path(rows, [(few(tight), {"c": "k"}), (few(tight).limit(3), {"id": "k"})], ["id"])
+    assert "skew=true" in final_plan(hit)
+    assert hit.count() == 60000
