@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators.keys import join_keys
-from factloom.sources.workspace import stage
+from factloom.sources.workspace import stage, stage_all
 from factloom.spec import MergeSpec, quoted
 
 
@@ -31,81 +31,109 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], null_safe: Sequence[s
         raise DuplicateKeyError(f"several source rows share a key, for example {[r.asDict() for r in repeated]}")
 
 
-def merge_upsert(
-    target: DataFrame,
-    source: DataFrame,
-    spec: MergeSpec,
-    check_unique: bool = True,
-    deleted: DataFrame | None = None,
-) -> DataFrame:
-    """Target after an upsert: matched rows are updated, unmatched source rows inserted.
+class Upsert:
+    """The two halves of a merge: target rows as they are after it, and source rows that are new.
 
     A NULL in the source overwrites. ``deleted`` names keys to remove; delete wins over
-    upsert, and a NULL in a deleted key matches nothing.
-
-    The target is joined once: target LEFT JOIN source, where deleted keys are marked
-    rows of the source. New rows are an anti join of the source against the target's
-    distinct keys. Spark can split hot keys of the preserved side in both, and shuffles
-    neither target nor its keys when the source is small enough for it to broadcast.
-    Rows with a NULL key match nothing but would meet in one task, so they go around.
+    upsert, and a NULL in a deleted key matches nothing. Rows with a NULL in an ordinary
+    key match nothing but would meet in one task, so they go around the joins.
     """
-    if check_unique:
-        assert_unique_keys(source, spec.keys, spec.null_safe)
-    fields = target.schema.fields
-    names = {f.name for f in fields}
-    given = set(source.columns)
-    update = names if spec.update is None else set(spec.update)
-    insert = names if spec.insert is None else set(spec.insert)
-    missing = (update | insert | {*spec.keys, *spec.stamp}) - names
-    if missing:
-        raise ValueError(f"the target has no columns {sorted(missing)}")
-
-    def written(field, columns: set[str], otherwise: str) -> str:
+
+    def __init__(self, target: DataFrame, source: DataFrame, spec: MergeSpec, deleted: DataFrame | None = None) -> None:
+        self.spec, self.target = spec, target
+        self.fields = [f for f in target.schema.fields]
+        names = {f.name for f in self.fields}
+        self.update = names if spec.update is None else set(spec.update)
+        self.insert = names if spec.insert is None else set(spec.insert)
+        missing = (self.update | self.insert | {*spec.keys, *spec.stamp}) - names
+        if missing:
+            raise ValueError(f"the target has no columns {sorted(missing)}")
+        nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
+        self.unkeyed = " OR ".join(nulls) or "false"
+        self.gone = None if deleted is None else join_keys(deleted.dropna(subset=list(spec.keys)), spec.keys)
+        self.source = source if self.gone is None else delete_by_keys(source, self.gone, spec.keys)
+
+    def _written(self, field, columns: set[str], otherwise: str) -> str:
         """What the source writes into a column, or ``otherwise`` if it leaves it alone."""
         kind = field.dataType.simpleString()
-        if field.name in spec.stamp:
-            return f"CAST({spec.stamp[field.name]} AS {kind})"
-        if field.name in columns and field.name in given:
+        if field.name in self.spec.stamp:
+            return f"CAST({self.spec.stamp[field.name]} AS {kind})"
+        if field.name in columns and field.name in self.source.columns:
             return f"CAST({quoted(field.name, 's')} AS {kind})"
         return otherwise
 
-    def updated(field) -> str:
-        old = quoted(field.name, "t")
-        return f"CASE WHEN s._in_source THEN {written(field, update, old)} ELSE {old} END"
-
-    def inserted(field) -> str:
-        return written(field, insert, f"CAST(NULL AS {field.dataType.simpleString()})")
-
-    def same(left: str, right: str) -> str:
+    def _same(self, left: str, right: str) -> str:
         return " AND ".join(
-            f"{quoted(k, left)} {'<=>' if k in spec.null_safe else '='} {quoted(k, right)}" for k in spec.keys
+            f"{quoted(k, left)} {'<=>' if k in self.spec.null_safe else '='} {quoted(k, right)}" for k in self.spec.keys
         )
 
-    nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
-    unkeyed = " OR ".join(nulls) or "false"
-    gone = None if deleted is None else join_keys(deleted.dropna(subset=list(spec.keys)), spec.keys)
-    if gone is not None:
-        source = delete_by_keys(source, gone, spec.keys)
-    marks = source.withColumn("_in_source", F.lit(True))
-    if gone is not None:
-        marks = marks.withColumn("_gone", F.lit(False)).unionByName(
-            gone.withColumns({"_in_source": F.lit(False), "_gone": F.lit(True)}), allowMissingColumns=True
+    def kept(self, flag: str | None = None) -> DataFrame:
+        """Target rows after updates and deletes; ``flag`` names a column that tells whether the source had the row's key.
+
+        The target is the preserved side of a left join with the source and the deleted keys: Spark may split its hot
+        keys, and does not shuffle it when the source is small enough to broadcast.
+        """
+        marks = self.source.withColumn("_in_source", F.lit(True))
+        if self.gone is not None:
+            marks = marks.withColumn("_gone", F.lit(False)).unionByName(
+                self.gone.withColumns({"_in_source": F.lit(False), "_gone": F.lit(True)}), allowMissingColumns=True
+            )
+        t = self.target.filter(f"NOT ({self.unkeyed})").alias("t")
+        joined = t.join(marks.filter(f"NOT ({self.unkeyed})").alias("s"), F.expr(self._same("t", "s")), "left")
+        if self.gone is not None:
+            joined = joined.filter("NOT coalesce(s._gone, false)")
+        values = {f.name: quoted(f.name, "t") for f in self.fields}
+        columns = [
+            f"CASE WHEN s._in_source THEN {self._written(f, self.update, values[f.name])} ELSE {values[f.name]} END "
+            f"AS {quoted(f.name)}"
+            for f in self.fields
+        ]
+        rows, rest = joined.selectExpr(*columns), self.target.filter(self.unkeyed)
+        if flag is not None:
+            rows = joined.selectExpr(*columns, f"coalesce(s._in_source, false) AS {quoted(flag)}")
+            rest = rest.withColumn(flag, F.lit(False))
+        return rows.unionByName(rest)
+
+    def matched(self) -> DataFrame:
+        """The keys of the source that the target has. It reads the target's keys alone, and keeps no more than the source's."""
+        held = self.target.filter(f"NOT ({self.unkeyed})").select(*[quoted(k) for k in self.spec.keys]).alias("t")
+        asked = self.source.filter(f"NOT ({self.unkeyed})").select(*[quoted(k) for k in self.spec.keys]).alias("s")
+        return held.join(asked, F.expr(self._same("t", "s")), "left_semi").distinct()
+
+    def inserted(self, matched: DataFrame) -> DataFrame:
+        """Source rows whose key is not among ``matched``, as rows of the target."""
+        keyed = self.source.filter(f"NOT ({self.unkeyed})").alias("s")
+        fresh = keyed.join(matched.alias("t"), F.expr(self._same("s", "t")), "left_anti")
+        fresh = fresh.unionByName(self.source.filter(self.unkeyed)).alias("s")
+        return fresh.selectExpr(
+            *[f"{self._written(f, self.insert, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {quoted(f.name)}" for f in self.fields]
         )
-    t = target.filter(f"NOT ({unkeyed})").alias("t")
-    joined = t.join(marks.filter(f"NOT ({unkeyed})").alias("s"), F.expr(same("t", "s")), "left")
-    if gone is not None:
-        joined = joined.filter("NOT coalesce(s._gone, false)")
-    kept = joined.selectExpr(*[f"{updated(f)} AS {quoted(f.name)}" for f in fields])
-    keyed = source.filter(f"NOT ({unkeyed})").alias("s")
-    held = join_keys(target.filter(f"NOT ({unkeyed})"), spec.keys).alias("t")
-    fresh = keyed.join(held, F.expr(same("s", "t")), "left_anti").unionByName(source.filter(unkeyed))
-    as_inserted = [f"{inserted(f)} AS {quoted(f.name)}" for f in fields]
-    return kept.unionByName(target.filter(unkeyed)).unionByName(fresh.alias("s").selectExpr(*as_inserted))
+
+
+def merge_upsert(
+    target: DataFrame,
+    source: DataFrame,
+    spec: MergeSpec,
+    check_unique: bool = True,
+    deleted: DataFrame | None = None,
+) -> DataFrame:
+    """Target after an upsert: matched rows are updated, unmatched source rows inserted (see :class:`Upsert`).
+
+    The wide target is joined once. New rows are an anti join of the source against those of its keys that the target
+    has, which a semi join over the target's key columns finds; neither shuffles the target when the source is small.
+    """
+    if check_unique:
+        assert_unique_keys(source, spec.keys, spec.null_safe)
+    halves = Upsert(target, source, spec, deleted)
+    return halves.kept().unionByName(halves.inserted(halves.matched()))
 
 
 def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, deleted: DataFrame | None = None) -> DataFrame:
-    """Merge changes that are costly to derive: they are written once, and read by every step."""
-    return merge_upsert(target, stage(changes, "merge-source"), spec, deleted=deleted)
+    """Merge changes that are costly to derive: they and the deleted keys are written once, and read by every step."""
+    if deleted is None:
+        return merge_upsert(target, stage(changes, "merge-source"), spec)
+    changes, deleted = stage_all(merge_source=changes, merge_deletes=join_keys(deleted, spec.keys))
+    return merge_upsert(target, changes, spec, deleted=deleted)
 
 
 def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -36,8 +36,9 @@ from factloom.operators.keys import (
     union_distinct,
 )
 from factloom.operators.merge import assert_unique_keys, delete_by_keys
-from factloom.sources.workspace import stage
-from factloom.spec import Lookup, renamed
+from factloom.sources.snapshot import SnapshotTable
+from factloom.sources.workspace import scratch, stage
+from factloom.spec import Lookup, MergeSpec, renamed
 
 # Ledger columns and their published names.
 LEDGER_COLUMNS = {
@@ -123,6 +124,9 @@ KEY, ACTION, STAMP, CATEGORY = "Rec_No_Line_Itm_Rec", "OPFLAG", "ingested_at", "
 ROW_KEY = (KEY, "Accounting_Document_No", "Document_Line")
 REF_LEFT, REF_RIGHT = "CL_LT_Reference_Doc_No", "CL_RT_Reference_Doc_No"
 
+# Slice column of the published table.
+MONTH = "Posting_Month"
+
 # How the tables refer to each other (row column -> column of the table it points to).
 HEADER_OF_LEDGER = {"RYEAR": "GJAHR", "RBUKRS": "BUKRS", "REFDOCNR": "BELNR"}
 QUANTITY_OF_LEDGER = {"GL_SIRID": "GL_SIRID", "DOCCT": "DOCCT"}
@@ -398,3 +402,37 @@ def ledger_line_delta(target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, w
         inside = trailing_months_filter(target.filter(~dead), spec.as_of, spec.months, posted)
         target = inside.unionByName(target.filter(dead))
     return delete_by_keys(target, touched, MERGE_KEYS).unionByName(changes)
+
+
+def by_month(lines: DataFrame) -> DataFrame:
+    """Lines with the slice that the published table keeps them in; tombstones have none."""
+    return lines.withColumn(MONTH, F.date_format(LEDGER_COLUMNS["BUDAT"], "yyyy-MM"))
+
+
+def published_table(spark, path: str) -> SnapshotTable:
+    """The fact as a published table, sliced by posting month."""
+    return SnapshotTable(spark, path, [MONTH])
+
+
+def publish_full(table: SnapshotTable, feeds: LedgerFeeds, spec: LedgerSpec) -> None:
+    """Publish all ledger lines as a new version."""
+    with scratch(table.spark):
+        table.overwrite(by_month(ledger_line_full(feeds, spec)))
+
+
+def publish_delta(table: SnapshotTable, feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> None:
+    """Bring the published lines to what a full load at ``spec.as_of`` would publish; see :func:`ledger_line_delta`.
+
+    Lines that may have changed are looked up by key, wherever they are now, and only their old and new months are
+    read and replaced. Months that have left the posting window go by folder; of the month in which the
+    window begins, the earlier lines go. No other file is touched.
+    """
+    with scratch(table.spark):
+        changes, touched = ledger_line_changes(feeds, spec, watermark)
+        changes = stage(by_month(changes), "lines-changed")
+        retired = touched.join(join_keys(changes, MERGE_KEYS), list(MERGE_KEYS), "left_anti")
+        table.merge(changes, MergeSpec(keys=MERGE_KEYS), deleted=retired)
+        if spec.months is not None:
+            first = f"add_months(CAST({literal(str(spec.as_of))} AS date), -{spec.months})"
+            row = table.spark.sql(f"SELECT {first} AS day, date_format({first}, 'yyyy-MM') AS month").first()
+            table.age_out(LEDGER_COLUMNS["BUDAT"], row.day, row.month)

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.operators.evolve import common_schema, widened
 from factloom.operators.keys import join_keys
-from factloom.operators.merge import assert_unique_keys, merge_upsert
+from factloom.operators.merge import Upsert, assert_unique_keys, merge_upsert
 from factloom.sources.catalog import register_table
 from factloom.sources.workspace import scratch, stage
 from factloom.spec import MergeSpec, quoted
@@ -100,7 +102,9 @@ class SnapshotTable:
         All files of a version have one schema (a merge never adds columns), so one
         footer tells it, however many files there are.
         """
-        path = self.current_path()
+        return self._read(self.current_path())
+
+    def _read(self, path: str) -> DataFrame:
         if not self.slice_by:
             return self.spark.read.parquet(path)
         found = self.spark.read.parquet(path)
@@ -126,21 +130,36 @@ class SnapshotTable:
         return self
 
     def overwrite_evolving(self, df: DataFrame) -> "SnapshotTable":
-        """Full load whose schema also keeps the columns of the current version, if there is one."""
+        """Full load whose schema also keeps the columns of the current version, if there is one.
+
+        A column whose type changed takes one that holds the values of both versions; where there is none, a
+        ``TypeConflictError`` names the column before anything is written.
+        """
         if not self.versions():
             return self.overwrite(df)
-        current = self.read().limit(0)
-        return self.overwrite(df.unionByName(current, allowMissingColumns=True))
+        return self.overwrite(widened(df, common_schema(df.schema, self.read().schema)))
+
+    def read_version(self, number: int) -> DataFrame:
+        """A complete version by its number, with its own columns and types."""
+        path = f"{self.path}/version-{number:08d}"
+        if not self._complete(path):
+            raise FileNotFoundError(f"no complete version {number} under {self.path}")
+        return self._read(path)
 
     def merge(self, source: DataFrame, spec: MergeSpec, deleted: DataFrame | None = None) -> "SnapshotTable":
         """Upsert, then delete by key. Delete wins over upsert.
 
-        The source is written once and used from there. When the slice columns are
-        (not null-safe) keys, a row cannot move between slices, so only the slices of
-        the source and of the deleted keys are read, merged and replaced. The merged
-        slices are complete in the table's ``pending`` folder before any is replaced;
-        a merge that was interrupted there is finished by the next one, or by
-        :meth:`finish_pending`.
+        The source is written once and used from there. Only the slices that the source
+        or a deleted key touches are read, merged and replaced. When the slice columns are
+        (not null-safe) keys, the source itself names them. Otherwise a row may move to
+        another slice: a scan of the key and slice columns alone finds where the
+        rows to be replaced are, and the source tells where they go. (A table without slices,
+        or a merge that stamps or leaves out a slice column, is rewritten whole.)
+
+        The rows of touched slices are read once: kept ones are written with a mark for
+        those that the source had, and what was written tells which source rows are new.
+        All are complete in the table's ``pending`` folder before any slice is replaced; a merge
+        that was interrupted there is finished by the next one, or by :meth:`finish_pending`.
         """
         with scratch(self.spark):
             return self._merge(source, spec, deleted)
@@ -152,17 +171,30 @@ class SnapshotTable:
         if deleted is not None:
             deleted = stage(deleted.select(*[quoted(k) for k in spec.keys]), "merge-deletes")
         current = self.read()
-        if not self.slice_by or not set(self.slice_by) <= set(spec.keys) - set(spec.null_safe):
+        by_key = set(self.slice_by) <= set(spec.keys) - set(spec.null_safe)
+        written = set(source.columns) - set(spec.stamp)
+        for columns in (spec.update, spec.insert):
+            written &= set(source.columns if columns is None else columns)
+        if not self.slice_by or not (by_key or set(self.slice_by) <= written):
             return self.overwrite(merge_upsert(current, source, spec, check_unique=False, deleted=deleted))
         columns = [quoted(c) for c in self.slice_by]
-        touched = source.select(*columns)
+        places = [source.select(*columns)]
+        if not by_key:
+            places.append(self._places(current, source, spec))
         if deleted is not None:
-            touched = touched.unionByName(deleted.select(*columns))
-        located = self._slices(current.withColumn("_file", F.col("_metadata.file_path")), self._touched(touched))
-        merged = merge_upsert(located.drop("_file"), source, spec, check_unique=False, deleted=deleted)
-        self._pend(merged, located)
+            places.append(deleted.select(*columns) if by_key else self._places(current, deleted, spec))
+        touched = self._touched(reduce(DataFrame.unionByName, places))
+        located = self._slices(current.withColumn("_file", F.col("_metadata.file_path")), touched)
+        self._pend(Upsert(located.drop("_file"), source, spec, deleted), located)
         return self.finish_pending()
 
+    def _places(self, current: DataFrame, keyed: DataFrame, spec: MergeSpec) -> DataFrame:
+        """Slices of the rows that have one of the keys."""
+        narrow = current.select(*[quoted(c) for c in dict.fromkeys([*spec.keys, *self.slice_by])]).alias("t")
+        same = [f"{quoted(k, 't')} {'<=>' if k in spec.null_safe else '='} {quoted(k, 's')}" for k in spec.keys]
+        found = narrow.join(join_keys(keyed, spec.keys).alias("s"), F.expr(" AND ".join(same)), "left_semi")
+        return found.select(*[quoted(c) for c in self.slice_by])
+
     def _touched(self, rows: DataFrame) -> DataFrame:
         """The slices of some rows. The filter on a written column lets Spark expect that they prune."""
         return stage(join_keys(rows, self.slice_by).withColumn("_touched", F.lit(1)), "touched-slices").filter("_touched > 0")
@@ -176,16 +208,25 @@ class SnapshotTable:
         named = current.join(touched, list(self.slice_by), "left_semi").select(*[quoted(c) for c in current.columns])
         return named if touched.filter(unnamed).isEmpty() else named.unionByName(current.filter(unnamed))
 
-    def _pend(self, merged: DataFrame, slices: DataFrame) -> None:
-        """Write what is to be replaced; its commit marker makes it count.
+    def _pend(self, halves: Upsert, slices: DataFrame) -> None:
+        """Write what is to be replaced; the commit marker of the last part makes it count.
 
         A slice that loses its last row is not replaced by a dynamic overwrite, so the
         folders of all slices read are kept beside.
         """
+        self._write_read(slices)
+        kept = f"{self.path}/pending/kept"
+        _sliceable(halves.kept("_matched"), self.slice_by).write.mode("overwrite").parquet(kept)
+        schema = halves.target.schema.add("_matched", "boolean")
+        matched = self.spark.read.schema(schema).parquet(kept).filter("_matched")
+        fresh = halves.inserted(join_keys(matched, halves.spec.keys))
+        _sliceable(fresh, self.slice_by).write.mode("overwrite").parquet(f"{self.path}/pending/new")
+
+    def _write_read(self, slices: DataFrame) -> None:
+        """The slices that are going to be replaced, with their folders. It opens files, but reads no column."""
         folder = F.regexp_replace("_file", "/[^/]*$", "")
         read = slices.select(*[quoted(c) for c in self.slice_by], folder.alias("_folder")).distinct()
         read.write.mode("overwrite").parquet(f"{self.path}/pending/read")
-        _sliceable(merged, self.slice_by).write.mode("overwrite").parquet(f"{self.path}/pending/rows")
 
     def finish_pending(self) -> "SnapshotTable":
         """Replace the slices of a merge whose rows are complete; without one, change nothing.
@@ -193,19 +234,111 @@ class SnapshotTable:
         Doing it again, from wherever it stopped, leads to the same slices.
         """
         pending, fs = self._folder(f"{self.path}/pending")
-        if self._complete(f"{self.path}/pending/rows"):
-            rows = self.spark.read.schema(self.read().schema).parquet(f"{self.path}/pending/rows")
+        if self._complete(f"{self.path}/pending/new"):
+            schema = self.read().schema
+            rows = self.spark.read.schema(schema).parquet(f"{self.path}/pending/kept", f"{self.path}/pending/new")
             overwrite_slices(rows, self.current_path(), self.slice_by)
             same = " AND ".join(f"r.{quoted(c)} <=> m.{quoted(c)}" for c in self.slice_by)
             read = self.spark.read.parquet(f"{self.path}/pending/read").alias("r")
             kept = rows.select(*[quoted(c) for c in self.slice_by]).distinct().alias("m")
             for row in read.join(kept, F.expr(same), "left_anti").select("_folder").distinct().toLocalIterator():
-                jvm = self.spark._jvm
-                fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row._folder)), True)
+                fs.delete(self._path_of(row._folder), True)
         if fs.exists(pending):
             fs.delete(pending, True)
         return self
 
+    def _path_of(self, uri: str):
+        jvm = self.spark._jvm
+        return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+
+    def age_out(self, column: str, first, first_slice: str) -> list[str]:
+        """Delete the rows whose ``column`` is before ``first``, in a table sliced by one text that rises with it.
+
+        ``first_slice`` is the slice in which ``first`` lies. Earlier slices are deleted by folder, without reading a
+        column; of ``first_slice`` the rows from ``first`` on are kept; all other files stay as they are, and so do rows
+        without a slice. Returns the slices deleted.
+        """
+        if len(self.slice_by) != 1:
+            raise ValueError("age_out needs a table that is sliced by one column")
+        (name,) = self.slice_by
+        with scratch(self.spark):
+            self.finish_pending()
+            current = self.read().withColumn("_file", F.col("_metadata.file_path"))
+            folder = F.regexp_replace("_file", "/[^/]*$", "").alias("_folder")
+            dropped = []
+            for row in current.filter(F.col(quoted(name)) < first_slice).select(quoted(name), folder).distinct().toLocalIterator():
+                path = self._path_of(row._folder)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                dropped.append(row[name])
+            boundary = current.filter(F.col(quoted(name)) == first_slice)
+            old = F.col(quoted(column)) < F.lit(first)
+            if not boundary.filter(old).isEmpty():
+                self._write_read(boundary)
+                left = boundary.drop("_file").filter(~F.coalesce(old, F.lit(False)))
+                left.withColumn("_matched", F.lit(False)).write.mode("overwrite").parquet(f"{self.path}/pending/kept")
+                left.limit(0).write.mode("overwrite").parquet(f"{self.path}/pending/new")
+                self.finish_pending()
+        return sorted(dropped)
+
+    def compact_small(self, target_bytes: int = 128 << 20) -> tuple[int, int]:
+        """Pack files below half of ``target_bytes`` into files of about that size, slice by slice; full files stay.
+
+        Returns the number of files before and after. A file that is alone in its slice in being small stays too, so a
+        second run changes nothing. New files are complete in the table's ``compacting`` folder before any takes its
+        place; a run that was interrupted is finished by the next one, or by :meth:`finish_compacting`. Only paths and
+        sizes of undersized files, which Spark lists for every read anyway, come to the driver.
+        """
+        self.finish_pending().finish_compacting()
+        current = self.current_path()
+        files = self._files()
+        before = files.count()
+        packed = (
+            files.filter(F.col("file_size") * 2 < target_bytes)
+            .withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
+            .selectExpr("*", f"""cast((sum(file_size) OVER (PARTITION BY folder ORDER BY file_path) - file_size) DIV {target_bytes} AS int) AS part""")
+            .selectExpr("file_path", "concat(folder, '#', part) AS bin", "count(*) OVER (PARTITION BY folder, part) AS together")
+            .filter("together > 1")
+        )
+        packed = packed.selectExpr("file_path", "dense_rank() OVER (ORDER BY bin) AS bin")
+        packed.write.mode("overwrite").parquet(f"{self.path}/compacting/old")
+        chosen = self.spark.read.parquet(f"{self.path}/compacting/old")
+        paths = [self._path_of(row.file_path).toString() for row in chosen.select("file_path").toLocalIterator()]
+        if paths:
+            rows = self.spark.read.schema(self.read().schema).option("basePath", current).parquet(*paths)
+            binned = rows.withColumn("_file", F.col("_metadata.file_path")).join(
+                chosen.withColumnRenamed("file_path", "_file"), "_file"
+            )
+            bins = chosen.agg(F.max("bin")).first()[0]
+            ordered = binned.drop("_file").withColumnRenamed("bin", "_bin").repartition(bins, "_bin")
+            ordered.write.mode("overwrite").partitionBy("_bin", *self.slice_by).parquet(f"{self.path}/compacting/new")
+        self.finish_compacting()
+        return before, self._files().count()
+
+    def _files(self) -> DataFrame:
+        """Path and size of each data file of the current version; no file is opened."""
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        return listing.load(self.current_path()).select("_metadata.file_path", "_metadata.file_size")
+
+    def finish_compacting(self) -> "SnapshotTable":
+        """Put complete new files in place of those that they replace; doing it again leads to the same files."""
+        work, fs = self._folder(f"{self.path}/compacting")
+        if self._complete(f"{self.path}/compacting/new"):
+            current = self.current_path()
+            made = fs.listFiles(self._folder(f"{self.path}/compacting/new")[0], True)
+            while made.hasNext():
+                file = made.next().getPath()
+                if file.getName().endswith(".parquet"):
+                    # Files of several bins may have one name, so the bin becomes part of it.
+                    number, inside = file.toString().rsplit("/compacting/new/_bin=", 1)[1].split("/", 1)
+                    folder = f"{current}/{inside}".rsplit("/", 1)[0]
+                    if not fs.rename(file, self._folder(f"{folder}/packed-{number}-{file.getName()}")[0]):
+                        raise OSError(f"{file} cannot take its place in {folder}")
+            for row in self.spark.read.parquet(f"{self.path}/compacting/old").select("file_path").toLocalIterator():
+                fs.delete(self._path_of(row.file_path), False)
+        if fs.exists(work):
+            fs.delete(work, True)
+        return self
+
     def compact(self, file_rows: int = 5_000_000) -> "SnapshotTable":
         """Rewrite the current version into fewer, evenly filled files; same rows.
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from factloom.functions.codes import system_code
 from factloom.operators import changes, filters, merge
 from factloom.plans import balance, header_item, ledger_line
+from factloom.plans.publish import run_fact
 from factloom.sources.files import read_column_map
+from factloom.sources.runlog_table import RunLogTable
 from factloom.sources.snapshot import SnapshotTable
 from factloom.spec import MergeSpec
 from workload.basics import CONTROL_SQL, LABEL_SQL, SWAP_SQL
@@ -41,6 +43,7 @@ ACCOUNTING_SPEC = header_item.HeaderItemSpec(
 )
 BALANCE_SPEC = balance.BalanceSpec(source="TSAP", system=system_code("dev", "TSAP"))
 
+BALANCE_STN = balance.BalanceSpec(source="STN", system=system_code("dev", "STN"))
 
 STAMP = f"CAST('{AS_OF}' AS timestamp)"
 
@@ -158,6 +161,56 @@ def snapshot_merge(spark, folder):
     return published.read().select(*kept)
 
 
+YEAR_OF = "cast(year(o_orderdate) AS varchar)"
+#: Urgent orders of the second month of an odd year move to the slice of the year after; order 7 of ten goes.
+MOVED = "o_orderpriority = '1-URGENT' AND year(o_orderdate) % 2 = 1 AND month(o_orderdate) = 2 AND year(o_orderdate) < 1996"
+GONE = "year(o_orderdate) = 1997 AND o_orderkey % 10 = 7"
+
+
+@query(
+    "snapshot_merge_moves",
+    f"""WITH o AS (SELECT *, {YEAR_OF} AS year, {MOVED} AS moved, {GONE} AS gone FROM orders),
+    n AS (SELECT o_orderkey, CASE WHEN moved THEN cast(cast(year AS int) + 1 AS varchar) ELSE year END AS year,
+      CASE WHEN moved THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM o WHERE NOT gone),
+    t AS (SELECT year FROM o WHERE moved OR gone UNION SELECT cast(cast(year AS int) + 1 AS varchar) FROM o WHERE moved)
+    SELECT year, count(*) AS orders, round(sum(o_totalprice), 2) AS total, year NOT IN (SELECT year FROM t) AS untouched FROM n GROUP BY year""",
+)
+def snapshot_merge_moves(spark, folder):
+    """A merge by a key that does not hold the slice: rows change slice, others go, and other slices keep their files."""
+    orders = table(spark, folder, "orders").withColumn("year", F.expr("CAST(year(o_orderdate) AS string)"))
+    published = SnapshotTable(spark, fresh_path(spark, "orders-that-move"), ["year"])
+    published.overwrite(orders.select("o_orderkey", "o_totalprice", "year"))
+    before = published.read().select("_metadata.file_path").distinct().collect()
+    moved = orders.filter(MOVED).selectExpr(
+        "o_orderkey", "-o_totalprice AS o_totalprice", "CAST(CAST(year AS int) + 1 AS string) AS year"
+    )
+    published.merge(moved, MergeSpec(keys=["o_orderkey"]), deleted=orders.filter(GONE).select("o_orderkey"))
+    rows = published.read().withColumn("known", F.col("_metadata.file_path").isin([r.file_path for r in before]))
+    return rows.groupBy("year").agg(
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.min("known").alias("untouched")
+    )
+
+
+@query(
+    "age_out_slices",
+    f"""SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders, round(sum(o_totalprice), 2) AS total,
+      strftime(o_orderdate, '%Y-%m') <> strftime({WM_SQL} - INTERVAL 24 MONTH, '%Y-%m') AS untouched
+    FROM orders WHERE o_orderdate >= {WM_SQL} - INTERVAL 24 MONTH GROUP BY ALL""",
+)
+def age_out_slices(spark, folder):
+    """Orders sliced by month: whole months before the window go by folder, the first month is cut, the rest stays."""
+    orders = table(spark, folder, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    published = SnapshotTable(spark, fresh_path(spark, "orders-by-month"), ["month"])
+    published.overwrite(orders.select("o_orderkey", "o_orderdate", "o_totalprice", "month"))
+    before = published.read().select("_metadata.file_path").distinct().collect()
+    first = spark.sql(f"SELECT add_months(DATE '{WATERMARK}', -24) AS day").first().day
+    published.age_out("o_orderdate", first, first.strftime("%Y-%m"))
+    rows = published.read().withColumn("known", F.col("_metadata.file_path").isin([r.file_path for r in before]))
+    return rows.groupBy("month").agg(
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.min("known").alias("untouched")
+    )
+
+
 @query(
     "delete_by_keys",
     "SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')",
@@ -241,6 +294,14 @@ def header_item_fact_tsap(spark, folder):
     return header_item.header_item_full(documents, items, ACCOUNTING_TSAP, STAMP)
 
 
+@query("header_item_tsap_delta", f"WITH {_document_ctes('n_', '480')} {_documents_sql('n_')}".replace("D80_", "D81_"))
+def header_item_tsap_delta(spark, folder):
+    documents, items = feed(spark, folder, "document"), feed(spark, folder, "item")
+    old = [filters.before_watermark(f, WATERMARK) for f in (documents, items)]
+    target = published(header_item.header_item_full(*old, ACCOUNTING_TSAP, STAMP), "accounting-tsap")
+    return header_item.header_item_delta(target, documents, items, ACCOUNTING_TSAP, WATERMARK, STAMP)
+
+
 # ---- balance fact -----------------------------------------------------------------
 
 
@@ -260,23 +321,34 @@ def balance_fact(spark, folder):
 _SAME_BALANCE = " AND ".join(f"a.{k} = b.{k}" for k in balance.MERGE_KEYS)
 
 
-@query(
-    "balance_fact_delta",
-    f"WITH s AS ({_balance_sql(f'ingested_at >= {WM_SQL}')}), t AS ({_balance_sql(f'ingested_at < {WM_SQL}')}), "
-    f"d AS ({_balance_sql(f'''ingested_at >= {WM_SQL} AND LAST_ACTION_CD = 'D' ''')}), "
-    f"m AS (SELECT * FROM s UNION ALL SELECT * FROM t a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE {_SAME_BALANCE})) "
-    f"SELECT * FROM m a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE {_SAME_BALANCE})",
-)
-def balance_fact_delta(spark, folder):
+def _balance_delta_sql(*source: str) -> str:
+    return (
+        f"WITH s AS ({_balance_sql(f'ingested_at >= {WM_SQL}', *source)}), t AS ({_balance_sql(f'ingested_at < {WM_SQL}', *source)}), "
+        f"d AS ({_balance_sql(f"""ingested_at >= {WM_SQL} AND LAST_ACTION_CD = 'D' """, *source)}), "
+        f"m AS (SELECT * FROM s UNION ALL SELECT * FROM t a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE {_SAME_BALANCE})) "
+        f"SELECT * FROM m a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE {_SAME_BALANCE})"
+    )
+
+
+def _balance_delta(spark, folder, spec):
     index = feed(spark, folder, "index")
-    old = balance.balance_full(filters.before_watermark(index, WATERMARK), BALANCE_SPEC, STAMP)
-    target = published(old, "balance")
-    return balance.balance_delta(target, index, index, BALANCE_SPEC, WATERMARK, STAMP)
+    old = balance.balance_full(filters.before_watermark(index, WATERMARK), spec, STAMP)
+    return balance.balance_delta(published(old, "balance"), index, index, spec, WATERMARK, STAMP)
+
+
+@query("balance_fact_delta", _balance_delta_sql())
+def balance_fact_delta(spark, folder):
+    return _balance_delta(spark, folder, BALANCE_SPEC)
+
+
+@query("balance_stn_delta", _balance_delta_sql("280", "D80"))
+def balance_stn_delta(spark, folder):
+    return _balance_delta(spark, folder, BALANCE_STN)
 
 
 @query("balance_fact_stn", _balance_sql("true", "280", "D80"))
 def balance_fact_stn(spark, folder):
-    return balance.balance_full(feed(spark, folder, "index"), balance.BalanceSpec(source="STN", system=system_code("dev", "STN")), STAMP)
+    return balance.balance_full(feed(spark, folder, "index"), BALANCE_STN, STAMP)
 
 
 # ---- ledger-line fact -------------------------------------------------------------
@@ -364,3 +436,23 @@ def ledger_line_fact_delta(spark, folder):
     old = replace(feeds, **{n: filters.before_watermark(getattr(feeds, n), WATERMARK) for n in names})
     target = published(ledger_line.ledger_line_full(old, EARLIER_SPEC), "ledger-line")
     return ledger_line.ledger_line_delta(target, feeds, LEDGER_SPEC, WATERMARK)
+
+
+@query("ledger_line_published", _delta_sql())
+def ledger_line_published(spark, folder):
+    """The fact from end to end: a full load, then a delta load from the run log's watermark, both published by month."""
+    feeds = ledger_feeds(spark, folder)
+    names = ("ledger", "quantity", "contract", "header", "movement", "second_quantity")
+    old = replace(feeds, **{n: filters.before_watermark(getattr(feeds, n), WATERMARK) for n in names})
+    runs = RunLogTable(spark, fresh_path(spark, "run-log"))
+    lines = ledger_line.published_table(spark, fresh_path(spark, "ledger-lines"))
+    for known, spec in ((old, EARLIER_SPEC), (feeds, LEDGER_SPEC)):
+        run_fact(
+            runs,
+            lines,
+            "ledger-lines",
+            full=lambda t, known=known, spec=spec: ledger_line.publish_full(t, known, spec),
+            delta=lambda t, mark, known=known, spec=spec: ledger_line.publish_delta(t, known, spec, mark),
+            as_of=spec.as_of,
+        )
+    return lines.read().select(*ledger_line.PUBLISHED)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators import metadata, quality, runlog
+from factloom.operators.evolve import union_widened
 from factloom.sources.catalog import catalog_inventory, grouped_sets, reader_view, register_table
 from factloom.sources.files import read_csv_lookup, read_value_json
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
@@ -96,6 +97,52 @@ def full_load_roundtrip(spark, folder):
     return published.read()
 
 
+@query(
+    "type_evolution",
+    "SELECT c_custkey::BIGINT AS c_custkey, round(c_acctbal, 2)::DECIMAL(14, 4) AS c_acctbal, TIMESTAMP '2001-12-31' AS since, "
+    "c_name, NULL AS c_mktsegment FROM customer UNION ALL "
+    "SELECT c_custkey::BIGINT, round(c_acctbal, 1)::DECIMAL(14, 4), TIMESTAMP '2001-12-31 06:30:00', NULL, c_mktsegment FROM customer",
+)
+def type_evolution(spark, folder):
+    """Two versions whose columns differ in type, read together in types that hold both."""
+    customers = table(spark, folder, "customer")
+    published = SnapshotTable(spark, fresh_path(spark, "customer-types"))
+    published.overwrite(
+        customers.selectExpr(
+            "CAST(c_custkey AS int) AS c_custkey", "CAST(round(c_acctbal, 2) AS decimal(12, 2)) AS c_acctbal",
+            f"DATE '{AS_OF}' AS since", "c_name",
+        )
+    )
+    published.overwrite_evolving(
+        customers.selectExpr(
+            "c_custkey", "CAST(round(c_acctbal, 1) AS decimal(10, 4)) AS c_acctbal",
+            f"TIMESTAMP '{AS_OF} 06:30:00' AS since", "c_mktsegment",
+        )
+    )
+    return union_widened(published.read_version(1), published.read())
+
+
+@query(
+    "compact_undersized",
+    "SELECT cast(year(o_orderdate) AS varchar) AS year, count(*) AS orders, round(sum(o_totalprice), 2) AS total, "
+    "true AS fewer_files, 1 AS files, 0 AS changed_again FROM orders GROUP BY ALL",
+)
+def compact_undersized(spark, folder):
+    """A table in many small files: they are packed to one a slice; a second run changes nothing."""
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "o_totalprice", "CAST(year(o_orderdate) AS string) AS year")
+    path = fresh_path(spark, "orders-in-pieces")
+    published = SnapshotTable(spark, path, ["year"])
+    orders.repartition(4).write.partitionBy("year").parquet(f"{path}/version-00000001")
+    before, after = published.compact_small(1 << 40)
+    counted = published.read().select("year", "_metadata.file_path").groupBy("year").agg(F.countDistinct("file_path").alias("files"))
+    again = abs(after - published.compact_small(1 << 40)[1])
+    sums = published.read().groupBy("year").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return sums.join(counted, "year").select(
+        "year", "orders", "total", F.lit(before > after).alias("fewer_files"), F.col("files").cast("int").alias("files"),
+        F.lit(again).alias("changed_again"),
+    )
+
+
 @query(
     "slice_overwrite",
     "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END "
