@@ -85,6 +85,14 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     ``success_percent`` is NULL and the check succeeds when no row takes part.
     """
+    return results_of(check_counts(df, checks), checks)
+
+
+def check_counts(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """How many rows take part in each check, and how many of them fail it, for each group ``by``; the data is read once.
+
+    Counts of disjoint parts add up to those of the whole, so they can be kept and only those of changed parts made anew.
+    """
     if not checks:
         raise ValueError("no checks to run")
     totals = []
@@ -92,20 +100,47 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         counted = check.evaluated()
         totals.append(F.count_if(counted).alias(f"_n{i}"))
         totals.append(F.count_if(counted & ~check.holds()).alias(f"_x{i}"))
-    results = F.array(
+    counts = F.array(
+        *[
+            F.struct(
+                F.lit(i + 1).cast("bigint").alias("check_no"),
+                F.col(f"_n{i}").alias("element_count"),
+                F.col(f"_x{i}").alias("unexpected_count"),
+            )
+            for i in range(len(checks))
+        ]
+    )
+    names = [quoted(c) for c in by]
+    return df.groupBy(*names).agg(*totals).select(*names, F.explode(counts).alias("r")).select(*names, "r.*")
+
+
+def results_of(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The results of :func:`run_checks` from counts of disjoint parts; a check without any count has no rows taking part."""
+    listed = F.array(
         *[
             F.struct(
                 F.lit(i + 1).cast("bigint").alias("check_no"),
                 F.lit(c.kind).alias("check_name"),
                 F.lit(c.column).alias("column_name"),
                 F.lit(float(c.mostly)).alias("mostly"),
-                F.col(f"_n{i}").alias("element_count"),
-                F.col(f"_x{i}").alias("unexpected_count"),
             )
             for i, c in enumerate(checks)
         ]
     )
-    rows = df.agg(*totals).select(F.explode(results).alias("r")).select("r.*")
+    # One row holds the sums of all checks.
+    parts = counts.groupBy().agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("check_no") == i + 1, F.col(c))), F.lit(0)).cast("bigint").alias(f"_{c}{i}")
+            for i in range(len(checks))
+            for c in ("element_count", "unexpected_count")
+        ]
+    )
+    rows = parts.select(F.explode(listed).alias("r"), "*")
+    counted = [
+        F.element_at(F.array(*[F.col(f"_{c}{i}") for i in range(len(checks))]), F.col("r.check_no").cast("int")).alias(c)
+        for c in ("element_count", "unexpected_count")
+    ]
+    rows = rows.select("r.*", *counted)
     good = (F.col("element_count") - F.col("unexpected_count")).cast("double")
     share = F.when(F.col("element_count") > 0, good / F.col("element_count"))
     return rows.select(

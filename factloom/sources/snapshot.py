@@ -242,12 +242,13 @@ class SnapshotTable:
             read = self.spark.read.parquet(f"{self.path}/pending/read").alias("r")
             kept = rows.select(*[quoted(c) for c in self.slice_by]).distinct().alias("m")
             for row in read.join(kept, F.expr(same), "left_anti").select("_folder").distinct().toLocalIterator():
-                fs.delete(self._path_of(row._folder), True)
+                fs.delete(self.path_of(row._folder), True)
         if fs.exists(pending):
             fs.delete(pending, True)
         return self
 
-    def _path_of(self, uri: str):
+    def path_of(self, uri: str):
+        """A Hadoop path from the text that Spark gives as a file's path."""
         jvm = self.spark._jvm
         return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
 
@@ -267,7 +268,7 @@ class SnapshotTable:
             folder = F.regexp_replace("_file", "/[^/]*$", "").alias("_folder")
             dropped = []
             for row in current.filter(F.col(quoted(name)) < first_slice).select(quoted(name), folder).distinct().toLocalIterator():
-                path = self._path_of(row._folder)
+                path = self.path_of(row._folder)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
                 dropped.append(row[name])
             boundary = current.filter(F.col(quoted(name)) == first_slice)
@@ -290,7 +291,7 @@ class SnapshotTable:
         """
         self.finish_pending().finish_compacting()
         current = self.current_path()
-        files = self._files()
+        files = self.files()
         before = files.count()
         packed = (
             files.filter(F.col("file_size") * 2 < target_bytes)
@@ -302,7 +303,7 @@ class SnapshotTable:
         packed = packed.selectExpr("file_path", "dense_rank() OVER (ORDER BY bin) AS bin")
         packed.write.mode("overwrite").parquet(f"{self.path}/compacting/old")
         chosen = self.spark.read.parquet(f"{self.path}/compacting/old")
-        paths = [self._path_of(row.file_path).toString() for row in chosen.select("file_path").toLocalIterator()]
+        paths = [self.path_of(row.file_path).toString() for row in chosen.select("file_path").toLocalIterator()]
         if paths:
             rows = self.spark.read.schema(self.read().schema).option("basePath", current).parquet(*paths)
             binned = rows.withColumn("_file", F.col("_metadata.file_path")).join(
@@ -312,9 +313,9 @@ class SnapshotTable:
             ordered = binned.drop("_file").withColumnRenamed("bin", "_bin").repartition(bins, "_bin")
             ordered.write.mode("overwrite").partitionBy("_bin", *self.slice_by).parquet(f"{self.path}/compacting/new")
         self.finish_compacting()
-        return before, self._files().count()
+        return before, self.files().count()
 
-    def _files(self) -> DataFrame:
+    def files(self) -> DataFrame:
         """Path and size of each data file of the current version; no file is opened."""
         listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
         return listing.load(self.current_path()).select("_metadata.file_path", "_metadata.file_size")
@@ -334,7 +335,7 @@ class SnapshotTable:
                     if not fs.rename(file, self._folder(f"{folder}/packed-{number}-{file.getName()}")[0]):
                         raise OSError(f"{file} cannot take its place in {folder}")
             for row in self.spark.read.parquet(f"{self.path}/compacting/old").select("file_path").toLocalIterator():
-                fs.delete(self._path_of(row.file_path), False)
+                fs.delete(self.path_of(row.file_path), False)
         if fs.exists(work):
             fs.delete(work, True)
         return self

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from factloom.operators.evolve import TypeConflictError, common_schema, common_type, union_widened
 from factloom.operators.merge import Upsert
+from factloom.operators.quality import in_set_checks, not_null_checks, run_checks
 from factloom.plans.publish import run_fact
 from factloom.sources.runlog_table import RunLogTable
 from factloom.sources.snapshot import SnapshotTable
+from factloom.sources.suite_counts import StoredSuite
 from factloom.spec import MergeSpec
 
 FIELDS = "id int, v string, year string"
@@ -204,3 +206,20 @@ def test_a_run_that_fails_is_repeated_from_where_it_began(spark, tmp_path):
     assert run_fact(runs, table, "w", full, delta, as_of=START.format(3)) == "delta"
     assert marks == [START.format(1)] * 2
     assert [(r.run_id, r.status) for r in runs.read().orderBy("run_id").collect()] == [(1, "completed"), (2, "started"), (3, "completed")]
+
+
+def test_a_stored_suite_reads_what_changed_and_equals_a_full_run(spark, years, tmp_path):
+    checks = [*not_null_checks([("v", {"mostly": 0.9}), ("year", {})]), *in_set_checks([("id", {"value_set": [1, 2, 3]})])]
+    suite = StoredSuite(years, f"{tmp_path}/counts", checks)
+    folders = lambda: [f.rsplit("/", 1)[1] for f in suite.refresh()]
+    full = lambda: sorted(map(tuple, run_checks(years.read(), checks).collect()))
+    stored = lambda: sorted(map(tuple, suite.results().collect()))
+    assert sorted(map(tuple, suite.results().select("element_count", "success").collect())) == [(0, True)] * 3
+    assert len(folders()) == 5 and stored() == full()
+    assert folders() == [] and stored() == full()
+    years.merge(spark.createDataFrame([(2, None, "2022")], FIELDS), MergeSpec(keys=["id"]))
+    assert folders() == ["year=2021", "year=2022"] and stored() == full()
+    years.merge(spark.createDataFrame([(5, "x", "2022")], FIELDS), MergeSpec(keys=["id"]))
+    assert folders() == ["year=2022"] and stored() == full()  # the folder of 2023 is gone
+    other = StoredSuite(years, f"{tmp_path}/counts", checks[:1])
+    assert len(other.refresh()) == 4 and other.results().count() == 1

@@ -12,6 +12,8 @@ from factloom.operators.evolve import union_widened
 from factloom.sources.catalog import catalog_inventory, grouped_sets, reader_view, register_table
 from factloom.sources.files import read_csv_lookup, read_value_json
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
+from factloom.sources.suite_counts import StoredSuite
+from factloom.spec import MergeSpec
 from workload.bindings import AS_OF, column_metadata, run_log, table
 from workload.registry import AS_OF_SQL, fresh_path, query
 
@@ -397,6 +399,44 @@ def dq_standard_suites(spark, folder):
     return reduce(DataFrame.unionByName, results)
 
 
+MERGED_ORDERS = (
+    "(SELECT o_orderkey, o_orderstatus, CASE WHEN year(o_orderdate) = 1996 AND o_custkey % 3 = 0 THEN NULL ELSE o_orderpriority END "
+    "AS o_orderpriority, cast(year(o_orderdate) AS varchar) AS year FROM orders)"
+)
+ORDER_SUITE = [
+    *quality.not_null_checks([("o_orderkey", {}), ("o_orderpriority", {"mostly": 0.99})]),
+    *quality.in_set_checks([("o_orderstatus", {"value_set": ["F", "O"], "mostly": 0.9})]),
+]
+
+
+def _merged_suite_sql() -> str:
+    rows = []
+    for no, check in enumerate(ORDER_SUITE, 1):
+        values = ", ".join(f"'{v}'" for v in check.values)
+        null = f"{check.column} IS NOT NULL"
+        is_set = check.kind == quality.IN_SET
+        rows.append(
+            check_sql(no, check.kind, check.column, check.mostly, MERGED_ORDERS, null if is_set else "true", f"{check.column} IN ({values})" if is_set else null)
+        )
+    return f"SELECT *, 1 AS folders_read FROM ({' UNION ALL '.join(rows)})"
+
+
+@query("dq_suite_after_merge", _merged_suite_sql())
+def dq_suite_after_merge(spark, folder):
+    """A published table is checked; after a merge, only the touched slice is read for the suite over the whole."""
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "CAST(year(o_orderdate) AS string) AS year", "o_custkey"
+    )
+    path = fresh_path(spark, "orders-checked")
+    published = SnapshotTable(spark, path, ["year"]).overwrite(orders.drop("o_custkey"))
+    suite = StoredSuite(published, f"{path}-counts", ORDER_SUITE)
+    suite.refresh()
+    changed = orders.filter("year = '1996' AND o_custkey % 3 = 0").drop("o_custkey")
+    published.merge(changed.withColumn("o_orderpriority", F.lit(None).cast("string")), MergeSpec(keys=["o_orderkey"]))
+    read = suite.refresh()
+    return suite.results().withColumn("folders_read", F.lit(len(read)))
+
+
 # ---- metadata ---------------------------------------------------------------------
 
 
