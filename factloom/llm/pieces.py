@@ -100,7 +100,7 @@ class Pieces:
         return mixed(self.chunk_hashes(chunks) + occurrences.astype(np.uint64) * GOLDEN)
 
     def chunk_hashes(self, chunks: list[str]) -> np.ndarray:
-        return np.array([xxhash.xxh3_64_intdigest(c.encode(), self.seed) for c in chunks], np.uint64)
+        return np.array([xxhash.xxh3_64_intdigest(c.encode("utf-8", "surrogatepass"), self.seed) for c in chunks], np.uint64)
 
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()]
@@ -283,8 +283,9 @@ class Pieces:
         return b"".join([names[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
-#: Stands for the space sign where a text holds it itself, so that it is spelt in bytes. It has no piece.
-LITERAL = "\U0010fffe"
+#: Stands for the space sign where a text holds it itself, so that it is spelt in bytes. It has no piece, and as half of
+#: a surrogate pair it occurs in no text.
+LITERAL = "\ud800"
 #: A chunk ends before a space sign that follows another character, and around a line end.
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 

@@ -21,6 +21,7 @@ def model(spark):
 
 
 ODD = [t for _, t, *_ in data.ROWS if t] + ["  a  b ", "\n\n x", "a▁b ▁▁ c", "▁", "<s> </s> <0x41>", "a" * 500, " " * 70, "é\u0301 ½ ﬁ"]
+ODD += ["a\U0010fffeb \U0010fffe ▁\U0010ffff▁", "\U0010fffe", "\uffff▁\ufdd0"]
 
 
 def test_window_hashes_depend_on_the_words_alone():
