@@ -158,7 +158,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep, most_rows: int) ->
     """At most ``most_rows`` toxic and as many other labelled documents (``doc_id``, ``text``, ``toxic``).
 
     They are those with the smallest hashes of doc_id among the labels for which ``keep`` holds. A document
-    labelled more than once is toxic if any label says so; NULL labels are left out.
+    labelled more than once is toxic if any label says so; NULL labels are left out. Of rows that share a doc_id the
+    one with the first text counts, so the sample has no more rows than the labels taken.
     """
     known = (
         labels.where(keep).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic IS NOT NULL AND doc_id IS NOT NULL")
@@ -167,11 +168,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, keep, most_rows: int) ->
     few = known.where("toxic = 1").orderBy(*by_hash).limit(most_rows).unionByName(known.where("toxic = 0").orderBy(*by_hash).limit(most_rows))
     few = few.withColumnRenamed("doc_id", "label_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("label_id"))  # bounded by most_rows
-    return rows.select("doc_id", "text", "toxic")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def learn_insults(
-    sample: DataFrame, most_words: int = 20_000, min_documents: int = 3, min_share: float = 0.005, min_odds: float = 8.0
+    sample: DataFrame, min_documents: int = 3, min_share: float = 0.005, min_odds: float = 8.0
 ) -> dict[str, float]:
     """Weights in (0, 1] of words and stems that mark toxic documents in the sample, besides the known ones.
 
@@ -225,9 +226,9 @@ def learn_insults(
             & (F.col("ratio") >= 2 * math.log(max(2, counts.count())))
             & (F.col("words") >= min_words)
         )
-        # The sample is bounded, so this list is; the limit only bounds what an odd vocabulary could make of it.
+        # A word must mark a share of the bounded sample, so this list is bounded, too.
         rows = counts.withColumn("odds", odds).withColumn("ratio", ratio).where(F.col("word").isin(known) | marking)
-        return rows.orderBy(F.desc(F.col("word").isin(known)), F.desc("ratio"), "word").limit(most_words).collect()
+        return rows.orderBy(F.desc(F.col("word").isin(known)), F.desc("ratio"), "word").collect()
 
     toxic = F.col("toxic") == 1
     whole = each.groupBy("word").agg(F.count_if(toxic).alias("p"), F.count_if(~toxic).alias("n"), F.lit(1).alias("words"))

@@ -81,6 +81,12 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return numbered.join(bad.where("bad IS NOT NULL"), "page_doc").select("url", "bad")
 
 
+RULES = (
+    "rule_id long, tokens array<string>, confidence double, lift double, support double, rarest string, "
+    "choices array<struct<token: string, members: array<string>>>"
+)
+
+
 def mine_rules(
     labelled: DataFrame,
     min_support: float = 0.001,
@@ -88,15 +94,21 @@ def mine_rules(
     min_confidence: float = 0.5,
     min_lift: float = 1.5,
 ) -> DataFrame:
-    """Rules from (``url``, ``bad``): ``rule_id``, ``tokens``, ``confidence``, ``lift``, ``support``, ``rarest``.
+    """Rules from (``url``, ``bad``): ``rule_id``, ``tokens``, ``confidence``, ``lift``, ``support``, ``rarest``, ``choices``.
 
     A combination must occur in a share ``min_support`` of all labelled URLs and in ``min_count`` of them,
     be followed by the bad label with ``min_confidence``, and ``min_lift`` times as often as URLs are bad.
     A rule that says no more than a shorter one within it is dropped. No labelled URL gives no rules.
+
+    Tokens that occur in exactly the same labelled URLs are mined as one, so that the many tokens of a URL that
+    occurs often make one item and not a combination for each of their subsets. Any one of them says as much as
+    all, so a rule fits a URL that has one of each of its ``choices``; ``tokens`` names each choice by its first token.
     """
     baskets = stage(
         labelled.where("url IS NOT NULL").select(
-            F.concat(url_tokens(F.col("url")), F.array(F.when(F.col("bad"), BAD).otherwise(GOOD))).alias("items")
+            F.monotonically_increasing_id().alias("basket"),
+            url_tokens(F.col("url")).alias("tokens"),
+            F.when(F.col("bad"), BAD).otherwise(GOOD).alias("label"),
         ),
         "baskets",
     )
@@ -104,10 +116,20 @@ def mine_rules(
     # Half an occurrence below the least count, so that rounding cannot raise it.
     least = max(math.ceil(min_support * count), min_count)
     support = (least - 0.5) / max(count, 1)
-    rules = "rule_id long, tokens array<string>, confidence double, lift double, support double, rarest string"
     if support > 1:
-        return labelled.sparkSession.createDataFrame([], rules)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
+        return labelled.sparkSession.createDataFrame([], RULES)
+    classes = stage(token_classes(baskets, least), "token-classes")
+    named = classes.select("token", F.explode("members").alias("member"))
+    held = baskets.select("basket", F.explode("tokens").alias("member")).join(named, "member")
+    held = held.groupBy("basket").agg(F.collect_set("token").alias("items"))
+    # A basket without a frequent token still counts.
+    items = stage(
+        baskets.join(held, "basket", "left").select(
+            F.concat(F.coalesce("items", F.array().cast("array<string>")), F.array("label")).alias("items")
+        ),
+        "items",
+    )
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     mined = stage(
         model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.col("lift") >= min_lift))
         .where(~F.array_contains("antecedent", GOOD))
@@ -131,17 +153,34 @@ def mine_rules(
         .select("tokens")
     )
     kept = filed.join(covered, "tokens", "left_anti")
-    return stage(kept.select(F.xxhash64("tokens").alias("rule_id"), "tokens", "confidence", "lift", "support", "rarest"), "kept-rules")
+    choices = kept.select("tokens", F.explode("tokens").alias("token")).join(classes, "token")
+    choices = choices.groupBy("tokens").agg(F.collect_list(F.struct("token", "members")).alias("choices"))
+    kept = kept.join(choices, "tokens").withColumn("rule_id", F.xxhash64("tokens"))
+    return stage(kept.select("rule_id", "tokens", "confidence", "lift", "support", "rarest", "choices"), "kept-rules")
+
+
+def token_classes(baskets: DataFrame, least: int) -> DataFrame:
+    """Tokens of at least ``least`` baskets, those of the same baskets together: ``token`` (the first) and ``members``.
+
+    The baskets of a token are told by their number and by two sums over independent hashes of their ids.
+    """
+    each = baskets.select("basket", F.explode("tokens").alias("token"))
+    marks = each.groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("basket")).alias("x"), F.sum(F.xxhash64(F.lit("+"), "basket").cast("decimal(20,0)")).alias("s")
+    )
+    same = marks.where(F.col("n") >= least).groupBy("n", "x", "s").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return same.select(F.element_at("members", 1).alias("token"), "members")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """For each distinct ``url`` that a rule fits: its surest rule (``rule_id``, ``confidence``)."""
-    index = rules.select(F.col("rarest").alias("token"), "rule_id", F.col("tokens").alias("needed"), "confidence")
+    index = rules.select("rule_id", "confidence", F.col("choices.members").alias("needed"), F.explode("choices").alias("choice"), "rarest")
+    index = index.where("choice.token = rarest").select(F.explode("choice.members").alias("token"), "rule_id", "needed", "confidence")
     tokens = urls.select("url").where("url IS NOT NULL").distinct().withColumn("tokens", url_tokens(F.col("url")))
     return (
         tokens.withColumn("token", F.explode("tokens"))
         .join(index, "token")
-        .where(F.size(F.array_except("needed", "tokens")) == 0)
+        .where(F.forall("needed", lambda choice: F.arrays_overlap(choice, F.col("tokens"))))
         .groupBy("url")
         .agg(F.max_by(F.struct("rule_id", "confidence"), F.struct("confidence", "rule_id")).alias("best"))
         .select("url", "best.rule_id", "best.confidence")

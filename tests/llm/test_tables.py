@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from factloom.llm import mixing, near_copies, neighbours, queries, sharding, substrings, url_rules
+from factloom.llm import mixing, near_copies, neighbours, queries, sharding, substrings, toxicity, url_rules
 from factloom.llm.common import running_total
 from factloom.llm.components import components
 from tests.llm import data
@@ -432,3 +432,21 @@ def test_url_query_matches_its_sql_where_rules_are_mined(spark, tmp_path):
 def test_named_queries_run(spark, name):
     result = queries.QUERIES[name](spark, data.FOLDER)
     assert result.count() > 0 and len(set(result.columns)) == len(result.columns)
+
+
+def test_many_tokens_of_a_repeated_url_are_one_item(spark):
+    long_url = "https://crawl.example.org/x?" + "&".join(f"k{i}=v{i}" for i in range(40))
+    rows = [(long_url, True)] * 40 + [(f"https://site{i % 7}.net/page{i}", i % 9 == 0) for i in range(400)]
+    rules = url_rules.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert 0 < len(rules) < 10 and max(len(c.members) for r in rules for c in r.choices) >= 40
+    # Any one of the tokens that always came together says as much as all of them.
+    pages = [(1, "https://else.org/y?k7=v7&other=1"), (2, "https://else.net/y?k=1"), (3, None)]
+    mined = url_rules.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"))
+    got = {r.page_id: r.verdict for r in url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), url_rules.POLICY, mined).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_repeats_of_a_labelled_document_are_one_row_of_the_sample(spark):
+    docs = spark.range(100_000).selectExpr("1L AS doc_id", "concat('text ', id % 3) AS text").union(spark.createDataFrame([(2, "b")], "doc_id long, text string"))
+    sample = toxicity.labelled_sample(docs, data.labels(spark, [(1, 1, 1), (2, 1, 0), (2, 1, 0)]), F.lit(True), 1)
+    assert sorted(map(tuple, sample.collect())) == [(1, "text 0", 1), (2, "b", 0)]
