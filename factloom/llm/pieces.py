@@ -70,6 +70,7 @@ class Pieces:
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k][0] for k in sorted(pairs)], np.int32)
         self.made = np.array([pairs[k][1] for k in sorted(pairs)], np.int32)
+        self._hash_pairs()
         self.of_char = np.full(0x110000, -1, np.int32)
         for name, i in ids.items():
             if len(name) == 1:
@@ -77,6 +78,19 @@ class Pieces:
         self.limit = np.uint64(int(dropout * (2**64 - 1)))
         self.forget()
 
+    def _hash_pairs(self) -> None:
+        """The pairs in a table by hash; a taken place sends to the next one."""
+        self.bits = max(19, (4 * len(self.keys)).bit_length())
+        self.slots = np.full((1 << self.bits) + 64, -1, np.int64)
+        self.slot_rank, self.slot_made = np.zeros(len(self.slots), np.int32), np.zeros(len(self.slots), np.int32)
+        for key, first, rank, made in zip(self.keys.tolist(), self.place_of(self.keys).tolist(), self.ranks.tolist(), self.made.tolist(), strict=True):
+            while self.slots[first] >= 0:
+                first += 1
+            self.slots[first], self.slot_rank[first], self.slot_made[first] = key, rank, made
+
+    def place_of(self, pair: np.ndarray) -> np.ndarray:
+        return (pair.astype(np.uint64) * GOLDEN >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def forget(self) -> None:
         """Remembered chunks: number, pieces without dropout, keyed hash, and hashed candidates, of which ``first`` is the first."""
         self.numbers: dict[str, int] = {}
@@ -90,11 +104,21 @@ class Pieces:
     def ranked(self, left: np.ndarray, right: np.ndarray, key, start, middle, end) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of the merge of neighbours; NEVER where there is none or it is skipped. Nothing is skipped without a key."""
         pair = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-        known = (self.keys[at] == pair) & (left >= 0) & (right >= 0)
+        slot = self.place_of(pair)
+        there = self.slots[slot]
+        known = there == pair
+        missed = np.nonzero(~known & (there >= 0))
+        while len(missed[0]):
+            slot[missed] += 1
+            there = self.slots[slot[missed]]
+            hit = there == pair[missed]
+            known[tuple(x[hit] for x in missed)] = True
+            missed = tuple(x[~hit & (there >= 0)] for x in missed)
+        known &= (left >= 0) & (right >= 0)
         if self.dropout > 0 and key is not None:
-            known &= ~self.skipped(key, start, middle, end)
-        return np.where(known, self.ranks[at], NEVER), self.made[at]
+            at = np.nonzero(known)
+            known[at] = ~self.skipped(np.broadcast_to(key, known.shape)[at], start[at], middle[at], end[at])
+        return np.where(known, self.slot_rank[slot], NEVER), self.slot_made[slot]
 
     def chunk_keys(self, chunks: list[str], occurrences: np.ndarray) -> np.ndarray:
         return mixed(self.chunk_hashes(chunks) + occurrences.astype(np.uint64) * GOLDEN)
@@ -223,8 +247,8 @@ class Pieces:
 
     def remember(self, chunks: list[str]) -> None:
         seen: list[tuple[np.ndarray, np.ndarray]] = []
+        self.numbers.update(zip(chunks, range(len(self.plain), len(self.plain) + len(chunks)), strict=True))
         self.plain += self.merge(chunks, None, seen)
-        self.numbers.update(zip(chunks, range(len(self.numbers), len(self.numbers) + len(chunks)), strict=True))
         row, place = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (np.empty(0, np.int64), np.empty(0, np.uint64))
         self.hashes = np.concatenate([self.hashes, self.chunk_hashes(chunks)])
         self.candidates = np.concatenate([self.candidates, place[np.argsort(row, kind="stable")]])
@@ -254,11 +278,13 @@ class Pieces:
                 numbers.append(occurrences(salt, text, len(found)))
         if len(self.numbers) > REMEMBERED:
             self.forget()
-        new = [c for c in dict.fromkeys(chunks) if len(c) <= MATRIX_LENGTH and c not in self.numbers]
+        new = set(chunks).difference(self.numbers)
         if new:
-            self.remember(new)
-        ids = np.array([self.numbers.get(c, -1) for c in chunks], np.int64)
-        made = [self.plain[i] if i >= 0 else b"" for i in ids.tolist()]
+            # Long chunks are not remembered; they have the number -1.
+            self.numbers.update((c, -1) for c in new if len(c) > MATRIX_LENGTH)
+            self.remember([c for c in new if len(c) <= MATRIX_LENGTH])
+        ids = np.array(list(map(self.numbers.__getitem__, chunks)), np.int64)
+        made = list(map([*self.plain, b""].__getitem__, ids.tolist()))
         again = ids < 0
         keys = np.empty(len(ids), np.uint64)
         short, long_ = np.flatnonzero(~again), np.flatnonzero(again)
