@@ -98,7 +98,8 @@ class Upsert:
         """The keys of the source that the target has. It reads the target's keys alone, and keeps no more than the source's."""
         held = self.target.filter(f"NOT ({self.unkeyed})").select(*[quoted(k) for k in self.spec.keys]).alias("t")
         asked = self.source.filter(f"NOT ({self.unkeyed})").select(*[quoted(k) for k in self.spec.keys]).alias("s")
-        return held.join(asked, F.expr(self._same("t", "s")), "left_semi").distinct()
+        # Reduced as structs: plain keys would pin the join's partitioning, and its hot keys could not be split.
+        return join_keys(held.join(asked, F.expr(self._same("t", "s")), "left_semi"), self.spec.keys)
 
     def inserted(self, matched: DataFrame) -> DataFrame:
         """Source rows whose key is not among ``matched``, as rows of the target."""
