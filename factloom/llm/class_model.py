@@ -1,14 +1,21 @@
 """Language-model scores by Brown class bigrams.
 
 The probability of a word is that of its class after the class before, times that of the word in its class.
-Classes come from exchange clustering over the word bigrams of the whole training corpus: in every round each
-word's neighbours are summed by class, and words that would gain bigram likelihood in another class are proposed;
-the proposals are taken up one after another, each judged by the classes as they are by then. Words beyond the most frequent ones
-are in classes by their ending, whose members share the add-one estimate. Class transitions are smoothed with
-the classes' own frequencies.
-
-Counts of all words stay distributed. What travels to every task is bounded by parameters: the most frequent
-words with their counts, and matrices of the classes.
+Classes come from exchange clustering over the word bigrams of the whole training corpus: a word moves to the
+class in which it adds most to the bigram likelihood. Every task takes up its words one after another, each
+judged by classes and class bigrams that hold all earlier moves of that task. The moves of all tasks are then
+counted together; should they lower the likelihood, as tasks don't see each other's moves, only those of the
+tasks that gained most stay. The moves of one task never lower it, so it grows until it gains nothing more.
+The most frequent words are exchanged first, in one task, so that all tasks start from classes that mean
+something; the other words join the class that their neighbours favour. Most rounds judge only the words whose
+neighbours favour another class than theirs; it ends with rounds that judge every word.
+
+Words too rare to tell their use are in classes by their ending, as unseen words are; the members share the
+add-one estimate. Class transitions are smoothed with the classes' own frequencies.
+
+Counts of all words stay distributed, and so do the neighbours of the clustered words. What travels to every
+task, and what comes to the driver, is bounded by parameters: the most frequent words with their counts and
+classes, and matrices of the classes.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +35,10 @@ from factloom.llm.common import running_total
 from factloom.llm.text import slices
 from factloom.sources.workspace import stage
 
-#: Words whose counts every task knows; words that are clustered; their classes; classes by ending.
-KNOWN_WORDS, CLUSTERED, CLASSES, ENDINGS = 1 << 17, 1 << 13, 64, 32
+#: Words whose counts every task knows; their classes; classes by ending of words that occur less than so often.
+KNOWN_WORDS, CLASSES, ENDINGS, LEAST_COUNT = 1 << 17, 64, 32, 5
+#: Words that are exchanged first; files of the table of neighbours, which tasks share out.
+HEADS, PARTS = 1 << 11, 64
 #: Weight of the classes' own frequencies in a transition, in tokens.
 SMOOTHING = 20.0
 #: Distinct words, and bigrams, that a task adds up before it sends them on.
@@ -66,6 +76,11 @@ def count_words(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def clustered_words(counts: np.ndarray) -> int:
+    """How many of these counts, in descending order, are those of clustered words."""
+    return int((np.asarray(counts) >= LEAST_COUNT).sum())
+
+
 @dataclass
 class Vocabulary:
     """The most frequent words with their counts, most frequent first, and totals of all words."""
@@ -80,7 +95,7 @@ class Vocabulary:
 
     @property
     def clustered(self) -> int:
-        return min(CLUSTERED, len(self.words))
+        return clustered_words(self.counts)
 
     def ids(self) -> dict[bytes, int]:
         """Clustered words by rank; others as clustered + 1 + ending. The text's end is number ``clustered``."""
@@ -98,7 +113,7 @@ def learn_vocabulary(counts: DataFrame, documents: int) -> tuple[Vocabulary, int
     rows["word"] = [w.encode() for w in rows["word"]]
     rows = rows.sort_values(["n", "word"], ascending=[False, True])
     words = rows["word"].tolist()
-    clustered = min(CLUSTERED, len(words))
+    clustered = clustered_words(rows["n"])
 
     def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, types = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
@@ -165,87 +180,170 @@ class Exchange:
         # Each list has at most clustered + 1 + ENDINGS entries.
         right = bigrams.where(f"a < {n}").groupBy(F.col("a").alias("word")).agg(F.collect_list("b").alias("right"), F.collect_list("n").alias("right_n"))
         left = bigrams.where(f"b < {n}").groupBy(F.col("b").alias("word")).agg(F.collect_list("a").alias("left"), F.collect_list("n").alias("left_n"))
-        self.rows = stage(right.join(left, "word"), "neighbours")
+        # Frequent words come first in each part.
+        self.rows = stage(right.join(left, "word").repartition(PARTS, "word").sortWithinPartitions("word"), "neighbours")
         self.still = np.zeros((self.size, self.size))
         for a, b, count in bigrams.where(f"a >= {n} AND b >= {n}").collect():  # at most (1 + ENDINGS) ** 2 rows
             self.still[CLASSES + a - n, CLASSES + b - n] = count
-        self.classes = np.concatenate([np.arange(n) % CLASSES, CLASSES + np.arange(self.fixed)])
+        by_ending = CLASSES + 1 + np.array([ending(w) for w in known.words[:n]], np.int64)
+        of_words = np.where(np.arange(n) < HEADS, np.arange(n) % CLASSES, by_ending)
+        self.classes = np.concatenate([of_words, CLASSES + np.arange(self.fixed)])
+        self.total = self.matrix(self.classes)
+
+    def run(self, least_gain: float) -> None:
+        """Exchanges words until a round that judges all of them gains no more than ``least_gain``."""
+        heads = self.rows.where(f"word < {HEADS}").coalesce(1).sortWithinPartitions("word")
+        while self.round(heads)[1] > least_gain:
+            pass
+        self.join_favoured()
+        every = False
+        while True:
+            gained = self.round(self.rows, every)[1] > least_gain
+            if every and not gained:
+                return
+            every = not gained
+
+    def join_favoured(self) -> None:
+        """Puts the words that have none yet into the class that their neighbours favour."""
+        classes, total = self.classes, self.total
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                words = batch.column("word").to_numpy()
+                to, new = favoured(batch, classes, total), classes[words] >= CLASSES
+                yield pa.RecordBatch.from_arrays([pa.array(words[new], pa.int64()), pa.array(to[new], pa.int64())], names=["word", "to"])
 
-    def matrix(self) -> np.ndarray:
-        """Bigrams of classes."""
-        classes, size, words = self.classes, self.size, self.words
+        found = self.rows.mapInArrow(run, "word long, to long").toPandas()  # at most a row for each clustered word
+        self.classes = classes.copy()
+        self.classes[found["word"].to_numpy(np.int64)] = found["to"].to_numpy(np.int64)
+        self.total = self.matrix(self.classes)
+
+    def matrix(self, classes: np.ndarray) -> np.ndarray:
+        """Bigrams of classes, counted from the neighbours of all words."""
+        size, words = self.size, self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((size, size))
+            total = np.zeros(size * size)
             for batch in batches:
-                for word, (r, rn), (l, ln) in contexts(batch):
-                    own = classes[word]
-                    total[own] += np.bincount(classes[r], rn, size)
-                    outside = l >= words
-                    total[:, own] += np.bincount(classes[l[outside]], ln[outside], size)
+                own = classes[batch.column("word").to_numpy()]
+                r, rn, ends = lists(batch, "right")
+                total += np.bincount(np.repeat(own, np.diff(ends)) * size + classes[r], rn, size * size)
+                l, ln, ends = lists(batch, "left")
+                outside = l >= words
+                total += np.bincount(classes[l[outside]] * size + np.repeat(own, np.diff(ends))[outside], ln[outside], size * size)
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], names=["cell", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
         out = self.still.copy().ravel()
         for cell, n in self.rows.mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n")).collect():
             out[cell] += n
         return out.reshape(size, size)
 
-    def round(self) -> int:
-        """Moves words to better classes; the number of words that moved."""
-        classes, size, total = self.classes, self.size, self.matrix()
+    def round(self, rows: DataFrame, every: bool = True) -> tuple[int, float]:
+        """Moves words of these rows to better classes: the number of words that moved, and the gain in likelihood.
+
+        Without ``every``, only words whose neighbours favour another class are judged.
+        """
+        start, size, total = self.classes, self.size, self.total
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out: list[tuple] = []
+            classes, cells, out = start.copy(), Cells(total.copy()), []
             for batch in batches:
-                for word, (r, rn), (l, ln) in contexts(batch):
-                    right, left = np.bincount(classes[r], rn, size), np.bincount(classes[l], ln, size)
-                    own = float(rn[r == word].sum())
-                    if best_class(without(total, classes[word], right, left, own), right, left, classes[word]) != classes[word]:
-                        out.append((word, own, right, left))
-            words, owns, rights, lefts = zip(*out, strict=True) if out else ((), (), (), ())
-            lists = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.int64()), pa.array(owns, pa.float64()), pa.array(rights, lists), pa.array(lefts, lists)],
-                names=["word", "own", "right", "left"],
-            )
-
-        # At most a row for each clustered word, of 2 * size numbers.
-        proposed = self.rows.mapInArrow(run, "word long, own double, right array<double>, left array<double>").toArrow().sort_by("word")
-        self.classes, moved = classes.copy(), 0
-        for word, own, right, left in zip(*proposed.columns, strict=True):
-            word, own, right, left = word.as_py(), own.as_py(), right.values.to_numpy(), left.values.to_numpy()
-            rest = without(total, self.classes[word], right, left, own)
-            to = best_class(rest, right, left, self.classes[word])
-            if to != self.classes[word]:
-                rest[to] += right
-                rest[:, to] += left
-                total, moved, self.classes[word] = rest, moved + 1, to
-        return moved
-
-
-def without(total: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, itself: float) -> np.ndarray:
-    """The class bigrams without a word of class ``own`` that has these neighbours, ``itself`` among them."""
-    rest = total.copy()
-    rest[own] -= right
-    rest[:, own] -= left
-    rest[own, own] += itself
-    return np.maximum(rest, 0)
-
-
-def best_class(rest: np.ndarray, right: np.ndarray, left: np.ndarray, own: int) -> int:
-    """Where a word adds most to the likelihood of the other words' class bigrams; ``own`` if it adds as much there."""
-    rows, columns, sums = rest[:CLASSES], rest[:, :CLASSES], rest.sum(axis=1)[:CLASSES]
-    gain = (xlogx(rows + right) - xlogx(rows)).sum(axis=1) + (xlogx(columns + left[:, None]) - xlogx(columns)).sum(axis=0)
-    gain -= 2 * (xlogx(sums + right.sum()) - xlogx(sums))
-    to = int(np.argmax(gain))
-    return to if gain[to] > gain[own] + 1e-6 else own
-
-
-def contexts(batch: pa.RecordBatch) -> Iterator:
-    columns = [batch.column(c) for c in ("word", "right", "right_n", "left", "left_n")]
-    for word, r, rn, l, ln in zip(*columns, strict=True):
-        yield word.as_py(), (r.values.to_numpy(), rn.values.to_numpy()), (l.values.to_numpy(), ln.values.to_numpy())
+                words = batch.column("word").to_numpy()
+                at = np.arange(len(words)) if every else np.flatnonzero(favoured(batch, classes, cells.total) != classes[words])
+                (r, rn, r_ends), (l, ln, l_ends) = lists(batch, "right"), lists(batch, "left")
+                for i in at:
+                    word, here, there = words[i], slice(r_ends[i], r_ends[i + 1]), slice(l_ends[i], l_ends[i + 1])
+                    old, itself = classes[word], rn[here][r[here] == word]
+                    right = np.bincount(classes[r[here]], rn[here], size)
+                    left = np.bincount(classes[l[there]], ln[there], size)
+                    own = float(itself[0]) if len(itself) else 0.0
+                    right[old] -= own
+                    left[old] -= own
+                    cells.add(old, -right, -left, -own)
+                    to, gain = cells.best_class(right, left, own, old)
+                    cells.add(to, right, left, own)
+                    if to != old:
+                        classes[word] = to
+                        out.append((word, to, gain))
+            words, classes_to, gains = zip(*out, strict=True) if out else ((), (), ())
+            part = pa.array([TaskContext.get().partitionId()] * len(out), pa.int64())
+            columns = [part, pa.array(words, pa.int64()), pa.array(classes_to, pa.int64()), pa.array(gains, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "word", "to", "gain"])
+
+        # At most a row for each clustered word.
+        moves = rows.mapInArrow(run, "part long, word long, to long, gain double").toPandas()
+        before = likelihood(total)
+        parts = moves.groupby("part")["gain"].sum().sort_values(ascending=False, kind="stable").index.tolist()
+        while parts:
+            chosen = moves[moves["part"].isin(parts)]
+            classes = start.copy()
+            classes[chosen["word"].to_numpy()] = chosen["to"].to_numpy()
+            matrix = self.matrix(classes)
+            gain = likelihood(matrix) - before
+            if gain > 0:
+                self.classes, self.total = classes, matrix
+                return len(chosen), gain
+            parts = parts[: len(parts) // 2]
+        return 0, 0.0
+
+
+def likelihood(total: np.ndarray) -> float:
+    """What the assignment of classes adds to the log likelihood of the bigrams."""
+    return float(xlogx(total).sum() - xlogx(total.sum(axis=1)).sum() - xlogx(total.sum(axis=0)).sum())
+
+
+class Cells:
+    """Class bigrams with the logs that judging a word needs, kept up as words leave and enter classes."""
+
+    def __init__(self, total: np.ndarray) -> None:
+        self.total, self.logs, self.sums = total, xlogx(total), total.sum(axis=1)
+
+    def add(self, c: int, right: np.ndarray, left: np.ndarray, own: float) -> None:
+        """Adds a word to class ``c``: its neighbours other than itself, and how often it follows itself."""
+        total = self.total
+        total[c] += right
+        total[:, c] += left
+        total[c, c] += own
+        self.sums += left
+        self.sums[c] += right.sum() + own
+        self.logs[c], self.logs[:, c] = xlogx(total[c]), xlogx(total[:, c])
+
+    def best_class(self, right: np.ndarray, left: np.ndarray, own: float, old: int) -> tuple[int, float]:
+        """Where a word that is in no class adds most to the likelihood, and how much more than in ``old``."""
+        after, before, each = np.flatnonzero(right), np.flatnonzero(left), np.arange(CLASSES)
+        rows, columns = self.total[:CLASSES, after], self.total[before, :CLASSES]
+        gain = (xlogx(rows + right[after]) - self.logs[:CLASSES, after]).sum(axis=1)
+        gain += (xlogx(columns + left[before, None]) - self.logs[before, :CLASSES]).sum(axis=0)
+        # The cell of a class with itself takes both sides at once.
+        corner, r, l = self.total[each, each], right[:CLASSES], left[:CLASSES]
+        gain += xlogx(corner + r + l + own) - xlogx(corner + r) - xlogx(corner + l) + xlogx(corner)
+        sums = self.sums[:CLASSES]
+        gain -= 2 * (xlogx(sums + right.sum() + own) - xlogx(sums))
+        to = int(np.argmax(gain))
+        more = float(gain[to] - gain[old])
+        return (to, more) if more > 1e-6 else (old, 0.0)
+
+
+def lists(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbours on one side of all words of a batch, their counts, and where each word's start and end."""
+    column = batch.column(side)
+    ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    return column.flatten().to_numpy(), batch.column(f"{side}_n").flatten().to_numpy(), ends
+
+
+def favoured(batch: pa.RecordBatch, classes: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The class under whose present transitions each word's neighbours are likeliest."""
+    m, size = batch.num_rows, len(total)
+    sides = []
+    for side in ("right", "left"):
+        ids, n, ends = lists(batch, side)
+        at = np.repeat(np.arange(m), np.diff(ends))
+        sides.append(np.bincount(at * size + classes[ids], n, m * size).reshape(m, size))
+    right, left = sides
+    after, before = np.log(total[:CLASSES] + 0.1), np.log(total[:, :CLASSES] + 0.1)
+    sums = np.log(total.sum(axis=1)[:CLASSES] + 0.1 * size)
+    return np.argmax(right @ after.T + left @ before - 2 * right.sum(axis=1, keepdims=True) * sums, axis=1)
 
 
 @dataclass
@@ -276,15 +374,16 @@ def transitions(total: np.ndarray) -> np.ndarray:
     return np.log10((total + SMOOTHING * own) / (total.sum(axis=1, keepdims=True) + SMOOTHING))
 
 
-def learn(training: DataFrame, rounds: int = 5) -> tuple[ClassModel, DataFrame]:
-    """The model, and the counts of the words that it doesn't hold itself."""
+def learn(training: DataFrame, least_gain: float = 0.002) -> tuple[ClassModel, DataFrame]:
+    """The model, and the counts of the words that it doesn't hold itself.
+
+    Words are exchanged until a round moves none, or adds less than ``least_gain`` a token to the log likelihood.
+    """
     counts = stage(count_words(training), "word-counts")
     known, least = learn_vocabulary(counts, training.count())
     exchange = Exchange(stage(count_bigrams(training, known), "bigrams"), known)
-    for _ in range(rounds):
-        if not exchange.round():
-            break
-    return ClassModel(known, exchange.classes, transitions(exchange.matrix())), counts.where(F.col("n") < least)
+    exchange.run(least_gain * known.tokens)
+    return ClassModel(known, exchange.classes, transitions(exchange.total)), counts.where(F.col("n") < least)
 
 
 def score(docs: DataFrame, is_training) -> DataFrame:

@@ -110,7 +110,7 @@ def test_base_scores_by_brute_force(spark):
 
 
 def test_class_model_is_a_distribution(spark):
-    model, others = class_model.learn(data.given(spark, "documents"), rounds=2)
+    model, others = class_model.learn(data.given(spark, "documents"))
     assert np.allclose((10**model.moves).sum(axis=1), 1)
     known, n = model.known, model.known.clustered
     sums = np.bincount(model.word_class, 10**model.in_class, len(model.moves))
@@ -134,6 +134,56 @@ def test_exchange_finds_words_of_the_same_use(spark, monkeypatch):
     assert not {of[w.encode()] for w in nouns} & {of[w.encode()] for w in verbs}
 
 
+def class_likelihood(pairs, classes):
+    """By its definition: each pair's class bigram against the classes on both sides."""
+    both, first, second = collections.Counter(), collections.Counter(), collections.Counter()
+    for (a, b), n in pairs.items():
+        both[classes[a], classes[b]] += n
+        first[classes[a]] += n
+        second[classes[b]] += n
+    return sum(n * math.log(n / first[a] / second[b]) for (a, b), n in both.items())
+
+
+def test_exchange_ends_where_no_word_gains_by_moving(spark, monkeypatch):
+    monkeypatch.setattr(class_model, "CLASSES", 5)
+    monkeypatch.setattr(class_model, "HEADS", 40)
+    pick = random.Random(4)
+    kinds = [[f"{k}{i}" for i in range(50)] for k in "abcd"]
+    follows = [1, 2, 3, 1]
+    texts = []
+    for i in range(250):
+        kind, words = pick.randrange(4), []
+        for _ in range(60):
+            words += [pick.choice(kinds[kind])] * pick.choice([1, 1, 1, 2])
+            kind = follows[kind] if pick.random() < 0.8 else pick.randrange(4)
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    known, _ = class_model.learn_vocabulary(class_model.count_words(docs), docs.count())
+    bigrams = class_model.count_bigrams(docs, known)
+    pairs = {(r.a, r.b): r.n for r in bigrams.collect()}
+    exchange, seen = class_model.Exchange(bigrams, known), []
+    assert known.clustered == 200
+    plain = class_model.Exchange.round
+
+    def watched(self, *args):
+        before = class_likelihood(pairs, self.classes)
+        moved, gain = plain(self, *args)
+        after = class_likelihood(pairs, self.classes)
+        assert after - before == pytest.approx(gain, rel=1e-6, abs=1e-4) and gain >= 0
+        seen.append(moved)
+        return moved, gain
+
+    monkeypatch.setattr(class_model.Exchange, "round", watched)
+    exchange.run(0.0)
+    assert seen[0] > 0 and seen[-1] == 0
+    best = class_likelihood(pairs, exchange.classes)
+    for word in range(0, 200, 8):
+        for to in range(5):
+            moved = exchange.classes.copy()
+            moved[word] = to
+            assert class_likelihood(pairs, moved) <= best + 1e-4
+
+
 def test_scores_of_awkward_documents(spark):
     rows = class_model.score(data.documents(spark), F.lit(True)).collect()
     assert len(rows) == len(data.ROWS) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
