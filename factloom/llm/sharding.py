@@ -1,15 +1,16 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
 Groups sorted by size enter the bin with the tightest remaining capacity that still holds them. The
-remaining capacities are kept in a balanced tree. What a task packs is bounded however many groups there
-are: groups above a share of the capacity are packed one by one (there are few, as their sizes add up to
-the total), smaller ones are first poured into parcels by a hash of their key, and a parcel is packed as
-one item. Tables of very many bins are packed in independent cells of a bounded number of bins.
+remaining capacities are kept in a balanced tree. Best fit looks at sizes only, and the tightest bin stays the
+tightest until it holds no more groups of a size; so the groups of one size are placed in runs, and what a
+task packs is a row for each distinct size. Sizes that differ add up: n of them need n * (n + 1) / 2 bytes.
+Every group then finds its bin by its rank among the groups of its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,9 +19,8 @@ from pyspark.sql import functions as F
 from factloom.llm.common import running_total
 from factloom.sources.workspace import stage
 
-#: Parcels for each bin of a cell, and bins of a cell: at most 2 * 512 * 64 items are packed in a task.
-PARCELS_A_BIN = 512
-BINS_A_CELL = 64
+#: Ranks within a size that meet the runs of that size under one key.
+RANKS_A_KEY = 256
 
 
 class CapacityTree:
@@ -75,30 +75,48 @@ class CapacityTree:
         return found
 
 
+def best_fit_runs(sizes: Iterable[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int]]:
+    """Places (size, number of groups) rows, which must come in descending order: runs of (size, first, end, bin).
+
+    A run holds the groups of a size from number ``first`` up to ``end``. Bins are numbered as they are opened;
+    a group above the capacity gets a bin alone.
+    """
+    tree, runs, opened = CapacityTree(), [], 0
+    for size, count in sizes:
+        first = 0
+        while first < count:
+            found = tree.take(size)
+            if found is None:
+                found, opened = (max(capacity, size), opened), opened + 1
+            end = min(count, first + found[0] // size) if size else count
+            runs.append((size, first, end, found[1]))
+            if left := found[0] - (end - first) * size:
+                tree.insert(left, found[1])
+            first = end
+    return runs
+
+
 def best_fit_decreasing(sizes: Iterable[int], capacity: int) -> list[int]:
     """The bin of each size. Sizes must come in descending order; one above the capacity gets a bin alone."""
-    tree, bins, opened = CapacityTree(), [], 0
-    for size in sizes:
-        found = tree.take(size)
-        if found is None:
-            found, opened = (max(capacity, size), opened), opened + 1
-        bins.append(found[1])
-        if found[0] > size:
-            tree.insert(found[0] - size, found[1])
-    return bins
-
-
-def least_capacity(sizes: list[int], bins: int) -> int:
+    counted = [(size, len(list(equal))) for size, equal in groupby(sizes)]
+    return [b for _, first, end, b in best_fit_runs(counted, capacity) for _ in range(end - first)]
+
+
+def bins_needed(sizes: list[tuple[int, int]], capacity: int) -> int:
+    return max((b for *_, b in best_fit_runs(sizes, capacity)), default=-1) + 1
+
+
+def least_capacity(sizes: list[tuple[int, int]], bins: int) -> int:
     """About the least capacity with which best fit decreasing needs no more than ``bins`` bins (bisection)."""
-    low = max(-(-sum(sizes) // bins), max(sizes, default=1), 1)
-    if max(best_fit_decreasing(sizes, low), default=0) < bins:
+    low = max(-(-sum(size * n for size, n in sizes) // bins), max((size for size, _ in sizes), default=1), 1)
+    if bins_needed(sizes, low) <= bins:
         return low
     high = low
-    while max(best_fit_decreasing(sizes, high)) >= bins:
+    while bins_needed(sizes, high) > bins:
         high += max(1, high // 64)
     while high - low > max(1, low // 20_000):
         middle = (low + high) // 2
-        if max(best_fit_decreasing(sizes, middle)) < bins:
+        if bins_needed(sizes, middle) <= bins:
             high = middle
         else:
             low = middle
@@ -106,45 +124,25 @@ def least_capacity(sizes: list[int], bins: int) -> int:
 
 
 def pack_groups(groups: DataFrame, shards: int | None = None, capacity: int | None = None) -> DataFrame:
-    """Bins for (``item``, ``size``) rows: adds ``shard``, numbered without gaps from 0.
+    """Bins for (``item``, ``size``) rows: ``item``, ``shard``, numbered without gaps from 0.
 
     Give ``shards`` for that many bins of a capacity as small as possible, or ``capacity`` for as few bins
-    as possible. Result: ``part`` ('group' or 'parcel'), ``item`` (the key, or the parcel's number as text),
-    ``shard``; look a group up by its key first, then by :func:`parcel_of`.
-    An empty table has no bins. A group above the capacity gets a bin of its own.
+    as possible. Sizes of rows of the same item add up; a NULL size is 0. Groups of equal size are placed in the
+    order of their items. An empty table has no bins. A group above the capacity gets a bin of its own.
     """
-    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long")).first()[0]
-    bins = shards or max(1, -(-total // capacity))
-    cells = 1 if shards else -(-bins // BINS_A_CELL)
-    parcels = bins * PARCELS_A_BIN
-    large = F.col("size") * parcels > total
-    # Large groups and parcels meet as items of one of `cells` cells; a cell has a bounded number of either.
-    items = (
-        groups.select(
-            F.when(large, "group").otherwise("parcel").alias("part"),
-            F.when(large, F.col("item")).otherwise(parcel_of(F.col("item"), parcels)).alias("item"),
-            "size",
-        )
-        .groupBy("part", "item")
-        .agg(F.sum("size").alias("size"))
-        .withColumn("cell", F.pmod(F.xxhash64("part", "item"), F.lit(cells)))
-    )
+    whole = stage(groups.groupBy("item").agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("size")), "groups")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "part", "item"], ascending=[False, True, True])
-        sizes = [int(x) for x in rows["size"]]
-        rows["bin"] = best_fit_decreasing(sizes, least_capacity(sizes, shards) if shards else capacity)
-        return rows[["cell", "part", "item", "bin"]]
+        rows = rows.sort_values("size", ascending=False)
+        sizes = list(zip(rows["size"].tolist(), rows["n"].tolist(), strict=True))
+        return pd.DataFrame(best_fit_runs(sizes, least_capacity(sizes, shards) if shards else capacity), columns=["size", "start", "stop", "shard"])
 
-    packed = stage(items.groupBy("cell").applyInPandas(pack, "cell long, part string, item string, bin long"), "bins")
-    used = packed.groupBy("cell").agg((F.max("bin") + 1).alias("bins"))
-    first = running_total(used, [], ["cell"], {"first": "bins"}).select("cell", "first")
-    return packed.join(first, "cell").select("part", "item", (F.col("first") + F.col("bin")).cast("int").alias("shard"))
-
-
-def parcel_of(key, parcels: int):
-    """The parcel, as text, that a group of this key is poured into."""
-    return F.pmod(F.xxhash64(key), F.lit(parcels)).cast("string")
+    sizes = whole.groupBy("size").agg(F.count("*").alias("n"))
+    runs = stage(sizes.groupBy(F.lit("all").alias("all")).applyInPandas(pack, "size long, start long, stop long, shard int"), "runs")
+    key = "explode(sequence(start div {0}, (stop - 1) div {0})) AS key".format(RANKS_A_KEY)
+    ranked = running_total(whole.withColumn("one", F.lit(1).cast("long")), ["size"], ["item"], {"rank": "one"})
+    found = ranked.withColumn("key", F.expr(f"rank div {RANKS_A_KEY}")).join(runs.selectExpr("*", key), ["size", "key"])
+    return found.where("rank >= start AND rank < stop").select("item", "shard")
 
 
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
@@ -166,21 +164,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
         "sized",
     )
     groups = rows.groupBy("item").agg(F.sum("size").alias("size"))
-    bins = pack_groups(groups, shards=shards)
-    # Both maps have at most `shards * PARCELS_A_BIN` rows, whatever the table's size.
-    of_group = bins.where("part = 'group'").select("item", F.col("shard").alias("group_shard"))
-    of_parcel = bins.where("part = 'parcel'").select(F.col("item").alias("parcel"), F.col("shard").alias("parcel_shard"))
-    placed = (
-        rows.withColumn("parcel", parcel_of(F.col("item"), shards * PARCELS_A_BIN))
-        .join(F.broadcast(of_group), "item", "left")
-        .join(F.broadcast(of_parcel), "parcel", "left")
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.coalesce("group_shard", "parcel_shard").alias("shard"),
-            F.xxhash64("doc_id", "item").alias("mixed"),
-            F.lit(1).cast("long").alias("one"),
-        )
+    placed = rows.join(pack_groups(groups, shards=shards), "item").select(
+        "doc_id", "size", "text_crc32", "shard", F.xxhash64("doc_id", "item").alias("mixed"), F.lit(1).cast("long").alias("one")
     )
     return running_total(placed, ["shard"], ["mixed", "doc_id"], {"slot": "one"}).drop("mixed", "one")

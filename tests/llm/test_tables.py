@@ -330,6 +330,26 @@ def test_packing_by_capacity_in_cells(spark):
     assert used == set(range(len(used))) and len(used) <= 1.1 * math.ceil(sum(sizes) / 4000) + 4
 
 
+@pytest.mark.parametrize("how", [{"capacity": 900}, {"shards": 7}])
+def test_packing_equals_best_fit_one_by_one(spark, how):
+    pick = np.random.default_rng(8)
+    sizes = [*pick.integers(1, 40, 3000).tolist(), *pick.integers(1, 900, 60).tolist(), 2000, *[7] * 1500]
+    groups = [(f"g{i}", s) for i, s in enumerate(sizes)]
+    got = {r.item: r.shard for r in sharding.pack_groups(spark.createDataFrame(groups, "item string, size long"), **how).collect()}
+    order = sorted(groups, key=lambda g: (-g[1], g[0]))
+    counted = sorted(collections.Counter(sizes).items(), reverse=True)
+    capacity = how.get("capacity") or sharding.least_capacity(counted, how["shards"])
+    rest, want = [], {}
+    for item, size in order:
+        fits = [(r, k) for k, r in enumerate(rest) if r >= size]
+        k = min(fits)[1] if fits else len(rest)
+        if not fits:
+            rest.append(max(capacity, size))
+        rest[k] -= size
+        want[item] = k
+    assert got == want and ("shards" not in how or len(rest) == how["shards"])
+
+
 def brute_rule(url):
     m = re.match(r"(?s)(.*?)://([^/?#]*)([^?#]*)", url or "")
     host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m[2]) if m else ""
