@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.functions.codes import DELETED
+from factloom.functions.codes import DELETED, UPDATED
 from factloom.functions.ledger import movement_label, opposite_side, own_side, signed_quantity
-from factloom.functions.change import effective_action
 from factloom.functions.text import left_chars, literal, right_chars, source_id
 from factloom.operators.changes import (
     append_tombstones,
@@ -127,6 +127,11 @@ REF_LEFT, REF_RIGHT = "CL_LT_Reference_Doc_No", "CL_RT_Reference_Doc_No"
 # Slice column of the published table.
 MONTH = "Posting_Month"
 
+# Feeds whose rows carry a time of capture; the control table's do not.
+CAPTURED = ("ledger", "quantity", "contract", "header", "movement", "second_quantity")
+# Marks ledger rows that were themselves captured since the last load.
+FRESH = "_fresh"
+
 # How the tables refer to each other (row column -> column of the table it points to).
 HEADER_OF_LEDGER = {"RYEAR": "GJAHR", "RBUKRS": "BUKRS", "REFDOCNR": "BELNR"}
 QUANTITY_OF_LEDGER = {"GL_SIRID": "GL_SIRID", "DOCCT": "DOCCT"}
@@ -134,6 +139,16 @@ CONTRACT_OF_LEDGER = {c: c for c in ("RLDNR", "RYEAR", "DOCNR", "DOCLN", "RBUKRS
 MOVEMENT_OF_HEADER = {"_ref_left": "MBLNR", "_ref_right": "ZEILE"}
 SECOND_OF_MOVEMENT = {c: c for c in ("MBLNR", "MJAHR", "ZEILE")}
 
+# What a changed row must tell, by feed: the keys others refer to it by, and what decides whether it counts.
+CHANGE_COLUMNS = {
+    "ledger": ("GL_SIRID",),
+    "quantity": ("MANDT", *QUANTITY_OF_LEDGER.values()),
+    "contract": ("MANDT", *CONTRACT_OF_LEDGER.values()),
+    "header": ("BLART", "TCODE", *HEADER_OF_LEDGER.values()),
+    "movement": ("MANDT", *MOVEMENT_OF_HEADER.values()),
+    "second_quantity": ("MANDT", "MSEHI", *SECOND_OF_MOVEMENT.values()),
+}
+
 
 @dataclass(frozen=True)
 class LedgerFeeds:
@@ -149,8 +164,11 @@ class LedgerFeeds:
 
     def unified(self) -> "LedgerFeeds":
         """The same tables with one pair of change columns each."""
-        names = ("ledger", "quantity", "contract", "header", "movement", "second_quantity")
-        return replace(self, **{n: unify_cdc_columns(getattr(self, n)) for n in names})
+        return replace(self, **{n: unify_cdc_columns(getattr(self, n)) for n in CAPTURED})
+
+    def since(self, watermark) -> "LedgerFeeds":
+        """The rows captured since the watermark."""
+        return replace(self, **{n: since_watermark(getattr(self, n), watermark) for n in CAPTURED})
 
 
 @dataclass(frozen=True)
@@ -271,14 +289,12 @@ def _in_scope(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec) -> DataFr
     return changed_key_semi_join(kept, feeds.control, ["RPRCTR"])
 
 
-def _lines(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark=None) -> DataFrame:
+def _lines(ledger: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec) -> DataFrame:
     """Published columns of ledger rows. Repeats are removed.
 
-    With a watermark, lines whose ledger row is older than it count as updated.
+    Where ledger rows are marked fresh or not, lines of those that are not count as updated.
     """
-    action = ACTION
-    if watermark is not None:
-        action = effective_action("ingested_at", watermark_text(ledger, "ingested_at", watermark), ACTION)
+    action = f"CASE WHEN {FRESH} THEN {ACTION} ELSE {literal(UPDATED)} END" if FRESH in ledger.columns else ACTION
     base = ledger.selectExpr(*renamed(LEDGER_COLUMNS | {"DOCCT": CATEGORY}), f"{action} AS {ACTION}")
     rows = enrich_late(base, lookups(feeds), ROW_KEY)
     values = _derived() | {STAMP: spec.stamp(), "Source_ID": source_id(spec.system, "Client")}
@@ -304,7 +320,12 @@ def ledger_line_full(feeds: LedgerFeeds, spec: LedgerSpec) -> DataFrame:
 
 
 def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
-    """Ledger keys reached by any change to a lookup table since the watermark.
+    """Ledger keys reached by any change to a lookup table since the watermark."""
+    return keys_reached(feeds, feeds.since(watermark))
+
+
+def keys_reached(feeds: LedgerFeeds, changed: LedgerFeeds) -> DataFrame:
+    """Ledger keys reached by the changed rows of the lookup tables (of which ``CHANGE_COLUMNS`` suffice).
 
     Changes that arrive through headers, movements (via headers) and second quantities
     (via movements and headers) are first reduced to one set of header keys. Deletes count
@@ -316,25 +337,23 @@ def affected_ledger_keys(feeds: LedgerFeeds, watermark) -> DataFrame:
     scan instead of shuffling them.
     """
     headers = reference_keys(feeds.header)
-    changed_headers = doc_type_filter(since_watermark(feeds.header, watermark))
-    changed_movements = client_filter(since_watermark(feeds.movement, watermark))
-    changed_second = unit_filter(since_watermark(feeds.second_quantity, watermark))
+    changed_headers = doc_type_filter(changed.header)
+    changed_movements = client_filter(changed.movement)
+    changed_second = unit_filter(changed.second_quantity)
     header_key = list(HEADER_OF_LEDGER.values())
     reference_key = {"MBLNR": "MBLNR", "ZEILE": "ZEILE"}
     movement_keys = union_distinct(
         distinct_keys(changed_movements, reference_key),
         keys_through(changed_second, [(feeds.movement, SECOND_OF_MOVEMENT)], list(reference_key)),
     )
-    changed_quantity = client_filter(since_watermark(feeds.quantity, watermark))
-    changed_contract = client_filter(since_watermark(feeds.contract, watermark))
     header_keys = union_distinct(
         distinct_keys(changed_headers, header_key),
         keys_through(stage(movement_keys, "changed-movements"), [(headers, MOVEMENT_OF_HEADER)], header_key),
     )
     paths = [
         (header_keys, HEADER_OF_LEDGER),
-        (changed_quantity, QUANTITY_OF_LEDGER),
-        (changed_contract, CONTRACT_OF_LEDGER),
+        (client_filter(changed.quantity), QUANTITY_OF_LEDGER),
+        (client_filter(changed.contract), CONTRACT_OF_LEDGER),
     ]
     return keys_hit_on_any_path(feeds.ledger, paths, ["GL_SIRID"])
 
@@ -369,20 +388,37 @@ def ledger_line_changes(feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> tupl
     or its profit centre no longer qualifies.
     """
     feeds = feeds.unified()
-    fresh = since_watermark(feeds.ledger, watermark)
-    keys = union_distinct(distinct_keys(fresh, ["GL_SIRID"]), affected_ledger_keys(feeds, watermark))
-    again = stage(changed_key_semi_join(feeds.ledger, stage(keys, "affected-lines"), ["GL_SIRID"]), "lines-touched")
+    since = watermark_text(feeds.ledger, "ingested_at", watermark)
+    fresh = F.expr(f"coalesce(ingested_at >= {since}, false)")
+    return _changes(feeds, feeds.since(watermark), spec, lambda lines: lines.withColumn(FRESH, fresh))
+
+
+def ledger_line_changes_of(feeds: LedgerFeeds, changed: LedgerFeeds, spec: LedgerSpec) -> tuple[DataFrame, DataFrame]:
+    """The same for changed rows that are given rather than told by a watermark; ``CHANGE_COLUMNS`` of them suffice."""
+    captured = join_keys(changed.ledger, ["GL_SIRID"]).withColumn(FRESH, F.lit(True))
+
+    def marked(lines: DataFrame) -> DataFrame:
+        return lines.join(captured, "GL_SIRID", "left").withColumn(FRESH, F.coalesce(FRESH, F.lit(False)))
+
+    return _changes(feeds.unified(), changed, spec, marked)
+
+
+def _changes(
+    feeds: LedgerFeeds, changed: LedgerFeeds, spec: LedgerSpec, marked: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`ledger_line_changes` of unified feeds; ``marked`` tells which ledger rows were captured since."""
+    keys = union_distinct(distinct_keys(changed.ledger, ["GL_SIRID"]), keys_reached(feeds, changed))
+    reached = changed_key_semi_join(feeds.ledger, stage(keys, "affected-lines"), ["GL_SIRID"])
+    again = stage(marked(reached), "lines-touched")
     scoped = stage(_in_scope(again, feeds, spec), "lines-to-derive")
-    rows = _lines(scoped, restricted(feeds, scoped), spec, watermark)
+    rows = _lines(scoped, restricted(feeds, scoped), spec)
     _, deleted = split_changes(account_range_filter(again, pad_to=spec.pad_accounts), ACTION)
     touched = again.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}")
-    # A line deleted before the watermark that a lookup change reaches keeps the tombstone it has.
-    since = watermark_text(deleted, "ingested_at", watermark)
-    old = deleted.filter(f"NOT coalesce(ingested_at >= {since}, false)")
+    # A line deleted earlier that a lookup change reaches keeps the tombstone it has.
+    old = deleted.filter(f"NOT {FRESH}")
     old = old.selectExpr(f"{source_id(spec.system, 'RCLNT')} AS Source_ID", f"GL_SIRID AS {KEY}")
     touched = touched.join(join_keys(old, list(MERGE_KEYS)), list(MERGE_KEYS), "left_anti")
-    new = deleted.filter(f"ingested_at >= {since}")
-    return append_tombstones(rows, _tombstones(new, spec)), touched
+    return append_tombstones(rows, _tombstones(deleted.filter(FRESH), spec)), touched
 
 
 def ledger_line_delta(target: DataFrame, feeds: LedgerFeeds, spec: LedgerSpec, watermark) -> DataFrame:
@@ -428,11 +464,20 @@ def publish_delta(table: SnapshotTable, feeds: LedgerFeeds, spec: LedgerSpec, wa
     window begins, the earlier lines go. No other file is touched.
     """
     with scratch(table.spark):
-        changes, touched = ledger_line_changes(feeds, spec, watermark)
-        changes = stage(by_month(changes), "lines-changed")
-        retired = touched.join(join_keys(changes, MERGE_KEYS), list(MERGE_KEYS), "left_anti")
-        table.merge(changes, MergeSpec(keys=MERGE_KEYS), deleted=retired)
-        if spec.months is not None:
-            first = f"add_months(CAST({literal(str(spec.as_of))} AS date), -{spec.months})"
-            row = table.spark.sql(f"SELECT {first} AS day, date_format({first}, 'yyyy-MM') AS month").first()
-            table.age_out(LEDGER_COLUMNS["BUDAT"], row.day, row.month)
+        _publish(table, *ledger_line_changes(feeds, spec, watermark), spec)
+
+
+def publish_changes(table: SnapshotTable, feeds: LedgerFeeds, changed: LedgerFeeds, spec: LedgerSpec) -> None:
+    """:func:`publish_delta` for changed rows that are given rather than told by a watermark."""
+    with scratch(table.spark):
+        _publish(table, *ledger_line_changes_of(feeds, changed, spec), spec)
+
+
+def _publish(table: SnapshotTable, changes: DataFrame, touched: DataFrame, spec: LedgerSpec) -> None:
+    changes = stage(by_month(changes), "lines-changed")
+    retired = touched.join(join_keys(changes, MERGE_KEYS), list(MERGE_KEYS), "left_anti")
+    table.merge(changes, MergeSpec(keys=MERGE_KEYS), deleted=retired)
+    if spec.months is not None:
+        first = f"add_months(CAST({literal(str(spec.as_of))} AS date), -{spec.months})"
+        row = table.spark.sql(f"SELECT {first} AS day, date_format({first}, 'yyyy-MM') AS month").first()
+        table.age_out(LEDGER_COLUMNS["BUDAT"], row.day, row.month)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.plans.ledger_line import LedgerFeeds
+from factloom.plans.ledger_line import CAPTURED, LedgerFeeds
 
 # The moment of the run, and where the last completed run started.
 AS_OF = "2001-12-31"
@@ -255,6 +255,17 @@ def ledger_feeds(spark: SparkSession, folder: str) -> LedgerFeeds:
     return LedgerFeeds(**{n: feed(spark, folder, n) for n in names}, control=control(spark, folder))
 
 
+def ledger_streams(spark: SparkSession, folder: str) -> LedgerFeeds:
+    """The captured source tables of the ledger-line fact as streams over the files of the given tables."""
+    def stream(name: str) -> DataFrame:
+        source, expressions = FEEDS[name]
+        # A pattern, since a stream takes a path without one for a folder, and a given table may be a file.
+        rows = spark.readStream.schema(table(spark, folder, source).schema).parquet(f"{folder}/{source}.parquet*")
+        return rows.selectExpr(*[f"{e} AS {c}" for c, e in expressions.items()])
+
+    return LedgerFeeds(**{n: stream(n) for n in CAPTURED}, control=control(spark, folder))
+
+
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a run log: the user is the workflow, a purchase completes a run."""
     return table(spark, folder, "events").selectExpr(

@@ -14,8 +14,9 @@ from factloom.sources.files import read_column_map
 from factloom.sources.runlog_table import RunLogTable
 from factloom.sources.snapshot import SnapshotTable
 from factloom.spec import MergeSpec
+from factloom.streaming.inbox import LedgerInbox
 from workload.basics import CONTROL_SQL, LABEL_SQL, SWAP_SQL
-from workload.bindings import AS_OF, WATERMARK, feed, ledger_feeds, table
+from workload.bindings import AS_OF, WATERMARK, feed, ledger_feeds, ledger_streams, table
 from workload.registry import AS_OF_SQL, WM_SQL, feed_sql, fresh_path, query, unified_sql
 
 LEDGER_SPEC = ledger_line.LedgerSpec(system=system_code("dev", "GSAP"), as_of=AS_OF)
@@ -456,3 +457,16 @@ def ledger_line_published(spark, folder):
             as_of=spec.as_of,
         )
     return lines.read().select(*ledger_line.PUBLISHED)
+
+
+@query("ledger_line_streamed", _delta_sql())
+def ledger_line_streamed(spark, folder):
+    """A full load of what was known at the watermark; what came since arrives as six streams and is drained at once."""
+    feeds = ledger_feeds(spark, folder)
+    old = replace(feeds, **{n: filters.before_watermark(getattr(feeds, n), WATERMARK) for n in ledger_line.CAPTURED})
+    lines = ledger_line.published_table(spark, fresh_path(spark, "streamed-lines"))
+    ledger_line.publish_full(lines, old, EARLIER_SPEC)
+    inbox = LedgerInbox(spark, fresh_path(spark, "inbox"))
+    inbox.follow_all(ledger_streams(spark, folder).since(WATERMARK))
+    inbox.drain(lines, feeds, LEDGER_SPEC)
+    return lines.read().select(*ledger_line.PUBLISHED)
