@@ -5,7 +5,7 @@ starts at a multiple of W // 2. So only the non-overlapping blocks of every docu
 rolling window of that length probes it. Hits are extended: the W-word windows around a hit are compared whole,
 and a word goes if a window over it also starts earlier; neighbouring windows so make up maximal repeats.
 
-Documents are dealt to slices of bounded size by a hash of their id. A slice sends its probes to partitions
+Documents are dealt to slices of bounded size by a hash of their id and text. A slice sends its probes to partitions
 of the hash space, packed as arrays of a few bytes a window (each hash once for a slice, however often it
 occurs there), and gets back the positions of hits; it sends the windows around them in the same way and gets
 back the positions that start earlier elsewhere. No pairs are formed, and what one task holds is bounded.
@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from factloom.llm.common import WORD
 from factloom.llm.text import WindowHasher, mixed, within, words_of
 
-LAST = 2**63 - 1
+FIRST, LAST = -(2**63), 2**63 - 1
 MESSAGE = pa.schema([("part", pa.int64()), ("slice", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 MESSAGE_DDL = "part long, slice long, kind int, data binary"
 REPLY = pa.schema([("slice", pa.int64()), ("data", pa.binary())])
@@ -51,10 +51,14 @@ def unpack(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
 
 
 class Slice:
-    """The documents of one slice in order of id, as one list of words."""
+    """The documents of one slice in order of id and text, as one list of words.
+
+    The order does not depend on how rows arrive: those that it leaves open have the same text.
+    """
 
     def __init__(self, rows: pa.Table) -> None:
-        rows = rows.take(pa.array(np.argsort(rows.column("order").to_numpy(), kind="stable")))
+        by = [rows.column(c).to_numpy() for c in ("text_hash", "tie", "order")]
+        rows = rows.take(pa.array(np.lexsort(by)))
         self.number = rows.column("slice")[0].as_py()
         self.docs = rows.column("doc").combine_chunks()
         self.docs = self.docs.chunk(0) if isinstance(self.docs, pa.ChunkedArray) else self.docs
@@ -63,7 +67,8 @@ class Slice:
         self.counts = np.array([len(w) for w in each], np.int64)
         self.starts = np.cumsum(self.counts) - self.counts
         self.words = [w for ws in each for w in ws]
-        self.order = rows.column("order").to_numpy()
+        self.order, self.tie = rows.column("order").to_numpy(), rows.column("tie").to_numpy()
+        self.rank = ranks(self.order, self.tie)
         self.owner = np.repeat(np.arange(len(each)), self.counts)
 
     def windows(self, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +81,15 @@ class Slice:
         return at - self.starts[self.owner[at]]
 
 
+def ranks(order: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Place of each document among those given, from 0; the same document has the same."""
+    at = np.lexsort((tie, order))
+    new = (np.diff(order[at]) != 0) | (np.diff(tie[at]) != 0)
+    out = np.zeros(len(at), np.int64)
+    out[at[1:]] = np.cumsum(new)
+    return out
+
+
 def groups(keys: np.ndarray, *then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts by key and then by the others, and the first place of every key in it."""
     order = np.lexsort((*then[::-1], keys)) if then else np.argsort(keys, kind="stable")
@@ -160,7 +174,7 @@ def positions(told: pa.Table) -> np.ndarray:
 
 
 def extend(rows: pa.Table, told: pa.Table, block: int, window: int, parts: int) -> pa.Table:
-    """The windows around a slice's hits, for comparison: each hash once, with the id order of its document."""
+    """The windows around a slice's hits, for comparison: each hash once, with what orders its document."""
     if not rows.num_rows or not told.num_rows:
         return message([], 0, [], [])
     own, hits = Slice(rows), positions(told)
@@ -176,7 +190,7 @@ def extend(rows: pa.Table, told: pa.Table, block: int, window: int, parts: int)
     at, hashes = at[chosen], hashes[chosen]
     if not len(at):
         return message([], own.number, [], [])
-    doc, place = own.order[own.owner[at]], own.place(at)
+    doc, place = own.rank[own.owner[at]], own.place(at)
     order, first = groups(hashes, doc, place)
     counts = np.diff(np.append(first, len(order)))
     lead = np.repeat(order[first], counts)
@@ -192,7 +206,8 @@ def extend(rows: pa.Table, told: pa.Table, block: int, window: int, parts: int)
         kinds.append(SENT)
         data.append(
             pack(at[c]) + hashes[c].astype("<u8").tobytes()
-            + np.array([len(docs)], "<u4").tobytes() + held.astype("<u4").tobytes() + own.order[docs].astype("<i8").tobytes()
+            + np.array([len(docs)], "<u4").tobytes() + held.astype("<u4").tobytes()
+            + np.stack([own.order[docs], own.tie[docs], own.starts[docs]]).astype("<i8").tobytes()
         )
     if len(later):
         to.append(own.number % parts)
@@ -202,8 +217,8 @@ def extend(rows: pa.Table, told: pa.Table, block: int, window: int, parts: int)
 
 
 def answer_windows(rows: pa.Table) -> pa.Table:
-    """Windows of one partition that also start in an earlier document."""
-    out, slices, at, hashes, docs = [], [], [], [], []
+    """Windows of one partition that also start earlier, in another document or in another row of the same."""
+    out, slices, at, hashes, held, docs = [], [], [], [], [], []
     for number, kind, data in zip(*(rows.column(c).to_pylist() for c in ("slice", "kind", "data")), strict=True):
         if kind == FOUND:
             out.append((number, data))
@@ -214,13 +229,16 @@ def answer_windows(rows: pa.Table) -> pa.Table:
         hashes.append(np.frombuffer(data, "<u8", len(places), end))
         end += 8 * len(places)
         n = int(np.frombuffer(data, "<u4", 1, end)[0])
-        held = np.frombuffer(data, "<u4", n, end + 4)
-        docs.append(np.repeat(np.frombuffer(data, "<i8", n, end + 4 + 4 * n), held))
+        held.append(np.frombuffer(data, "<u4", n, end + 4))
+        docs.append(np.frombuffer(data, "<i8", 3 * n, end + 4 + 4 * n).reshape(3, n))
     if hashes:
-        slices, at, hashes, docs = map(np.concatenate, (slices, at, hashes, docs))
-        order, first = groups(hashes, docs)
+        slices, at, hashes, held = map(np.concatenate, (slices, at, hashes, held))
+        order, tie, starts = np.concatenate(docs, axis=1)
+        # A document's rank among those met here, then the place of the window in it, as one number.
+        when = (np.repeat(ranks(order, tie), held) << 32) + at - np.repeat(starts, held)
+        order, first = groups(hashes, when)
         counts = np.diff(np.append(first, len(order)))
-        later = docs[order] > np.repeat(docs[order[first]], counts)
+        later = when[order] > np.repeat(when[order[first]], counts)
         out += replies(slices, at, order[later])
     return as_replies(out)
 
@@ -255,24 +273,34 @@ def remove(rows: pa.Table, told: pa.Table, window: int, names: list[str], schema
     return pa.Table.from_arrays([*columns, pa.array(own.counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_words", "n_removed"])
 
 
+def deal(docs: DataFrame, names: list[str], slices: int) -> DataFrame:
+    """The documents by slice, with what orders them: the id, then the text's hash for those without one."""
+    number, text_hash = F.col("doc_id").cast("long"), F.xxhash64("text")
+    return docs.select(
+        F.pmod(F.xxhash64(number, text_hash), F.lit(slices)).alias("slice"),
+        F.coalesce(number, F.lit(LAST)).alias("order"),
+        F.when(number.isNull(), text_hash).otherwise(F.lit(FIRST)).alias("tie"),
+        text_hash.alias("text_hash"),
+        F.struct(*names).alias("doc"),
+    )
+
+
 def remove_repeats(docs: DataFrame, window: int = 20, slice_bytes: int = 4 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """The documents with words cut out that a window of ``window`` words covers which also starts earlier.
 
     Earlier is a smaller doc_id, or an earlier place in the same document; windows are judged on the input.
     Adds ``n_words`` and ``n_removed`` (columns of those names are replaced); ``text`` is what is left, with
-    the white space that follows each kept word. NULL and empty texts have no words and stay. A NULL doc_id
-    comes after all others; rows of the same doc_id are the same document, so that windows at the same place
-    of both are not earlier than each other. An empty table gives no rows. ``slice_bytes`` and ``part_bytes``
-    say how much text a slice of documents, and a partition of the hash space, stands for.
+    the white space that follows each kept word. NULL and empty texts have no words and stay. Rows of the same
+    doc_id are the same document, so that windows at the same place of both are not earlier than each other. Rows
+    without a doc_id come after all others, in order of their text's 64-bit hash; those of the same text are the same
+    document. An empty table gives no rows. ``slice_bytes`` and ``part_bytes`` say how much text a slice of
+    documents, and a partition of the hash space, stands for; only rows equal in id and text must share a slice.
     """
     block, names = window // 2, [c for c in docs.columns if c not in ("n_words", "n_removed")]
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
     slices, parts = max(1, -(-size // slice_bytes)), max(1, -(-size // part_bytes))
     # One shuffle of the documents serves all three passes: each plan below begins with this grouping.
-    dealt = (
-        docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("order"), F.struct(*names).alias("doc"))
-        .withColumn("slice", F.pmod(F.xxhash64("order"), F.lit(slices)))
-    )
+    dealt = deal(docs, names, slices)
     in_slices = lambda: dealt.groupBy("slice")
     out = docs.select(*names).schema.add("n_words", "long").add("n_removed", "long")
     arrow = to_arrow_schema(out)

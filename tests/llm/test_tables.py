@@ -252,26 +252,57 @@ def test_near_copies_of_awkward_documents(spark):
 
 
 def brute_repeats(docs, window):
+    """Of (doc_id, text, hash of the text): rows without an id come last, by their hash."""
+    def document(i, text_hash):
+        return (0, i) if i is not None else (1, text_hash)
+
     first, out = {}, []
-    for i, text in docs:
+    for i, text, text_hash in docs:
         ws = data.words(text)
         for s in range(len(ws) - window + 1):
             key = tuple(ws[s : s + window])
-            first[key] = min(first.get(key, (math.inf, 0)), (math.inf if i is None else i, s))
-    for i, text in docs:
+            first[key] = min(first.get(key, ((2, 0), 0)), (document(i, text_hash), s))
+    for i, text, text_hash in docs:
         ws = data.words(text)
-        gone = {j for s in range(len(ws) - window + 1) if first[tuple(ws[s : s + window])] < (math.inf if i is None else i, s) for j in range(s, s + window)}
+        gone = {j for s in range(len(ws) - window + 1) if first[tuple(ws[s : s + window])] < (document(i, text_hash), s) for j in range(s, s + window)}
         kept = b" ".join(w for j, w in enumerate(ws) if j not in gone)
         out.append((i, len(ws), len(gone), hashlib.sha256(kept).hexdigest()))
     return collections.Counter(out)
 
 
+def nameless(spark):
+    """A third of the rows without an id, a third with the same one; many share passages, at the same place or not."""
+    pick = np.random.default_rng(12)
+    passages = [" ".join(f"p{k}x{j}" for j in range(25)) for k in range(6)]
+    rows = []
+    for n in range(240):
+        lead = " ".join(f"l{n}x{j}" for j in range(int(pick.choice([0, 3, 3, 11]))))
+        rows.append(((None, 7, 1000 + n)[n % 3], f"{lead} {passages[int(pick.integers(6))]} {passages[int(pick.integers(6))]} end{n}"))
+    rows += rows[:6]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 @pytest.mark.parametrize("window", [20, 7])
 def test_repeats_by_brute_force(spark, window):
-    for docs in (data.given(spark, "documents"), data.documents(spark)):
-        left = substrings.remove_repeats(docs, window=window, slice_bytes=40_000, part_bytes=60_000).collect()
+    for docs in (data.given(spark, "documents"), data.documents(spark), nameless(spark)):
+        slice_bytes, part_bytes = (40_000, 60_000) if docs.count() > 300 else (2_000, 3_000)
+        left = substrings.remove_repeats(docs, window=window, slice_bytes=slice_bytes, part_bytes=part_bytes).collect()
         got = collections.Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(b" ".join(data.words(r.text))).hexdigest()) for r in left)
-        assert got == brute_repeats([(r.doc_id, r.text) for r in docs.collect()], window)
+        rows = docs.select("doc_id", "text", F.xxhash64("text")).collect()
+        assert got == brute_repeats([tuple(r) for r in rows], window)
+
+
+def test_a_passage_at_the_same_place_of_rows_without_an_id_stays_once(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(None, f"{passage} {end}") for end in ("a", "b", "c")], "doc_id long, text string")
+    for slice_bytes in (1, 1 << 20):
+        assert sorted(r.n_removed for r in substrings.remove_repeats(docs, slice_bytes=slice_bytes).collect()) == [0, 40, 40]
+
+
+def test_rows_without_an_id_or_of_one_id_are_spread_over_slices(spark):
+    docs = nameless(spark).filter("doc_id IS NULL OR doc_id = 7")
+    sizes = [r["count"] for r in substrings.deal(docs, docs.columns, 16).groupBy("slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 30
 
 
 def test_repeats_keep_the_other_columns(spark):
