@@ -47,6 +47,16 @@ def reader_view(spark: SparkSession, view: str, table: str, columns: Sequence[st
     return spark.table(view)
 
 
+def reader_views(spark: SparkSession, views: Mapping[str, tuple[str, Sequence[str]]]) -> dict[str, DataFrame]:
+    """Drop and recreate several views, given as view to (table, columns). None is touched if any names a column its table lacks."""
+    lacking = {
+        view: gone for view, (table, columns) in views.items() if (gone := sorted(set(columns) - set(spark.table(table).columns)))
+    }
+    if lacking:
+        raise ValueError(f"views that name missing columns: {lacking}")
+    return {view: reader_view(spark, view, table, columns) for view, (table, columns) in views.items()}
+
+
 def catalog_inventory(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     """Which tables each schema holds: (schema_name, sorted tables)."""
     rows = [

@@ -46,3 +46,20 @@ def read_column_map(spark: SparkSession, path: str) -> dict[str, str]:
     if len(names) < len(rows):
         raise ValueError(f"{path} names a column twice")
     return names
+
+
+def read_view_columns(spark: SparkSession, path: str) -> dict[str, tuple[str, list[str]]]:
+    """View to its table and columns in order, from a CSV file with the columns view, table, position, column.
+
+    The file has a row for each column of each view. A view over two tables, or a position or column given twice, is an error.
+    """
+    rows = read_csv_lookup(spark, path, "view string, table string, position int, column string").collect()
+    views: dict[str, tuple[str, list[str]]] = {}
+    for r in sorted(rows, key=lambda r: (r.view, r.position)):
+        table, columns = views.setdefault(r.view, (r.table, []))
+        if table != r.table or r.column in columns:
+            raise ValueError(f"{path}: view {r.view} has two tables or names {r.column} twice")
+        columns.append(r.column)
+    if len({(r.view, r.position) for r in rows}) < len(rows):
+        raise ValueError(f"{path} gives a position of a view twice")
+    return views

@@ -1,12 +1,13 @@
 """Published tables: versions, slices, merge, compaction, clean-up, streaming, catalogue."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from factloom.sources import catalog
-from factloom.sources.files import explode_value, read_csv_lookup, read_value_json
+from factloom.sources.files import explode_value, read_csv_lookup, read_value_json, read_view_columns
 from factloom.sources.snapshot import SnapshotTable, overwrite_slices
 from factloom.sources.workspace import table_path
 from factloom.spec import MergeSpec
@@ -178,6 +179,26 @@ def test_register_and_view(spark, tmp_path):
     assert catalog.missing_tables(found, expected) == {"default": ["absent"], "no_such_schema": ["x"]}
 
 
+def test_views_from_a_file(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t").overwrite(spark.sql("SELECT 1 AS a, 2 AS `b/c`, 3 AS hidden"))
+    catalog.register_table(spark, "listed", table.current_path())
+
+    def views(*lines):
+        path = f"{tmp_path}/views-{uuid.uuid4().hex}.csv"
+        with open(path, "w") as out:
+            out.write("\n".join(["view,table,position,column", *lines]))
+        return read_view_columns(spark, path)
+
+    made = catalog.reader_views(spark, views("vw_two,listed,2,a", "vw_two,listed,1,b/c", "vw_one,listed,1,a"))
+    assert {v: df.columns for v, df in made.items()} == {"vw_one": ["a"], "vw_two": ["b/c", "a"]}
+    with pytest.raises(ValueError, match="vw_one.*gone"):
+        catalog.reader_views(spark, views("vw_one,listed,1,gone", "vw_two,listed,1,a"))
+    assert spark.table("vw_two").columns == ["b/c", "a"]
+    for wrong in (["v,t,1,a", "v,u,2,b"], ["v,t,1,a", "v,t,2,a"], ["v,t,1,a", "v,t,1,b"]):
+        with pytest.raises(ValueError):
+            views(*wrong)
+
+
 def test_registration_follows_the_published_version(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t").overwrite(spark.range(3).toDF("id"))
     catalog.register_table(spark, "followed", table.current_path())

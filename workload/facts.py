@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.codes import system_code
 from factloom.operators import changes, filters, merge
 from factloom.plans import balance, header_item, ledger_line
 from factloom.plans.publish import run_fact
-from factloom.sources.files import read_column_map
+from factloom.sources.catalog import reader_views, register_table
+from factloom.sources.files import read_column_map, read_view_columns
 from factloom.sources.runlog_table import RunLogTable
 from factloom.sources.snapshot import SnapshotTable
 from factloom.spec import MergeSpec
@@ -470,3 +473,42 @@ def ledger_line_streamed(spark, folder):
     inbox.follow_all(ledger_streams(spark, folder).since(WATERMARK))
     inbox.drain(lines, feeds, LEDGER_SPEC)
     return lines.read().select(*ledger_line.PUBLISHED)
+
+
+def _views_sql() -> str:
+    shown = {
+        "accounting_stn": f"(WITH {_document_ctes('n_')} {_documents_sql('n_')})",
+        "accounting_tsap": f"(WITH {_document_ctes('n_', '480')} {_documents_sql('n_')})".replace("D80_", "D81_"),
+        "balance_stn": f"({_balance_sql('true', '280', 'D80')})",
+        "balance_tsap": f"({_balance_sql('true')})",
+    }
+    each = "SELECT '{}' AS view_name, Source_ID, count(*) AS n, count(DISTINCT Fiscal_Year) AS years FROM {} GROUP BY Source_ID"
+    return " UNION ALL ".join(each.format(name, rows) for name, rows in shown.items())
+
+
+@query("reader_views_of_facts", _views_sql())
+def reader_views_of_facts(spark, folder):
+    """Four facts published, registered, and read through views whose column lists come from one file."""
+    documents, items, index = (feed(spark, folder, n) for n in ("document", "item", "index"))
+    facts = {
+        "accounting_stn": header_item.header_item_full(documents, items, ACCOUNTING_SPEC, STAMP),
+        "accounting_tsap": header_item.header_item_full(documents, items, ACCOUNTING_TSAP, STAMP),
+        "balance_stn": balance.balance_full(index, BALANCE_STN, STAMP),
+        "balance_tsap": balance.balance_full(index, BALANCE_SPEC, STAMP),
+    }
+    lists = []
+    for name, fact in facts.items():
+        path = fresh_path(spark, name)
+        registered = path.rsplit("/", 1)[1].replace("-", "_")
+        register_table(spark, registered, SnapshotTable(spark, path).overwrite(fact).current_path())
+        lists += [(f"vw_{registered}", registered, i, c) for i, c in enumerate(fact.columns)]
+    path = fresh_path(spark, "view-columns")
+    spark.createDataFrame(lists, "view string, table string, position int, column string").write.option("header", True).csv(path)
+    views = reader_views(spark, read_view_columns(spark, path))
+    counted = [
+        views[view].groupBy("Source_ID").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("Fiscal_Year").alias("years")).withColumn("view_name", F.lit(name))
+        for name in facts
+        for view in views
+        if view.startswith(f"vw_{name}_")
+    ]
+    return reduce(DataFrame.unionByName, counted)
