@@ -445,7 +445,7 @@ def test_pipeline_stage_by_stage(spark):
     assert len({i for i, _ in clean} & toxic) < 0.5 * len(toxic)
     classes = brute_classes(clean)
     assert {i for i, _ in texts("near-duplicates")} == set(classes.values())
-    want = brute_repeats(texts("near-duplicates"), 20)
+    want = brute_repeats([(i, t, 0) for i, t in texts("near-duplicates")], 20)
     left = texts("substrings")
     assert {i for i, _ in left} == {i for i, n, gone, _ in want if gone < n or not gone}
     assert {(i, hashlib.sha256(b" ".join(data.words(t))).hexdigest()) for i, t in left} == {(i, h) for i, n, gone, h in want if gone < n or not gone}
