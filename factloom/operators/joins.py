@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators.keys import join_keys
+from factloom.operators.keys import join_keys, sieved
 from factloom.sources.workspace import stage
 from factloom.spec import Lookup, quoted, renamed
 
@@ -63,7 +63,7 @@ def enrich_late(left: DataFrame, lookups: Sequence[Lookup], row_key: Sequence[st
 
     Rows equal in ``row_key`` meet in one task, so it should be nearly unique; its NULLs are values like others. A hot
     lookup key meets only the narrow tuples, in inner joins, which adaptive execution may divide on either side, and
-    a NULL lookup key does not travel there. The result has the left columns, the lookups' columns and ``row_hash``.
+    a NULL lookup key does not travel there. Of a lookup table only rows travel that a sieve of the tuples' keys lets pass. The result has the left columns, the lookups' columns and ``row_hash``.
     """
     kept = list(dict.fromkeys([*row_key, *[l for step in lookups for l in step.on]]))
     hashed = f"xxhash64({', '.join(quoted(c) for c in row_key)})"
@@ -72,6 +72,7 @@ def enrich_late(left: DataFrame, lookups: Sequence[Lookup], row_key: Sequence[st
     same = " AND ".join(["row_hash = _f_hash", *[_same_value(quoted(c), quoted("_f_" + c)) for c in kept]])
     for step in lookups:
         right = step.frame.selectExpr(*renamed(_keys_named(step.on)), *renamed(step.columns))
+        right = sieved(right, tuples, {_RIGHT + l: l for l in step.on})
         found = tuples.join(right, F.expr(" AND ".join(f"{quoted(l)} = {quoted(_RIGHT + l)}" for l in step.on)), "inner")
         found = found.selectExpr(
             f"{hashed} AS _f_hash", *renamed({c: "_f_" + c for c in kept}), *[quoted(c) for c in step.columns.values()]

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.operators import keys
+from factloom.operators.joins import enrich, enrich_late
 from factloom.plans import ledger_line
+from factloom.spec import Lookup
 from tests.compare import spark_bag
 from workload.bindings import WATERMARK, ledger_feeds
 
@@ -46,3 +48,11 @@ def test_affected_keys_are_sieved_before_they_travel(spark, monkeypatch):
     hit = ledger_line.affected_ledger_keys(feeds, WATERMARK)
     assert spark_bag(hit) == want
     assert "getbit" in hit._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_lookups_are_sieved(spark, sieving):
+    left = numbered(spark, 300).selectExpr("k", "n", "CAST(id AS string) AS id")
+    step = Lookup(numbered(spark, 900).selectExpr("k AS x", "id AS found"), {"k": "x"}, {"found": "found"}, copies=False)
+    late = enrich_late(left, [step], ["id"])
+    assert "getbit" in late._jdf.queryExecution().executedPlan().toString()
+    assert spark_bag(late.drop("row_hash")) == spark_bag(enrich(left, [step]))
