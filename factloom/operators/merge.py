@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators.keys import join_keys
+from factloom.operators.keys import join_keys, may_hit
 from factloom.sources.workspace import stage, stage_all
 from factloom.spec import MergeSpec, quoted
 
@@ -137,6 +137,13 @@ def merge_staged(target: DataFrame, changes: DataFrame, spec: MergeSpec, deleted
     return merge_upsert(target, changes, spec, deleted=deleted)
 
 
-def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target without the rows whose key was deleted; a NULL key matches nothing."""
+def delete_by_keys(target: DataFrame, deleted: DataFrame, keys: Sequence[str], staged: bool = False) -> DataFrame:
+    """Target without the rows whose key was deleted; a NULL key matches nothing.
+
+    Where the deleted keys are ``staged``, rows that a sieve of them holds back go around the join, which would shuffle them.
+    """
+    marked = may_hit(target, deleted, {k: k for k in keys}, "_may") if staged else None
+    if marked is not None:
+        rest = marked.filter("NOT _may").drop("_may")
+        return delete_by_keys(marked.filter("_may").drop("_may"), deleted, keys).unionByName(rest)
     return target.join(join_keys(deleted, keys), list(keys), "left_anti")

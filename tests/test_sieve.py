@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from factloom.operators import keys
 from factloom.operators.joins import enrich, enrich_late
+from factloom.operators.merge import delete_by_keys
 from factloom.plans import ledger_line
+from factloom.sources.workspace import stage
 from factloom.spec import Lookup
 from tests.compare import spark_bag
 from workload.bindings import WATERMARK, ledger_feeds
@@ -56,3 +58,11 @@ def test_late_lookups_are_sieved(spark, sieving):
     late = enrich_late(left, [step], ["id"])
     assert "getbit" in late._jdf.queryExecution().executedPlan().toString()
     assert spark_bag(late.drop("row_hash")) == spark_bag(enrich(left, [step]))
+
+
+def test_rows_that_no_delete_names_go_around_the_join(spark, sieving):
+    target, gone = numbered(spark, 2000), numbered(spark, 2000).filter("id % 9 = 0").select("k")
+    want = spark_bag(delete_by_keys(target, gone, ["k"]))
+    got = delete_by_keys(target, stage(gone, "gone"), ["k"], staged=True)
+    assert spark_bag(got) == want
+    assert "getbit" in got._jdf.queryExecution().executedPlan().toString()
