@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators.keys import join_keys, may_hit
+from factloom.operators.keys import join_keys, may_hit, rows_hit, sieved
 from factloom.sources.workspace import stage, stage_all
 from factloom.spec import MergeSpec, quoted
 
@@ -36,11 +36,21 @@ class Upsert:
 
     A NULL in the source overwrites. ``deleted`` names keys to remove; delete wins over
     upsert, and a NULL in a deleted key matches nothing. Rows with a NULL in an ordinary
-    key match nothing but would meet in one task, so they go around the joins.
+    key match nothing but would meet in one task, so they go around the joins. Where source and
+    deleted keys are ``staged``, so do the rows that a sieve of the keys they would meet holds back;
+    the others are then gathered by the columns ``gather``, if there are any, before they are written.
     """
 
-    def __init__(self, target: DataFrame, source: DataFrame, spec: MergeSpec, deleted: DataFrame | None = None) -> None:
-        self.spec, self.target = spec, target
+    def __init__(
+        self,
+        target: DataFrame,
+        source: DataFrame,
+        spec: MergeSpec,
+        deleted: DataFrame | None = None,
+        staged: bool = False,
+        gather: Sequence[str] = (),
+    ) -> None:
+        self.spec, self.target, self.gather = spec, target, [quoted(c) for c in gather]
         self.fields = [f for f in target.schema.fields]
         names = {f.name for f in self.fields}
         self.update = names if spec.update is None else set(spec.update)
@@ -51,7 +61,16 @@ class Upsert:
         nulls = [quoted(k) + " IS NULL" for k in spec.keys if k not in spec.null_safe]
         self.unkeyed = " OR ".join(nulls) or "false"
         self.gone = None if deleted is None else join_keys(deleted.dropna(subset=list(spec.keys)), spec.keys)
-        self.source = source if self.gone is None else delete_by_keys(source, self.gone, spec.keys)
+        self.staged = staged and not spec.null_safe
+        keys = [quoted(k) for k in spec.keys]
+        self.named = source.select(*keys) if deleted is None else source.select(*keys).unionByName(deleted.select(*keys))
+        self.source = source
+        if self.staged:
+            # The keys of the target that source or deletes name.
+            found = sieved(target.select(*keys), self.named, {k: k for k in spec.keys})
+            self.held = stage(rows_hit(found, self.named, {k: k for k in spec.keys}), "merge-held")
+        if self.gone is not None:
+            self.source = delete_by_keys(source, deleted if self.staged else self.gone, spec.keys, self.staged)
 
     def _written(self, field, columns: set[str], otherwise: str) -> str:
         """What the source writes into a column, or ``otherwise`` if it leaves it alone."""
@@ -73,13 +92,17 @@ class Upsert:
         The target is the preserved side of a left join with the source and the deleted keys: Spark may split its hot
         keys, and does not shuffle it when the source is small enough to broadcast.
         """
-        marks = self.source.withColumn("_in_source", F.lit(True))
+        source = sieved(self.source, self.held, {k: k for k in self.spec.keys}) if self.staged else self.source
+        marks = source.withColumn("_in_source", F.lit(True))
         if self.gone is not None:
             marks = marks.withColumn("_gone", F.lit(False)).unionByName(
                 self.gone.withColumns({"_in_source": F.lit(False), "_gone": F.lit(True)}), allowMissingColumns=True
             )
-        t = self.target.filter(f"NOT ({self.unkeyed})").alias("t")
-        joined = t.join(marks.filter(f"NOT ({self.unkeyed})").alias("s"), F.expr(self._same("t", "s")), "left")
+        hit, rest = self.target.filter(f"NOT ({self.unkeyed})"), self.target.filter(self.unkeyed)
+        marked = may_hit(hit, self.named, {k: k for k in self.spec.keys}, "_may") if self.staged else None
+        if marked is not None:
+            hit, rest = marked.filter("_may").drop("_may"), rest.unionByName(marked.filter("NOT _may").drop("_may"))
+        joined = hit.alias("t").join(marks.filter(f"NOT ({self.unkeyed})").alias("s"), F.expr(self._same("t", "s")), "left")
         if self.gone is not None:
             joined = joined.filter("NOT coalesce(s._gone, false)")
         values = {f.name: quoted(f.name, "t") for f in self.fields}
@@ -88,11 +111,14 @@ class Upsert:
             f"AS {quoted(f.name)}"
             for f in self.fields
         ]
-        rows, rest = joined.selectExpr(*columns), self.target.filter(self.unkeyed)
+        rows = joined.selectExpr(*columns)
         if flag is not None:
             rows = joined.selectExpr(*columns, f"coalesce(s._in_source, false) AS {quoted(flag)}")
             rest = rest.withColumn(flag, F.lit(False))
-        return rows.unionByName(rest)
+        return (rows if marked is None else self._gathered(rows)).unionByName(rest)
+
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *self.gather) if self.gather else rows
 
     def matched(self) -> DataFrame:
         """The keys of the source that the target has. It reads the target's keys alone, and keeps no more than the source's."""
@@ -103,12 +129,16 @@ class Upsert:
 
     def inserted(self, matched: DataFrame) -> DataFrame:
         """Source rows whose key is not among ``matched``, as rows of the target."""
-        keyed = self.source.filter(f"NOT ({self.unkeyed})").alias("s")
-        fresh = keyed.join(matched.alias("t"), F.expr(self._same("s", "t")), "left_anti")
-        fresh = fresh.unionByName(self.source.filter(self.unkeyed)).alias("s")
-        return fresh.selectExpr(
+        keyed, around = self.source.filter(f"NOT ({self.unkeyed})"), self.source.filter(self.unkeyed)
+        marked = may_hit(keyed, self.held, {k: k for k in self.spec.keys}, "_may") if self.staged else None
+        if marked is not None:
+            keyed, around = marked.filter("_may").drop("_may"), around.unionByName(marked.filter("NOT _may").drop("_may"))
+        fresh = keyed.alias("s").join(matched.alias("t"), F.expr(self._same("s", "t")), "left_anti")
+        fresh = fresh.unionByName(around).alias("s")
+        fresh = fresh.selectExpr(
             *[f"{self._written(f, self.insert, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {quoted(f.name)}" for f in self.fields]
         )
+        return self._gathered(fresh)
 
 
 def merge_upsert(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.operators.evolve import common_schema, widened
-from factloom.operators.keys import join_keys
+from factloom.operators.keys import join_keys, sieved
 from factloom.operators.merge import Upsert, assert_unique_keys, merge_upsert
 from factloom.sources.catalog import register_table
 from factloom.sources.workspace import scratch, stage
@@ -158,8 +158,9 @@ class SnapshotTable:
 
         The rows of touched slices are read once: kept ones are written with a mark for
         those that the source had, and what was written tells which source rows are new.
-        All are complete in the table's ``pending`` folder before any slice is replaced; a merge
-        that was interrupted there is finished by the next one, or by :meth:`finish_pending`.
+        Rows that a sieve of the changed and deleted keys holds back are copied as they lie, without a shuffle.
+        All are complete in the table's ``pending`` folder before any slice is replaced, whose files then move into
+        the slices; a merge that was interrupted there is finished by the next one, or by :meth:`finish_pending`.
         """
         with scratch(self.spark):
             return self._merge(source, spec, deleted)
@@ -185,12 +186,13 @@ class SnapshotTable:
             places.append(deleted.select(*columns) if by_key else self._places(current, deleted, spec))
         touched = self._touched(reduce(DataFrame.unionByName, places))
         located = self._slices(current.withColumn("_file", F.col("_metadata.file_path")), touched)
-        self._pend(Upsert(located.drop("_file"), source, spec, deleted), located)
+        self._pend(Upsert(located.drop("_file"), source, spec, deleted, staged=True, gather=self.slice_by), located)
         return self.finish_pending()
 
     def _places(self, current: DataFrame, keyed: DataFrame, spec: MergeSpec) -> DataFrame:
         """Slices of the rows that have one of the keys."""
-        narrow = current.select(*[quoted(c) for c in dict.fromkeys([*spec.keys, *self.slice_by])]).alias("t")
+        narrow = current.select(*[quoted(c) for c in dict.fromkeys([*spec.keys, *self.slice_by])])
+        narrow = (narrow if spec.null_safe else sieved(narrow, keyed, {k: k for k in spec.keys})).alias("t")
         same = [f"{quoted(k, 't')} {'<=>' if k in spec.null_safe else '='} {quoted(k, 's')}" for k in spec.keys]
         found = narrow.join(join_keys(keyed, spec.keys).alias("s"), F.expr(" AND ".join(same)), "left_semi")
         return found.select(*[quoted(c) for c in self.slice_by])
@@ -211,42 +213,57 @@ class SnapshotTable:
     def _pend(self, halves: Upsert, slices: DataFrame) -> None:
         """Write what is to be replaced; the commit marker of the last part makes it count.
 
-        A slice that loses its last row is not replaced by a dynamic overwrite, so the
-        folders of all slices read are kept beside.
+        The mark is a folder, so that the files hold the table's columns alone. The files that are read are listed
+        beside, to be deleted.
         """
         self._write_read(slices)
-        kept = f"{self.path}/pending/kept"
-        _sliceable(halves.kept("_matched"), self.slice_by).write.mode("overwrite").parquet(kept)
+        self._write_pending(halves.kept("_matched"), "kept")
         schema = halves.target.schema.add("_matched", "boolean")
-        matched = self.spark.read.schema(schema).parquet(kept).filter("_matched")
-        fresh = halves.inserted(join_keys(matched, halves.spec.keys))
-        _sliceable(fresh, self.slice_by).write.mode("overwrite").parquet(f"{self.path}/pending/new")
+        matched = self.spark.read.schema(schema).parquet(f"{self.path}/pending/kept").filter("_matched")
+        self._write_pending(halves.inserted(join_keys(matched, halves.spec.keys)).withColumn("_matched", F.lit(False)), "new")
+
+    def _write_pending(self, rows: DataFrame, part: str) -> None:
+        rows = _sliceable(rows, self.slice_by).write.mode("overwrite")
+        rows.partitionBy("_matched", *self.slice_by).parquet(f"{self.path}/pending/{part}")
 
     def _write_read(self, slices: DataFrame) -> None:
-        """The slices that are going to be replaced, with their folders. It opens files, but reads no column."""
-        folder = F.regexp_replace("_file", "/[^/]*$", "")
-        read = slices.select(*[quoted(c) for c in self.slice_by], folder.alias("_folder")).distinct()
-        read.write.mode("overwrite").parquet(f"{self.path}/pending/read")
+        """The files of the slices that are going to be replaced. It opens files, but reads no column."""
+        slices.select("_file").distinct().write.mode("overwrite").parquet(f"{self.path}/pending/read")
 
     def finish_pending(self) -> "SnapshotTable":
         """Replace the slices of a merge whose rows are complete; without one, change nothing.
 
-        Doing it again, from wherever it stopped, leads to the same slices.
+        The new files move in, then the old ones go, with folders that are left empty. Doing it again, from wherever it
+        stopped, leads to the same slices.
         """
         pending, fs = self._folder(f"{self.path}/pending")
         if self._complete(f"{self.path}/pending/new"):
-            schema = self.read().schema
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/pending/kept", f"{self.path}/pending/new")
-            overwrite_slices(rows, self.current_path(), self.slice_by)
-            same = " AND ".join(f"r.{quoted(c)} <=> m.{quoted(c)}" for c in self.slice_by)
-            read = self.spark.read.parquet(f"{self.path}/pending/read").alias("r")
-            kept = rows.select(*[quoted(c) for c in self.slice_by]).distinct().alias("m")
-            for row in read.join(kept, F.expr(same), "left_anti").select("_folder").distinct().toLocalIterator():
-                fs.delete(self.path_of(row._folder), True)
+            current = self.current_path()
+            for part in ("kept", "new"):
+                self._move_in(f"pending/{part}", "_matched", f"{current}", f"merged-{part}")
+            for row in self.spark.read.parquet(f"{self.path}/pending/read").toLocalIterator():
+                old = self.path_of(row._file)
+                fs.delete(old, False)
+                if fs.exists(old.getParent()) and not fs.listStatus(old.getParent()):
+                    fs.delete(old.getParent(), True)
         if fs.exists(pending):
             fs.delete(pending, True)
         return self
 
+    def _move_in(self, part: str, marker: str, current: str, prefix: str) -> None:
+        """Move data files from below ``part/marker=x/`` to their slices' folders; x becomes part of the name, as files of several may share one."""
+        root, fs = self._folder(f"{self.path}/{part}")
+        made = fs.listFiles(root, True)
+        while made.hasNext():
+            file = made.next().getPath()
+            if file.getName().endswith(".parquet"):
+                number, inside = file.toString().rsplit(f"/{part}/{marker}=", 1)[1].split("/", 1)
+                folder = f"{current}/{inside}".rsplit("/", 1)[0]
+                target, _ = self._folder(f"{folder}/{prefix}-{number}-{file.getName()}")
+                fs.mkdirs(target.getParent())
+                if not fs.rename(file, target):
+                    raise OSError(f"{file} cannot take its place in {folder}")
+
     def path_of(self, uri: str):
         """A Hadoop path from the text that Spark gives as a file's path."""
         jvm = self.spark._jvm
@@ -276,8 +293,9 @@ class SnapshotTable:
             if not boundary.filter(old).isEmpty():
                 self._write_read(boundary)
                 left = boundary.drop("_file").filter(~F.coalesce(old, F.lit(False)))
-                left.withColumn("_matched", F.lit(False)).write.mode("overwrite").parquet(f"{self.path}/pending/kept")
-                left.limit(0).write.mode("overwrite").parquet(f"{self.path}/pending/new")
+                left = left.withColumn("_matched", F.lit(False))
+                self._write_pending(left, "kept")
+                self._write_pending(left.limit(0), "new")
                 self.finish_pending()
         return sorted(dropped)
 
@@ -325,15 +343,7 @@ class SnapshotTable:
         work, fs = self._folder(f"{self.path}/compacting")
         if self._complete(f"{self.path}/compacting/new"):
             current = self.current_path()
-            made = fs.listFiles(self._folder(f"{self.path}/compacting/new")[0], True)
-            while made.hasNext():
-                file = made.next().getPath()
-                if file.getName().endswith(".parquet"):
-                    # Files of several bins may have one name, so the bin becomes part of it.
-                    number, inside = file.toString().rsplit("/compacting/new/_bin=", 1)[1].split("/", 1)
-                    folder = f"{current}/{inside}".rsplit("/", 1)[0]
-                    if not fs.rename(file, self._folder(f"{folder}/packed-{number}-{file.getName()}")[0]):
-                        raise OSError(f"{file} cannot take its place in {folder}")
+            self._move_in("compacting/new", "_bin", current, "packed")
             for row in self.spark.read.parquet(f"{self.path}/compacting/old").select("file_path").toLocalIterator():
                 fs.delete(self.path_of(row.file_path), False)
         if fs.exists(work):
