@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Words that are hashed together at most; longer lists are cut, with overlap.
@@ -80,8 +81,7 @@ def per_document(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each has about ``most`` bytes of text, or one row."""
     for batch in batches:
-        column = batch.column(text)
-        sizes = np.array([len(x) if x is not None else 0 for x in column.to_pylist()], dtype=np.int64)
+        sizes = pc.utf8_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         piece = np.cumsum(sizes) // most
         for p in np.unique(piece):
             rows = np.flatnonzero(piece == p)

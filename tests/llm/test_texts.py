@@ -81,6 +81,31 @@ def test_remembered_chunks_change_nothing(spark, model):
         assert made.astype("<u2").tobytes() == b"".join(each)
 
 
+def test_only_what_leaves_the_trees_is_merged_anew(spark, model, monkeypatch):
+    tables, merged = pieces.load(model, 0.1, 1), []
+    rows = tables.merge_rows
+    monkeypatch.setattr(tables, "merge_rows", lambda chunks, *more: merged.append(len(chunks)) or rows(chunks, *more))
+    text = " ".join(["segmentation", "of", "internationally", "\u65e5x"] * 5000)
+    made = tables.encode([text], np.array([7], np.uint64))[0]
+    # Most occurrences that skip a candidate skip one that others skip too, or one that would not be merged.
+    assert sum(merged) < 2000
+    chunks = pieces.chunks_of(text)
+    keys = tables.chunk_keys(chunks, pieces.occurrences(7, text, len(chunks)))
+    assert made.astype("<u2").tobytes() == b"".join(tables.merge_long(c, k) for c, k in zip(chunks, keys, strict=True))
+
+
+def test_trees_that_are_full_change_nothing(model, monkeypatch):
+    pick = random.Random(3)
+    texts = [" ".join("".join(pick.choice("abcdet\u00e9\u65e5\u2581\n") for _ in range(pick.randint(1, 45))) for _ in range(60)) for _ in range(12)]
+    salts = np.arange(len(texts), dtype=np.uint64)
+    whole = pieces.load(model, 0.3, 1).encode(texts, salts)
+    monkeypatch.setattr(pieces, "MERGES", 100)
+    monkeypatch.setattr(pieces, "GROWTHS", 0)
+    tables = pieces.load(model, 0.3, 1)
+    for text, salt, made in zip(texts, salts, whole, strict=True):
+        assert (tables.encode([text], np.array([salt]))[0] == made).all()
+
+
 def test_pieces_of_awkward_documents(spark, model):
     done = pieces.decode(pieces.encode(data.documents(spark), model), model)
     rows = done.collect()
