@@ -150,11 +150,11 @@ def count_bigrams(training: DataFrame, known: Vocabulary) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["pair", "n"])
 
         for batch in slices(batches):
-            numbers = [end]
+            found = [end]
             for text in batch.column("text").to_pylist():
-                numbers += [i if (i := get(w)) is not None else end + 1 + ending(w) for w in tokens(text)]
-                numbers.append(end)
-            row = np.array(numbers, np.int64)
+                found += [i if (i := get(w)) is not None else end + 1 + ending(w) for w in tokens(text)]
+                found.append(end)
+            row = np.array(found, np.int64)
             held.append(row[:-1] * width + row[1:])
             if sum(map(len, held)) > FLUSH_BIGRAMS:
                 yield flush()
@@ -181,7 +181,9 @@ class Exchange:
         right = bigrams.where(f"a < {n}").groupBy(F.col("a").alias("word")).agg(F.collect_list("b").alias("right"), F.collect_list("n").alias("right_n"))
         left = bigrams.where(f"b < {n}").groupBy(F.col("b").alias("word")).agg(F.collect_list("a").alias("left"), F.collect_list("n").alias("left_n"))
         # Frequent words come first in each part.
-        self.rows = stage(right.join(left, "word").repartition(PARTS, "word").sortWithinPartitions("word"), "neighbours")
+        rows = stage(right.join(left, "word").repartition(PARTS, "word").sortWithinPartitions("word"), "neighbours")
+        # Every round reads them all: as packed numbers, they pass from the files to Python untouched. The words of a task stay together.
+        self.rows = stage(packed(rows), "packed-neighbours")
         self.still = np.zeros((self.size, self.size))
         for a, b, count in bigrams.where(f"a >= {n} AND b >= {n}").collect():  # at most (1 + ENDINGS) ** 2 rows
             self.still[CLASSES + a - n, CLASSES + b - n] = count
@@ -239,6 +241,35 @@ class Exchange:
             out[cell] += n
         return out.reshape(size, size)
 
+    def moved(self, classes: np.ndarray) -> np.ndarray:
+        """Bigrams of classes, from those of the present classes and the neighbours of the words that move."""
+        old, size, words = self.classes, self.size, self.words
+        if 2 * (classes != old).sum() > words:
+            return self.matrix(classes)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size * size)
+            for batch in batches:
+                word = batch.column("word").to_numpy()
+                batch = batch.filter(pa.array(old[word] != classes[word]))
+                word = batch.column("word").to_numpy()
+                r, rn, ends = lists(batch, "right")
+                own = np.repeat(word, np.diff(ends))
+                # The bigrams of two words that move are with the first of them.
+                l, ln, ends = lists(batch, "left")
+                stays = old[l] == classes[l]
+                l, ln, behind = l[stays], ln[stays], np.repeat(word, np.diff(ends))[stays]
+                for of, sign in ((classes, 1), (old, -1)):
+                    total += sign * np.bincount(of[own] * size + of[r], rn, size * size)
+                    total += sign * np.bincount(of[l] * size + of[behind], ln, size * size)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+        out = self.total.copy().ravel()
+        for cell, n in self.rows.mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n")).collect():
+            out[cell] += n
+        return out.reshape(size, size)
+
     def round(self, rows: DataFrame, every: bool = True) -> tuple[int, float]:
         """Moves words of these rows to better classes: the number of words that moved, and the gain in likelihood.
 
@@ -279,7 +310,7 @@ class Exchange:
             chosen = moves[moves["part"].isin(parts)]
             classes = start.copy()
             classes[chosen["word"].to_numpy()] = chosen["to"].to_numpy()
-            matrix = self.matrix(classes)
+            matrix = self.moved(classes)
             gain = likelihood(matrix) - before
             if gain > 0:
                 self.classes, self.total = classes, matrix
@@ -288,6 +319,35 @@ class Exchange:
         return 0, 0.0
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """The lists of each row as byte strings of their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column("word")]
+            for column in batch.columns[1:]:
+                ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+                columns.append(binaries(column.flatten().to_numpy(), ends))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return rows.mapInArrow(run, "word int, right binary, right_n binary, left binary, left_n binary")
+
+
+def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Byte strings of the numbers in [ends[i], ends[i + 1])."""
+    starts = pa.py_buffer((ends * values.dtype.itemsize).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, starts, pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def numbers(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in all byte strings of a column, and where each string's start and end."""
+    wide = column.cast(pa.large_binary())
+    ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1] if len(wide) else np.zeros(1, np.int64)
+    size = np.dtype(kind).itemsize
+    data = np.frombuffer(wide.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.empty(0, np.uint8)
+    return data.view(kind), (ends - ends[0]) // size
+
+
 def likelihood(total: np.ndarray) -> float:
     """What the assignment of classes adds to the log likelihood of the bigrams."""
     return float(xlogx(total).sum() - xlogx(total.sum(axis=1)).sum() - xlogx(total.sum(axis=0)).sum())
@@ -327,9 +387,8 @@ class Cells:
 
 def lists(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbours on one side of all words of a batch, their counts, and where each word's start and end."""
-    column = batch.column(side)
-    ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
-    return column.flatten().to_numpy(), batch.column(f"{side}_n").flatten().to_numpy(), ends
+    ids, ends = numbers(batch.column(side), np.int32)
+    return ids, numbers(batch.column(f"{side}_n"), np.int64)[0], ends
 
 
 def favoured(batch: pa.RecordBatch, classes: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -407,9 +466,14 @@ def score(docs: DataFrame, is_training) -> DataFrame:
             out: list[list] = [[] for _ in range(6)]
             for text in batch.column("text").to_pylist():
                 words = tokens(text)
-                ids = [get(w) for w in words]
-                rare = [w for w, i in zip(words, ids, strict=True) if i is None]
-                row = np.array([count, *[i if i is not None else count + 1 + ending(w) for w, i in zip(words, ids, strict=True)], count])
+                ids = list(map(get, words))
+                rare = []
+                if None in ids:
+                    for k, w in enumerate(words):
+                        if ids[k] is None:
+                            rare.append(w)
+                            ids[k] = count + 1 + ending(w)
+                row = np.array([count, *ids, count])
                 steps = classes[row]
                 unseen = Counter(rare)
                 values = (

@@ -149,6 +149,27 @@ def test_class_model_is_a_distribution(spark):
     assert known.tokens == sum(known.counts) + known.documents + (others.agg(F.sum("n")).first()[0] or 0)
 
 
+def test_neighbours_are_packed_and_moves_counted_alone(spark):
+    training = data.given(spark, "documents").limit(300)
+    known, _ = class_model.learn_vocabulary(class_model.count_words(training), training.count())
+    bigrams = class_model.count_bigrams(training, known)
+    exchange = class_model.Exchange(bigrams, known)
+    n, want = known.clustered, collections.Counter()
+    for a, b, count in bigrams.collect():
+        want["right", a, b], want["left", b, a] = count, count
+    got = collections.Counter()
+    for row in exchange.rows.collect():
+        for side in ("right", "left"):
+            others, counts = np.frombuffer(row[side], np.int32), np.frombuffer(row[f"{side}_n"], np.int64)
+            got += {(side, row.word, other): count for other, count in zip(others.tolist(), counts.tolist(), strict=True)}
+    assert got == {k: v for k, v in want.items() if k[1] < n}
+    assert {t for name, t in exchange.rows.dtypes if name != "word"} == {"binary"}
+    classes = exchange.classes.copy()
+    classes[: n // 3] = np.arange(n // 3)[::-1] % class_model.CLASSES
+    assert (classes != exchange.classes).any()
+    assert (exchange.moved(classes) == exchange.matrix(classes)).all()
+
+
 def test_exchange_finds_words_of_the_same_use(spark, monkeypatch):
     monkeypatch.setattr(class_model, "CLASSES", 4)
     pick = random.Random(2)
