@@ -21,12 +21,12 @@ classes, and matrices of the classes.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,36 +41,50 @@ KNOWN_WORDS, CLASSES, ENDINGS, LEAST_COUNT = 1 << 17, 64, 32, 5
 HEADS, PARTS = 1 << 11, 64
 #: Weight of the classes' own frequencies in a transition, in tokens.
 SMOOTHING = 20.0
-#: Distinct words, and bigrams, that a task adds up before it sends them on.
-FLUSH_WORDS, FLUSH_BIGRAMS = 300_000, 6_000_000
+#: Words, and bigrams, that a task adds up before it sends them on; distinct bigrams that it deals to both of their words at once;
+#: bigrams that are merged at once, on average.
+FLUSH_WORDS, FLUSH_BIGRAMS, DEALT, MERGED = 2_000_000, 1_500_000, 300_000, 500_000
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words with A-Z lower-cased; none for None."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts with A-Z lower-cased, one after another, and how many each text has; none for NULL."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    counts, words = found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), found.flatten()
+    real = pc.not_equal(words, "")  # white space at the ends of a text leaves an empty word
+    empty = np.flatnonzero(~real.to_numpy(zero_copy_only=False))
+    counts -= np.bincount(np.searchsorted(np.cumsum(counts), empty, "right"), minlength=len(counts))
+    return (words.filter(real) if len(empty) else words), counts
 
 
 def ending(word: bytes) -> int:
     return (word[-1] + 7 * word[-2] if len(word) > 1 else word[-1]) % ENDINGS
 
 
+def endings(words: pa.Array) -> np.ndarray:
+    """:func:`ending` of each word."""
+    if not len(words):
+        return np.empty(0, np.int64)
+    data, ends = numbers(words, np.uint8)
+    last = data[ends[1:] - 1].astype(np.int64)
+    return (last + np.where(np.diff(ends) > 1, 7 * data[ends[1:] - 2].astype(np.int64), 0)) % ENDINGS
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """(``word``, ``n``) over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        held: list[pa.Array] = []
 
         def flush() -> pa.RecordBatch:
-            words = pa.array(list(found), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            found = pc.value_counts(pa.chunked_array(held))
+            return pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
         for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                found.update(tokens(text))
-            if len(found) > FLUSH_WORDS:
+            held.append(tokens(batch.column("text"))[0])
+            if sum(map(len, held)) > FLUSH_WORDS:
                 yield flush()
-                found.clear()
-        if found:
+                held.clear()
+        if held:
             yield flush()
 
     return training.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -97,10 +111,25 @@ class Vocabulary:
     def clustered(self) -> int:
         return clustered_words(self.counts)
 
-    def ids(self) -> dict[bytes, int]:
-        """Clustered words by rank; others as clustered + 1 + ending. The text's end is number ``clustered``."""
+    def symbols(self) -> np.ndarray:
+        """What stands for the numbers of :meth:`numbering` in bigrams: clustered words by rank, the end, endings."""
         n = self.clustered
-        return {w: i if i < n else n + 1 + ending(w) for i, w in enumerate(self.words)}
+        rare = n + 1 + endings(pa.array(self.words[n:], pa.binary()))
+        return np.concatenate([np.arange(n), rare, n + np.arange(1 + ENDINGS)])
+
+    def numbering(self) -> Callable[[pa.Array], np.ndarray]:
+        """Numbers words: by rank, and unseen ones after the text's end by ending."""
+        words = pa.array(self.words, pa.binary()).cast(pa.string())
+
+        def numbers_of(found: pa.Array) -> np.ndarray:
+            distinct = found.dictionary_encode()
+            known = pc.index_in(distinct.dictionary, value_set=words.cast(found.type))
+            ids = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            unseen = np.flatnonzero(ids < 0)
+            ids[unseen] = len(words) + 1 + endings(distinct.dictionary.take(pa.array(unseen)))
+            return ids[distinct.indices.to_numpy(zero_copy_only=False)]
+
+        return numbers_of
 
 
 def learn_vocabulary(counts: DataFrame, documents: int) -> tuple[Vocabulary, int]:
@@ -115,16 +144,16 @@ def learn_vocabulary(counts: DataFrame, documents: int) -> tuple[Vocabulary, int
     words = rows["word"].tolist()
     clustered = clustered_words(rows["n"])
 
-    def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, types = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
         for batch in batches:
-            kinds = np.array([ending(w.encode()) for w in batch.column("word").to_pylist()], np.int64)
+            kinds = endings(batch.column("word"))
             n += np.bincount(kinds, batch.column("n").to_numpy(), ENDINGS).astype(np.int64)
             types += np.bincount(kinds, minlength=ENDINGS)
         yield pa.RecordBatch.from_arrays([pa.array(range(ENDINGS), pa.int64()), pa.array(n), pa.array(types)], names=["e", "n", "types"])
 
     totals = np.zeros((ENDINGS, 2), np.int64)
-    summed = counts.mapInArrow(endings, "e long, n long, types long").groupBy("e").agg(F.sum("n"), F.sum("types"))
+    summed = counts.mapInArrow(by_ending, "e long, n long, types long").groupBy("e").agg(F.sum("n"), F.sum("types"))
     for e, n, types in summed.collect():
         totals[e] = n, types
     all_tokens, all_types = totals.sum(axis=0)
@@ -137,24 +166,29 @@ def learn_vocabulary(counts: DataFrame, documents: int) -> tuple[Vocabulary, int
 
 
 def count_bigrams(training: DataFrame, known: Vocabulary) -> DataFrame:
-    """(``a``, ``b``, ``n``): neighbours among clustered words, endings and the end, from end to end of a text."""
-    of_word, end = known.ids(), known.clustered
-    width = end + 1 + ENDINGS
+    """(``a``, ``b``, ``n``): neighbours among clustered words, endings and the end, from end to end of a text.
+
+    Bigrams travel as packed numbers, in parts by remainder, of which each holds about ``MERGED`` of a task's results.
+    """
+    symbols, end = known.symbols(), known.clustered
+    width, parts = end + 1 + ENDINGS, 8 + known.tokens // MERGED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        get = of_word.get
+        number, each = known.numbering(), -(-width * width // parts)
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["pair", "n"])
+            pairs = np.concatenate(held)
+            pairs = np.sort(pairs % parts * each + pairs // parts)
+            first = starts_of_runs(pairs)
+            pairs, n = pairs[first], np.diff(first, append=len(pairs))
+            ends = np.searchsorted(pairs, np.arange(parts + 1) * each)
+            columns = [pa.array(np.arange(parts)), binaries(pairs % each, ends), binaries(n.astype(np.int32), ends)]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "pairs", "n"]).filter(pa.array(np.diff(ends) > 0))
 
         for batch in slices(batches):
-            found = [end]
-            for text in batch.column("text").to_pylist():
-                found += [i if (i := get(w)) is not None else end + 1 + ending(w) for w in tokens(text)]
-                found.append(end)
-            row = np.array(found, np.int64)
+            words, counts = tokens(batch.column("text"))
+            row = symbols[with_ends(number(words), counts, len(known.words))]
             held.append(row[:-1] * width + row[1:])
             if sum(map(len, held)) > FLUSH_BIGRAMS:
                 yield flush()
@@ -162,8 +196,117 @@ def count_bigrams(training: DataFrame, known: Vocabulary) -> DataFrame:
         if held:
             yield flush()
 
-    pairs = training.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return pairs.select(F.floor(F.col("pair") / width).cast("int").alias("a"), (F.col("pair") % width).cast("int").alias("b"), "n")
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, (pairs, n) in by_part(batches, pairs=np.int64, n=np.int32):
+            at = ordered(pairs)
+            pairs, n = pairs[at], n[at]
+            first = starts_of_runs(pairs)
+            n = np.add.reduceat(n.astype(np.int64), first)
+            pairs = pairs[first] * parts + part
+            columns = [(pairs // width).astype(np.int32), (pairs % width).astype(np.int32), n]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "n"])
+
+    found = training.select("text").mapInArrow(run, "part long, pairs binary, n binary")
+    return found.repartition("part").sortWithinPartitions("part").mapInArrow(merged, "a int, b int, n long")
+
+
+def with_ends(ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
+    """The numbers of the words of several texts, with the end's number before, between and after the texts."""
+    row = np.full(len(ids) + len(counts) + 1, end, np.int64)
+    words = np.ones(len(row), bool)
+    words[ends_of(counts)] = False
+    row[words] = ids
+    return row
+
+
+def ends_of(counts: np.ndarray) -> np.ndarray:
+    """Where :func:`with_ends` puts the ends."""
+    return np.concatenate([[0], np.cumsum(counts + 1)])
+
+
+def starts_of_runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+
+
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """The places of these numbers (from 0) in ascending order. Key and place are sorted as one number, which is faster, if it fits."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()) >> (63 - bits):
+        return np.argsort(keys, kind="stable")
+    return np.sort((keys.astype(np.int64) << bits) | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
+def by_part(batches: Iterator[pa.RecordBatch], **kinds: type) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Joins the packed columns of all rows of each ``part``; rows come sorted by it."""
+    held: list[list[np.ndarray]] = []
+    now = None
+    for batch in batches:
+        parts = batch.column("part").to_numpy()
+        columns = [numbers(batch.column(name), kind) for name, kind in kinds.items()]
+        first = starts_of_runs(parts)
+        for i, j in zip(first, [*first[1:], len(parts)], strict=True):
+            if held and parts[i] != now:
+                yield now, [np.concatenate(x) for x in zip(*held, strict=True)]
+                held.clear()
+            now = int(parts[i])
+            held.append([values[ends[i] : ends[j]].copy() for values, ends in columns])
+    if held:
+        yield now, [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def neighbours(bigrams: DataFrame, known: Vocabulary) -> DataFrame:
+    """A row for each clustered word with its neighbours on both sides, packed; those of other words are only one another.
+
+    A file holds the words of equal hash, most frequent first. They are put together in parts of it by rank.
+    """
+    n, width = known.clustered, known.clustered + 1 + ENDINGS
+    files = bigrams.sparkSession.range(width).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(PARTS)).alias("file"))
+    files = files.toPandas()["file"].to_numpy(np.int64)  # a number for each clustered word
+    steps = 1 + known.tokens // (PARTS * MERGED)
+    weight = np.cumsum(np.minimum(np.concatenate([known.counts[:n], np.ones(1 + ENDINGS, np.int64)]), width))
+    part_of = files * steps + np.minimum(weight * steps // weight[-1], steps - 1)
+    in_parts = np.argsort(part_of, kind="stable")
+    place, limits = np.argsort(in_parts), np.searchsorted(part_of[in_parts], np.arange(PARTS * steps + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            a, b, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            right, left = np.flatnonzero((a < n) | (b >= n)), np.flatnonzero((b < n) | (a >= n))
+            keys = np.concatenate([place[a[right]] * 2 * width + b[right], (place[b[left]] * 2 + 1) * width + a[left]])
+            at = ordered(keys)
+            keys, sent = keys[at], counts[np.concatenate([right, left])[at]]
+            ends = np.searchsorted(keys, limits * 2 * width)
+            words, others = np.divmod(keys, width)
+            words = in_parts[words // 2] + words % 2 * width  # on the left, numbered after those on the right
+            columns = [pa.array(np.arange(len(limits) - 1)), *[binaries(x, ends) for x in (words.astype(np.int32), others.astype(np.int32), sent)]]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "words", "others", "n"]).filter(pa.array(np.diff(ends) > 0))
+
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("a", "b", "n")])
+            if sum(len(x[0]) for x in held) > DEALT:
+                yield flush()
+                held.clear()
+        if held:
+            yield flush()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (words, others, counts) in by_part(batches, words=np.int32, others=np.int32, n=np.int64):
+            at = ordered(words.astype(np.int64) * width + others)
+            words, others, counts = words[at], others[at], counts[at]
+            found = np.unique(words % width)
+            columns = [pa.array(found)]
+            for first in (0, width):
+                ends = np.searchsorted(words, np.append(found + first, first + width).astype(np.int32))
+                here = slice(ends[0], ends[-1])
+                columns += [binaries(others[here], ends - ends[0]), binaries(counts[here], ends - ends[0])]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "right", "right_n", "left", "left_n"])
+
+    sent = bigrams.select("a", "b", "n").mapInArrow(run, "part long, words binary, others binary, n binary")
+    sent = sent.repartitionById(PARTS, F.floor(F.col("part") / steps).cast("int")).sortWithinPartitions("part")
+    return sent.mapInArrow(merged, "word int, right binary, right_n binary, left binary, left_n binary")
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -177,24 +320,21 @@ class Exchange:
         n = known.clustered
         self.fixed, self.words = 1 + ENDINGS, n
         self.size = CLASSES + self.fixed
-        # Each list has at most clustered + 1 + ENDINGS entries.
-        right = bigrams.where(f"a < {n}").groupBy(F.col("a").alias("word")).agg(F.collect_list("b").alias("right"), F.collect_list("n").alias("right_n"))
-        left = bigrams.where(f"b < {n}").groupBy(F.col("b").alias("word")).agg(F.collect_list("a").alias("left"), F.collect_list("n").alias("left_n"))
-        # Frequent words come first in each part.
-        rows = stage(right.join(left, "word").repartition(PARTS, "word").sortWithinPartitions("word"), "neighbours")
         # Every round reads them all: as packed numbers, they pass from the files to Python untouched. The words of a task stay together.
-        self.rows = stage(packed(rows), "packed-neighbours")
+        rows = stage(neighbours(bigrams, known), "neighbours")
+        self.rows = rows.where(f"word < {n}")
         self.still = np.zeros((self.size, self.size))
-        for a, b, count in bigrams.where(f"a >= {n} AND b >= {n}").collect():  # at most (1 + ENDINGS) ** 2 rows
-            self.still[CLASSES + a - n, CLASSES + b - n] = count
-        by_ending = CLASSES + 1 + np.array([ending(w) for w in known.words[:n]], np.int64)
+        for batch in rows.where(f"word >= {n}").toArrow().to_batches():  # at most 1 + ENDINGS rows, with as many neighbours
+            word, (b, counts, ends) = batch.column("word").to_numpy(), lists(batch, "right")
+            self.still[CLASSES + np.repeat(word, np.diff(ends)) - n, CLASSES + b - n] = counts
+        by_ending = CLASSES + 1 + endings(pa.array(known.words[:n], pa.binary()))
         of_words = np.where(np.arange(n) < HEADS, np.arange(n) % CLASSES, by_ending)
         self.classes = np.concatenate([of_words, CLASSES + np.arange(self.fixed)])
         self.total = self.matrix(self.classes)
 
     def run(self, least_gain: float) -> None:
         """Exchanges words until a round that judges all of them gains no more than ``least_gain``."""
-        heads = self.rows.where(f"word < {HEADS}").coalesce(1).sortWithinPartitions("word")
+        heads = stage(self.rows.where(f"word < {HEADS}"), "heads").coalesce(1).sortWithinPartitions("word")
         while self.round(heads)[1] > least_gain:
             pass
         self.join_favoured()
@@ -241,8 +381,8 @@ class Exchange:
             out[cell] += n
         return out.reshape(size, size)
 
-    def moved(self, classes: np.ndarray) -> np.ndarray:
-        """Bigrams of classes, from those of the present classes and the neighbours of the words that move."""
+    def moved(self, classes: np.ndarray, rows: DataFrame | None = None) -> np.ndarray:
+        """Bigrams of classes, from those of the present classes and the neighbours of the words that move, all in ``rows``."""
         old, size, words = self.classes, self.size, self.words
         if 2 * (classes != old).sum() > words:
             return self.matrix(classes)
@@ -266,7 +406,7 @@ class Exchange:
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
         out = self.total.copy().ravel()
-        for cell, n in self.rows.mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n")).collect():
+        for cell, n in (rows or self.rows).mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n")).collect():
             out[cell] += n
         return out.reshape(size, size)
 
@@ -310,7 +450,7 @@ class Exchange:
             chosen = moves[moves["part"].isin(parts)]
             classes = start.copy()
             classes[chosen["word"].to_numpy()] = chosen["to"].to_numpy()
-            matrix = self.moved(classes)
+            matrix = self.moved(classes, rows)
             gain = likelihood(matrix) - before
             if gain > 0:
                 self.classes, self.total = classes, matrix
@@ -319,20 +459,6 @@ class Exchange:
         return 0, 0.0
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """The lists of each row as byte strings of their numbers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column("word")]
-            for column in batch.columns[1:]:
-                ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
-                columns.append(binaries(column.flatten().to_numpy(), ends))
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return rows.mapInArrow(run, "word int, right binary, right_n binary, left binary, left_n binary")
-
-
 def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Byte strings of the numbers in [ends[i], ends[i + 1])."""
     starts = pa.py_buffer((ends * values.dtype.itemsize).astype(np.int64))
@@ -354,32 +480,40 @@ def likelihood(total: np.ndarray) -> float:
 
 
 class Cells:
-    """Class bigrams with the logs that judging a word needs, kept up as words leave and enter classes."""
+    """Class bigrams with the logs that judging a word needs, kept up as words leave and enter classes.
+
+    ``cells`` and ``logs`` have a row for each class that may follow, then for each that may come before, and a column
+    for each class that a word may be in, so that both sides of a word are judged at once.
+    """
 
     def __init__(self, total: np.ndarray) -> None:
-        self.total, self.logs, self.sums = total, xlogx(total), total.sum(axis=1)
+        self.total, self.sums, self.size = total, total.sum(axis=1), len(total)
+        self.cells = np.concatenate([total[:CLASSES].T, total[:, :CLASSES]])
+        self.logs = xlogx(self.cells)
 
     def add(self, c: int, right: np.ndarray, left: np.ndarray, own: float) -> None:
         """Adds a word to class ``c``: its neighbours other than itself, and how often it follows itself."""
-        total = self.total
+        total, size = self.total, self.size
         total[c] += right
         total[:, c] += left
         total[c, c] += own
         self.sums += left
         self.sums[c] += right.sum() + own
-        self.logs[c], self.logs[:, c] = xlogx(total[c]), xlogx(total[:, c])
+        sides = np.array([total[c], total[:, c]])
+        for of, (after, before) in ((self.cells, sides), (self.logs, xlogx(sides))):
+            of[:size, c], of[size:, c], of[c], of[size + c] = after, before, before[:CLASSES], after[:CLASSES]
 
     def best_class(self, right: np.ndarray, left: np.ndarray, own: float, old: int) -> tuple[int, float]:
         """Where a word that is in no class adds most to the likelihood, and how much more than in ``old``."""
-        after, before, each = np.flatnonzero(right), np.flatnonzero(left), np.arange(CLASSES)
-        rows, columns = self.total[:CLASSES, after], self.total[before, :CLASSES]
-        gain = (xlogx(rows + right[after]) - self.logs[:CLASSES, after]).sum(axis=1)
-        gain += (xlogx(columns + left[before, None]) - self.logs[before, :CLASSES]).sum(axis=0)
+        sides = np.concatenate([right, left])
+        at = np.flatnonzero(sides)
+        cells = self.cells.take(at, axis=0)
+        cells += sides[at, None]
+        gain = (xlogx(cells) - self.logs.take(at, axis=0)).sum(axis=0)
         # The cell of a class with itself takes both sides at once.
-        corner, r, l = self.total[each, each], right[:CLASSES], left[:CLASSES]
-        gain += xlogx(corner + r + l + own) - xlogx(corner + r) - xlogx(corner + l) + xlogx(corner)
-        sums = self.sums[:CLASSES]
-        gain -= 2 * (xlogx(sums + right.sum() + own) - xlogx(sums))
+        corner, r, l, sums = self.cells.diagonal(), right[:CLASSES], left[:CLASSES], self.sums[:CLASSES]
+        both, one, other, more, now = xlogx(np.array([corner + r + l + own, corner + r, corner + l, sums + right.sum() + own, sums]))
+        gain += both - one - other + self.logs.diagonal() - 2 * (more - now)
         to = int(np.argmax(gain))
         more = float(gain[to] - gain[old])
         return (to, more) if more > 1e-6 else (old, 0.0)
@@ -416,7 +550,7 @@ class ClassModel:
     def __post_init__(self) -> None:
         known, n = self.known, self.known.clustered
         weight = np.bincount(self.classes[:n], known.counts[:n], len(self.moves))
-        ids = np.array([i if i < n else n + 1 + ending(w) for i, w in enumerate(known.words)], np.int64)
+        ids = known.symbols()[: len(known.words)]
         self.endings = -np.log10(known.ending_tokens + known.ending_types + 1.0)
         in_class = np.where(ids < n, np.log10(np.maximum(known.counts, 1) / np.maximum(weight[self.classes[ids]], 1)), np.log10(known.counts + 1.0))
         rare = ids > n
@@ -440,7 +574,7 @@ def learn(training: DataFrame, least_gain: float = 0.002) -> tuple[ClassModel, D
     """
     counts = stage(count_words(training), "word-counts")
     known, least = learn_vocabulary(counts, training.count())
-    exchange = Exchange(stage(count_bigrams(training, known), "bigrams"), known)
+    exchange = Exchange(count_bigrams(training, known), known)
     exchange.run(least_gain * known.tokens)
     return ClassModel(known, exchange.classes, transitions(exchange.total)), counts.where(F.col("n") < least)
 
@@ -458,33 +592,30 @@ def score(docs: DataFrame, is_training) -> DataFrame:
     first = math.log10((known.documents + 1) / (known.tokens + known.types + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = {w: i for i, w in enumerate(known.words)}.get
-        count, classes = len(known.words), np.concatenate([model.word_class, model.classes[end:]])
+        number, count, classes = known.numbering(), len(known.words), np.concatenate([model.word_class, model.classes[end:]])
         logs = np.concatenate([model.in_class, [0.0], model.endings])
         unigram = np.concatenate([model.unigram, [first], np.full(ENDINGS, model.floor)])
+        moves, size = model.moves.ravel(), len(model.moves)
         for batch in slices(batches):
-            out: list[list] = [[] for _ in range(6)]
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
-                ids = list(map(get, words))
-                rare = []
-                if None in ids:
-                    for k, w in enumerate(words):
-                        if ids[k] is None:
-                            rare.append(w)
-                            ids[k] = count + 1 + ending(w)
-                row = np.array([count, *ids, count])
-                steps = classes[row]
-                unseen = Counter(rare)
-                values = (
-                    len(words) + 1, len(words) - len(rare) + (known.documents > 0), unigram[row[1:]].sum(),
-                    logs[row[1:]].sum() + model.moves[steps[:-1], steps[1:]].sum(), [w.decode() for w in unseen], list(unseen.values()),
-                )
-                for column, v in zip(out, values, strict=True):
-                    column.append(v)
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            words, counts = tokens(batch.column("text"))
+            ids = number(words)
+            row = with_ends(ids, counts, count)
+            starts, steps = ends_of(counts)[:-1], classes[row]
+            base = np.add.reduceat(unigram[row[1:]], starts)
+            score = np.add.reduceat(logs[row[1:]] + moves[steps[:-1] * size + steps[1:]], starts)
+            # Distinct unseen words of each text, and how often it has them.
+            unseen = np.flatnonzero(ids > count)
+            rare = words.take(pa.array(unseen)).dictionary_encode()
+            text_of = np.searchsorted(np.cumsum(counts), unseen, "right")
+            pairs = np.sort(text_of * len(unseen) + rare.indices.to_numpy(zero_copy_only=False))
+            at = starts_of_runs(pairs)
+            times, (text, word) = np.diff(at, append=len(pairs)), np.divmod(pairs[at], max(len(unseen), 1))
+            ends = pa.array(np.searchsorted(text, np.arange(len(counts) + 1)), pa.int32())
+            known_n = counts - np.bincount(text_of, minlength=len(counts)) + (known.documents > 0)
+            found = pa.ListArray.from_arrays(ends, rare.dictionary.take(pa.array(word)).cast(pa.string()))
+            columns = [counts + 1, known_n, base, score, found, pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))]
             names = ["doc_id", "n_tokens", "n_known", "base", "class", "rare", "rare_n"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns[:4]), *columns[4:]], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.select("doc_id", "text").mapInArrow(
@@ -494,7 +625,7 @@ def score(docs: DataFrame, is_training) -> DataFrame:
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("times"))
     # Words outside the vocabulary: their counts come by a join, and only the log of count + 1 is missing.
     added = (
-        rare.join(others, "word")
+        rare.join(others.hint("shuffle_hash"), "word")
         .groupBy("row")
         .agg(F.sum("times").alias("also_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("added"))
     )

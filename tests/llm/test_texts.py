@@ -170,6 +170,43 @@ def test_neighbours_are_packed_and_moves_counted_alone(spark):
     assert (exchange.moved(classes) == exchange.matrix(classes)).all()
 
 
+def test_bigrams_travel_packed_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(class_model, "FLUSH_BIGRAMS", 300)
+    monkeypatch.setattr(class_model, "DEALT", 100)
+    monkeypatch.setattr(class_model, "MERGED", 3)
+    pick = random.Random(5)
+    words = [f"{w}{i}" for i in range(12) for w in ("A", "b", "\u00c9", "\u65e5")]
+    gaps = [" ", "  ", "\n", "\t\x0b", "\x0c\r "]
+    texts = [None, "", " \n", "\x1c a\u00a0b "] + ["".join(pick.choice(words) + pick.choice(gaps) for _ in range(pick.randint(0, 60))) for _ in range(80)]
+    docs = spark.createDataFrame([(i, pick.choice(["", " "]) + x if x else x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
+    known, _ = class_model.learn_vocabulary(class_model.count_words(docs), docs.count())
+    n = known.clustered
+    assert 8 + known.tokens // 3 > 500 and 0 < n < len(known.words)
+    number = {w: i for i, w in enumerate(known.words[:n])}
+    want, seen = collections.Counter(), collections.Counter()
+    for text in texts:
+        low = (text or "").encode().lower().split()
+        seen.update(low)
+        ids = [n, *[number.get(w, n + 1 + class_model.ending(w)) for w in low], n]
+        want.update(zip(ids, ids[1:], strict=False))
+    assert dict(zip(known.words, known.counts.tolist(), strict=True)) == seen
+    bigrams = class_model.count_bigrams(docs, known)
+    rows = bigrams.collect()
+    assert len(rows) == len(want) and {(r.a, r.b): r.n for r in rows} == want
+    assert "HashAggregate" not in bigrams._jdf.queryExecution().toString()  # no row for each bigram is shuffled
+    exchange = class_model.Exchange(bigrams, known)
+    found = exchange.rows.collect()
+    assert sorted(r.word for r in found) == list(range(n))
+    for r in found:
+        right = dict(zip(np.frombuffer(r.right, np.int32).tolist(), np.frombuffer(r.right_n, np.int64).tolist(), strict=True))
+        left = dict(zip(np.frombuffer(r.left, np.int32).tolist(), np.frombuffer(r.left_n, np.int64).tolist(), strict=True))
+        assert right == {b: k for (a, b), k in want.items() if a == r.word}
+        assert left == {a: k for (a, b), k in want.items() if b == r.word}
+    fixed = exchange.still[class_model.CLASSES :, class_model.CLASSES :]
+    assert {(a, b): fixed[a - n, b - n] for a, b in want if a >= n and b >= n} == {k: v for k, v in want.items() if min(k) >= n}
+    assert exchange.still.sum() == fixed.sum() == sum(v for k, v in want.items() if min(k) >= n)
+
+
 def test_exchange_finds_words_of_the_same_use(spark, monkeypatch):
     monkeypatch.setattr(class_model, "CLASSES", 4)
     pick = random.Random(2)
