@@ -163,6 +163,36 @@ def test_delta_through_any_table_equals_full(spark, table, change):
         assert actions == {"1": "U", "2": "I"}
 
 
+def test_changed_lines_are_affected_along_with_lines_reached_by_a_lookup(spark):
+    at = "2024-03-01"
+
+    def lines(frame, ledger):
+        return ledger(
+            ({"GL_SIRID": "1", "DOCLN": "1"},), ({"GL_SIRID": "2", "DOCLN": "2", "REFDOCNR": None},),
+            # 3 is new, 4 left the accounts, 5 is deleted, 6 has no action, 7 comes twice and is reached besides, one has no key
+            ({"GL_SIRID": "3", "DOCLN": "3", "REFDOCNR": None}, "I", at), ({"GL_SIRID": "4", "DOCLN": "4", "RACCT": "0001000000"}, "U", at),
+            ({"GL_SIRID": "5", "DOCLN": "5"}, "D", at), ({"GL_SIRID": "6", "DOCLN": "6", "REFDOCNR": None}, None, at),
+            ({"GL_SIRID": "7", "DOCLN": "7"}, "I"), ({"GL_SIRID": "7", "DOCLN": "7"}, "U", at), ({"GL_SIRID": None, "DOCLN": "8"}, "U", at),
+        )
+
+    def header(frame, ledger):
+        return frame("BUKRS string, BELNR string, GJAHR string, BLART string, TCODE string, XBLNR string",
+                     ("C1", "B1", "2024", "HC", "FB08", "none", "U", at))
+
+    alone, both = small_feeds(spark, ledger=lines).unified(), small_feeds(spark, ledger=lines, header=header).unified()
+
+    def keys(found):
+        found = [r.GL_SIRID for r in found.collect()]
+        assert len(found) == len(set(found))
+        return set(found)
+
+    assert keys(ledger_line.affected_ledger_keys(alone, "2024-02-01")) == {"3", "4", "5", "6", "7", None}
+    assert keys(ledger_line.affected_ledger_keys(both, "2024-02-01")) == {"1", "3", "4", "5", "6", "7", None}
+    assert keys(ledger_line.affected_ledger_keys(alone, "2024-03-02")) == set()
+    assert keys(ledger_line.affected_ledger_keys(alone, None)) == {"1", "2", "3", "4", "5", "6", "7", None}
+    assert keys(ledger_line.keys_reached(alone, alone.since("2024-02-01"))) == {"3", "4", "5", "6", "7", None}
+
+
 def test_lines_that_leave_the_scope_are_retired(spark):
     columns = "MANDT string, DOCCT string, GL_SIRID string, UMWRK string, OIC_MOT string, WGT_QTY double, VOL_UOM_L15 string, VOL_QTY double"
     at = "2024-03-01"
